@@ -4,6 +4,7 @@ statement, X8 dense line-item series, X9 start of operations, X15 cut-off."""
 from __future__ import annotations
 
 import datetime as _dt
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -107,10 +108,10 @@ def portfolio_statement(ledger: DataFrame, chart: DataFrame, centres: DataFrame,
     """
     from .ledger import restrict_ledger
 
-    fys = list(fiscal.fiscal_years_of(as_of))
-    cut = _dt.date(as_of.year, as_of.month, 1)
-    led = restrict_ledger(ledger, centres=centres, chart=None, fiscal_years=fys)
-    led = led.where(F.col("month") <= F.lit(cut))
+    fy_last, _ = fiscal.fiscal_years_of(as_of)
+    lo = _dt.date(fy_last - 1, 4, 1)             # first month of the earlier fiscal year
+    cut = _dt.date(as_of.year, as_of.month, 1)    # first of the as-of month, inclusive
+    led = restrict_ledger(ledger.where(F.col("month").between(F.lit(lo), F.lit(cut))), centres=centres)
     st = income_statement(led, chart)
     grp = centres.select("profit_center", "MEntity", F.col("Group").alias("grp_num"))
     d = F.col("date")
@@ -133,7 +134,7 @@ def group_statement(portfolio: DataFrame) -> DataFrame:
         fiscal.fiscal_quarter(F.col("date")).alias("quarter"),
         F.col("month").alias("cal_month"),
         fiscal.display_label(F.col("grp_name")).alias("grp_name"), "grp_num",
-        (F.col("value") / 1000).cast("decimal(38,5)").alias("val_thousands"),
+        (F.col("value") * F.lit(Decimal("0.001"))).cast("decimal(38,5)").alias("val_thousands"),
     )
 
 

@@ -7,7 +7,7 @@ independently of the Spark code.
 
 from __future__ import annotations
 
-from ..functions.fiscal import fiscal_years_of
+from ..functions.fiscal import fiscal_years_of, py_prev_month_start
 from ..operators.ledger import BASE_LINES
 from ..operators.statement import EXPENSE_PARTS, REVENUE_PARTS, STATEMENT_LINES, UBOX_PARTS
 from ..sources import bindings as B
@@ -35,12 +35,12 @@ SELECT FISCAL_YEAR AS fiscal_year, PROFIT_CENTER AS profit_center, GL_ACCOUNT AS
 FROM (SELECT *, CAST(replace(period, 'GC_PER_', '') AS INTEGER) AS p
       FROM (UNPIVOT ledger_wide ON COLUMNS('GC_PER_.*') INTO NAME period VALUE amount))""")
 
-LEDGER_FROM_WIDE_NULLS = ("ledger_from_wide_nulls", """
+LEDGER_FROM_WIDE_NULLS = ("ledger_from_wide_nulls", f"""
 SELECT FISCAL_YEAR AS fiscal_year, PROFIT_CENTER AS profit_center, GL_ACCOUNT AS account,
        make_date(CASE WHEN (p + 2) % 12 + 1 >= 4 THEN FISCAL_YEAR - 1 ELSE FISCAL_YEAR END,
                  (p + 2) % 12 + 1, 1) AS month, amount
 FROM (SELECT *, CAST(replace(period, 'GC_PER_', '') AS INTEGER) AS p
-      FROM (UNPIVOT INCLUDE NULLS ledger_wide ON COLUMNS('GC_PER_.*') INTO NAME period VALUE amount))""")
+      FROM ledger_wide UNPIVOT INCLUDE NULLS (amount FOR period IN ({", ".join(f"GC_PER_{n}" for n in range(1, 13))})))""")
 
 # included centres
 CENTRES = ("centres", """
@@ -99,3 +99,77 @@ SELECT l.profit_center, l.month, c.line_item, CAST(sum(l.amount * c.sign) AS DEC
 FROM ledger_long l JOIN chart c ON c.account = l.account
 WHERE l.amount IS NOT NULL
 GROUP BY ALL""")
+
+
+def grp_label_sql(g: str) -> str:
+    idx = f"({g} - 1 + {B.BASE_Q} - 1)"
+    return (f"CASE WHEN {g} >= 1 THEN 'F' || lpad(CAST(({B.BASE_FY} + {idx} // 4) % 100 AS VARCHAR), 2, '0')"
+            f" || '_Q' || CAST({idx} % 4 + 1 AS VARCHAR) END")
+
+
+_FY_LO = f"DATE '{FY_LAST - 1}-04-01'"
+_CUT = f"DATE '{B.AS_OF.year}-{B.AS_OF.month:02d}-01'"
+PORTFOLIO = [
+    CENTRES,
+    ("pled", f"""
+SELECT * FROM ledger_long
+WHERE month BETWEEN {_FY_LO} AND {_CUT} AND profit_center IN (SELECT profit_center FROM centres)"""),
+    *statement_ctes("pled", "pstmt"),
+    ("portfolio", f"""
+SELECT s.date, s.profit_center, c.MEntity, s.line_item, s.value,
+       {grp_label_sql('c."Group"')} AS grp_name, c."Group" AS grp_num,
+       month(s.date) AS month, year(s.date) AS year,
+       year(s.date + INTERVAL 9 MONTH) AS fiscal_year, month(s.date - INTERVAL 3 MONTH) AS fiscal_month
+FROM pstmt s LEFT JOIN centres c ON c.profit_center = s.profit_center"""),
+]
+
+SQL["portfolio_statement"] = with_ctes(["ledger_long", "chart", "acquisitions"],
+                                       "SELECT * FROM portfolio", PORTFOLIO)
+
+SQL["group_statement"] = with_ctes(["ledger_long", "chart", "acquisitions"], """
+SELECT date, line_item, value, fiscal_year, fiscal_month,
+       CASE WHEN month BETWEEN 1 AND 3 THEN 4 WHEN month BETWEEN 4 AND 6 THEN 1
+            WHEN month BETWEEN 7 AND 9 THEN 2 ELSE 3 END AS quarter,
+       month AS cal_month, replace(replace(grp_name, '_', ' '), 'F', 'FY') AS grp_name, grp_num,
+       CAST(value * 0.001 AS DECIMAL(38,5)) AS val_thousands
+FROM (SELECT date, line_item, fiscal_year, fiscal_month, month, grp_name, grp_num,
+             CAST(sum(value) AS DECIMAL(38,2)) AS value
+      FROM portfolio GROUP BY ALL)""", PORTFOLIO)
+
+SQL["statement_cutoff"] = with_ctes(["ledger_long", "chart", "acquisitions"], f"""
+SELECT * FROM portfolio WHERE date <= last_day({AS_OF} - INTERVAL 1 MONTH)""", PORTFOLIO)
+
+SQL["list_cutoff"] = with_ctes(["acquisitions"], f"""
+SELECT * FROM acquisitions WHERE Close_of_Escrow <= last_day({AS_OF} - INTERVAL 1 MONTH)""")
+
+_MAXM = f"DATE '{py_prev_month_start(B.AS_OF).isoformat()}'"
+LINE_AMOUNTS = ("lia", """
+SELECT l.profit_center, l.month, c.line_item, CAST(sum(l.amount * c.sign) AS DECIMAL(38,2)) AS amount
+FROM ledger_long l JOIN chart c ON c.account = l.account
+WHERE l.amount IS NOT NULL GROUP BY ALL""")
+
+SQL["dense_line_items"] = with_ctes(["ledger_long", "chart"], f"""
+SELECT s.profit_center, s.month, ln.line_item, CAST(coalesce(a.amount, 0) AS DECIMAL(38,2)) AS amount
+FROM (SELECT profit_center,
+             CAST(unnest(generate_series(fm, {_MAXM}, INTERVAL 1 MONTH)) AS DATE) AS month
+      FROM (SELECT profit_center, min(month) AS fm FROM lia GROUP BY 1) WHERE fm <= {_MAXM}) s
+CROSS JOIN (SELECT unnest([{", ".join("'" + n + "'" for n in BASE_LINES)}]) AS line_item) ln
+LEFT JOIN (SELECT * FROM lia WHERE month <= {_MAXM}) a
+  ON a.profit_center = s.profit_center AND a.month = s.month AND a.line_item = ln.line_item""",
+    [LINE_AMOUNTS])
+
+SQL["operations_start"] = with_ctes(["ledger_long", "chart"], """
+SELECT profit_center, min(date) AS start_month FROM stmt
+WHERE line_item = 'NET OPERATING INCOME' AND value <> 0 GROUP BY profit_center""",
+    statement_ctes("ledger_long"))
+
+SQL["fiscal_calendar"] = with_ctes(["ledger_long"], f"""
+SELECT month, year(month) AS year, month(month) AS cal_month, strftime(month, '%b') AS month_abbr,
+       fy AS fiscal_year, month(month - INTERVAL 3 MONTH) AS fiscal_month, fq AS fiscal_quarter,
+       (fy - {B.BASE_FY}) * 4 + fq - {B.BASE_Q} + 1 AS grp_num,
+       'F' || lpad(CAST(fy % 100 AS VARCHAR), 2, '0') || '_Q' || CAST(fq AS VARCHAR) AS grp_name,
+       replace(replace('F' || lpad(CAST(fy % 100 AS VARCHAR), 2, '0') || '_Q' || CAST(fq AS VARCHAR), '_', ' '), 'F', 'FY') AS grp_display,
+       last_day(month) AS month_end
+FROM (SELECT month, year(month + INTERVAL 9 MONTH) AS fy, quarter(month - INTERVAL 3 MONTH) AS fq
+      FROM (SELECT CAST(unnest(generate_series(min(month), max(month), INTERVAL 1 MONTH)) AS DATE) AS month
+            FROM ledger_long))""")

@@ -53,3 +53,48 @@ def chart_of_accounts(spark, d):
 @query
 def line_item_amounts(spark, d):
     return L.line_item_amounts(B.ledger_long(spark, d), _chart(spark, d))
+
+
+def _portfolio(spark, d):
+    from ..operators import acquisitions as A
+    centres = A.included_centres(B.acquisitions(spark, d))
+    return S.portfolio_statement(B.ledger_long(spark, d), _chart(spark, d), centres, B.AS_OF,
+                                 B.BASE_FY, B.BASE_Q)
+
+
+@query
+def portfolio_statement(spark, d):
+    return _portfolio(spark, d)
+
+
+@query
+def group_statement(spark, d):
+    return S.group_statement(_portfolio(spark, d))
+
+
+@query
+def statement_cutoff(spark, d):
+    return S.statement_cutoff(_portfolio(spark, d), B.AS_OF)
+
+
+@query
+def list_cutoff(spark, d):
+    from ..operators import acquisitions as A
+    return A.list_cutoff(B.acquisitions(spark, d), B.AS_OF)
+
+
+@query
+def dense_line_items(spark, d):
+    amounts = L.line_item_amounts(B.ledger_long(spark, d), _chart(spark, d))
+    return S.dense_line_items(amounts, fiscal.py_prev_month_start(B.AS_OF))
+
+
+@query
+def operations_start(spark, d):
+    return S.operations_start(S.income_statement(B.ledger_long(spark, d), _chart(spark, d)))
+
+
+@query
+def fiscal_calendar(spark, d):
+    bounds = B.ledger_long(spark, d).agg(F.min("month").alias("lo"), F.max("month").alias("hi"))
+    return fiscal.fiscal_calendar_from_bounds(bounds, B.BASE_FY, B.BASE_Q)
