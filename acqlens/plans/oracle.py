@@ -173,3 +173,80 @@ SELECT month, year(month) AS year, month(month) AS cal_month, strftime(month, '%
 FROM (SELECT month, year(month + INTERVAL 9 MONTH) AS fy, quarter(month - INTERVAL 3 MONTH) AS fq
       FROM (SELECT CAST(unnest(generate_series(min(month), max(month), INTERVAL 1 MONTH)) AS DATE) AS month
             FROM ledger_long))""")
+
+
+# ---------------------------------------------------------------- occupancy
+_LAST = _MAXM   # first of the month before as-of
+_FISCAL = lambda d: (f"year({d} + INTERVAL 9 MONTH) AS fiscal_year, month({d} - INTERVAL 3 MONTH) AS fiscal_month, "
+                     f"quarter({d} - INTERVAL 3 MONTH) AS fiscal_quarter, strftime({d}, '%b') AS month_abbr")
+ACTUAL = ("actual", f"""
+SELECT Date, MEntity, unm_product, sum(unm_numunits) AS unm_numunits, sum(unm_occunits) AS unm_occunits,
+       {_FISCAL('Date')}
+FROM unit_mix
+WHERE upper(unm_product) <> 'UBOX' AND Date <= {_LAST}
+  AND MEntity IN (SELECT MEntity FROM acquisitions WHERE Include)
+GROUP BY Date, MEntity, unm_product""")
+
+SQL["actual_occupancy"] = with_ctes(["unit_mix", "acquisitions"], "SELECT * FROM actual", [ACTUAL])
+
+SQL["group_occupancy"] = with_ctes(["unit_mix", "acquisitions"], """
+SELECT r.*, c.n_entities FROM
+ (SELECT a.Date, q."Group", a.fiscal_year, a.fiscal_month, a.fiscal_quarter, a.month_abbr,
+         sum(a.unm_numunits) AS Total_Rooms, sum(a.unm_occunits) AS Occupied_Rooms
+  FROM actual a JOIN acquisitions q ON q.MEntity = a.MEntity GROUP BY ALL) r
+JOIN (SELECT q."Group", count(DISTINCT a.MEntity) AS n_entities
+      FROM actual a JOIN acquisitions q ON q.MEntity = a.MEntity GROUP BY ALL) c
+  ON c."Group" = r."Group" """, [ACTUAL])
+
+MIX = ("mix", f"""
+SELECT Date, MEntity, product, climate,
+       ((2 * c + n) // (2 * n)) / 100.0 AS rent_rate,
+       total_units, occ_units,
+       CASE WHEN total_units <> 0 THEN ((200 * occ_units + total_units) // (2 * total_units)) / 100.0 END AS occ_pct
+FROM (SELECT Date, MEntity, unm_product AS product, unm_climate AS climate,
+             CAST(sum(unm_rentrate) * 100 AS BIGINT) AS c, count(unm_rentrate) AS n,
+             sum(unm_numunits) AS total_units, sum(unm_occunits) AS occ_units
+      FROM unit_mix
+      WHERE Date = {_LAST} AND Date >= DATE '1995-01-01' AND upper(unm_product) <> 'UBOX'
+        AND MEntity IN (SELECT MEntity FROM forecast)
+      GROUP BY ALL)""")
+
+SQL["occupancy_mix"] = with_ctes(["unit_mix", "forecast"], "SELECT * FROM mix", [MIX])
+
+SQL["forecast_splice"] = with_ctes(["unit_mix", "forecast"], """
+SELECT Date, MEntity, product, climate, rent_rate, total_units, occ_units, occ_pct,
+       NULL::BIGINT AS ID, NULL::DATE AS Start_Date, NULL::DATE AS FC_Date, NULL::DOUBLE AS FC_Occ
+FROM mix
+UNION ALL
+SELECT NULL, MEntity, NULL, NULL, NULL, NULL, NULL, NULL, ID, Start_Date, FC_Date, FC_Occ
+FROM forecast
+WHERE (SELECT max(Date) FROM mix) IS NULL OR FC_Date > (SELECT max(Date) FROM mix)""", [MIX])
+
+LATEST = ("latest", f"""
+SELECT f.ID, f.MEntity, f.Start_Date, f.FC_Date AS MONTH, f.FC_Occ, {_FISCAL('f.FC_Date')}
+FROM forecast f
+JOIN (SELECT MEntity, Start_Date FROM
+        (SELECT MEntity, Start_Date, count(*) AS n,
+                max(Start_Date) OVER (PARTITION BY MEntity) AS mx
+         FROM forecast GROUP BY MEntity, Start_Date)
+      WHERE Start_Date = mx AND n >= 2) k
+  ON k.MEntity = f.MEntity AND k.Start_Date = f.Start_Date""")
+
+SQL["forecast_latest_vintage"] = with_ctes(["forecast"], "SELECT * FROM latest", [LATEST])
+
+SQL["forecast_capacity"] = with_ctes(["forecast", "unit_mix", "acquisitions"], """
+SELECT l.ID, l.MEntity, l.MONTH, l.FC_Occ AS Forecasted_Rooms, q."Group",
+       l.fiscal_year AS FY, l.fiscal_month AS FM, l.fiscal_quarter AS Quarter, l.month_abbr AS Month1,
+       r.Total_Rooms
+FROM latest l
+LEFT JOIN acquisitions q ON q.MEntity = l.MEntity
+LEFT JOIN (SELECT MEntity, arg_max(Total_Rooms, Date) AS Total_Rooms
+           FROM (SELECT MEntity, Date, sum(unm_numunits) AS Total_Rooms FROM actual GROUP BY ALL)
+           GROUP BY MEntity) r ON r.MEntity = l.MEntity""", [LATEST, ACTUAL])
+
+SQL["forecast_listed"] = with_ctes(["forecast", "acquisitions"], """
+SELECT * FROM forecast WHERE MEntity IN (SELECT DISTINCT MEntity FROM acquisitions)""")
+
+SQL["forecast_future"] = with_ctes(["forecast", "acquisitions"], f"""
+SELECT * FROM forecast WHERE MEntity IN (SELECT DISTINCT MEntity FROM acquisitions)
+  AND Start_Date > {_LAST}""")

@@ -98,3 +98,61 @@ def operations_start(spark, d):
 def fiscal_calendar(spark, d):
     bounds = B.ledger_long(spark, d).agg(F.min("month").alias("lo"), F.max("month").alias("hi"))
     return fiscal.fiscal_calendar_from_bounds(bounds, B.BASE_FY, B.BASE_Q)
+
+
+# ---------------------------------------------------------------- occupancy
+MIN_ACTUAL = __import__("datetime").date(1995, 1, 1)
+
+
+def _actual(spark, d):
+    from ..operators import occupancy as O
+    return O.actual_occupancy(B.unit_mix(spark, d), B.acquisitions(spark, d), B.AS_OF)
+
+
+@query
+def actual_occupancy(spark, d):
+    return _actual(spark, d)
+
+
+@query
+def group_occupancy(spark, d):
+    from ..operators import occupancy as O
+    return O.group_occupancy(_actual(spark, d), B.acquisitions(spark, d))
+
+
+@query
+def occupancy_mix(spark, d):
+    from ..operators import occupancy as O
+    return O.occupancy_mix(B.unit_mix(spark, d), B.forecast(spark, d),
+                           fiscal.py_prev_month_start(B.AS_OF), MIN_ACTUAL)
+
+
+@query
+def forecast_splice(spark, d):
+    from ..operators import occupancy as O
+    return O.forecast_splice(B.unit_mix(spark, d), B.forecast(spark, d), B.AS_OF, MIN_ACTUAL)
+
+
+@query
+def forecast_latest_vintage(spark, d):
+    from ..operators import occupancy as O
+    return O.latest_vintage(B.forecast(spark, d))
+
+
+@query
+def forecast_capacity(spark, d):
+    from ..operators import occupancy as O
+    return O.forecast_capacity(O.latest_vintage(B.forecast(spark, d)), _actual(spark, d),
+                               B.acquisitions(spark, d))
+
+
+@query
+def forecast_listed(spark, d):
+    from ..operators import occupancy as O
+    return O.listed_forecasts(B.forecast(spark, d), B.acquisitions(spark, d))
+
+
+@query
+def forecast_future(spark, d):
+    from ..operators import occupancy as O
+    return O.listed_forecasts(B.forecast(spark, d), B.acquisitions(spark, d), B.AS_OF)
