@@ -250,3 +250,44 @@ SELECT * FROM forecast WHERE MEntity IN (SELECT DISTINCT MEntity FROM acquisitio
 SQL["forecast_future"] = with_ctes(["forecast", "acquisitions"], f"""
 SELECT * FROM forecast WHERE MEntity IN (SELECT DISTINCT MEntity FROM acquisitions)
   AND Start_Date > {_LAST}""")
+
+
+# ---------------------------------------------------------------- same-store
+from ..operators import samestore as _SS  # noqa: E402
+from ..functions.fiscal import py_add_months as _addm  # noqa: E402
+
+_ANCHOR = py_prev_month_start(B.AS_OF)
+_EXCL = ", ".join("'" + c + "'" for c in ["7000000003", "7000000005", "7000000007"])
+_PERIODS = ", ".join(
+    f"('{n}', DATE '{_addm(_ANCHOR, -hi).isoformat()}', DATE '{_addm(_ANCHOR, -lo).isoformat()}')"
+    for n, lo, hi in _SS.PERIODS)
+PANEL = ("panel", f"""
+SELECT o.MEntity, o.Date, coalesce(o.occ, 0) AS occ, coalesce(t.total, 0) AS total,
+       CASE WHEN coalesce(t.total, 0) <> 0 THEN coalesce(o.occ, 0) / t.total ELSE 0.0 END AS occupancy
+FROM (SELECT MEntity, Date, occ FROM rooms) o
+LEFT JOIN (SELECT MEntity, Date, total FROM rooms) t ON t.MEntity = o.MEntity AND t.Date = o.Date
+WHERE o.MEntity IN (SELECT MEntity FROM entity_info WHERE "Cost Center" IN
+                      (SELECT profit_center FROM samestore_centres WHERE profit_center NOT IN ({_EXCL})))""")
+ENT = ("ent", f"""
+SELECT period, MEntity, sum(occ) AS occ, sum(total) AS total,
+       CASE WHEN sum(total) <> 0 THEN sum(occ) / sum(total) ELSE 0.0 END AS occupancy
+FROM panel JOIN (VALUES {_PERIODS}) per(period, lo, hi) ON panel.Date BETWEEN per.lo AND per.hi
+GROUP BY period, MEntity""")
+
+SQL["occupancy_panel"] = with_ctes(["rooms", "samestore_centres", "entity_info"], "SELECT * FROM panel", [PANEL])
+
+SQL["samestore_metrics"] = with_ctes(["rooms", "samestore_centres", "entity_info"], """
+SELECT period, count(*) AS n_entities,
+       ((2000000 * sum(occ) + sum(total)) // (2 * sum(total))) / 1000000.0 AS weighted_occ,
+       round(median(occupancy), 7) AS median_occ,
+       count(*) FILTER (WHERE occupancy >= CAST(0.85 AS DOUBLE)) AS n_at_threshold,
+       ((2000000 * count(*) FILTER (WHERE occupancy >= CAST(0.85 AS DOUBLE)) + count(*)) // (2 * count(*))) / 1000000.0
+         AS share_at_threshold
+FROM ent GROUP BY period""", [PANEL, ENT])
+
+_B = [f"CAST({e} AS DOUBLE)" for e in _SS.BUCKET_LOWER]
+_BUCKETS = [f"occupancy < {_B[0]}"] + [f"occupancy >= {a} AND occupancy < {b}" for a, b in zip(_B, _B[1:])] \
+    + [f"occupancy >= {_B[-1]}"]
+SQL["samestore_histogram"] = with_ctes(["rooms", "samestore_centres", "entity_info"], "SELECT period, " + ", ".join(
+    f"count(*) FILTER (WHERE {c}) AS bucket_{i}" for i, c in enumerate(_BUCKETS, start=1))
+    + " FROM ent GROUP BY period", [PANEL, ENT])

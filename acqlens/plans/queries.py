@@ -156,3 +156,33 @@ def forecast_listed(spark, d):
 def forecast_future(spark, d):
     from ..operators import occupancy as O
     return O.listed_forecasts(B.forecast(spark, d), B.acquisitions(spark, d), B.AS_OF)
+
+
+# ---------------------------------------------------------------- same-store
+SAMESTORE_EXCLUDE = ["7000000003", "7000000005", "7000000007"]
+
+
+def _panel(spark, d):
+    from ..operators import samestore as SS
+    rooms = B.rooms(spark, d)
+    occ = rooms.select("MEntity", "Date", F.col("occ").alias("Amount"))
+    tot = rooms.select("MEntity", "Date", F.col("total").alias("Amount"))
+    return SS.occupancy_panel(occ, tot, B.samestore_centres(spark, d), B.entity_info(spark, d),
+                              SAMESTORE_EXCLUDE)
+
+
+@query
+def occupancy_panel(spark, d):
+    return _panel(spark, d)
+
+
+@query
+def samestore_metrics(spark, d):
+    from ..operators import samestore as SS
+    return SS.samestore_metrics(_panel(spark, d), fiscal.py_prev_month_start(B.AS_OF))
+
+
+@query
+def samestore_histogram(spark, d):
+    from ..operators import samestore as SS
+    return SS.samestore_histogram(_panel(spark, d), fiscal.py_prev_month_start(B.AS_OF))
