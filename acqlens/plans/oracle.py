@@ -291,3 +291,109 @@ _BUCKETS = [f"occupancy < {_B[0]}"] + [f"occupancy >= {a} AND occupancy < {b}" f
 SQL["samestore_histogram"] = with_ctes(["rooms", "samestore_centres", "entity_info"], "SELECT period, " + ", ".join(
     f"count(*) FILTER (WHERE {c}) AS bucket_{i}" for i, c in enumerate(_BUCKETS, start=1))
     + " FROM ent GROUP BY period", [PANEL, ENT])
+
+
+# ---------------------------------------------------------------- lender
+_WM = B.sheet_months()
+_WATERMARK = __import__("datetime").date(2000, 3, 1)
+_STORED_UNTIL = "DATE '2000-06-01'"
+
+
+def _amount(v: str) -> str:
+    return (f"coalesce(CASE WHEN lower(trim({v})) = 'x' THEN CAST(0 AS DECIMAL(18,2)) "
+            f"ELSE TRY_CAST(trim({v}) AS DECIMAL(18,2)) END, CAST(0 AS DECIMAL(18,2)))")
+
+
+def _key(v: str) -> str:
+    return f"CASE WHEN trim(CAST({v} AS VARCHAR)) <> '' THEN split_part(trim(CAST({v} AS VARCHAR)), '.', 1) END"
+
+
+def _months_after(wm) -> str:
+    return ", ".join(f'"{m.isoformat()}"' for m in _WM if wm is None or m > wm)
+
+
+def trends_load_cte(name: str, wm) -> tuple[str, str]:
+    return (name, f"""
+SELECT {_key('SAP')} AS SAP_Number, {_key('Account_Number')} AS Account_Number,
+       Description AS Account_Description, "Line Item" AS Line_Item,
+       CAST(mname AS DATE) AS Date, {_amount('cell')} AS Amount
+FROM (SELECT * FROM lender_trends_wide WHERE SAP IS NOT NULL AND Account_Number IS NOT NULL)
+UNPIVOT INCLUDE NULLS (cell FOR mname IN ({_months_after(wm)}))""")
+
+
+def ubox_load_cte(name: str, wm) -> tuple[str, str]:
+    return (name, f"""
+SELECT {_key('"#"')} AS SAP_Number, '52152' AS Account_Number, Account AS Account_Description,
+       CAST(mname AS DATE) AS Date, {_amount('cell')} AS Amount
+FROM (SELECT * FROM lender_ubox_wide
+      WHERE Account IN ('U-BOX ONE-WAY DELIVERY INCOME', 'U-BOX LOCAL DELIVERY INCOME') AND "#" IS NOT NULL)
+UNPIVOT INCLUDE NULLS (cell FOR mname IN ({_months_after(wm)}))""")
+
+
+def adj_load_cte(name: str, wm) -> tuple[str, str]:
+    cond = f"AND \"Final Month\" > DATE '{wm.isoformat()}'" if wm else ""
+    return (name, f"""
+SELECT {_key('SAP')} AS SAP_Number, {_key('Account')} AS Account_Number,
+       "Line Item" AS Account_Description, CAST("Final Month" AS DATE) AS Date,
+       CAST("Final Adjustment" AS DECIMAL(18,2)) AS Total_Adjustment,
+       CAST("Storage Adjustment" AS DECIMAL(18,2)) AS Storage_Adjustment,
+       CAST("U-Move Adjustment" AS DECIMAL(18,2)) AS UMove_Adjustment,
+       CAST("Storage Split" AS DOUBLE) AS Storage_Split
+FROM lender_adjustments_sheet WHERE SAP IS NOT NULL {cond}""")
+
+
+SQL["lender_trend_load"] = with_ctes(["lender_trends_wide"], "SELECT * FROM tl",
+                                     [trends_load_cte("tl", _WATERMARK)])
+SQL["lender_ubox_load"] = with_ctes(["lender_ubox_wide"], "SELECT * FROM ul",
+                                    [ubox_load_cte("ul", _WATERMARK)])
+SQL["lender_adjustment_load"] = with_ctes(["lender_adjustments_sheet"], "SELECT * FROM al",
+                                          [adj_load_cte("al", _WATERMARK)])
+
+SQL["lender_reload"] = with_ctes(["lender_trends_wide"], f"""
+SELECT * FROM stored
+WHERE (SELECT max(Date) FROM stored) IS NULL OR DATE '{_WATERMARK.isoformat()}' >= (SELECT max(Date) FROM stored)
+   OR Date <= DATE '{_WATERMARK.isoformat()}'
+UNION ALL SELECT * FROM tl""",
+    [trends_load_cte("tall", None), ("stored", f"SELECT * FROM tall WHERE Date <= {_STORED_UNTIL}"),
+     trends_load_cte("tl", _WATERMARK)])
+
+_OLD_ASOF = __import__("datetime").date(1999, 10, 15)
+_OLD_FY_LAST, _ = fiscal_years_of(_OLD_ASOF)
+PORTFOLIO_OLD = [
+    ("pled_old", f"""
+SELECT * FROM ledger_long
+WHERE month BETWEEN DATE '{_OLD_FY_LAST - 1}-04-01' AND DATE '{_OLD_ASOF.year}-{_OLD_ASOF.month:02d}-01'
+  AND profit_center IN (SELECT profit_center FROM centres)"""),
+    *statement_ctes("pled_old", "pstmt_old"),
+    ("portfolio_old", f"""
+SELECT s.date, s.profit_center, c.MEntity, s.line_item, s.value,
+       {grp_label_sql('c."Group"')} AS grp_name, c."Group" AS grp_num,
+       month(s.date) AS month, year(s.date) AS year,
+       year(s.date + INTERVAL 9 MONTH) AS fiscal_year, month(s.date - INTERVAL 3 MONTH) AS fiscal_month
+FROM pstmt_old s LEFT JOIN centres c ON c.profit_center = s.profit_center"""),
+]
+SQL["statement_range_replace"] = with_ctes(["ledger_long", "chart", "acquisitions"], f"""
+SELECT * FROM portfolio_old WHERE NOT (fiscal_year BETWEEN {FY_LAST} AND {FY_CUR})
+UNION ALL SELECT * FROM portfolio""", PORTFOLIO + PORTFOLIO_OLD)
+
+_ACCTS = f"SELECT CAST({B.ACCOUNT_BASE} + p_partkey AS VARCHAR) FROM part WHERE p_size <= 25"
+SQL["lender_trend_rollup"] = with_ctes(["lender_trends_wide", "samestore_centres"], f"""
+SELECT Date, Line_Item, sum(Amount) AS value FROM tall
+WHERE Account_Number IN ({_ACCTS}) AND SAP_Number IN (SELECT profit_center FROM samestore_centres)
+GROUP BY Date, Line_Item""", [trends_load_cte("tall", None)])
+
+SQL["lender_adjustment_rollup"] = with_ctes(["lender_adjustments_sheet", "samestore_centres"], """
+SELECT Date, Account_Description, sum(Total_Adjustment) AS total_adjustment FROM aall
+WHERE SAP_Number IN (SELECT profit_center FROM samestore_centres)
+GROUP BY Date, Account_Description""", [adj_load_cte("aall", None)])
+
+SQL["lender_ubox_rollup"] = with_ctes(["lender_ubox_wide", "samestore_centres"], """
+SELECT Date, Account_Description, sum(Amount) AS value FROM uall
+WHERE SAP_Number IN (SELECT profit_center FROM samestore_centres)
+GROUP BY Date, Account_Description""", [ubox_load_cte("uall", None)])
+
+SQL["lender_basis_ledger"] = with_ctes(["lender_trends_wide", "account_conversion"], """
+SELECT t.SAP_Number AS profit_center, c.sap_account AS account, t.Line_Item AS line_item,
+       t.Date AS month, t.Amount AS amount
+FROM tall t LEFT JOIN account_conversion c ON c.walker_acct = t.Account_Number""",
+    [trends_load_cte("tall", None)])

@@ -186,3 +186,82 @@ def samestore_metrics(spark, d):
 def samestore_histogram(spark, d):
     from ..operators import samestore as SS
     return SS.samestore_histogram(_panel(spark, d), fiscal.py_prev_month_start(B.AS_OF))
+
+
+# ---------------------------------------------------------------- lender
+import datetime as _dt  # noqa: E402
+
+LENDER_WATERMARK = _dt.date(2000, 3, 1)
+LENDER_STORED_UNTIL = _dt.date(2000, 6, 1)
+
+
+def _trends(spark, d, watermark=None):
+    from ..operators import lender as LD
+    return LD.load_trends(B.lender_trends_wide(spark, d), watermark)
+
+
+@query
+def lender_trend_load(spark, d):
+    return _trends(spark, d, LENDER_WATERMARK)
+
+
+@query
+def lender_ubox_load(spark, d):
+    from ..operators import lender as LD
+    return LD.load_ubox(B.lender_ubox_wide(spark, d), LENDER_WATERMARK)
+
+
+@query
+def lender_adjustment_load(spark, d):
+    from ..operators import lender as LD
+    return LD.load_adjustments(B.lender_adjustments_sheet(spark, d), LENDER_WATERMARK)
+
+
+@query
+def lender_reload(spark, d):
+    from ..operators import lender as LD
+    stored = _trends(spark, d).where(F.col("Date") <= F.lit(LENDER_STORED_UNTIL))
+    return LD.apply_reload(stored, _trends(spark, d, LENDER_WATERMARK), LENDER_WATERMARK)
+
+
+@query
+def statement_range_replace(spark, d):
+    from ..operators import acquisitions as A
+    from ..sources import tables as T
+    centres = A.included_centres(B.acquisitions(spark, d))
+    led, chart = B.ledger_long(spark, d), _chart(spark, d)
+    old = S.portfolio_statement(led, chart, centres, _dt.date(1999, 10, 15), B.BASE_FY, B.BASE_Q)
+    new = S.portfolio_statement(led, chart, centres, B.AS_OF, B.BASE_FY, B.BASE_Q)
+    fy_last, fy_cur = fiscal.fiscal_years_of(B.AS_OF)
+    return T.replace_range(old, new, "fiscal_year", fy_last, fy_cur)
+
+
+def _lender_accounts(spark, d):
+    part = B.table(spark, d, "part")
+    return part.where(F.col("p_size") <= 25).select(
+        (F.lit(B.ACCOUNT_BASE) + F.col("p_partkey")).cast("string").alias("account"))
+
+
+@query
+def lender_trend_rollup(spark, d):
+    from ..operators import lender as LD
+    return LD.trend_rollup(_trends(spark, d), _lender_accounts(spark, d), B.samestore_centres(spark, d))
+
+
+@query
+def lender_adjustment_rollup(spark, d):
+    from ..operators import lender as LD
+    adj = LD.load_adjustments(B.lender_adjustments_sheet(spark, d))
+    return LD.adjustment_rollup(adj, B.samestore_centres(spark, d))
+
+
+@query
+def lender_ubox_rollup(spark, d):
+    from ..operators import lender as LD
+    ub = LD.load_ubox(B.lender_ubox_wide(spark, d))
+    return LD.ubox_rollup(ub, B.samestore_centres(spark, d))
+
+
+@query
+def lender_basis_ledger(spark, d):
+    return L.lender_basis_ledger(_trends(spark, d), B.account_conversion(spark, d))
