@@ -103,10 +103,10 @@ def keyed_update(target: DataFrame, source: DataFrame, key: str,
     without a match keep their values.
     """
     src_cols = list(dict.fromkeys(assignments.values()))
-    src = source.select(F.col(key), *[F.col(f"`{c}`").alias(f"_s_{i}") for i, c in enumerate(src_cols)])
-    ordering = order or [F.col(f"_s_{i}") for i in range(len(src_cols))]
-    src = pick_per_key(src.withColumns({f"_ord{i}": o for i, o in enumerate(ordering)}), [key],
-                       [F.col(f"_ord{i}") for i in range(len(ordering))],
+    values = [F.col(f"`{c}`").alias(f"_s_{i}") for i, c in enumerate(src_cols)]
+    ordering = order or [F.col(f"`{c}`") for c in src_cols]
+    src = source.select(F.col(key), *values, *[o.alias(f"_ord{i}") for i, o in enumerate(ordering)])
+    src = pick_per_key(src, [key], [F.col(f"_ord{i}") for i in range(len(ordering))],
                        [f"_s_{i}" for i in range(len(src_cols))])
     src = src.withColumn("_matched", F.lit(True))
     j = target.join(src, key, "left")

@@ -397,3 +397,144 @@ SELECT t.SAP_Number AS profit_center, c.sap_account AS account, t.Line_Item AS l
        t.Date AS month, t.Amount AS amount
 FROM tall t LEFT JOIN account_conversion c ON c.walker_acct = t.Account_Number""",
     [trends_load_cte("tall", None)])
+
+
+# ---------------------------------------------------------------- move-in
+def _window_cte(name: str, lo: str, hi: str, exclude_first: bool) -> tuple[str, str]:
+    pre = "AND upper(esc_product) <> 'UBOX'" if exclude_first else ""
+    post = "" if exclude_first else "WHERE upper(r.f) <> 'UBOX'"
+    return (name, f"""
+SELECT con_pk, r.a AS con_entity, r.b AS cus_firstname, r.c AS cus_lastname, r.d AS det_movein,
+       r.e AS det_enddate, r.f AS esc_product
+FROM (SELECT con_pk, min({{'a': con_entity, 'b': cus_firstname, 'c': cus_lastname, 'd': det_movein,
+                           'e': det_enddate, 'f': esc_product}}) AS r
+      FROM movein WHERE det_movein BETWEEN DATE '{lo}' AND DATE '{hi}' {pre} GROUP BY con_pk)
+{post}""")
+
+
+WINDOWS = [
+    _window_cte("cyw", "1998-03-08", "1998-03-17", False),
+    _window_cte("lyw", "1997-03-08", "1997-03-19", True),
+    ("wins", """
+SELECT con_pk, con_entity, det_movein, det_enddate, esc_product, det_movein = det_enddate AS same_day,
+       sha256(concat_ws('|', con_entity, cus_firstname, cus_lastname)) AS person_key, 'cy' AS "window" FROM cyw
+UNION ALL
+SELECT con_pk, con_entity, det_movein, det_enddate, esc_product, det_movein = det_enddate AS same_day,
+       sha256(concat_ws('|', con_entity, cus_firstname, cus_lastname)) AS person_key, 'ly' AS "window" FROM lyw"""),
+]
+SQL["movein_windows"] = with_ctes(["movein"], "SELECT * FROM wins", WINDOWS)
+SQL["movein_by_day"] = with_ctes(["movein"], """
+SELECT "window", det_movein, count(*) AS count FROM wins GROUP BY ALL""", WINDOWS)
+SQL["movein_same_day"] = with_ctes(["movein"], """
+SELECT n_rows, n_same_day, ((2000000 * n_same_day + n_rows) // (2 * n_rows)) / 1000000.0 AS share_same_day
+FROM (SELECT count(*) AS n_rows, count(*) FILTER (WHERE det_movein = det_enddate) AS n_same_day FROM movein)""")
+
+
+# ---------------------------------------------------------------- checks
+SQL["data_presence"] = with_ctes(["acquisitions", "cash_trend"], """
+SELECT c.profit_center, h.pc IS NOT NULL AS has_data,
+       CASE WHEN h.pc IS NOT NULL THEN c.profit_center END AS na_key,
+       CASE WHEN h.pc IS NOT NULL THEN c.profit_center ELSE 'Error: ' || c.profit_center END AS flag
+FROM (SELECT DISTINCT profit_center FROM centres) c
+LEFT JOIN (SELECT DISTINCT "PROFIT CENTER" AS pc FROM cash_trend
+           WHERE CURRENCY = 'Group' AND SPLIT = 'ALL' AND "NET OPERATING INCOME" <> 0) h
+  ON h.pc = c.profit_center""", [CENTRES])
+
+SQL["check_duplicates"] = with_ctes(["movein", "acquisitions"], """
+SELECT 'duplicate contract' AS "check", con_pk AS key, 'rows=' || CAST(count(*) AS VARCHAR) AS detail
+FROM movein WHERE con_pk IS NOT NULL GROUP BY con_pk HAVING count(*) > 1
+UNION ALL
+SELECT 'duplicate profit centre', profit_center, 'rows=' || CAST(count(*) AS VARCHAR)
+FROM centres WHERE profit_center IS NOT NULL GROUP BY profit_center HAVING count(*) > 1""", [CENTRES])
+
+LATEST_ENTITY = ("latest_entity", """
+SELECT * EXCLUDE (rn) FROM
+  (SELECT *, row_number() OVER (PARTITION BY MEntity
+                                ORDER BY DATE_CLOSED IS NULL DESC, DATE_CLOSED DESC NULLS LAST, RECORD_ID DESC) AS rn
+   FROM entity_master)
+WHERE rn = 1""")
+SQL["check_expected_value"] = with_ctes(["entity_master"], """
+SELECT 'latest entity record' AS "check", MEntity AS key,
+       'DATE_EXPIRATION=' || coalesce(CAST(DATE_EXPIRATION AS VARCHAR), 'null') AS detail
+FROM latest_entity WHERE NOT coalesce(DATE_EXPIRATION = DATE '9999-12-31', false)
+UNION ALL
+SELECT 'latest entity record', MEntity, 'STATUS=' || coalesce(STATUS, 'null')
+FROM latest_entity WHERE NOT coalesce(STATUS = 'O', false)""", [LATEST_ENTITY])
+
+SQL["check_unmapped_accounts"] = with_ctes(["lender_trends_wide", "account_conversion"], """
+SELECT 'unmapped account' AS "check", Account_Number AS key, 'no conversion' AS detail
+FROM (SELECT DISTINCT Account_Number FROM tall)
+WHERE Account_Number NOT IN (SELECT walker_acct FROM account_conversion)""", [trends_load_cte("tall", None)])
+
+
+# ---------------------------------------------------------------- acquisition list
+def _clean(v: str) -> str:
+    return f"CASE WHEN trim({v}) <> '' THEN split_part(trim({v}), '.', 1) END"
+
+
+NEW = ("new_acq", f"""
+SELECT *, (FY_Closed - {B.BASE_FY}) * 4 + Quarter_Closed - {B.BASE_Q} + 1 AS "Group"
+FROM (SELECT MEntity, Name, Close_of_Escrow, year(Close_of_Escrow + INTERVAL 9 MONTH) AS FY_Closed,
+             quarter(Close_of_Escrow - INTERVAL 3 MONTH) AS Quarter_Closed, State, Purchase_Price
+      FROM acquisitions) d
+WHERE (SELECT max(Close_of_Escrow) FROM acquisitions WHERE Close_of_Escrow <= DATE '1999-06-30') IS NULL
+   OR Close_of_Escrow > (SELECT max(Close_of_Escrow) FROM acquisitions WHERE Close_of_Escrow <= DATE '1999-06-30')""")
+SQL["new_acquisitions"] = with_ctes(["acquisitions"], "SELECT * FROM new_acq", [NEW])
+
+SQL["acquisition_enrichment"] = with_ctes(
+    ["acquisitions", "entity_master", "index_match", "entity_info", "real_additions"], """
+SELECT n."Group", n.Close_of_Escrow, l.ENTITY_NAME, l.MCO_NUM, ei."Cost Center" AS Profit_Center, n.State,
+       l.LOC_LATITUDE, l.LOC_LONGITUDE, ei.CBSA, n.Purchase_Price, im."Simple Owner" AS Simple_Owner,
+       NOT (im."Parent MEntity" IS NOT NULL OR im.Abutting IS NOT NULL) AS Include,
+       ra.Construction_Type AS Type, n.MEntity, im."Parent MEntity" AS Parent_MEntity,
+       im.Abutting IS NOT NULL AS Abutting, im."Parent MEntity" IS NOT NULL AS Remote
+FROM new_acq n
+LEFT JOIN (SELECT * FROM latest_entity WHERE MEntity IN (SELECT MEntity FROM new_acq)) l ON l.MEntity = n.MEntity
+LEFT JOIN index_match im ON im.MEntity = n.MEntity
+LEFT JOIN entity_info ei ON ei.MEntity = im.MEntity
+LEFT JOIN real_additions ra ON ra.MEntity = n.MEntity""", [NEW, LATEST_ENTITY])
+
+SQL["list_maintenance"] = with_ctes(
+    ["acquisitions", "entity_master", "index_match", "entity_info", "real_additions"], """
+SELECT l.MEntity, l."Group", l.Close_of_Escrow,
+       CASE WHEN ei.MEntity IS NOT NULL THEN ei."Cost Center" ELSE l.Profit_Center END AS Profit_Center,
+       l.Include,
+       CASE WHEN em.MEntity IS NOT NULL THEN em.en ELSE l.Name END AS ENTITY_NAME,
+       CASE WHEN em.MEntity IS NOT NULL THEN em.la END AS LOC_LATITUDE,
+       CASE WHEN em.MEntity IS NOT NULL THEN em.lo END AS LOC_LONGITUDE,
+       CASE WHEN im.MEntity IS NOT NULL THEN im."Simple Owner" END AS Simple_Owner,
+       CASE WHEN ei.MEntity IS NOT NULL THEN ei.CBSA END AS CBSA,
+       CASE WHEN ra.MEntity IS NOT NULL THEN ra.Construction_Type ELSE l.Type END AS Type
+FROM acquisitions l
+LEFT JOIN (SELECT MEntity, arg_max(ENTITY_NAME, RECORD_ID) AS en, arg_max(LOC_LATITUDE, RECORD_ID) AS la,
+                  arg_max(LOC_LONGITUDE, RECORD_ID) AS lo
+           FROM entity_master WHERE STATUS = 'O' GROUP BY MEntity) em ON em.MEntity = l.MEntity
+LEFT JOIN index_match im ON im.MEntity = l.MEntity
+LEFT JOIN entity_info ei ON ei.MEntity = l.MEntity
+LEFT JOIN real_additions ra ON ra.MEntity = l.MEntity""")
+
+SQL["cost_centre_lookup"] = with_ctes(["acquisitions", "cost_centre_hierarchy"], f"""
+SELECT c.profit_center, o.owner_area, e.hierarchy_mentity, t.type
+FROM (SELECT DISTINCT profit_center FROM centres) c
+LEFT JOIN (SELECT "Cost Center" AS pc, min("Hierarchy Area") AS owner_area FROM cost_centre_hierarchy GROUP BY 1) o
+  ON o.pc = c.profit_center
+LEFT JOIN (SELECT Profit_Center AS pc, min(MEntity) AS hierarchy_mentity FROM cost_centre_hierarchy GROUP BY 1) e
+  ON e.pc = c.profit_center
+LEFT JOIN (SELECT {_clean('Profit_Center')} AS pc, min(Type) AS type FROM acquisitions
+           WHERE {_clean('Profit_Center')} IS NOT NULL GROUP BY 1) t ON t.pc = c.profit_center""", [CENTRES])
+
+COHORTS = ("cohorts", f"""
+SELECT "Group", profit_center, {grp_label_sql('"Group"')} AS grp_name
+FROM (SELECT DISTINCT "Group", {_clean('Profit_Center')} AS profit_center FROM acquisitions)
+WHERE "Group" IS NOT NULL AND profit_center IS NOT NULL""")
+SQL["quarter_cohorts"] = with_ctes(["acquisitions"], "SELECT * FROM cohorts", [COHORTS])
+
+SQL["cohort_gaps"] = with_ctes(["acquisitions", "unit_mix", "forecast"], """
+SELECT * FROM
+ (SELECT q."Group", q.grp_name, q.profit_center, e.MEntity, e.MEntity IS NOT NULL AS has_entity,
+         coalesce(o.x, false) AS has_occupancy, coalesce(f.x, false) AS has_forecast
+  FROM cohorts q
+  LEFT JOIN centres e ON e.profit_center = q.profit_center
+  LEFT JOIN (SELECT DISTINCT MEntity, true AS x FROM actual) o ON o.MEntity = e.MEntity
+  LEFT JOIN (SELECT DISTINCT MEntity, true AS x FROM latest) f ON f.MEntity = e.MEntity)
+WHERE NOT (has_entity AND has_occupancy AND has_forecast)""", [COHORTS, CENTRES, ACTUAL, LATEST])

@@ -265,3 +265,119 @@ def lender_ubox_rollup(spark, d):
 @query
 def lender_basis_ledger(spark, d):
     return L.lender_basis_ledger(_trends(spark, d), B.account_conversion(spark, d))
+
+
+# ---------------------------------------------------------------- move-in
+MOVEIN_CY = (_dt.date(1998, 3, 8), _dt.date(1998, 3, 17))
+MOVEIN_LY = (_dt.date(1997, 3, 8), _dt.date(1997, 3, 19))
+
+
+def _windows(spark, d):
+    from ..operators import movein as MV
+    return MV.compare_windows(B.movein(spark, d), MOVEIN_CY, MOVEIN_LY)
+
+
+@query
+def movein_windows(spark, d):
+    return _windows(spark, d)
+
+
+@query
+def movein_by_day(spark, d):
+    from ..operators import movein as MV
+    return MV.counts_by_day(_windows(spark, d))
+
+
+@query
+def movein_same_day(spark, d):
+    from ..operators import movein as MV
+    return MV.same_day_share(B.movein(spark, d))
+
+
+# ---------------------------------------------------------------- checks
+@query
+def data_presence(spark, d):
+    from ..operators import acquisitions as A
+    from ..operators import quality as Q
+    return Q.data_presence(A.included_centres(B.acquisitions(spark, d)), B.cash_trend(spark, d))
+
+
+@query
+def check_duplicates(spark, d):
+    from ..operators import acquisitions as A
+    from ..operators import quality as Q
+    return Q.duplicate_keys(B.movein(spark, d), "con_pk", "duplicate contract").unionByName(
+        Q.duplicate_keys(A.included_centres(B.acquisitions(spark, d)), "profit_center", "duplicate profit centre"))
+
+
+@query
+def check_expected_value(spark, d):
+    from ..operators import acquisitions as A
+    from ..operators import quality as Q
+    latest = A.latest_entity_record(B.entity_master(spark, d))
+    return Q.unexpected_values(latest, "MEntity", {"DATE_EXPIRATION": _dt.date(9999, 12, 31), "STATUS": "O"},
+                               "latest entity record")
+
+
+@query
+def check_unmapped_accounts(spark, d):
+    from ..operators import quality as Q
+    return Q.unmapped_accounts(_trends(spark, d), B.account_conversion(spark, d))
+
+
+# ---------------------------------------------------------------- acquisition list
+LIST_AS_OF = _dt.date(1999, 6, 30)
+
+
+def _new(spark, d):
+    from ..operators import acquisitions as A
+    current = B.acquisitions(spark, d).where(F.col("Close_of_Escrow") <= F.lit(LIST_AS_OF))
+    return A.new_acquisitions(B.closed_deals(spark, d), current, base_fy=B.BASE_FY, base_q=B.BASE_Q)
+
+
+@query
+def new_acquisitions(spark, d):
+    return _new(spark, d)
+
+
+@query
+def acquisition_enrichment(spark, d):
+    from ..operators import acquisitions as A
+    return A.enrich_acquisitions(_new(spark, d), B.entity_master(spark, d), B.index_match(spark, d),
+                                 B.entity_info(spark, d), B.real_additions(spark, d))
+
+
+@query
+def list_maintenance(spark, d):
+    from ..operators import acquisitions as A
+    lst = B.acquisitions(spark, d).select(
+        "MEntity", "Group", "Close_of_Escrow", "Profit_Center", "Include",
+        F.col("Name").alias("ENTITY_NAME"), F.lit(None).cast("double").alias("LOC_LATITUDE"),
+        F.lit(None).cast("double").alias("LOC_LONGITUDE"), F.lit(None).cast("string").alias("Simple_Owner"),
+        F.lit(None).cast("string").alias("CBSA"), "Type")
+    return A.maintain_list(lst, B.entity_master(spark, d), B.index_match(spark, d),
+                           B.entity_info(spark, d), B.real_additions(spark, d))
+
+
+@query
+def cost_centre_lookup(spark, d):
+    from ..operators import acquisitions as A
+    acq = B.acquisitions(spark, d)
+    return A.centre_lookup(A.included_centres(acq), B.cost_centre_hierarchy(spark, d), acq)
+
+
+@query
+def quarter_cohorts(spark, d):
+    from ..operators import acquisitions as A
+    return A.quarter_cohorts(B.acquisitions(spark, d), B.BASE_FY, B.BASE_Q)
+
+
+@query
+def cohort_gaps(spark, d):
+    from ..operators import acquisitions as A
+    from ..operators import occupancy as O
+    acq = B.acquisitions(spark, d)
+    cohort = A.quarter_cohorts(acq, B.BASE_FY, B.BASE_Q)
+    entity_of = A.included_centres(acq).select("profit_center", "MEntity")
+    flags = A.cohort_presence(cohort, entity_of, _actual(spark, d), O.latest_vintage(B.forecast(spark, d)))
+    return flags.where(~(F.col("has_entity") & F.col("has_occupancy") & F.col("has_forecast")))
