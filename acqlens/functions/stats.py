@@ -76,3 +76,22 @@ def pick_per_key(df: DataFrame, keys: list[str], order: list[Column], payload: l
     agg = F.max if latest else F.min
     picked = df.groupBy(*keys).agg(agg(F.struct(*parts)).alias("_pick"))
     return picked.select(*keys, *[F.col(f"_pick.{p}").alias(p) for p in payload])
+
+
+# Money is summed as exact integer cents: a long aggregation buffer stays in
+# the fixed-width part of the row, whereas sum(decimal(18,2)) widens to
+# decimal(28,2) and is re-encoded as bytes on every update.
+def to_cents(amount, scale: int = 2) -> Column:
+    """Exact unscaled value of a decimal amount with ``scale`` places."""
+    return (_c(amount).cast(f"decimal(18,{scale})") * F.lit(10 ** scale)).cast("long")
+
+
+def from_cents(cents, scale: int = 2, precision: int = 38) -> Column:
+    """Decimal(precision, scale) from an unscaled long; overflow raises (ANSI)."""
+    from decimal import Decimal
+    return (_c(cents).cast("decimal(38,0)") * F.lit(Decimal(1).scaleb(-scale))).cast(f"decimal({precision},{scale})")
+
+
+def sum_money(amount, scale: int = 2, precision: int = 38) -> Column:
+    """sum() of a decimal amount, exact, through a long buffer."""
+    return from_cents(F.sum(to_cents(amount, scale)), scale, precision)

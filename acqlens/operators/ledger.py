@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions import fiscal
 from ..functions.cleaning import drop_matching
+from ..functions.stats import from_cents, to_cents
 
 # ---------------------------------------------------------------------------
 # Fixed values that must equal the reference's statement layout.
@@ -133,7 +134,7 @@ def line_item_amounts(ledger: DataFrame, chart: DataFrame) -> DataFrame:
     j = ledger.where(F.col("amount").isNotNull()).join(
         chart.select("account", "line_item", "sign"), "account")
     return (j.groupBy("profit_center", "month", "line_item")
-             .agg(F.sum(F.col("amount") * F.col("sign")).cast("decimal(38,2)").alias("amount")))
+             .agg(from_cents(F.sum(to_cents(F.col("amount")) * F.col("sign")), 2, 18).alias("amount")))
 
 
 def lender_basis_ledger(lender: DataFrame, conversion: DataFrame) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import fiscal
+from ..functions.stats import from_cents, sum_money, to_cents
 from .ledger import BASE_LINES
 
 # ---------------------------------------------------------------------------
@@ -52,13 +53,29 @@ EXPENSE_PARTS = ["PERSONNEL", "REPAIRS AND MAINTENANCE/GENERAL", "UTILITIES", "T
                  "OTHER OPERATING EXPENSE"]
 # ---------------------------------------------------------------------------
 
-VALUE_TYPE = "decimal(38,2)"
+VALUE_TYPE = "decimal(18,2)"   # statement values (per centre and month)
 
 
 def _q(name: str) -> Column:
     return F.col(f"`{name}`")
 
 
+def noi_weights() -> dict[str, int]:
+    """Weight of each base line in NOI, expanded from the statement formulas
+    (revenue parts with U-box and net sales expanded, minus expenses;
+    intercompany rent contributes 0)."""
+    expand = {"U-BOX INCOME": {p: 1 for p in UBOX_PARTS},
+              "NET SALES": {"SALES": 1, "COST OF SALES": -1},
+              "INTERCOMPANY RENT": {}}
+    w: dict[str, int] = {}
+    for part in REVENUE_PARTS:
+        for base, k in expand.get(part, {part: 1}).items():
+            w[base] = w.get(base, 0) + k
+    for part in EXPENSE_PARTS:
+        w[part] = w.get(part, 0) - 1
+    return w
+
+
 def statement_wide(ledger: DataFrame, chart: DataFrame,
                    keys: tuple[str, ...] = ("profit_center", "month")) -> DataFrame:
     """One row per (centre, month) with all 24 presentation lines as columns.
@@ -69,18 +86,28 @@ def statement_wide(ledger: DataFrame, chart: DataFrame,
     """
     j = (ledger.where(F.col("amount").isNotNull())
                .join(chart.select("account", "line_no", "sign"), "account"))
-    signed = F.col("amount") * F.col("sign")
-    sums = [F.coalesce(F.sum(F.when(F.col("line_no") == i, signed)), F.lit(0)).alias(name)
+    j = j.withColumn("_cents", to_cents(F.col("amount")) * F.col("sign"))
+    sums = [F.coalesce(F.sum(F.when(F.col("line_no") == i, F.col("_cents"))), F.lit(0)).alias(name)
             for i, name in enumerate(BASE_LINES, start=1)]
+    # NOI as one more aggregate (its line weights expanded from the formulas
+    # below), so the NOI <> 0 filter reads one column instead of re-deriving
+    # the whole statement inside the filter.
+    w = noi_weights()
+    noi_w = F.lit(0)
+    for i, name in enumerate(BASE_LINES, start=1):
+        if w.get(name):
+            noi_w = F.when(F.col("line_no") == i, F.lit(w[name])).otherwise(noi_w)
+    sums.append(F.coalesce(F.sum(F.col("_cents") * noi_w), F.lit(0)).alias("_noi"))
     wide = j.groupBy(*keys).agg(*sums)
-    wide = wide.withColumn("INTERCOMPANY RENT", F.lit(0).cast("decimal(18,2)"))
+    # Lines are exact cents (long) up to here; arithmetic on them stays exact.
+    wide = wide.withColumn("INTERCOMPANY RENT", F.lit(0).cast("long"))
     wide = wide.withColumn("U-BOX INCOME", sum((_q(c) for c in UBOX_PARTS[1:]), _q(UBOX_PARTS[0])))
     wide = wide.withColumn("NET SALES", _q("SALES") - _q("COST OF SALES"))
     wide = wide.withColumn("TOTAL REVENUE", sum((_q(c) for c in REVENUE_PARTS[1:]), _q(REVENUE_PARTS[0])))
     wide = wide.withColumn("TOTAL OPERATING EXPENSE",
                            sum((_q(c) for c in EXPENSE_PARTS[1:]), _q(EXPENSE_PARTS[0])))
-    wide = wide.withColumn("NET OPERATING INCOME", _q("TOTAL REVENUE") - _q("TOTAL OPERATING EXPENSE"))
-    return wide.select(*keys, *[_q(c).cast(VALUE_TYPE).alias(c) for c in STATEMENT_LINES])
+    wide = wide.withColumn("NET OPERATING INCOME", F.col("_noi"))
+    return wide.select(*keys, *[from_cents(_q(c), 2, 18).alias(c) for c in STATEMENT_LINES])
 
 
 def income_statement(ledger: DataFrame, chart: DataFrame, drop_zero_noi: bool = True) -> DataFrame:
@@ -128,7 +155,7 @@ def portfolio_statement(ledger: DataFrame, chart: DataFrame, centres: DataFrame,
 def group_statement(portfolio: DataFrame) -> DataFrame:
     """Portfolio statement summed per month x line x acquisition group."""
     keys = ["date", "line_item", "fiscal_year", "fiscal_month", "month", "grp_name", "grp_num"]
-    agg = portfolio.groupBy(*keys).agg(F.sum("value").cast(VALUE_TYPE).alias("value"))
+    agg = portfolio.groupBy(*keys).agg(sum_money("value").alias("value"))
     return agg.select(
         "date", "line_item", "value", "fiscal_year", "fiscal_month",
         fiscal.fiscal_quarter(F.col("date")).alias("quarter"),

@@ -71,7 +71,7 @@ SELECT *, {_sum(REVENUE_PARTS)} AS "TOTAL REVENUE", {_sum(EXPENSE_PARTS)} AS "TO
 FROM {name}_w1"""
     d3 = f"""
 SELECT *, "TOTAL REVENUE" - "TOTAL OPERATING EXPENSE" AS "NET OPERATING INCOME" FROM {name}_w2"""
-    cols = ", ".join(f"CAST({_q(n)} AS DECIMAL(38,2)) AS {_q(n)}" for n in STATEMENT_LINES)
+    cols = ", ".join(f"CAST({_q(n)} AS DECIMAL(18,2)) AS {_q(n)}" for n in STATEMENT_LINES)
     tidy = f"""
 SELECT month AS date, profit_center, line_item, value
 FROM (UNPIVOT (SELECT profit_center, month, {cols} FROM {name}_w3 WHERE "NET OPERATING INCOME" <> 0)
@@ -95,7 +95,7 @@ WHERE fiscal_year IN ({FY_LAST}, {FY_CUR})
 SQL["chart_of_accounts"] = with_ctes(["chart"], "SELECT * FROM chart")
 
 SQL["line_item_amounts"] = with_ctes(["ledger_long", "chart"], """
-SELECT l.profit_center, l.month, c.line_item, CAST(sum(l.amount * c.sign) AS DECIMAL(38,2)) AS amount
+SELECT l.profit_center, l.month, c.line_item, CAST(sum(l.amount * c.sign) AS DECIMAL(18,2)) AS amount
 FROM ledger_long l JOIN chart c ON c.account = l.account
 WHERE l.amount IS NOT NULL
 GROUP BY ALL""")
@@ -144,12 +144,12 @@ SELECT * FROM acquisitions WHERE Close_of_Escrow <= last_day({AS_OF} - INTERVAL
 
 _MAXM = f"DATE '{py_prev_month_start(B.AS_OF).isoformat()}'"
 LINE_AMOUNTS = ("lia", """
-SELECT l.profit_center, l.month, c.line_item, CAST(sum(l.amount * c.sign) AS DECIMAL(38,2)) AS amount
+SELECT l.profit_center, l.month, c.line_item, CAST(sum(l.amount * c.sign) AS DECIMAL(18,2)) AS amount
 FROM ledger_long l JOIN chart c ON c.account = l.account
 WHERE l.amount IS NOT NULL GROUP BY ALL""")
 
 SQL["dense_line_items"] = with_ctes(["ledger_long", "chart"], f"""
-SELECT s.profit_center, s.month, ln.line_item, CAST(coalesce(a.amount, 0) AS DECIMAL(38,2)) AS amount
+SELECT s.profit_center, s.month, ln.line_item, CAST(coalesce(a.amount, 0) AS DECIMAL(18,2)) AS amount
 FROM (SELECT profit_center,
              CAST(unnest(generate_series(fm, {_MAXM}, INTERVAL 1 MONTH)) AS DATE) AS month
       FROM (SELECT profit_center, min(month) AS fm FROM lia GROUP BY 1) WHERE fm <= {_MAXM}) s

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import fiscal
+from ..functions.stats import from_cents, to_cents
 from ..operators.ledger import BASE_LINES, INCOME_LINES, NOT_REPORTED
 
 # Binding constants (ours, not the reference's).
@@ -58,13 +59,18 @@ def ledger_long(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # B1w: ledger_wide(FISCAL_YEAR, PROFIT_CENTER, GL_ACCOUNT, GC_PER_1..12, LC_PER_1..12).
 def ledger_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
-    led = ledger_long(spark, sf_dir).withColumn("_fm", fiscal.fiscal_month(F.col("month")))
-    gc = [F.sum(F.when(F.col("_fm") == n, F.col("amount"))).alias(f"GC_PER_{n}") for n in range(1, 13)]
-    lc = [F.sum(F.when(F.col("_fm") == n, F.col("amount"))).alias(f"LC_PER_{n}") for n in range(1, 13)]
-    return (led.groupBy(fiscal.fiscal_year(F.col("month")).alias("FISCAL_YEAR"),
+    led = (ledger_long(spark, sf_dir).withColumn("_fm", fiscal.fiscal_month(F.col("month")))
+                                     .withColumn("_c", to_cents(F.col("amount"))))
+    gc = [F.sum(F.when(F.col("_fm") == n, F.col("_c"))).alias(f"GC_PER_{n}") for n in range(1, 13)]
+    wide = (led.groupBy(fiscal.fiscal_year(F.col("month")).alias("FISCAL_YEAR"),
                         F.col("profit_center").alias("PROFIT_CENTER"),
                         F.col("account").alias("GL_ACCOUNT"))
-               .agg(*gc, *lc))
+               .agg(*gc))
+    periods = [from_cents(F.col(f"GC_PER_{n}")).cast("decimal(18,2)") for n in range(1, 13)]
+    return wide.select("FISCAL_YEAR", "PROFIT_CENTER", "GL_ACCOUNT",
+                       *[p.alias(f"GC_PER_{n}") for n, p in enumerate(periods, start=1)],
+                       # local-currency copies, dropped by the normaliser
+                       *[p.alias(f"LC_PER_{n}") for n, p in enumerate(periods, start=1)])
 
 
 # B2: raw chart of accounts (account, line_item) read off `part`.
