@@ -186,11 +186,18 @@ def dense_line_items(line_amounts: DataFrame, max_month: _dt.date) -> DataFrame:
 
 
 def operations_start(statement: DataFrame) -> DataFrame:
-    """Earliest month with non-zero NOI per centre."""
+    """Earliest month with non-zero NOI per centre, from a tidy statement."""
     noi = statement.where((F.col("line_item") == "NET OPERATING INCOME") & (F.col("value") != 0))
     return noi.groupBy("profit_center").agg(F.min("date").alias("start_month"))
 
 
+def operations_start_from_ledger(ledger: DataFrame, chart: DataFrame) -> DataFrame:
+    """X9 straight from the ledger: only the NOI column of the wide statement
+    is needed, so the 24-line unpivot is skipped."""
+    wide = statement_wide(ledger, chart).where(_q("NET OPERATING INCOME") != 0)
+    return wide.groupBy("profit_center").agg(F.min("month").alias("start_month"))
+
+
 def statement_cutoff(statement: DataFrame, as_of: _dt.date, date_col: str = "date") -> DataFrame:
     """Rows up to the last day of the month before ``as_of``."""
     return statement.where(F.col(date_col) <= fiscal.prev_month_end(as_of))

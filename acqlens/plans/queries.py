@@ -91,7 +91,7 @@ def dense_line_items(spark, d):
 
 @query
 def operations_start(spark, d):
-    return S.operations_start(S.income_statement(B.ledger_long(spark, d), _chart(spark, d)))
+    return S.operations_start_from_ledger(B.ledger_long(spark, d), _chart(spark, d))
 
 
 @query

@@ -17,6 +17,9 @@ BASE_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
+    # Python call-site capture costs several JVM round trips per Column call
+    # while plans are built; it only enriches error messages.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

@@ -119,3 +119,12 @@ def test_operations_start(spark):
         (dt.date(2020, 3, 1), "P1", "NET OPERATING INCOME", D("6.00"))],
         "date date, profit_center string, line_item string, value decimal(18,2)")
     assert S.operations_start(st).first().start_month == dt.date(2020, 2, 1)
+
+
+def test_operations_start_from_ledger(spark):
+    led = spark.createDataFrame([
+        ("P1", "A1", dt.date(2020, 1, 1), D("-1.00")), ("P1", "A11", dt.date(2020, 1, 1), D("-1.00")),
+        ("P1", "A1", dt.date(2020, 2, 1), D("-3.00")), ("P2", "A1", dt.date(2020, 3, 1), D("0.00"))],
+        LEDGER_SCHEMA)
+    got = {r.profit_center: r.start_month for r in S.operations_start_from_ledger(led, _chart(spark)).collect()}
+    assert got == {"P1": dt.date(2020, 1, 1)}
