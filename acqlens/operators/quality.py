@@ -58,3 +58,22 @@ def raise_on_findings(findings: DataFrame, message: str) -> None:
     """Strict mode: stop the job when a check found anything."""
     if not findings.isEmpty():
         raise ValueError(f"{message}: {findings.limit(20).collect()}")
+
+
+def centres_without_data(centres: DataFrame, facts: DataFrame, fact_key: str = "profit_center",
+                         info: DataFrame | None = None) -> DataFrame:
+    """Listed centres with no row in ``facts`` (anti join), optionally
+    with their hierarchy record (left join on the centre key)."""
+    keys = facts.select(F.col(f"`{fact_key}`").alias("profit_center")).distinct()
+    missing = centres.select("profit_center").distinct().join(keys, "profit_center", "left_anti")
+    return missing if info is None else missing.join(info, "profit_center", "left")
+
+
+def missing_line_items(chart: DataFrame, required: list[str] | None = None) -> DataFrame:
+    """Required statement lines that no chart account maps to."""
+    from .ledger import BASE_LINES
+    need = required or BASE_LINES
+    req = chart.sparkSession.range(1).select(F.explode(F.array(*[F.lit(n) for n in need])).alias("line_item"))
+    present = chart.select("line_item").distinct()
+    missing = req.join(present, "line_item", "left_anti")
+    return _finding(missing, "missing line item", F.col("line_item"), F.lit("no account"))

@@ -538,3 +538,8 @@ SELECT * FROM
   LEFT JOIN (SELECT DISTINCT MEntity, true AS x FROM actual) o ON o.MEntity = e.MEntity
   LEFT JOIN (SELECT DISTINCT MEntity, true AS x FROM latest) f ON f.MEntity = e.MEntity)
 WHERE NOT (has_entity AND has_occupancy AND has_forecast)""", [COHORTS, CENTRES, ACTUAL, LATEST])
+
+SQL["check_missing_line_items"] = with_ctes(["chart"], f"""
+SELECT 'missing line item' AS "check", line_item AS key, 'no account' AS detail
+FROM (SELECT unnest([{", ".join("'" + n + "'" for n in BASE_LINES)}]) AS line_item)
+WHERE line_item NOT IN (SELECT line_item FROM chart)""")

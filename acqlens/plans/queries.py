@@ -381,3 +381,9 @@ def cohort_gaps(spark, d):
     entity_of = A.included_centres(acq).select("profit_center", "MEntity")
     flags = A.cohort_presence(cohort, entity_of, _actual(spark, d), O.latest_vintage(B.forecast(spark, d)))
     return flags.where(~(F.col("has_entity") & F.col("has_occupancy") & F.col("has_forecast")))
+
+
+@query
+def check_missing_line_items(spark, d):
+    from ..operators import quality as Q
+    return Q.missing_line_items(_chart(spark, d))

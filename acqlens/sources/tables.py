@@ -142,5 +142,7 @@ def update_table(root: str, source: DataFrame, key: str, assignments: dict[str,
 
 
 # CSV export of a result.
-def export_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", True).csv(path)
+def export_csv(df: DataFrame, path: str, order_by: list[str] | None = None) -> None:
+    """O1 + S10: ordering happens here, at the sink, and nowhere upstream."""
+    out = df.orderBy(*order_by) if order_by else df
+    out.write.mode("overwrite").option("header", True).csv(path)

@@ -1,0 +1,8 @@
+"""Streaming.
+
+The reference has no stream, event-time window, watermark or state: every job
+is a batch run, and its "watermark" is a stored maximum date (see
+``acqlens.operators.lender.apply_reload`` and
+``acqlens.sources.tables.reload_table``).  Nothing here is needed to cover
+it, so this package holds no operator.
+"""

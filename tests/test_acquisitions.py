@@ -124,3 +124,14 @@ def test_data_presence(spark):
                                  "`NET OPERATING INCOME` double")
     out = {r.profit_center: (r.has_data, r.na_key, r.flag) for r in Q.data_presence(centres, cash).collect()}
     assert out == {"P1": (True, "P1", "P1"), "P2": (False, None, "Error: P2")}
+
+
+def test_centres_without_data_and_missing_lines(spark):
+    centres = spark.createDataFrame([("P1",), ("P2",)], "profit_center string")
+    facts = spark.createDataFrame([("P1", 1)], "profit_center string, x int")
+    info = spark.createDataFrame([("P2", "WEST")], "profit_center string, area string")
+    got = [(r.profit_center, r.area) for r in Q.centres_without_data(centres, facts, info=info).collect()]
+    assert got == [("P2", "WEST")]
+    chart = spark.createDataFrame([("A1", "SALES")], "account string, line_item string")
+    missing = Q.missing_line_items(chart, ["SALES", "UTILITIES"]).collect()
+    assert [(r.key, r.detail) for r in missing] == [("UTILITIES", "no account")]
