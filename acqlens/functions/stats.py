@@ -7,8 +7,9 @@
   (a bounded table), the buckets holding the middle ranks are located with a
   running sum over that small table, and only those buckets are read again.
 * ``pick_per_key`` keeps one row per key through ``max``/``min`` of a struct,
-  a hash aggregate with map-side partial aggregation, so a hot key never
-  lands in one sort or window buffer.
+  an aggregate with map-side partial aggregation (sort-based, as the buffer
+  is a struct), so a hot key is cut to one row per mapper before the shuffle
+  and never lands whole in one task or window buffer.
 """
 
 from __future__ import annotations
