@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.cleaning import amount_or_zero, clean_key, date_columns_after
+from ..functions.stats import sum_money
 
 # ---------------------------------------------------------------------------
 # Fixed values of the u-box delivery sheet.
@@ -89,18 +90,18 @@ def trend_rollup(trends: DataFrame, accounts: DataFrame, centres: DataFrame) ->
     """X23 trends: listed accounts and centres, summed by (Date, Line_Item)."""
     t = (trends.join(accounts.select(F.col("account").alias("Account_Number")).distinct(), "Account_Number", "left_semi")
                .join(centres.select(F.col("profit_center").alias("SAP_Number")).distinct(), "SAP_Number", "left_semi"))
-    return t.groupBy("Date", "Line_Item").agg(F.sum("Amount").alias("value"))
+    return t.groupBy("Date", "Line_Item").agg(sum_money("Amount").alias("value"))
 
 
 def adjustment_rollup(adjustments: DataFrame, centres: DataFrame) -> DataFrame:
     """X23 adjustments: listed centres, total adjustment by (Date, description)."""
     a = adjustments.join(centres.select(F.col("profit_center").alias("SAP_Number")).distinct(),
                          "SAP_Number", "left_semi")
-    return a.groupBy("Date", "Account_Description").agg(F.sum("Total_Adjustment").alias("total_adjustment"))
+    return a.groupBy("Date", "Account_Description").agg(sum_money("Total_Adjustment").alias("total_adjustment"))
 
 
 def ubox_rollup(ubox: DataFrame, centres: DataFrame) -> DataFrame:
     """X23 u-box: listed centres, amount by (Date, description)."""
     u = ubox.join(centres.select(F.col("profit_center").alias("SAP_Number")).distinct(),
                   "SAP_Number", "left_semi")
-    return u.groupBy("Date", "Account_Description").agg(F.sum("Amount").alias("value"))
+    return u.groupBy("Date", "Account_Description").agg(sum_money("Amount").alias("value"))

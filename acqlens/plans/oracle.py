@@ -118,8 +118,8 @@ WHERE month BETWEEN {_FY_LO} AND {_CUT} AND profit_center IN (SELECT profit_cent
     ("portfolio", f"""
 SELECT s.date, s.profit_center, c.MEntity, s.line_item, s.value,
        {grp_label_sql('c."Group"')} AS grp_name, c."Group" AS grp_num,
-       month(s.date) AS month, year(s.date) AS year,
-       year(s.date + INTERVAL 9 MONTH) AS fiscal_year, month(s.date - INTERVAL 3 MONTH) AS fiscal_month
+       CAST(month(s.date) AS INTEGER) AS month, CAST(year(s.date) AS INTEGER) AS year,
+       CAST(year(s.date + INTERVAL 9 MONTH) AS INTEGER) AS fiscal_year, CAST(month(s.date - INTERVAL 3 MONTH) AS INTEGER) AS fiscal_month
 FROM pstmt s LEFT JOIN centres c ON c.profit_center = s.profit_center"""),
 ]
 
@@ -164,23 +164,23 @@ WHERE line_item = 'NET OPERATING INCOME' AND value <> 0 GROUP BY profit_center""
     statement_ctes("ledger_long"))
 
 SQL["fiscal_calendar"] = with_ctes(["ledger_long"], f"""
-SELECT month, year(month) AS year, month(month) AS cal_month, strftime(month, '%b') AS month_abbr,
-       fy AS fiscal_year, month(month - INTERVAL 3 MONTH) AS fiscal_month, fq AS fiscal_quarter,
+SELECT month, CAST(year(month) AS INTEGER) AS year, CAST(month(month) AS INTEGER) AS cal_month, strftime(month, '%b') AS month_abbr,
+       fy AS fiscal_year, CAST(month(month - INTERVAL 3 MONTH) AS INTEGER) AS fiscal_month, fq AS fiscal_quarter,
        (fy - {B.BASE_FY}) * 4 + fq - {B.BASE_Q} + 1 AS grp_num,
        'F' || lpad(CAST(fy % 100 AS VARCHAR), 2, '0') || '_Q' || CAST(fq AS VARCHAR) AS grp_name,
        replace(replace('F' || lpad(CAST(fy % 100 AS VARCHAR), 2, '0') || '_Q' || CAST(fq AS VARCHAR), '_', ' '), 'F', 'FY') AS grp_display,
        last_day(month) AS month_end
-FROM (SELECT month, year(month + INTERVAL 9 MONTH) AS fy, quarter(month - INTERVAL 3 MONTH) AS fq
+FROM (SELECT month, CAST(year(month + INTERVAL 9 MONTH) AS INTEGER) AS fy, CAST(quarter(month - INTERVAL 3 MONTH) AS INTEGER) AS fq
       FROM (SELECT CAST(unnest(generate_series(min(month), max(month), INTERVAL 1 MONTH)) AS DATE) AS month
             FROM ledger_long))""")
 
 
 # ---------------------------------------------------------------- occupancy
 _LAST = _MAXM   # first of the month before as-of
-_FISCAL = lambda d: (f"year({d} + INTERVAL 9 MONTH) AS fiscal_year, month({d} - INTERVAL 3 MONTH) AS fiscal_month, "
-                     f"quarter({d} - INTERVAL 3 MONTH) AS fiscal_quarter, strftime({d}, '%b') AS month_abbr")
+_FISCAL = lambda d: (f"CAST(year({d} + INTERVAL 9 MONTH) AS INTEGER) AS fiscal_year, CAST(month({d} - INTERVAL 3 MONTH) AS INTEGER) AS fiscal_month, "
+                     f"CAST(quarter({d} - INTERVAL 3 MONTH) AS INTEGER) AS fiscal_quarter, strftime({d}, '%b') AS month_abbr")
 ACTUAL = ("actual", f"""
-SELECT Date, MEntity, unm_product, sum(unm_numunits) AS unm_numunits, sum(unm_occunits) AS unm_occunits,
+SELECT Date, MEntity, unm_product, CAST(sum(unm_numunits) AS BIGINT) AS unm_numunits, CAST(sum(unm_occunits) AS BIGINT) AS unm_occunits,
        {_FISCAL('Date')}
 FROM unit_mix
 WHERE upper(unm_product) <> 'UBOX' AND Date <= {_LAST}
@@ -192,7 +192,7 @@ SQL["actual_occupancy"] = with_ctes(["unit_mix", "acquisitions"], "SELECT * FROM
 SQL["group_occupancy"] = with_ctes(["unit_mix", "acquisitions"], """
 SELECT r.*, c.n_entities FROM
  (SELECT a.Date, q."Group", a.fiscal_year, a.fiscal_month, a.fiscal_quarter, a.month_abbr,
-         sum(a.unm_numunits) AS Total_Rooms, sum(a.unm_occunits) AS Occupied_Rooms
+         CAST(sum(a.unm_numunits) AS BIGINT) AS Total_Rooms, CAST(sum(a.unm_occunits) AS BIGINT) AS Occupied_Rooms
   FROM actual a JOIN acquisitions q ON q.MEntity = a.MEntity GROUP BY ALL) r
 JOIN (SELECT q."Group", count(DISTINCT a.MEntity) AS n_entities
       FROM actual a JOIN acquisitions q ON q.MEntity = a.MEntity GROUP BY ALL) c
@@ -205,7 +205,7 @@ SELECT Date, MEntity, product, climate,
        CASE WHEN total_units <> 0 THEN ((200 * occ_units + total_units) // (2 * total_units)) / 100.0 END AS occ_pct
 FROM (SELECT Date, MEntity, unm_product AS product, unm_climate AS climate,
              CAST(sum(unm_rentrate) * 100 AS BIGINT) AS c, count(unm_rentrate) AS n,
-             sum(unm_numunits) AS total_units, sum(unm_occunits) AS occ_units
+             CAST(sum(unm_numunits) AS BIGINT) AS total_units, CAST(sum(unm_occunits) AS BIGINT) AS occ_units
       FROM unit_mix
       WHERE Date = {_LAST} AND Date >= DATE '1995-01-01' AND upper(unm_product) <> 'UBOX'
         AND MEntity IN (SELECT MEntity FROM forecast)
@@ -241,7 +241,7 @@ SELECT l.ID, l.MEntity, l.MONTH, l.FC_Occ AS Forecasted_Rooms, q."Group",
 FROM latest l
 LEFT JOIN acquisitions q ON q.MEntity = l.MEntity
 LEFT JOIN (SELECT MEntity, arg_max(Total_Rooms, Date) AS Total_Rooms
-           FROM (SELECT MEntity, Date, sum(unm_numunits) AS Total_Rooms FROM actual GROUP BY ALL)
+           FROM (SELECT MEntity, Date, CAST(sum(unm_numunits) AS BIGINT) AS Total_Rooms FROM actual GROUP BY ALL)
            GROUP BY MEntity) r ON r.MEntity = l.MEntity""", [LATEST, ACTUAL])
 
 SQL["forecast_listed"] = with_ctes(["forecast", "acquisitions"], """
@@ -368,8 +368,8 @@ WHERE month BETWEEN DATE '{_OLD_FY_LAST - 1}-04-01' AND DATE '{_OLD_ASOF.year}-{
     ("portfolio_old", f"""
 SELECT s.date, s.profit_center, c.MEntity, s.line_item, s.value,
        {grp_label_sql('c."Group"')} AS grp_name, c."Group" AS grp_num,
-       month(s.date) AS month, year(s.date) AS year,
-       year(s.date + INTERVAL 9 MONTH) AS fiscal_year, month(s.date - INTERVAL 3 MONTH) AS fiscal_month
+       CAST(month(s.date) AS INTEGER) AS month, CAST(year(s.date) AS INTEGER) AS year,
+       CAST(year(s.date + INTERVAL 9 MONTH) AS INTEGER) AS fiscal_year, CAST(month(s.date - INTERVAL 3 MONTH) AS INTEGER) AS fiscal_month
 FROM pstmt_old s LEFT JOIN centres c ON c.profit_center = s.profit_center"""),
 ]
 SQL["statement_range_replace"] = with_ctes(["ledger_long", "chart", "acquisitions"], f"""
@@ -474,8 +474,8 @@ def _clean(v: str) -> str:
 
 NEW = ("new_acq", f"""
 SELECT *, (FY_Closed - {B.BASE_FY}) * 4 + Quarter_Closed - {B.BASE_Q} + 1 AS "Group"
-FROM (SELECT MEntity, Name, Close_of_Escrow, year(Close_of_Escrow + INTERVAL 9 MONTH) AS FY_Closed,
-             quarter(Close_of_Escrow - INTERVAL 3 MONTH) AS Quarter_Closed, State, Purchase_Price
+FROM (SELECT MEntity, Name, Close_of_Escrow, CAST(year(Close_of_Escrow + INTERVAL 9 MONTH) AS INTEGER) AS FY_Closed,
+             CAST(quarter(Close_of_Escrow - INTERVAL 3 MONTH) AS INTEGER) AS Quarter_Closed, State, Purchase_Price
       FROM acquisitions) d
 WHERE (SELECT max(Close_of_Escrow) FROM acquisitions WHERE Close_of_Escrow <= DATE '1999-06-30') IS NULL
    OR Close_of_Escrow > (SELECT max(Close_of_Escrow) FROM acquisitions WHERE Close_of_Escrow <= DATE '1999-06-30')""")

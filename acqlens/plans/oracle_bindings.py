@@ -36,9 +36,9 @@ SELECT CAST({B.CENTRE_BASE} + l_suppkey AS VARCHAR) AS profit_center,
             ELSE CAST(l_extendedprice AS DECIMAL(18,2)) END AS amount
 FROM lineitem"""),
     "ledger_wide": (["ledger_long"], """
-SELECT year(month + INTERVAL 9 MONTH) AS FISCAL_YEAR, profit_center AS PROFIT_CENTER,
+SELECT CAST(year(month + INTERVAL 9 MONTH) AS INTEGER) AS FISCAL_YEAR, profit_center AS PROFIT_CENTER,
        account AS GL_ACCOUNT,
-""" + ",\n".join(f"  sum(CASE WHEN month(month - INTERVAL 3 MONTH) = {n} THEN amount END) AS GC_PER_{n}"
+""" + ",\n".join(f"  CAST(sum(CASE WHEN CAST(month(month - INTERVAL 3 MONTH) AS INTEGER) = {n} THEN amount END) AS DECIMAL(18,2)) AS GC_PER_{n}"
                  for n in range(1, 13)) + """
 FROM ledger_long GROUP BY ALL"""),
     "chart_raw": ([], f"""
@@ -57,8 +57,8 @@ SELECT CAST(s.s_suppkey AS VARCHAR) AS MEntity,
        CASE WHEN s.s_suppkey % 17 = 0 THEN NULL
             WHEN s.s_suppkey % 2 = 0 THEN CAST({B.CENTRE_BASE} + s.s_suppkey AS VARCHAR) || '.0'
             ELSE CAST({B.CENTRE_BASE} + s.s_suppkey AS VARCHAR) END AS Profit_Center,
-       (year(f.close + INTERVAL 9 MONTH) - {B.BASE_FY}) * 4
-         + quarter(f.close - INTERVAL 3 MONTH) - {B.BASE_Q} + 1 AS "Group",
+       (CAST(year(f.close + INTERVAL 9 MONTH) AS INTEGER) - {B.BASE_FY}) * 4
+         + CAST(quarter(f.close - INTERVAL 3 MONTH) AS INTEGER) - {B.BASE_Q} + 1 AS "Group",
        f.close AS Close_of_Escrow,
        s.s_acctbal > 0 AS Include,
        n.n_name AS Type,
@@ -160,7 +160,7 @@ SELECT CAST(o_orderkey AS VARCHAR) AS con_pk, CAST(l_suppkey AS VARCHAR) AS con_
             WHEN l_returnflag = 'A' THEN 'STORAGE' ELSE 'PARKING' END AS esc_product
 FROM orders JOIN lineitem ON l_orderkey = o_orderkey"""),
     "rooms": (["unit_mix"], """
-SELECT MEntity, Date, sum(unm_numunits) AS total, sum(unm_occunits) AS occ
+SELECT MEntity, Date, CAST(sum(unm_numunits) AS BIGINT) AS total, CAST(sum(unm_occunits) AS BIGINT) AS occ
 FROM unit_mix GROUP BY MEntity, Date"""),
     "samestore_centres": ([], f"""
 SELECT CAST({B.CENTRE_BASE} + s_suppkey AS VARCHAR) AS profit_center FROM supplier WHERE s_acctbal > 0"""),

@@ -53,3 +53,19 @@ def test_flagship_plan_shape(spark):
     assert plan.count("Exchange hashpartitioning") + plan.count("Exchange\n") <= 2
     assert "BroadcastHashJoin" in plan
     assert "ReadSchema: struct<l_partkey:bigint,l_suppkey:bigint,l_extendedprice:double,l_shipdate:timestamp_ntz>" in plan
+
+
+def test_oracle_types_match(spark):
+    """Column types of every query equal its oracle's (DuckDB names)."""
+    from tools.compare import duck
+    from tools.types import spark_type
+    con = duck(SF)
+    qs, sqls = E.queries(), E.oracle_sql()
+    diffs = {}
+    for name in sorted(qs):
+        sch = {f.name: spark_type(f.dataType) for f in qs[name](spark, SF).schema.fields}
+        rel = con.sql(sqls[name])
+        dt = {c: str(t) for c, t in zip(rel.columns, rel.types)}
+        if sch != dt:
+            diffs[name] = (sch, dt)
+    assert not diffs, diffs
