@@ -30,7 +30,7 @@ INCOME_SLOTS = [BASE_LINES.index(n) for n in INCOME_LINES]
 RAW_CHART_NAMES = [n + " " if n == "THIRD PARTY LEASE" else n for n in BASE_LINES]
 
 
-_READS: dict[tuple[int, str], DataFrame] = {}
+_READS: dict[str, DataFrame] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -38,10 +38,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     and footer-based schema inference happen on the driver for every fresh
     ``spark.read``; a query that reads a table several times reuses it)."""
     path = f"{sf_dir}/{name}.parquet"
-    key = (id(spark._jsparkSession), path)
-    if key not in _READS:
-        _READS[key] = spark.read.parquet(path)
-    return _READS[key]
+    cached = _READS.get(path)
+    if cached is None or cached.sparkSession is not spark:
+        cached = _READS[path] = spark.read.parquet(path)
+    return cached
 
 
 def month_of(c) -> "F.Column":
