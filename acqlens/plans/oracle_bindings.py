@@ -107,7 +107,7 @@ FROM supplier"""),
     "real_additions": ([], """
 SELECT CAST(s_suppkey AS VARCHAR) AS MEntity,
        CASE WHEN s_suppkey % 3 = 0 THEN 'NEW BUILD' ELSE 'CONVERSION' END AS Construction_Type
-FROM supplier WHERE s_suppkey % 5 <> 0"""),
+FROM supplier WHERE s_acctbal >= 0"""),
     "cost_centre_hierarchy": ([], f"""
 SELECT CAST({B.CENTRE_BASE} + s_suppkey AS VARCHAR) AS "Cost Center",
        CAST({B.CENTRE_BASE} + s_suppkey AS VARCHAR) AS Profit_Center,
@@ -150,7 +150,7 @@ FROM (SELECT SAP_Number, Date,
     "account_conversion": ([], f"""
 SELECT CAST({B.ACCOUNT_BASE} + p_partkey AS VARCHAR) AS walker_acct,
        CAST({B.ACCOUNT_BASE} + p_partkey AS VARCHAR) AS sap_account
-FROM part WHERE p_partkey % 2 = 0"""),
+FROM part WHERE p_size <= 40"""),
     "movein": ([], """
 SELECT CAST(o_orderkey AS VARCHAR) AS con_pk, CAST(l_suppkey AS VARCHAR) AS con_entity,
        'C' || CAST(o_custkey AS VARCHAR) AS cus_firstname, o_orderpriority AS cus_lastname,
@@ -167,7 +167,7 @@ SELECT CAST({B.CENTRE_BASE} + s_suppkey AS VARCHAR) AS profit_center FROM suppli
     "cash_trend": (["ledger_long"], """
 SELECT profit_center AS "PROFIT CENTER", month AS MONTH, 'Group' AS CURRENCY, 'ALL' AS SPLIT,
        sum(amount) AS "NET OPERATING INCOME"
-FROM ledger_long WHERE CAST(profit_center AS BIGINT) % 13 <> 0
+FROM ledger_long
 GROUP BY profit_center, month"""),
 }
 

@@ -206,7 +206,8 @@ def entity_info(spark: SparkSession, sf_dir: str) -> DataFrame:
 def real_additions(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = table(spark, sf_dir, "supplier")
     k = F.col("s_suppkey")
-    return (s.where(k % 5 != 0)
+    # suppliers with a negative balance have no construction record
+    return (s.where(F.col("s_acctbal") >= 0)
              .select(k.cast("string").alias("MEntity"),
                      F.when(k % 3 == 0, "NEW BUILD").otherwise("CONVERSION").alias("Construction_Type")))
 
@@ -295,11 +296,11 @@ def lender_adjustments_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(0.5).alias("Storage Split"))
 
 
-# Old-to-new account conversion: every chart account of an even part key.
+# Old-to-new account conversion: accounts of parts up to size 40 are mapped.
 def account_conversion(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = table(spark, sf_dir, "part")
     acct = (F.lit(ACCOUNT_BASE) + F.col("p_partkey")).cast("string")
-    return (part.where(F.col("p_partkey") % 2 == 0)
+    return (part.where(F.col("p_size") <= 40)
                 .select(acct.alias("walker_acct"), acct.alias("sap_account")))
 
 
@@ -336,7 +337,7 @@ def samestore_centres(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # Cash trend: statement NOI per centre and month, in two currencies/splits.
 def cash_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
-    led = ledger_long(spark, sf_dir).where(F.col("profit_center").cast("long") % 13 != 0)
+    led = ledger_long(spark, sf_dir)
     return (led.groupBy(F.col("profit_center").alias("PROFIT CENTER"), F.col("month").alias("MONTH"))
                .agg(F.sum("amount").alias("NET OPERATING INCOME"))
                .select("PROFIT CENTER", "MONTH", F.lit("Group").alias("CURRENCY"),
