@@ -87,13 +87,18 @@ def _write_version(df: DataFrame, root: str, partition_by: list[str] | None = No
     return path
 
 
-# Append.  New rows are written as their own version holding old + new
-# only when the table must stay one directory; appending parts is cheaper:
-def append(df: DataFrame, root: str) -> str:
-    """Append rows: the new version is the old one plus the new rows."""
-    spark = df.sparkSession
-    cur = read_current(spark, root)
-    return _write_version(df if cur is None else cur.unionByName(df), root)
+# Append.  New files are added to the current version with Spark's own
+# append: the output committer publishes them only when the job commits, so a
+# failed job adds nothing; cost is proportional to the new rows only.
+def append(df: DataFrame, root: str, partition_by: list[str] | None = None) -> str:
+    cur = current_version(root)
+    if cur is None:
+        return _write_version(df, root, partition_by)
+    w = df.write.mode("append")
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.parquet(cur)
+    return cur
 
 
 # Replace the whole table.
@@ -116,15 +121,22 @@ def replace_range_table(new: DataFrame, root: str, col: str, lo, hi,
     return _write_version(out, root, partition_by)
 
 
-# Reload from a watermark.
+# Reload from a watermark.  A watermark at or after the stored maximum
+# deletes nothing, so the new rows are appended; an earlier one deletes the
+# stored rows after it, which plain parquet can only do by writing the kept
+# rows and the new ones as a new version (the loaded tables are aggregates —
+# centre x account x month — far smaller than the ledgers they come from).
+# Rerunning a finished reload with the same watermark yields the same table.
 def reload_table(new_rows: DataFrame, root: str, watermark: _dt.date, date_col: str = "Date",
                  skip_empty: bool = False) -> str | None:
     spark = new_rows.sparkSession
     if skip_empty and new_rows.isEmpty():
         return current_version(root)
+    top = stored_max(spark, root, date_col)
+    if top is None or watermark >= top:
+        return append(new_rows, root)
     stored = read_current(spark, root)
-    out = new_rows if stored is None else apply_reload(stored, new_rows, watermark, date_col)
-    return _write_version(out, root)
+    return _write_version(apply_reload(stored, new_rows, watermark, date_col), root)
 
 
 def stored_max(spark: SparkSession, root: str, date_col: str = "Date"):
