@@ -543,3 +543,19 @@ SQL["check_missing_line_items"] = with_ctes(["chart"], f"""
 SELECT 'missing line item' AS "check", line_item AS key, 'no account' AS detail
 FROM (SELECT unnest([{", ".join("'" + n + "'" for n in BASE_LINES)}]) AS line_item)
 WHERE line_item NOT IN (SELECT line_item FROM chart)""")
+
+_LIT = [f"CAST({e} AS DOUBLE)" for e in _SS.LITERAL_UPPER]
+_LIT_BUCKETS = [f"occupancy <= {_LIT[0]}"] + [
+    f"occupancy >= {lo} AND occupancy <= {hi}" for lo, hi in zip(_B, _LIT[1:])]
+SQL["samestore_histogram_literal"] = with_ctes(
+    ["rooms", "samestore_centres", "entity_info"], "SELECT period, " + ", ".join(
+        f"count(*) FILTER (WHERE {c}) AS bucket_{i}" for i, c in enumerate(_LIT_BUCKETS, start=1))
+    + " FROM ent GROUP BY period", [PANEL, ENT])
+
+SQL["lender_basis_statement"] = with_ctes(
+    ["lender_trends_wide", "account_conversion", "chart"], "SELECT * FROM bstmt",
+    [trends_load_cte("tall", None),
+     ("basis", """
+SELECT t.SAP_Number AS profit_center, c.sap_account AS account, t.Date AS month, t.Amount AS amount
+FROM tall t JOIN account_conversion c ON c.walker_acct = t.Account_Number""")]
+    + statement_ctes("basis", "bstmt"))

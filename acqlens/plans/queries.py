@@ -387,3 +387,16 @@ def cohort_gaps(spark, d):
 def check_missing_line_items(spark, d):
     from ..operators import quality as Q
     return Q.missing_line_items(_chart(spark, d))
+
+
+@query
+def samestore_histogram_literal(spark, d):
+    from ..operators import samestore as SS
+    return SS.samestore_histogram(_panel(spark, d), fiscal.py_prev_month_start(B.AS_OF),
+                                  cap_top=True, literal_edges=True)
+
+
+@query
+def lender_basis_statement(spark, d):
+    basis = L.lender_basis_ledger(_trends(spark, d), B.account_conversion(spark, d))
+    return S.income_statement(basis.where(F.col("account").isNotNull()), _chart(spark, d))
