@@ -7,10 +7,14 @@ independently of the Spark code.
 
 from __future__ import annotations
 
-from ..functions.fiscal import fiscal_years_of, py_prev_month_start
+import datetime as _dt
+
+from ..functions.fiscal import fiscal_years_of, py_add_months, py_prev_month_start
+from ..operators import samestore as _SS
 from ..operators.ledger import BASE_LINES
 from ..operators.statement import EXPENSE_PARTS, REVENUE_PARTS, STATEMENT_LINES, UBOX_PARTS
 from ..sources import bindings as B
+from . import queries as Qp
 from .oracle_bindings import with_ctes
 
 SQL: dict[str, str] = {}
@@ -207,7 +211,7 @@ FROM (SELECT Date, MEntity, unm_product AS product, unm_climate AS climate,
              CAST(sum(unm_rentrate) * 100 AS BIGINT) AS c, count(unm_rentrate) AS n,
              CAST(sum(unm_numunits) AS BIGINT) AS total_units, CAST(sum(unm_occunits) AS BIGINT) AS occ_units
       FROM unit_mix
-      WHERE Date = {_LAST} AND Date >= DATE '1995-01-01' AND upper(unm_product) <> 'UBOX'
+      WHERE Date = {_LAST} AND Date >= DATE '{Qp.MIN_ACTUAL}' AND upper(unm_product) <> 'UBOX'
         AND MEntity IN (SELECT MEntity FROM forecast)
       GROUP BY ALL)""")
 
@@ -253,13 +257,11 @@ SELECT * FROM forecast WHERE MEntity IN (SELECT DISTINCT MEntity FROM acquisitio
 
 
 # ---------------------------------------------------------------- same-store
-from ..operators import samestore as _SS  # noqa: E402
-from ..functions.fiscal import py_add_months as _addm  # noqa: E402
 
 _ANCHOR = py_prev_month_start(B.AS_OF)
-_EXCL = ", ".join("'" + c + "'" for c in ["7000000003", "7000000005", "7000000007"])
+_EXCL = ", ".join("'" + c + "'" for c in Qp.SAMESTORE_EXCLUDE)
 _PERIODS = ", ".join(
-    f"('{n}', DATE '{_addm(_ANCHOR, -hi).isoformat()}', DATE '{_addm(_ANCHOR, -lo).isoformat()}')"
+    f"('{n}', DATE '{py_add_months(_ANCHOR, -hi).isoformat()}', DATE '{py_add_months(_ANCHOR, -lo).isoformat()}')"
     for n, lo, hi in _SS.PERIODS)
 PANEL = ("panel", f"""
 SELECT o.MEntity, o.Date, coalesce(o.occ, 0) AS occ, coalesce(t.total, 0) AS total,
@@ -295,8 +297,8 @@ SQL["samestore_histogram"] = with_ctes(["rooms", "samestore_centres", "entity_in
 
 # ---------------------------------------------------------------- lender
 _WM = B.sheet_months()
-_WATERMARK = __import__("datetime").date(2000, 3, 1)
-_STORED_UNTIL = "DATE '2000-06-01'"
+_WATERMARK = Qp.LENDER_WATERMARK
+_STORED_UNTIL = f"DATE '{Qp.LENDER_STORED_UNTIL.isoformat()}'"
 
 
 def _amount(v: str) -> str:
@@ -357,7 +359,7 @@ UNION ALL SELECT * FROM tl""",
     [trends_load_cte("tall", None), ("stored", f"SELECT * FROM tall WHERE Date <= {_STORED_UNTIL}"),
      trends_load_cte("tl", _WATERMARK)])
 
-_OLD_ASOF = __import__("datetime").date(1999, 10, 15)
+_OLD_ASOF = Qp.RANGE_REPLACE_OLD_AS_OF
 _OLD_FY_LAST, _ = fiscal_years_of(_OLD_ASOF)
 PORTFOLIO_OLD = [
     ("pled_old", f"""
@@ -413,8 +415,8 @@ FROM (SELECT con_pk, min({{'a': con_entity, 'b': cus_firstname, 'c': cus_lastnam
 
 
 WINDOWS = [
-    _window_cte("cyw", "1998-03-08", "1998-03-17", False),
-    _window_cte("lyw", "1997-03-08", "1997-03-19", True),
+    _window_cte("cyw", Qp.MOVEIN_CY[0].isoformat(), Qp.MOVEIN_CY[1].isoformat(), False),
+    _window_cte("lyw", Qp.MOVEIN_LY[0].isoformat(), Qp.MOVEIN_LY[1].isoformat(), True),
     ("wins", """
 SELECT con_pk, con_entity, det_movein, det_enddate, esc_product, det_movein = det_enddate AS same_day,
        sha256(concat_ws('|', con_entity, cus_firstname, cus_lastname)) AS person_key, 'cy' AS "window" FROM cyw
@@ -477,8 +479,8 @@ SELECT *, (FY_Closed - {B.BASE_FY}) * 4 + Quarter_Closed - {B.BASE_Q} + 1 AS "Gr
 FROM (SELECT MEntity, Name, Close_of_Escrow, CAST(year(Close_of_Escrow + INTERVAL 9 MONTH) AS INTEGER) AS FY_Closed,
              CAST(quarter(Close_of_Escrow - INTERVAL 3 MONTH) AS INTEGER) AS Quarter_Closed, State, Purchase_Price
       FROM acquisitions) d
-WHERE (SELECT max(Close_of_Escrow) FROM acquisitions WHERE Close_of_Escrow <= DATE '1999-06-30') IS NULL
-   OR Close_of_Escrow > (SELECT max(Close_of_Escrow) FROM acquisitions WHERE Close_of_Escrow <= DATE '1999-06-30')""")
+WHERE (SELECT max(Close_of_Escrow) FROM acquisitions WHERE Close_of_Escrow <= DATE '{Qp.LIST_AS_OF}') IS NULL
+   OR Close_of_Escrow > (SELECT max(Close_of_Escrow) FROM acquisitions WHERE Close_of_Escrow <= DATE '{Qp.LIST_AS_OF}')""")
 SQL["new_acquisitions"] = with_ctes(["acquisitions"], "SELECT * FROM new_acq", [NEW])
 
 SQL["acquisition_enrichment"] = with_ctes(

@@ -3,6 +3,7 @@ the library's operators over the test-table bindings."""
 
 from __future__ import annotations
 
+import datetime as _dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -101,7 +102,7 @@ def fiscal_calendar(spark, d):
 
 
 # ---------------------------------------------------------------- occupancy
-MIN_ACTUAL = __import__("datetime").date(1995, 1, 1)
+MIN_ACTUAL = _dt.date(1995, 1, 1)    # earliest actual month used by the splice
 
 
 def _actual(spark, d):
@@ -189,10 +190,9 @@ def samestore_histogram(spark, d):
 
 
 # ---------------------------------------------------------------- lender
-import datetime as _dt  # noqa: E402
-
-LENDER_WATERMARK = _dt.date(2000, 3, 1)
-LENDER_STORED_UNTIL = _dt.date(2000, 6, 1)
+LENDER_WATERMARK = _dt.date(2000, 3, 1)       # months after it are loaded
+LENDER_STORED_UNTIL = _dt.date(2000, 6, 1)    # state of the stored table before the reload
+RANGE_REPLACE_OLD_AS_OF = _dt.date(1999, 10, 15)
 
 
 def _trends(spark, d, watermark=None):
@@ -230,7 +230,7 @@ def statement_range_replace(spark, d):
     from ..sources import tables as T
     centres = A.included_centres(B.acquisitions(spark, d))
     led, chart = B.ledger_long(spark, d), _chart(spark, d)
-    old = S.portfolio_statement(led, chart, centres, _dt.date(1999, 10, 15), B.BASE_FY, B.BASE_Q)
+    old = S.portfolio_statement(led, chart, centres, RANGE_REPLACE_OLD_AS_OF, B.BASE_FY, B.BASE_Q)
     new = S.portfolio_statement(led, chart, centres, B.AS_OF, B.BASE_FY, B.BASE_Q)
     fy_last, fy_cur = fiscal.fiscal_years_of(B.AS_OF)
     return T.replace_range(old, new, "fiscal_year", fy_last, fy_cur)

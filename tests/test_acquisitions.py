@@ -1,7 +1,6 @@
 import datetime as dt
 
 import pytest
-from pyspark.sql import functions as F
 
 from acqlens.operators import acquisitions as A
 from acqlens.operators import quality as Q

@@ -2,8 +2,6 @@ import datetime as dt
 import os
 from decimal import Decimal as D
 
-from pyspark.sql import functions as F
-
 from acqlens.operators import lender as LD
 from acqlens.operators import movein as MV
 from acqlens.sources import tables as T
