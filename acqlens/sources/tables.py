@@ -13,7 +13,6 @@ rerun is idempotent.
 from __future__ import annotations
 
 import datetime as _dt
-import os
 import re
 
 from pyspark.sql import DataFrame, SparkSession
@@ -51,35 +50,47 @@ def read_csv(spark: SparkSession, path: str, schema: StructType | None = None,
 
 
 # ---------------------------------------------------------------- versions
-def _versions(root: str) -> list[str]:
-    if not os.path.isdir(root):
+# Versions are listed through the Hadoop FileSystem of the table root, so the
+# same code works on HDFS, object stores and local disks.
+def _fs(spark: SparkSession, root: str):
+    jvm = spark._jvm
+    path = jvm.org.apache.hadoop.fs.Path(root)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
+
+
+def _version_names(spark: SparkSession, root: str, complete_only: bool) -> list[str]:
+    fs, path = _fs(spark, root)
+    if not fs.exists(path):
         return []
-    out = []
-    for name in os.listdir(root):
-        if _VERSION.match(name) and os.path.exists(os.path.join(root, name, "_SUCCESS")):
-            out.append(name)
-    return sorted(out)
+    names = []
+    for st in fs.listStatus(path):
+        name = st.getPath().getName()
+        if st.isDirectory() and _VERSION.match(name):
+            if not complete_only or fs.exists(spark._jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
+                names.append(name)
+    return sorted(names)
 
 
-def current_version(root: str) -> str | None:
-    v = _versions(root)
-    return os.path.join(root, v[-1]) if v else None
+def current_version(spark: SparkSession, root: str) -> str | None:
+    """Newest complete version (its _SUCCESS marker exists), or None."""
+    v = _version_names(spark, root, complete_only=True)
+    return f"{root.rstrip('/')}/{v[-1]}" if v else None
 
 
-def _next_version(root: str) -> str:
-    taken = [int(n[1:]) for n in os.listdir(root) if _VERSION.match(n)] if os.path.isdir(root) else []
-    return os.path.join(root, f"v{(max(taken) + 1) if taken else 1:06d}")
+def _next_version(spark: SparkSession, root: str) -> str:
+    taken = [int(n[1:]) for n in _version_names(spark, root, complete_only=False)]
+    return f"{root.rstrip('/')}/v{(max(taken) + 1) if taken else 1:06d}"
 
 
 def read_current(spark: SparkSession, root: str, schema: StructType | None = None) -> DataFrame | None:
-    cur = current_version(root)
+    cur = current_version(spark, root)
     if cur is None:
         return None if schema is None else spark.createDataFrame([], schema)
     return spark.read.parquet(cur)
 
 
 def _write_version(df: DataFrame, root: str, partition_by: list[str] | None = None) -> str:
-    path = _next_version(root)
+    path = _next_version(df.sparkSession, root)
     w = df.write.mode("errorifexists")
     if partition_by:
         w = w.partitionBy(*partition_by)
@@ -91,7 +102,7 @@ def _write_version(df: DataFrame, root: str, partition_by: list[str] | None = No
 # append: the output committer publishes them only when the job commits, so a
 # failed job adds nothing; cost is proportional to the new rows only.
 def append(df: DataFrame, root: str, partition_by: list[str] | None = None) -> str:
-    cur = current_version(root)
+    cur = current_version(df.sparkSession, root)
     if cur is None:
         return _write_version(df, root, partition_by)
     w = df.write.mode("append")
@@ -131,7 +142,7 @@ def reload_table(new_rows: DataFrame, root: str, watermark: _dt.date, date_col:
                  skip_empty: bool = False) -> str | None:
     spark = new_rows.sparkSession
     if skip_empty and new_rows.isEmpty():
-        return current_version(root)
+        return current_version(spark, root)
     top = stored_max(spark, root, date_col)
     if top is None or watermark >= top:
         return append(new_rows, root)

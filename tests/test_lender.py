@@ -57,7 +57,7 @@ def test_reload_is_idempotent_on_versions(spark, tmpdir_path):
     again = LD.load_trends(_sheet(spark), dt.date(2020, 2, 1))
     v2 = T.reload_table(again, root, dt.date(2020, 2, 1))
     v3 = T.reload_table(again, root, dt.date(2020, 2, 1))
-    assert v1 != v2 != v3 and T.current_version(root) == v3
+    assert v1 != v2 != v3 and T.current_version(spark, root) == v3
     a = sorted(map(tuple, spark.read.parquet(v2).collect()))
     b = sorted(map(tuple, spark.read.parquet(v3).collect()))
     assert a == b and len(a) == 6
