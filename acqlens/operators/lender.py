@@ -28,6 +28,9 @@ def _melt_months(df: DataFrame, ids: list[str], months: list[str]) -> DataFrame:
     """Wide month columns -> (Date, Amount); the month is a literal per
     column, the cell text goes through the sentinel rule ('x' -> 0, blank ->
     0)."""
+    if not months:   # nothing after the watermark: no rows, same columns
+        return df.select(*[_q(i) for i in ids], F.lit(None).cast("date").alias("Date"),
+                         F.lit(None).cast(AMOUNT).alias("Amount")).where(F.lit(False))
     cells = F.array(*[F.struct(F.lit(m).cast("date").alias("Date"),
                                amount_or_zero(_q(m), "x", AMOUNT).alias("Amount")) for m in months])
     return df.select(*[_q(i) for i in ids], F.inline(cells))

@@ -120,3 +120,14 @@ def test_movein(spark):
                                                   keep_null_product=True))
     assert {(r.det_movein, r["count"]) for r in by_day.collect()} == {
         (dt.date(2020, 3, 8), 1), (dt.date(2020, 3, 18), 1), (dt.date(2020, 3, 10), 1)}
+
+
+def test_nothing_after_the_watermark(spark, tmpdir_path):
+    out = LD.load_trends(_sheet(spark), dt.date(2020, 4, 1))
+    assert out.count() == 0 and out.columns == ["SAP_Number", "Account_Number", "Account_Description",
+                                                "Line_Item", "Date", "Amount"]
+    root = os.path.join(tmpdir_path, "t")
+    T.reload_table(LD.load_trends(_sheet(spark)), root, dt.date.min)
+    wm = T.stored_max(spark, root)
+    v = T.reload_table(LD.load_trends(_sheet(spark), wm), root, wm, skip_empty=True)
+    assert spark.read.parquet(v).count() == 6
