@@ -96,3 +96,13 @@ def from_cents(cents, scale: int = 2, precision: int = 38) -> Column:
 def sum_money(amount, scale: int = 2, precision: int = 38) -> Column:
     """sum() of a decimal amount, exact, through a long buffer."""
     return from_cents(F.sum(to_cents(amount, scale)), scale, precision)
+
+
+def avg_money_half_up(amount, places: int = 2) -> Column:
+    """round(avg(amount), places) half-up, exact for non-negative amounts of
+    at most two decimals, any group size: integer arithmetic on cents."""
+    cents = F.sum(to_cents(amount))
+    n = F.count(_c(amount))
+    scale = 10 ** (places - 2) if places >= 2 else 1
+    q = int_div(cents * (2 * scale) + n, n * 2)
+    return q.cast("double") / F.lit(float(10 ** places))

@@ -23,7 +23,8 @@ def included_centres(acq: DataFrame, key_col: str = "Profit_Center",
     by ``quality.duplicate_keys`` (the reference stops the job on them).
     """
     pc = clean_key(F.col(key_col))
-    out = (acq.where(F.col(include_col) & F.col(key_col).isNotNull())
+    # the flag may be stored as boolean, 1/0 or Yes/No
+    out = (acq.where(F.col(include_col).cast("boolean") & F.col(key_col).isNotNull())
               .withColumn("profit_center", pc)
               .where(F.col("profit_center").isNotNull() & long_key(F.col("profit_center"), min_len)))
     return out.select("profit_center", "MEntity", "Group")

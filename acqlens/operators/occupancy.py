@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import fiscal
-from ..functions.stats import pick_per_key, ratio_half_up
+from ..functions.stats import avg_money_half_up, pick_per_key, ratio_half_up
 
 # Fixed value: the product excluded from storage occupancy (compared
 # case-insensitively; the sources spell it "UBOX" and "Ubox").
@@ -32,7 +32,7 @@ def actual_occupancy(unit_mix: DataFrame, acq_list: DataFrame, as_of: _dt.date,
     """Units and occupied units by month x entity x product for included
     entities, U-box excluded, up to the first of the month before ``as_of``."""
     last = fiscal.py_prev_month_start(as_of)
-    listed = acq_list.where(F.col("Include")).select("MEntity")
+    listed = acq_list.where(F.col("Include").cast("boolean")).select("MEntity")
     um = (unit_mix.where(storage_product(F.col("unm_product"), keep_null_product)
                          & (F.col("Date") <= F.lit(last)))
                   .join(listed, "MEntity", "left_semi"))
@@ -64,7 +64,7 @@ def occupancy_mix(unit_mix: DataFrame, entities: DataFrame, month: _dt.date,
     um = um.join(entities.select("MEntity").distinct(), "MEntity", "left_semi")
     agg = um.groupBy("Date", "MEntity", F.col("unm_product").alias("product"),
                      F.col("unm_climate").alias("climate")).agg(
-        F.round(F.avg("unm_rentrate"), 2).cast("double").alias("rent_rate"),
+        avg_money_half_up(F.col("unm_rentrate"), 2).alias("rent_rate"),
         F.sum("unm_numunits").alias("total_units"),
         F.sum("unm_occunits").alias("occ_units"))
     return agg.withColumn("occ_pct", ratio_half_up(F.col("occ_units"), F.col("total_units"), 2))
