@@ -137,16 +137,17 @@ def line_item_amounts(ledger: DataFrame, chart: DataFrame) -> DataFrame:
              .agg(from_cents(F.sum(to_cents(F.col("amount")) * F.col("sign")), 2, 18).alias("amount")))
 
 
-def lender_basis_ledger(lender: DataFrame, conversion: DataFrame) -> DataFrame:
+def lender_basis_ledger(lender: DataFrame, conversion: DataFrame, old_col: str = "old_account",
+                        new_col: str = "ledger_account") -> DataFrame:
     """X11: lender-sheet rows on ledger accounts.
 
     ``lender``: SAP_Number, Account_Number, Line_Item, Date, Amount.
-    ``conversion``: walker_acct, sap_account.  Unmapped accounts give a null
-    account (as the reference's map does); ``quality.unmapped_accounts``
-    lists them.
+    ``conversion``: old account number -> ledger account number.  Unmapped
+    accounts give a null account (as the reference's map does);
+    ``quality.unmapped_accounts`` lists them.
     """
-    conv = conversion.select(F.col("walker_acct").cast("string").alias("Account_Number"),
-                             F.col("sap_account").cast("string").alias("account"))
+    conv = conversion.select(F.col(old_col).cast("string").alias("Account_Number"),
+                             F.col(new_col).cast("string").alias("account"))
     return (lender.join(conv, "Account_Number", "left")
                   .select(F.col("SAP_Number").alias("profit_center"),
                           F.col("account"),

@@ -30,10 +30,10 @@ def unexpected_values(df: DataFrame, key: str, expected: dict[str, object], chec
     return out
 
 
-def unmapped_accounts(lender: DataFrame, conversion: DataFrame) -> DataFrame:
+def unmapped_accounts(lender: DataFrame, conversion: DataFrame, old_col: str = "old_account") -> DataFrame:
     """Lender accounts without a ledger account in the conversion table."""
     accts = lender.select("Account_Number").distinct()
-    conv = conversion.select(F.col("walker_acct").cast("string").alias("Account_Number"))
+    conv = conversion.select(F.col(old_col).cast("string").alias("Account_Number"))
     missing = accts.join(conv, "Account_Number", "left_anti")
     return _finding(missing, "unmapped account", F.col("Account_Number"), F.lit("no conversion"))
 

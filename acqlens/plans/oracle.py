@@ -395,9 +395,9 @@ WHERE SAP_Number IN (SELECT profit_center FROM samestore_centres)
 GROUP BY Date, Account_Description""", [ubox_load_cte("uall", None)])
 
 SQL["lender_basis_ledger"] = with_ctes(["lender_trends_wide", "account_conversion"], """
-SELECT t.SAP_Number AS profit_center, c.sap_account AS account, t.Line_Item AS line_item,
+SELECT t.SAP_Number AS profit_center, c.ledger_account AS account, t.Line_Item AS line_item,
        t.Date AS month, t.Amount AS amount
-FROM tall t LEFT JOIN account_conversion c ON c.walker_acct = t.Account_Number""",
+FROM tall t LEFT JOIN account_conversion c ON c.old_account = t.Account_Number""",
     [trends_load_cte("tall", None)])
 
 
@@ -466,7 +466,7 @@ FROM latest_entity WHERE NOT coalesce(STATUS = 'O', false)""", [LATEST_ENTITY])
 SQL["check_unmapped_accounts"] = with_ctes(["lender_trends_wide", "account_conversion"], """
 SELECT 'unmapped account' AS "check", Account_Number AS key, 'no conversion' AS detail
 FROM (SELECT DISTINCT Account_Number FROM tall)
-WHERE Account_Number NOT IN (SELECT walker_acct FROM account_conversion)""", [trends_load_cte("tall", None)])
+WHERE Account_Number NOT IN (SELECT old_account FROM account_conversion)""", [trends_load_cte("tall", None)])
 
 
 # ---------------------------------------------------------------- acquisition list
@@ -558,6 +558,6 @@ SQL["lender_basis_statement"] = with_ctes(
     ["lender_trends_wide", "account_conversion", "chart"], "SELECT * FROM bstmt",
     [trends_load_cte("tall", None),
      ("basis", """
-SELECT t.SAP_Number AS profit_center, c.sap_account AS account, t.Date AS month, t.Amount AS amount
-FROM tall t JOIN account_conversion c ON c.walker_acct = t.Account_Number""")]
+SELECT t.SAP_Number AS profit_center, c.ledger_account AS account, t.Date AS month, t.Amount AS amount
+FROM tall t JOIN account_conversion c ON c.old_account = t.Account_Number""")]
     + statement_ctes("basis", "bstmt"))

@@ -148,8 +148,8 @@ FROM (SELECT SAP_Number, Date,
       WHERE Date BETWEEN DATE '{_MONTHS[0].isoformat()}' AND DATE '{_MONTHS[-1].isoformat()}'
       GROUP BY SAP_Number, Date)"""),
     "account_conversion": ([], f"""
-SELECT CAST({B.ACCOUNT_BASE} + p_partkey AS VARCHAR) AS walker_acct,
-       CAST({B.ACCOUNT_BASE} + p_partkey AS VARCHAR) AS sap_account
+SELECT CAST({B.ACCOUNT_BASE} + p_partkey AS VARCHAR) AS old_account,
+       CAST({B.ACCOUNT_BASE} + p_partkey AS VARCHAR) AS ledger_account
 FROM part WHERE p_size <= 40"""),
     "movein": ([], """
 SELECT CAST(o_orderkey AS VARCHAR) AS con_pk, CAST(l_suppkey AS VARCHAR) AS con_entity,

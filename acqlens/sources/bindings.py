@@ -301,7 +301,7 @@ def account_conversion(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = table(spark, sf_dir, "part")
     acct = (F.lit(ACCOUNT_BASE) + F.col("p_partkey")).cast("string")
     return (part.where(F.col("p_size") <= 40)
-                .select(acct.alias("walker_acct"), acct.alias("sap_account")))
+                .select(acct.alias("old_account"), acct.alias("ledger_account")))
 
 
 # Move-in/out contracts (one row per order line: contract keys repeat).
