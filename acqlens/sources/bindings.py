@@ -37,7 +37,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The parquet table, resolved once per session and path (file listing
     and footer-based schema inference happen on the driver for every fresh
     ``spark.read``; a query that reads a table several times reuses it)."""
-    path = f"{sf_dir}/{name}.parquet"
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
     cached = _READS.get(path)
     if cached is None or cached.sparkSession is not spark:
         cached = _READS[path] = spark.read.parquet(path)
