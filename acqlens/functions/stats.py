@@ -40,7 +40,15 @@ def ratio_half_up(num, den, places: int = 4) -> Column:
 
 def exact_median(df: DataFrame, group_cols: list[str], value_col: str,
                  out_col: str = "median", resolution: float = 1e-6) -> DataFrame:
-    """Interpolating median of ``value_col`` per group; one row per non-empty group."""
+    """Interpolating median of ``value_col`` per group; one row per non-empty group.
+
+    Pass 1 counts rows per (group, bucket of width ``resolution``): at most
+    (max - min) / resolution non-empty buckets per group (<= 2e6 for
+    occupancy ratios in [0, 2] at 1e-6), and map-side partial aggregation
+    collapses a hot value to one row per mapper.  A running sum over that
+    table finds the bucket of each middle rank.  Pass 2 reads only rows of
+    those (at most two) buckets per group and ranks their distinct values.
+    """
     g = list(group_cols)
     vals = (df.select(*g, F.col(value_col).cast("double").alias("_v"))
               .where(F.col("_v").isNotNull())
