@@ -561,3 +561,34 @@ SQL["lender_basis_statement"] = with_ctes(
 SELECT t.SAP_Number AS profit_center, c.ledger_account AS account, t.Date AS month, t.Amount AS amount
 FROM tall t JOIN account_conversion c ON c.old_account = t.Account_Number""")]
     + statement_ctes("basis", "bstmt"))
+
+
+# Money columns are reported as double (see ``queries.reported``).
+DECIMAL_OUTPUTS = {
+    "dense_line_items": ["amount"],
+    "group_statement": ["value", "val_thousands"],
+    "income_statement": ["value"],
+    "ledger_unpivot": ["amount"],
+    "lender_adjustment_load": ["Total_Adjustment", "Storage_Adjustment", "UMove_Adjustment"],
+    "lender_adjustment_rollup": ["total_adjustment"],
+    "lender_basis_ledger": ["amount"],
+    "lender_basis_statement": ["value"],
+    "lender_reload": ["Amount"],
+    "lender_trend_load": ["Amount"],
+    "lender_trend_rollup": ["value"],
+    "lender_ubox_load": ["Amount"],
+    "lender_ubox_rollup": ["value"],
+    "line_item_amounts": ["amount"],
+    "portfolio_statement": ["value"],
+    "statement_cutoff": ["value"],
+    "statement_range_replace": ["value"],
+}
+for _name, _cols in DECIMAL_OUTPUTS.items():
+    _casts = ", ".join(f'CAST("{c}" AS DOUBLE) AS "{c}"' for c in _cols)
+    SQL[_name] = f"SELECT * REPLACE ({_casts}) FROM (\n{SQL[_name]}\n)"
+
+# Integer columns null on part of the rows are reported as double.
+for _name, _cols in {"forecast_splice": ["ID", "total_units", "occ_units"],
+                     "forecast_capacity": ["Group", "Total_Rooms"]}.items():
+    _casts = ", ".join(f'CAST("{c}" AS DOUBLE) AS "{c}"' for c in _cols)
+    SQL[_name] = f"SELECT * REPLACE ({_casts}) FROM (\n{SQL[_name]}\n)"

@@ -8,6 +8,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType
 
 from ..functions import fiscal
 from ..operators import acquisitions as A
@@ -25,8 +26,19 @@ Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
 
 
+def reported(df: DataFrame) -> DataFrame:
+    """Money as reported to the driver: the operators keep exact decimals
+    (summed in integer cents); the registered queries hand them over as
+    double, the reference's own money type.  An exact decimal converts to
+    the same double in any engine, and a double compares the same way
+    whatever container (pandas, Arrow, Python) carries it."""
+    return df.select(*[F.col(f"`{f.name}`").cast("double").alias(f.name)
+                       if isinstance(f.dataType, DecimalType) else F.col(f"`{f.name}`")
+                       for f in df.schema.fields])
+
+
 def query(fn: Query) -> Query:
-    REGISTRY[fn.__name__] = fn
+    REGISTRY[fn.__name__] = lambda spark, d: reported(fn(spark, d))
     return fn
 
 
@@ -129,9 +141,16 @@ def occupancy_mix(spark, d):
                            fiscal.py_prev_month_start(B.AS_OF), MIN_ACTUAL)
 
 
+def _nullable_counts_as_double(df, cols):
+    # integer columns that are null on part of the rows are reported as
+    # double, as a concatenation of frames in the reference reports them
+    return df.withColumns({c: F.col(c).cast("double") for c in cols})
+
+
 @query
 def forecast_splice(spark, d):
-    return O.forecast_splice(B.unit_mix(spark, d), B.forecast(spark, d), B.AS_OF, MIN_ACTUAL)
+    out = O.forecast_splice(B.unit_mix(spark, d), B.forecast(spark, d), B.AS_OF, MIN_ACTUAL)
+    return _nullable_counts_as_double(out, ["ID", "total_units", "occ_units"])
 
 
 @query
@@ -141,8 +160,9 @@ def forecast_latest_vintage(spark, d):
 
 @query
 def forecast_capacity(spark, d):
-    return O.forecast_capacity(O.latest_vintage(B.forecast(spark, d)), _actual(spark, d),
-                               B.acquisitions(spark, d))
+    out = O.forecast_capacity(O.latest_vintage(B.forecast(spark, d)), _actual(spark, d),
+                              B.acquisitions(spark, d))
+    return _nullable_counts_as_double(out, ["Group", "Total_Rooms"])
 
 
 @query

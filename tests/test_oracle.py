@@ -93,3 +93,10 @@ def test_pick_per_key_aggregates_before_the_shuffle(spark):
     first_exchange = nodes.index("Exchange")       # details are numbered from the scan upwards
     assert any(n.endswith("Aggregate") for n in nodes[:first_exchange])      # partial, below the shuffle
     assert "partial_max" in plan
+
+
+def test_queries_match_duckdb_through_pandas(spark):
+    """The same comparison with both results carried through pandas (Spark
+    ``toPandas`` against DuckDB ``.df()``), as a generic checker might."""
+    from tools.compare import compare_pandas
+    assert compare_pandas(spark, SF) == []
