@@ -62,7 +62,7 @@ def enrich_acquisitions(new: DataFrame, master: DataFrame, index_match: DataFram
     reference's ``IN`` lists).  Clashing columns keep both copies with the
     suffixes ``_newlist`` and ``_graph``.
     """
-    keys = new.select("MEntity").distinct()
+    keys = new.select("MEntity")          # semi-join keys; repeats are harmless
     latest = latest_entity_record(master.join(keys, "MEntity", "left_semi"))
     dlr = latest.select("MEntity", "ENTITY_NAME", "MCO_NUM", "LOC_LATITUDE", "LOC_LONGITUDE")
     graph = (index_match.join(keys, "MEntity", "left_semi")

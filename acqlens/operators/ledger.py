@@ -118,14 +118,17 @@ def restrict_ledger(ledger: DataFrame, centres: DataFrame | None = None,
     """Keep ledger rows of listed centres / reportable accounts / fiscal years.
 
     Lists are joins (left semi), never SQL text; the fiscal-year list is a
-    literal ``isin`` that reaches the scan as a pushed filter.
+    literal ``isin`` that reaches the scan as a pushed filter.  The key lists
+    are not deduplicated first: a semi join ignores repeated keys, and a
+    shuffle stage directly under the join lets AQE split a ledger partition
+    that holds a hot centre (an aggregate there would block that).
     """
     if fiscal_years is not None:
         ledger = ledger.where(F.col("fiscal_year").isin(list(fiscal_years)))
     if centres is not None:
-        ledger = ledger.join(centres.select("profit_center").distinct(), "profit_center", "left_semi")
+        ledger = ledger.join(centres.select("profit_center"), "profit_center", "left_semi")
     if chart is not None:
-        ledger = ledger.join(chart.select("account").distinct(), "account", "left_semi")
+        ledger = ledger.join(chart.select("account"), "account", "left_semi")
     return ledger
 
 

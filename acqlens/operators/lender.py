@@ -91,20 +91,21 @@ def apply_reload(stored: DataFrame, new_rows: DataFrame, watermark: _dt.date,
 
 def trend_rollup(trends: DataFrame, accounts: DataFrame, centres: DataFrame) -> DataFrame:
     """X23 trends: listed accounts and centres, summed by (Date, Line_Item)."""
-    t = (trends.join(accounts.select(F.col("account").alias("Account_Number")).distinct(), "Account_Number", "left_semi")
-               .join(centres.select(F.col("profit_center").alias("SAP_Number")).distinct(), "SAP_Number", "left_semi"))
+    # key lists go into the semi joins as they are (see ledger.restrict_ledger)
+    t = (trends.join(accounts.select(F.col("account").alias("Account_Number")), "Account_Number", "left_semi")
+               .join(centres.select(F.col("profit_center").alias("SAP_Number")), "SAP_Number", "left_semi"))
     return t.groupBy("Date", "Line_Item").agg(sum_money("Amount").alias("value"))
 
 
 def adjustment_rollup(adjustments: DataFrame, centres: DataFrame) -> DataFrame:
     """X23 adjustments: listed centres, total adjustment by (Date, description)."""
-    a = adjustments.join(centres.select(F.col("profit_center").alias("SAP_Number")).distinct(),
+    a = adjustments.join(centres.select(F.col("profit_center").alias("SAP_Number")),
                          "SAP_Number", "left_semi")
     return a.groupBy("Date", "Account_Description").agg(sum_money("Total_Adjustment").alias("total_adjustment"))
 
 
 def ubox_rollup(ubox: DataFrame, centres: DataFrame) -> DataFrame:
     """X23 u-box: listed centres, amount by (Date, description)."""
-    u = ubox.join(centres.select(F.col("profit_center").alias("SAP_Number")).distinct(),
+    u = ubox.join(centres.select(F.col("profit_center").alias("SAP_Number")),
                   "SAP_Number", "left_semi")
     return u.groupBy("Date", "Account_Description").agg(sum_money("Amount").alias("value"))

@@ -61,6 +61,7 @@ def occupancy_mix(unit_mix: DataFrame, entities: DataFrame, month: _dt.date,
     um = unit_mix.where((F.col("Date") == F.lit(month)) & storage_product(F.col("unm_product")))
     if min_date is not None:
         um = um.where(F.col("Date") >= F.lit(min_date))
+    # forecast entities repeat once per forecast row: reduce them map-side first
     um = um.join(entities.select("MEntity").distinct(), "MEntity", "left_semi")
     agg = um.groupBy("Date", "MEntity", F.col("unm_product").alias("product"),
                      F.col("unm_climate").alias("climate")).agg(
