@@ -114,3 +114,19 @@ def avg_money_half_up(amount, places: int = 2) -> Column:
     scale = 10 ** (places - 2) if places >= 2 else 1
     q = int_div(cents * (2 * scale) + n, n * 2)
     return q.cast("double") / F.lit(float(10 ** places))
+
+
+def salted_join(big: DataFrame, small: DataFrame, on: list[str], how: str = "inner",
+                salts: int = 16) -> DataFrame:
+    """Join a large side to a one-row-per-key side so that a key holding a
+    large share of ``big`` is spread over ``salts`` join keys.
+
+    Each row of ``big`` gets a salt from a hash of its own values
+    (deterministic, so a retried task computes the same salt); ``small`` is
+    replicated once per salt (its size times ``salts``).  ``how`` must keep
+    ``big`` on the left: inner, left or left_semi.
+    """
+    salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in big.columns]), F.lit(salts)).cast("int")
+    b = big.withColumn("_salt", salt)
+    s = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return b.join(s, [*on, "_salt"], how).drop("_salt")

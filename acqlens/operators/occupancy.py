@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import fiscal
-from ..functions.stats import avg_money_half_up, pick_per_key, ratio_half_up
+from ..functions.stats import avg_money_half_up, pick_per_key, ratio_half_up, salted_join
 
 # Fixed value: the product excluded from storage occupancy (compared
 # case-insensitively; the sources spell it "UBOX" and "Ubox").
@@ -88,12 +88,13 @@ def latest_vintage(forecast: DataFrame, min_rows: int = 2) -> DataFrame:
     latest vintage has fewer than ``min_rows`` rows are dropped.
 
     Two aggregates (rows per vintage, then the latest vintage per entity) and
-    one join: no window buffers a whole entity.
+    one salted join back: no window buffers a whole entity, and an entity
+    holding a large share of the forecast rows is spread over many join tasks.
     """
     per_vintage = forecast.groupBy("MEntity", "Start_Date").agg(F.count(F.lit(1)).alias("n"))
     latest = pick_per_key(per_vintage, ["MEntity"], [F.col("Start_Date")], ["Start_Date", "n"])
     keep = latest.where(F.col("n") >= min_rows).select("MEntity", "Start_Date")
-    rows = forecast.join(keep, ["MEntity", "Start_Date"])
+    rows = salted_join(forecast, keep, ["MEntity", "Start_Date"])
     return rows.select("ID", "MEntity", "Start_Date", F.col("FC_Date").alias("MONTH"), "FC_Occ",
                        *_fiscal_cols(F.col("FC_Date")))
 

@@ -71,3 +71,14 @@ def test_hot_key_pick_per_key(spark):
     got = {r.k: r.v for r in pick_per_key(df, ["k"], [F.col("v")], ["v"]).collect()}
     want = {r.k: r.m for r in df.groupBy("k").agg(F.max("v").alias("m")).collect()}
     assert got == want
+
+
+def test_salted_join_equals_plain_join(spark):
+    from acqlens.functions.stats import salted_join
+    big = spark.range(60000).select(F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 700).alias("k"),
+                                    F.col("id").alias("v"))
+    small = spark.range(0, 700, 2).select(F.col("id").alias("k"), (F.col("id") * 10).alias("w"))
+    for how in ("inner", "left", "left_semi"):
+        a = sorted(map(tuple, salted_join(big, small, ["k"], how).collect()))
+        b = sorted(map(tuple, big.join(small, ["k"], how).collect()))
+        assert a == b, how
