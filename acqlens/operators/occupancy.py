@@ -105,7 +105,7 @@ def forecast_capacity(latest: DataFrame, actual: DataFrame, acq_list: DataFrame)
     rooms = actual.groupBy("MEntity", "Date").agg(F.sum("unm_numunits").alias("Total_Rooms"))
     last = pick_per_key(rooms, ["MEntity"], [F.col("Date")], ["Total_Rooms"])
     grp = acq_list.select("MEntity", "Group")
-    j = latest.join(grp, "MEntity", "left").join(last, "MEntity", "left")
+    j = salted_join(latest.join(grp, "MEntity", "left"), last, ["MEntity"], "left")
     return j.select("ID", "MEntity", "MONTH", F.col("FC_Occ").alias("Forecasted_Rooms"), "Group",
                     F.col("fiscal_year").alias("FY"), F.col("fiscal_month").alias("FM"),
                     F.col("fiscal_quarter").alias("Quarter"), F.col("month_abbr").alias("Month1"),
