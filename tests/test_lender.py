@@ -131,3 +131,18 @@ def test_nothing_after_the_watermark(spark, tmpdir_path):
     wm = T.stored_max(spark, root)
     v = T.reload_table(LD.load_trends(_sheet(spark), wm), root, wm, skip_empty=True)
     assert spark.read.parquet(v).count() == 6
+
+
+def test_update_table_and_ordered_export(spark, tmpdir_path):
+    root = os.path.join(tmpdir_path, "list")
+    lst = spark.createDataFrame([("M1", "x"), ("M2", "y")], "MEntity string, Simple_Owner string")
+    v1 = T.replace(lst, root)
+    src = spark.createDataFrame([("M2", "Owner B"), ("M3", "Owner C")], "MEntity string, `Simple Owner` string")
+    v2 = T.update_table(root, src, "MEntity", {"Simple_Owner": "Simple Owner"})
+    assert v1 != v2 and T.current_version(spark, root) == v2
+    got = {r.MEntity: r.Simple_Owner for r in spark.read.parquet(v2).collect()}
+    assert got == {"M1": "x", "M2": "Owner B"}
+    out = os.path.join(tmpdir_path, "ordered")
+    T.export_csv(spark.read.parquet(v2).coalesce(1), out, order_by=["MEntity"])
+    back = [r.MEntity for r in T.read_csv(spark, out).collect()]
+    assert back == ["M1", "M2"]
