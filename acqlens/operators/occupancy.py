@@ -5,7 +5,7 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import fiscal
@@ -44,13 +44,23 @@ def actual_occupancy(unit_mix: DataFrame, acq_list: DataFrame, as_of: _dt.date,
 
 def group_occupancy(actual: DataFrame, acq_list: DataFrame) -> DataFrame:
     """Total and occupied rooms per month x acquisition group, with the
-    number of distinct entities of the group."""
-    grp = acq_list.select("MEntity", "Group")
-    j = actual.join(grp, "MEntity")
-    rooms = j.groupBy("Date", "Group", "fiscal_year", "fiscal_month", "fiscal_quarter", "month_abbr").agg(
-        F.sum("unm_numunits").alias("Total_Rooms"), F.sum("unm_occunits").alias("Occupied_Rooms"))
-    counts = j.groupBy("Group").agg(F.countDistinct("MEntity").alias("n_entities"))
-    return rooms.join(counts, "Group")
+    number of distinct entities of the group.
+
+    One grouping-sets aggregate yields both levels from a single pass over
+    the occupancy rows: (month, group) room sums and per-group distinct
+    entities.  The group count is then attached to the month rows with a
+    window partitioned by group, whose partitions hold one row per month
+    plus one (bounded by the calendar, not by the data).
+    """
+    keys = ["Date", "Group", "fiscal_year", "fiscal_month", "fiscal_quarter", "month_abbr"]
+    j = actual.join(acq_list.select("MEntity", "Group"), "MEntity")
+    both = j.groupingSets([keys, ["Group"]], *keys).agg(
+        F.sum("unm_numunits").alias("Total_Rooms"), F.sum("unm_occunits").alias("Occupied_Rooms"),
+        F.countDistinct("MEntity").alias("_n"), F.grouping_id().alias("_gid"))
+    group_level = F.col("_gid") != 0
+    n = F.max(F.when(group_level, F.col("_n"))).over(Window.partitionBy("Group"))
+    return (both.withColumn("n_entities", n).where(~group_level)
+                .select(*keys, "Total_Rooms", "Occupied_Rooms", "n_entities"))
 
 
 def occupancy_mix(unit_mix: DataFrame, entities: DataFrame, month: _dt.date,
