@@ -92,7 +92,7 @@ def first_of_month(y: ColumnOrName, m: ColumnOrName) -> Column:
 
 # text to date; dirty text gives null.
 def parse_date(c: ColumnOrName, fmt: str = "yyyy-MM-dd") -> Column:
-    return F.try_to_date(_c(c), F.lit(fmt))
+    return F.try_to_date(_c(c), fmt)
 
 
 # month sequence between two first-of-month dates (inclusive).

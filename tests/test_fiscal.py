@@ -71,3 +71,24 @@ def test_calendar_dimension(spark):
     assert len(cal) == 18
     first = min(cal, key=lambda r: r.month)
     assert first.month == dt.date(2019, 1, 1) and first.month_abbr == "Jan" and first.fiscal_quarter == 4
+
+
+def test_date_helpers(spark):
+    from acqlens.functions.cleaning import amount_or_zero, clean_key
+    df = spark.createDataFrame([("2020-03-15", "2021-01-02", "7000000001.0", "x"),
+                                ("not a date", "2020-03-01", " ", "12.345"),
+                                (None, "2019-12-31", None, None)],
+                               "a string, b string, k string, c string")
+    out = df.select(fiscal.parse_date("a").alias("a"), F.to_date("b").alias("b"), "k", "c").select(
+        "a", "b",
+        fiscal.month_diff("a", "b").alias("md"),                       # F6
+        fiscal.month_abbr("b").alias("abbr"),                          # F7
+        fiscal.first_of_month(F.year("b"), F.month("b")).alias("fom"),  # F8
+        fiscal.shift_months("b", -11).alias("ttm_start"),              # F12
+        clean_key("k").alias("key"), amount_or_zero("c").alias("amt")).collect()
+    r0, r1, r2 = out
+    assert r0.a == dt.date(2020, 3, 15) and r0.md == 10 and r0.abbr == "Jan"
+    assert r0.fom == dt.date(2021, 1, 1) and r0.ttm_start == dt.date(2020, 2, 2)
+    assert r0.key == "7000000001" and str(r0.amt) == "0.00"
+    assert r1.a is None and r1.md is None and r1.key is None and str(r1.amt) == "12.35"
+    assert r2.key is None and str(r2.amt) == "0.00"
