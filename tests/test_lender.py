@@ -146,3 +146,16 @@ def test_update_table_and_ordered_export(spark, tmpdir_path):
     T.export_csv(spark.read.parquet(v2).coalesce(1), out, order_by=["MEntity"])
     back = [r.MEntity for r in T.read_csv(spark, out).collect()]
     assert back == ["M1", "M2"]
+
+
+def test_readers_and_empty_tables(spark, tmpdir_path):
+    from acqlens.functions import fiscal
+    root = os.path.join(tmpdir_path, "none")
+    assert T.current_version(spark, root) is None and T.stored_max(spark, root) is None
+    empty = T.read_current(spark, root, schema="Date date, Amount decimal(18,2)")
+    assert empty.count() == 0 and empty.columns == ["Date", "Amount"]
+    df = spark.createDataFrame([(dt.date(2020, 4, 30),)], "d date")
+    p = os.path.join(tmpdir_path, "p")
+    df.write.parquet(p)
+    got = fiscal.with_fiscal_columns(T.read_table(spark, p), "d").first()
+    assert (got.fiscal_year, got.fiscal_month, got.fiscal_quarter, got.month_abbr) == (2021, 1, 1, "Apr")
