@@ -134,3 +134,12 @@ def test_centres_without_data_and_missing_lines(spark):
     chart = spark.createDataFrame([("A1", "SALES")], "account string, line_item string")
     missing = Q.missing_line_items(chart, ["SALES", "UTILITIES"]).collect()
     assert [(r.key, r.detail) for r in missing] == [("UTILITIES", "no account")]
+
+
+def test_include_flag_as_number_or_text(spark):
+    for flag_type, yes, no in (("int", 1, 0), ("string", "Yes", "No")):
+        acq = spark.createDataFrame([("M1", "7000000001", 1, dt.date(2020, 1, 1), yes, "A"),
+                                     ("M2", "7000000002", 1, dt.date(2020, 1, 1), no, "A")],
+                                    f"MEntity string, Profit_Center string, Group int, Close_of_Escrow date, "
+                                    f"Include {flag_type}, Type string")
+        assert [r.MEntity for r in A.included_centres(acq).collect()] == ["M1"], flag_type

@@ -110,3 +110,13 @@ def test_occupancy_panel(spark):
     info = spark.createDataFrame([("M1", "C1"), ("M2", "C2"), ("M3", "C3")], "MEntity string, `Cost Center` string")
     p = {r.MEntity: r.occupancy for r in SS.occupancy_panel(occ, tot, centres, info, exclude=["C4"]).collect()}
     assert p == {"M1": 0.5, "M2": 0.0, "M3": 0.0}
+
+
+def test_share_with_fixed_denominator(spark):
+    anchor = dt.date(2020, 9, 1)
+    panel = spark.createDataFrame([("M1", anchor, 90, 100), ("M2", anchor, 50, 100)],
+                                  "MEntity string, Date date, occ long, total long") \
+                 .withColumn("occupancy", F.col("occ") / F.col("total"))
+    default = {r.period: r.share_at_threshold for r in SS.samestore_metrics(panel, anchor).collect()}
+    fixed = {r.period: r.share_at_threshold for r in SS.samestore_metrics(panel, anchor, denominator=537).collect()}
+    assert default["month"] == 0.5 and fixed["month"] == round(1 / 537, 6)
