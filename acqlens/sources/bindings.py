@@ -98,10 +98,15 @@ def chart_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 # order (smallest order key, then earliest ship date).
 def acquisitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem")
+    # (order key, ship day) packed into one order-preserving long so the
+    # minimum is a plain hash aggregate: day offset in [0, 100000) covers
+    # 1833..2106, order keys up to 9e13 fit.
+    day = F.datediff(F.to_date("l_shipdate"), F.lit(_dt.date(1970, 1, 1))) + 50000
     first = (li.groupBy("l_suppkey")
-               .agg(F.min(F.struct("l_orderkey", "l_shipdate")).alias("_f"))
+               .agg(F.min(F.col("l_orderkey") * 100000 + day).alias("_f"))
                .select(F.col("l_suppkey").alias("s_suppkey"),
-                       F.to_date(F.col("_f.l_shipdate")).alias("Close_of_Escrow")))
+                       F.date_add(F.lit(_dt.date(1970, 1, 1)), (F.col("_f") % 100000 - 50000).cast("int"))
+                        .alias("Close_of_Escrow")))
     sup = table(spark, sf_dir, "supplier")
     nat = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("s_nationkey"), "n_name")
     s = sup.join(first, "s_suppkey").join(nat, "s_nationkey", "left")
