@@ -8,6 +8,7 @@ import uuid
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 
@@ -67,7 +68,45 @@ class WordHashes(dict):
         return np.fromiter(map(self.__getitem__, words), U64, len(words))
 
 
-def slices(batch: pa.RecordBatch, rows: int):
-    """Views of a batch of at most ``rows`` rows, which bounds what a task holds."""
-    for at in range(0, batch.num_rows, rows):
-        yield batch.slice(at, rows)
+def slices(batch: pa.RecordBatch, rows: int = 256, text: int | None = None,
+           size: int = 4 << 20):
+    """Views of a batch of at most ``rows`` rows, which bounds what a task holds;
+    with ``text``, a column's index, also of at most ``size`` bytes of it (one
+    row may have more)."""
+    if text is None:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+        return
+    lengths = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_pylist()
+    start = held = 0
+    for i, n in enumerate(lengths):
+        if i > start and (i - start >= rows or held + n > size):
+            yield batch.slice(start, i - start)
+            start, held = i, 0
+        held += n
+    if lengths:
+        yield batch.slice(start)
+
+
+def stretches(text: bytes, size: int = 1 << 20):
+    """``text`` cut at blanks into parts of about ``size`` bytes."""
+    at = 0
+    while len(text) - at > size:
+        cut = text.find(b" ", at + size)
+        if cut < 0:
+            break
+        yield text[at:cut]
+        at = cut + 1
+    yield text[at:] if at else text
+
+
+def bucketed(df: DataFrame, name: str, column: str) -> DataFrame:
+    """Store ``df`` bucketed and sorted by ``column`` in the shared folder: joins
+    and groupings on it move only the other side.  As many buckets as shuffle
+    partitions, so rows that a shuffle on the column has dealt stay together."""
+    spark = df.sparkSession
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    table = f"{name}_{uuid.uuid4().hex}"
+    (df.write.format("parquet").bucketBy(buckets, column).sortBy(column)
+     .option("compression", "zstd").option("path", shared_folder(spark, name)).saveAsTable(table))
+    return spark.table(table)

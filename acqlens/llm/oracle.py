@@ -1,5 +1,117 @@
-"""DuckDB SQL of the queries that SQL can state."""
+"""DuckDB SQL of the queries that SQL can state, written from their contracts.
+
+op3, op5, op8 and op10 need a tokenizer, a fitted model or an order-dependent
+packing; tests/llm holds them against brute force instead.
+"""
 
 from __future__ import annotations
 
-SQL: dict[str, str] = {}
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+_BLANK = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+
+OP1 = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS DOUBLE)) AS e
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.e, c.e) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id AND len(c.e) = len(q.e)
+), r AS (
+  SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+         vec_id, score
+  FROM s
+)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
+"""
+
+OP2 = """
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS body, sha1(coalesce(html, '')) AS hex FROM pages
+), w AS (SELECT hex, max(page_id) AS last FROM p GROUP BY hex),
+groups AS (
+  SELECT hex, string_agg(
+      substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((n >> 15) & 31), 1)
+      || substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((n >> 10) & 31), 1)
+      || substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((n >> 5) & 31), 1)
+      || substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + (n & 31), 1), '' ORDER BY g) AS base32
+  FROM (SELECT hex, g, CAST('0x' || substr(hex, 1 + 5 * g, 5) AS INTEGER) AS n FROM w, range(8) t(g))
+  GROUP BY hex
+)
+SELECT page_id, CAST(strlen(body) AS BIGINT) AS payload_bytes, base32 AS payload_digest,
+       CASE WHEN page_id IS DISTINCT FROM last THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id IS DISTINCT FROM last THEN last END AS refers_to
+FROM p JOIN w USING (hex) JOIN groups USING (hex)
+"""
+
+OP4 = """
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'
+), n AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS k,
+         -- each control character in a text costs one more
+         len(text) + len(regexp_replace(text, '[^<\\[\\\\]', '', 'g')) AS t,
+         len(role) + len(regexp_replace(role, '[^<\\[\\\\]', '', 'g')) AS r
+  FROM c
+)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY k)) AS turns_sha256,
+       CAST(coalesce(sum(len(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY k) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(CASE role WHEN 'user' THEN 13 + t WHEN 'assistant' THEN 7 + t ELSE 19 + r + t END) AS BIGINT)
+         AS formatted_chars
+FROM n GROUP BY conv_id
+"""
+
+OP6 = f"""
+WITH d AS (
+  SELECT row_number() OVER () AS row_no, doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents
+), l AS (
+  SELECT row_no, doc_id, unnest(ls) AS line, generate_subscripts(ls, 1) AS pos FROM d
+), k AS (
+  SELECT *, translate(trim(line, {_BLANK}), '{_UPPER}', '{_LOWER}') AS key FROM l
+), f AS (
+  SELECT key, max(doc_id) AS keeper FROM k WHERE len(key) >= 20
+  GROUP BY key HAVING count(DISTINCT row_no) >= 3
+)
+SELECT k.doc_id, count(*) AS n_lines,
+       count(*) FILTER (keeper IS NOT NULL AND keeper <> k.doc_id) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos)
+                       FILTER (keeper IS NULL OR keeper = k.doc_id), '')) AS kept_sha256
+FROM k LEFT JOIN f USING (key) GROUP BY row_no, k.doc_id
+"""
+
+OP9 = f"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'),
+                                    '[^\\x20\\x09-\\x0D]+') AS ws
+  FROM documents
+), s AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(ws) >= 5
+           THEN list_transform(range(1, len(ws) - 3), lambda i: array_to_string(list_slice(ws, i, i + 4), ' '))
+           WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE [] END) AS sh
+  FROM w
+), e AS (SELECT doc_id, len(sh) AS n, unnest(sh) AS x FROM s),
+links AS (
+  SELECT a.doc_id AS a, b.doc_id AS b
+  FROM e a JOIN e b ON a.x = b.x AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n
+  HAVING 100 * count(*) >= 75 * (a.n + b.n - count(*))
+), reach(a, b) AS (
+  SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a
+), c AS (SELECT a, min(b) AS low FROM reach GROUP BY a)
+SELECT s.doc_id, CAST(len(sh) AS BIGINT) AS n_shingles, least(s.doc_id, coalesce(low, s.doc_id)) AS component_id,
+       s.doc_id <= coalesce(low, s.doc_id) AS kept
+FROM s LEFT JOIN c ON s.doc_id = c.a
+"""
+
+SQL: dict[str, str] = {
+    "op1_threshold_top_k": OP1,
+    "op2_dictionary_warc": OP2,
+    "op4_chat_template": OP4,
+    "op6_line_dedup": OP6,
+    "op9_super_minhash": OP9,
+}
