@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from acqlens.llm import (chat, decontam, idmatrix, linededup, sospack, superminhash, topk, toxicity,
-                         warc)
+from acqlens.llm import (chat, decontam, idmatrix, linededup, sospack, suffixes, superminhash, topk,
+                         toxicity, warc)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -36,6 +36,10 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.line_report(table(spark, sf_dir, "documents"))
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.suffix_report(table(spark, sf_dir, "documents"))
+
+
 def op8_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sospack.pack_documents(table(spark, sf_dir, "documents"))
 
@@ -50,5 +54,6 @@ def op10_id_matrices(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 REGISTRY = {f.__name__: f for f in (
     op1_threshold_top_k, op2_dictionary_warc, op3_spaced_seed_overlaps, op4_chat_template,
-    op5_toxicity_chain, op6_line_dedup, op8_sum_of_squares_packing, op9_super_minhash, op10_id_matrices,
+    op5_toxicity_chain, op6_line_dedup, op7_suffix_dedup, op8_sum_of_squares_packing,
+    op9_super_minhash, op10_id_matrices,
 )}
