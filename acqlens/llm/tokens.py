@@ -1,21 +1,26 @@
 """Token ids of whole documents from a public tokenizer file.
 
 ``WordEncoder`` gives exactly the ids of ``Tokenizer.encode(text,
-add_special_tokens=False)`` for tokenizers that drop white space and never join
-across it (normaliser and pre-tokenizer work within blank-separated chunks).
-Chunks and pre-tokens repeat a lot, so their ids are remembered; only new ones
-go through the tokenizer's own normaliser, pre-tokenizer and model.
+add_special_tokens=False)`` for tokenizers like ``word_bpe_49k.json``: lower case,
+white space dropped, words of letters split from other signs, byte-level BPE
+within each.  Such a text can be cut at blanks, and what lies between repeats a
+lot, so its ids are remembered.  A new piece that is letters with at most a tail
+of common signs goes straight to the tokenizer's model; any other goes through
+the whole tokenizer, as do texts outside the range where this is certain.
 """
 
 from __future__ import annotations
 
 import os
 import re
+import sys
+from array import array
 
 import numpy as np
 
-# Separators of ASCII that str.split() takes for white space and tokenizers keep.
-_KEPT_BY_TOKENIZER = "[\x1c-\x1f]"
+# Letters whose lower case and normal form need no look at their neighbours.
+_UNCERTAIN = re.compile("[^\x00-įı-ɏ‐-‧‰-⁞]")
+_TAIL = ".,;:!?"
 _ENCODERS: dict[str, "WordEncoder"] = {}
 
 
@@ -24,16 +29,44 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def byte_letters() -> dict[int, int]:
+    """Byte-level BPE writes byte b as letter b where that is a visible Latin-1
+    sign, and the other bytes, in order, as the letters from 256 on."""
+    visible = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    return {b: 256 + k for k, b in enumerate(b for b in range(256) if b not in visible)}
+
+
+class Remembered(dict):
+    """A dict that makes what is missing and forgets what was not asked for while
+    ``keep`` other keys were made."""
+
+    def __init__(self, make, keep: int):
+        super().__init__()
+        self.make, self.keep, self.before = make, keep, {}
+
+    def __missing__(self, key):
+        value = self.before.pop(key, None)
+        if value is None:
+            value = self.make(key)
+        if len(self) >= self.keep:
+            self.before = dict(self)
+            self.clear()
+        self[key] = value
+        return value
+
+
 class WordEncoder:
-    def __init__(self, path: str, keep: int = 500_000):
+    def __init__(self, path: str, keep: int = 400_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.keep = keep
-        self.chunks: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}
-        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.whole = re.compile("|".join([_KEPT_BY_TOKENIZER, *map(re.escape, added)]))
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        # str.split() parts at these signs of ASCII, the tokenizer keeps them
+        self.added += ["\x1c", "\x1d", "\x1e", "\x1f"]
+        self.letters = byte_letters()
+        self.words = Remembered(self._word, keep)
+        self.lower = Remembered(self._lower_chunk, keep)
+        self.any = Remembered(self.encode_whole, keep)
 
     @property
     def vocabulary(self) -> int:
@@ -43,42 +76,29 @@ class WordEncoder:
         ids = self.tokenizer.encode(text, add_special_tokens=False).ids
         return np.asarray(ids, "<u4").tobytes()
 
+    def _word(self, word: str) -> bytes:
+        found = self.tokenizer.model.tokenize(word.encode().decode("latin-1").translate(self.letters))
+        ids = array("I", [t.id for t in found])
+        return ids.tobytes() if ids.itemsize == 4 and sys.byteorder == "little" else np.asarray(ids, "<u4").tobytes()
+
+    def _lower_chunk(self, chunk: str) -> bytes:
+        if chunk.isalpha():
+            return self.words[chunk]
+        body = chunk.rstrip(_TAIL)
+        if body.isalpha():
+            return self.words[body] + self.words[chunk[len(body):]]
+        return self.encode_whole(chunk)
+
+    def encode(self, text: str) -> bytes:
+        """Ids of a text as little-endian unsigned 32-bit integers."""
+        if any(a in text for a in self.added):
+            return self.encode_whole(text)
+        if text.isascii() or not _UNCERTAIN.search(text):
+            return b"".join(map(self.lower.__getitem__, text.lower().split()))
+        return b"".join(map(self.any.__getitem__, text.split()))
+
     def encode_many(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text as little-endian unsigned 32-bit integers."""
-        split = [None if self.whole.search(t) else t.split() for t in texts]
-        if len(self.chunks) > self.keep:
-            self.chunks.clear()
-        if len(self.words) > self.keep:
-            self.words.clear()
-        new = set().union(*(s for s in split if s is not None)).difference(self.chunks)
-        if new:
-            self._learn(list(new))
-        get = self.chunks.__getitem__
-        return [self.encode_whole(t) if s is None else b"".join(map(get, s))
-                for t, s in zip(texts, split)]
-
-    def _learn(self, chunks: list[str]) -> None:
-        tok, words = self.tokenizer, self.words
-        text = tok.normalizer.normalize_str(" ".join(chunks))
-        normal = text.split(" ")
-        if len(normal) != len(chunks):
-            for c in chunks:
-                self.chunks[c] = self.encode_whole(c)
-            return
-        pieces = iter(tok.pre_tokenizer.pre_tokenize_str(text))
-        piece, (start, _) = next(pieces, ("", (len(text) + 1, 0)))
-        end = -1
-        for chunk, form in zip(chunks, normal):
-            end += len(form) + 1
-            ids = []
-            while start < end:
-                known = words.get(piece)
-                if known is None:
-                    found = [t.id for t in tok.model.tokenize(piece)]
-                    known = words[piece] = np.asarray(found, "<u4").tobytes()
-                ids.append(known)
-                piece, (start, _) = next(pieces, ("", (len(text) + 1, 0)))
-            self.chunks[chunk] = b"".join(ids)
+        return list(map(self.encode, texts))
 
 
 def encoder(path: str) -> WordEncoder:
