@@ -12,9 +12,12 @@ Documents with equal sets are collapsed first.  44 bands of 4 values miss a pair
 of similarity 0.75 with probability 5e-8.  Within a bucket not all pairs are
 formed: every member is verified against a centre, the member that shares the
 most buckets with others, and linked members are merged.  Buckets that still
-hold several components go on with 4 further centres, then 16, and so on, until
+hold several components go on with 16 further centres, then 256, and so on, until
 each bucket is one component or every one of its members has been a centre, so
-no link is lost to a cap.
+no link is lost to a cap.  Before each of these rounds the shingles that only one
+of the remaining documents has are counted: two sets share at most what is left
+of either without them, and pairs (and documents) that cannot reach the
+similarity with that are not compared.  Heavily edited copies drop out this way.
 Verification is exact: sizes of intersection and union of the full sets.
 
 Words are runs of bytes other than ASCII white space, with A-Z lower-cased.  A
@@ -190,12 +193,36 @@ def _elements(docs: DataFrame, id_col: str, text_col: str, wanted: DataFrame) ->
                     .mapInArrow(run, "doc long, elements binary"), "elements", "doc")
 
 
+def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for part in slices(batch, 512):
+            sets = [np.frombuffer(e.as_buffer(), "<i8") for e in part.column(1)]
+            doc = np.repeat(part.column(0).to_numpy(zero_copy_only=False), [len(s) for s in sets])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(doc), pa.array(np.concatenate(sets) if sets else np.zeros(0, np.int64))],
+                ["doc", "element"])
+
+
+def _shareable(elements: DataFrame) -> DataFrame:
+    """(doc, open): how many of a document's shingles occur in another document of
+    ``elements`` too, which is the most it can share with any of them."""
+    rows = elements.select("doc", "elements").mapInArrow(_unpacked, "doc long, element long")
+    private = (rows.groupBy("element").agg(F.min("doc").alias("doc"), F.max("doc").alias("x"))
+               .where("doc = x").groupBy("doc").agg(F.count("*").alias("private")))
+    sizes = elements.groupBy("doc").agg(F.max(F.octet_length("elements") / 8).cast("long").alias("n"),
+                                        F.count("*").alias("sets"))
+    # an id on several rows has several sets: no bound for it
+    return (sizes.join(private, "doc", "left")
+            .select("doc", F.when(F.col("sets") == 1, F.col("n") - F.coalesce("private", F.lit(0)))
+                    .otherwise(F.col("n")).alias("open")))
+
+
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 percent: int = 75, bands: int = 44, rows: int = 4) -> DataFrame:
     """(doc, n, component): one row a row of ``docs``."""
     sets = stored(signatures(docs, id_col, text_col, bands, rows), "sets")
     real = sets.where("n > 0 AND doc IS NOT NULL")
-    copies = real.groupBy("n", "digest").agg(F.min("doc").alias("rep"))
+    copies = stored(real.groupBy("n", "digest").agg(F.min("doc").alias("rep")), "copies")
     member = stored(real.select("doc", "n", "digest").join(copies, ["n", "digest"])
                     .select("doc", "rep").distinct(), "members")
     distinct = real.join(member.where("doc = rep").select("doc").distinct(), "doc", "left_semi")
@@ -213,17 +240,20 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     links = member.where("doc <> rep").select(F.col("doc").alias("a"), F.col("rep").alias("b"))
     order = Window.partitionBy("bucket").orderBy(F.col("weight").desc(), "doc")
     alive = stored(keys.select("bucket", "doc").join(node, "doc")
-                   .withColumn("comp", F.col("doc")), "open")
+                   .withColumn("open", F.col("most")).withColumn("comp", F.col("doc")), "open")
     centres = 1
     while True:
         first = stored(alive.withColumn("place", F.row_number().over(order))
                        .where(F.col("place") <= centres).drop("place"), "centres")
         c = first.select("bucket", F.col("doc").alias("a"), F.col("comp").alias("ca"),
-                         F.col("least").alias("la"), F.col("most").alias("ma"))
+                         F.col("least").alias("la"), F.col("most").alias("ma"),
+                         F.col("open").alias("oa"))
+        both = F.least("open", "oa")  # no two sets share more
         pairs = (alive.join(c, "bucket")
                  .where((F.col("ca") != F.col("comp")) & (F.col("a") != F.col("doc"))
                         & (100 * F.col("ma") >= percent * F.col("least"))
-                        & (100 * F.col("most") >= percent * F.col("la")))
+                        & (100 * F.col("most") >= percent * F.col("la"))
+                        & (100 * both >= percent * (F.col("la") + F.col("least") - both)))
                  .select("a", F.col("doc").alias("b")).distinct())
         linked = (stored(pairs, "pairs")
                   .join(elements.select(F.col("doc").alias("b"), F.col("elements").alias("eb")), "b")
@@ -233,16 +263,20 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         groups = components(links)
         # centres have met all others of their bucket; what is left goes on if it
         # still belongs to several components
-        rest = (alive.drop("comp").join(first.select("bucket", "doc"), ["bucket", "doc"], "left_anti")
+        rest = (alive.drop("comp", "open").join(first.select("bucket", "doc"), ["bucket", "doc"], "left_anti")
                 .join(groups, F.col("doc") == F.col("node"), "left")
                 .withColumn("comp", F.coalesce("root", "doc")).drop("node", "root"))
         rest = stored(rest, "open")
         several = rest.groupBy("bucket").agg(F.min("comp").alias("x"), F.max("comp").alias("y")) \
             .where("x <> y").select("bucket")
-        alive = stored(rest.join(several, "bucket", "left_semi"), "open")
-        if alive.isEmpty():
+        rest = stored(rest.join(several, "bucket", "left_semi"), "open")
+        if rest.isEmpty():
             break
-        centres *= 4
+        # go on with the sets of what is left, and with what these can share at most
+        elements = bucketed(elements.join(rest.select("doc").distinct(), "doc", "left_semi"), "elements", "doc")
+        alive = stored(rest.join(_shareable(elements), "doc")
+                       .where(100 * F.col("open") >= percent * F.col("least")), "open")
+        centres *= 16
     return (sets.select("doc", "n").join(groups, F.col("doc") == F.col("node"), "left")
             .select("doc", "n", F.coalesce("root", "doc").alias("component")))
 
