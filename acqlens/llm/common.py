@@ -37,6 +37,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def utf8(column: pa.Array | pa.ChunkedArray) -> list[bytes]:
     """The values of a string column as bytes, null as empty."""
     if isinstance(column, pa.ChunkedArray):

@@ -28,7 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from acqlens.llm.common import U64, WordHashes, mix, slices, stored, stretches, utf8
+from acqlens.llm.common import U64, WordHashes, free_name, mix, slices, stored, stretches, utf8
 
 # Fixed masks of six words each: whole, and with gaps that skip every third,
 # fourth or fifth word, neighbours, or scattered words.
@@ -152,6 +152,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, min_words: int = 10,
 def without_overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                      **options) -> DataFrame:
     """``docs`` without the documents that overlap with an item."""
+    name = free_name(docs, "llm_hit")
     hit = stored(overlaps(docs, benchmark, id_col=id_col, **options)
-                 .select(F.col("doc_id").alias("llm_hit")).distinct(), "overlaps")
-    return docs.join(hit, F.col(id_col).cast("long").eqNullSafe(F.col("llm_hit")), "left_anti")
+                 .select(F.col("doc_id").alias(name)).distinct(), "overlaps")
+    return docs.join(hit, F.col(id_col).cast("long").eqNullSafe(F.col(name)), "left_anti")

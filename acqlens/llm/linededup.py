@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import IntegerType, LongType, StructType
 
-from acqlens.llm.common import bucketed, shared_folder, slices, utf8
+from acqlens.llm.common import bucketed, free_name, shared_folder, slices, utf8
 
 BLANK = b" \t\n\x0b\x0c\r"
 NO_ID = -(1 << 63)
@@ -111,11 +111,12 @@ class LineRuns:
                 .where(F.col("n") >= min_docs).select("line", "keeper"))
 
 
-def _rewrite(docs: DataFrame, text_col: str, min_chars: int) -> DataFrame:
-    """``docs`` with a column ``llm_drop`` of digests: lines with these go."""
-    out = StructType([f for f in docs.schema if f.name != "llm_drop"])
-    out = out.add("llm_n_lines", LongType()).add("llm_n_dropped", LongType())
-    names = out.names[:-2]
+def _rewrite(docs: DataFrame, text_col: str, min_chars: int, counts: bool) -> DataFrame:
+    """The last column of ``docs`` holds digests: lines with these go."""
+    out = StructType(docs.schema.fields[:-1])
+    names = out.names[:]
+    if counts:
+        out = out.add("n_lines", LongType()).add("n_dropped", LongType())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -134,20 +135,20 @@ def _rewrite(docs: DataFrame, text_col: str, min_chars: int) -> DataFrame:
                     else:
                         n_dropped.append(0)
                     texts.append(None if null else text.decode())
-                columns = [pa.array(texts, part.column(at).type) if n == text_col
-                           else part.column(i) for i, n in enumerate(names)]
-                yield pa.RecordBatch.from_arrays(
-                    [*columns, pa.array(n_lines, pa.int64()), pa.array(n_dropped, pa.int64())],
-                    [*names, "llm_n_lines", "llm_n_dropped"])
+                columns = [pa.array(texts, part.column(at).type) if i == at
+                           else part.column(i) for i in range(len(names))]
+                if counts:
+                    columns += [pa.array(n_lines, pa.int64()), pa.array(n_dropped, pa.int64())]
+                yield pa.RecordBatch.from_arrays(columns, out.names)
 
     return docs.mapInArrow(run, out)
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 min_chars: int = 20, min_docs: int = 3, batches: int = 4,
-                fanout: int = 3) -> DataFrame:
-    """``docs`` with the text's repeated lines removed, plus ``llm_n_lines``
-    (before) and ``llm_n_dropped``."""
+                fanout: int = 3, counts: bool = False) -> DataFrame:
+    """``docs`` with the text's repeated lines removed; with ``counts`` also the
+    columns ``n_lines`` (before) and ``n_dropped``."""
     spark = docs.sparkSession
     key = F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID))
     edges = docs.select(F.percentile_approx(
@@ -162,18 +163,17 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     runs = LineRuns(spark, fanout)
     for b in range(len(set(edges)) + 1):  # falling ids: batch 0 holds the largest
         runs.add(lines.where(F.col("batch") == b).select("line", "doc"))
+    doc, drop = free_name(docs, "llm_doc"), free_name(docs, "llm_drop")
     drops = (lines.join(runs.repeated(min_docs), "line").where("doc <> keeper")
-             .groupBy("doc").agg(F.collect_list("line").alias("llm_drop"))
-             .withColumnRenamed("doc", "llm_doc"))
-    joined = docs.join(drops, key == drops["llm_doc"], "left").select(*docs.columns, "llm_drop")
-    return _rewrite(joined, text_col, min_chars)
+             .groupBy(F.col("doc").alias(doc)).agg(F.collect_list("line").alias(drop)))
+    joined = docs.join(drops, key == F.col(doc), "left").select(*docs.columns, drop)
+    return _rewrite(joined, text_col, min_chars, counts)
 
 
 def line_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 **options) -> DataFrame:
     """Per document: lines before, lines dropped, SHA-256 of what is left."""
     kept = dedup_lines(docs.select(F.col(id_col).cast("long").alias("doc_id"),
-                                   F.col(text_col).alias("text")), **options)
-    return kept.select("doc_id", F.col("llm_n_lines").alias("n_lines"),
-                       F.col("llm_n_dropped").alias("n_dropped"),
+                                   F.col(text_col).alias("text")), counts=True, **options)
+    return kept.select("doc_id", "n_lines", "n_dropped",
                        F.sha2(F.encode(F.coalesce("text", F.lit("")), "UTF-8"), 256).alias("kept_sha256"))

@@ -89,7 +89,7 @@ class SortedLists:
 
 
 def _matrix(column: pa.ChunkedArray, width: int) -> np.ndarray:
-    return column.combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
+    return column.combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(len(column), width)
 
 
 def top_k(vectors: DataFrame, is_query: Column, k: int = 10, scale: int = 1024,

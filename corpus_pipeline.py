@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from acqlens.llm import decontam, linededup, sospack, superminhash, toxicity
-from acqlens.llm.common import stored
+from acqlens.llm.common import free_name, stored
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,7 +29,7 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines that many documents share stay in one of them; n_chars follows."""
-    kept = linededup.dedup_lines(docs).drop("llm_n_lines", "llm_n_dropped")
+    kept = linededup.dedup_lines(docs)
     if "n_chars" in docs.columns:
         kept = kept.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return kept.select(docs.columns)
@@ -38,8 +38,9 @@ def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near-duplicates the document with the smallest id stays."""
     groups = superminhash.near_groups(docs)
-    gone = stored(groups.where("doc <> component").select(F.col("doc").alias("llm_gone")).distinct(), "gone")
-    return docs.join(gone, F.col("doc_id") == F.col("llm_gone"), "left_anti")
+    name = free_name(docs, "llm_gone")
+    gone = stored(groups.where("doc <> component").select(F.col("doc").alias(name)).distinct(), "gone")
+    return docs.join(gone, F.col("doc_id") == F.col(name), "left_anti")
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
