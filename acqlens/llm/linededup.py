@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import IntegerType, LongType, StructType
 
-from acqlens.llm.common import bucketed, free_name, shared_folder, slices, utf8
+from acqlens.llm.common import bucketed, free_name, shared_folder, slices, stored, utf8
 
 BLANK = b" \t\n\x0b\x0c\r"
 NO_ID = -(1 << 63)
@@ -164,7 +164,9 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     for b in range(len(set(edges)) + 1):  # falling ids: batch 0 holds the largest
         runs.add(lines.where(F.col("batch") == b).select("line", "doc"))
     doc, drop = free_name(docs, "llm_doc"), free_name(docs, "llm_drop")
-    drops = (lines.join(runs.repeated(min_docs), "line").where("doc <> keeper")
+    # stored, so that the join reads two shuffles and a frequent line can be split
+    repeated = stored(runs.repeated(min_docs), "repeated")
+    drops = (lines.join(repeated, "line").where("doc <> keeper")
              .groupBy(F.col("doc").alias(doc)).agg(F.collect_list("line").alias(drop)))
     joined = docs.join(drops, key == F.col(doc), "left").select(*docs.columns, drop)
     return _rewrite(joined, text_col, min_chars, counts)
