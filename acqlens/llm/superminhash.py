@@ -12,12 +12,12 @@ Documents with equal sets are collapsed first.  44 bands of 4 values miss a pair
 of similarity 0.75 with probability 5e-8.  Within a bucket not all pairs are
 formed: every member is verified against a centre, the member that shares the
 most buckets with others, and linked members are merged.  Buckets that still
-hold several components go on with 16 further centres, then 256, and so on, until
-each bucket is one component or every one of its members has been a centre, so
-no link is lost to a cap.  Before each of these rounds the shingles that only one
-of the remaining documents has are counted: two sets share at most what is left
-of either without them, and pairs (and documents) that cannot reach the
-similarity with that are not compared.  Heavily edited copies drop out this way.
+hold several components go on with 16 further centres, and what is still open
+then with every member as a centre, so no link is lost to a cap.  Before both of
+these rounds the shingles that only one of the remaining documents has are taken
+off, and the others counted by class: two sets share at most the smaller count of
+each class, and pairs (and documents) that cannot reach the similarity with that
+are not compared.  Heavily edited copies, which link with nothing, drop out here.
 Verification is exact: sizes of intersection and union of the full sets.
 
 Words are runs of bytes other than ASCII white space, with A-Z lower-cased.  A
@@ -203,18 +203,26 @@ def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 ["doc", "element"])
 
 
-def _shareable(elements: DataFrame) -> DataFrame:
-    """(doc, open): how many of a document's shingles occur in another document of
-    ``elements`` too, which is the most it can share with any of them."""
+def _shareable(elements: DataFrame, classes: int = 32) -> DataFrame:
+    """(doc, profile): per class of shingles (by hash), how many of a document's
+    occur in another document of ``elements`` too.  Two documents cannot share
+    more of a class than the smaller of their counts."""
     rows = elements.select("doc", "elements").mapInArrow(_unpacked, "doc long, element long")
+    kind = F.pmod("element", F.lit(classes))
     private = (rows.groupBy("element").agg(F.min("doc").alias("doc"), F.max("doc").alias("x"))
-               .where("doc = x").groupBy("doc").agg(F.count("*").alias("private")))
-    sizes = elements.groupBy("doc").agg(F.max(F.octet_length("elements") / 8).cast("long").alias("n"),
-                                        F.count("*").alias("sets"))
-    # an id on several rows has several sets: no bound for it
-    return (sizes.join(private, "doc", "left")
-            .select("doc", F.when(F.col("sets") == 1, F.col("n") - F.coalesce("private", F.lit(0)))
-                    .otherwise(F.col("n")).alias("open")))
+               .where("doc = x").groupBy("doc")
+               .agg(F.array(*[F.count_if(kind == k) for k in range(classes)]).alias("private")))
+    every = rows.groupBy("doc").agg(F.array(*[F.count_if(kind == k) for k in range(classes)]).alias("every"))
+    sets = elements.groupBy("doc").agg(F.count("*").alias("sets"))
+    # an id on several rows has several sets: nothing is taken off for it
+    less = F.zip_with("every", "private", lambda x, y: x - y)
+    usable = (F.col("sets") == 1) & F.col("private").isNotNull()
+    return (every.join(sets, "doc").join(private, "doc", "left")
+            .select("doc", F.when(usable, less).otherwise(F.col("every")).alias("profile")))
+
+
+def _total(x) -> "F.Column":
+    return F.aggregate(x, F.lit(0).cast("long"), lambda t, v: t + v)
 
 
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -241,29 +249,38 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     order = Window.partitionBy("bucket").orderBy(F.col("weight").desc(), "doc")
     alive = stored(keys.select("bucket", "doc").join(node, "doc")
                    .withColumn("open", F.col("most")).withColumn("comp", F.col("doc")), "open")
-    centres = 1
-    while True:
-        first = stored(alive.withColumn("place", F.row_number().over(order))
-                       .where(F.col("place") <= centres).drop("place"), "centres")
+    for centres in (1, 16, None):
+        first = alive
+        if centres:
+            first = stored(alive.withColumn("place", F.row_number().over(order))
+                           .where(F.col("place") <= centres).drop("place"), "centres")
         c = first.select("bucket", F.col("doc").alias("a"), F.col("comp").alias("ca"),
                          F.col("least").alias("la"), F.col("most").alias("ma"),
-                         F.col("open").alias("oa"))
-        both = F.least("open", "oa")  # no two sets share more
-        pairs = (alive.join(c, "bucket")
-                 .where((F.col("ca") != F.col("comp")) & (F.col("a") != F.col("doc"))
-                        & (100 * F.col("ma") >= percent * F.col("least"))
-                        & (100 * F.col("most") >= percent * F.col("la"))
-                        & (100 * both >= percent * (F.col("la") + F.col("least") - both)))
+                         F.col("open").alias("oa"), *[F.col("profile").alias("pa")][:centres != 1])
+        # a pair must be able to reach the similarity, by its sizes and by what
+        # it can share at most
+        can = (100 * F.col("ma") >= percent * F.col("least")) & (100 * F.col("most") >= percent * F.col("la"))
+        shares = [F.least("open", "oa")]
+        if centres != 1:
+            shares.append(_total(F.zip_with("profile", "pa", lambda x, y: F.least(x, y))))
+        for both in shares:
+            can = can & (100 * both >= percent * (F.col("la") + F.col("least") - both))
+        side = F.col("a") < F.col("doc") if centres is None else F.col("a") != F.col("doc")
+        pairs = (alive.join(c, "bucket").where((F.col("ca") != F.col("comp")) & side & can)
                  .select("a", F.col("doc").alias("b")).distinct())
+        # the key of the second join is an expression, so that both of its sides
+        # are shuffled and a frequent centre can be split
+        left = elements.select(F.col("doc").bitwiseXOR(F.lit(0)).alias("a"), F.col("elements").alias("ea"))
         linked = (stored(pairs, "pairs")
                   .join(elements.select(F.col("doc").alias("b"), F.col("elements").alias("eb")), "b")
-                  .join(elements.select(F.col("doc").alias("a"), F.col("elements").alias("ea")), "a")
-                  .select("a", "b", "ea", "eb").mapInArrow(_verified(percent), "a long, b long"))
+                  .join(left, "a").select("a", "b", "ea", "eb").mapInArrow(_verified(percent), "a long, b long"))
         links = stored(links.unionByName(linked), "links")
         groups = components(links)
+        if centres is None:
+            break
         # centres have met all others of their bucket; what is left goes on if it
         # still belongs to several components
-        rest = (alive.drop("comp", "open").join(first.select("bucket", "doc"), ["bucket", "doc"], "left_anti")
+        rest = (alive.select("bucket", "doc", "weight", "least", "most").join(first.select("bucket", "doc"), ["bucket", "doc"], "left_anti")
                 .join(groups, F.col("doc") == F.col("node"), "left")
                 .withColumn("comp", F.coalesce("root", "doc")).drop("node", "root"))
         rest = stored(rest, "open")
@@ -274,9 +291,8 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             break
         # go on with the sets of what is left, and with what these can share at most
         elements = bucketed(elements.join(rest.select("doc").distinct(), "doc", "left_semi"), "elements", "doc")
-        alive = stored(rest.join(_shareable(elements), "doc")
-                       .where(100 * F.col("open") >= percent * F.col("least")), "open")
-        centres *= 16
+        profile = _shareable(elements).withColumn("open", _total("profile"))
+        alive = stored(rest.join(profile, "doc").where(100 * F.col("open") >= percent * F.col("least")), "open")
     return (sets.select("doc", "n").join(groups, F.col("doc") == F.col("node"), "left")
             .select("doc", "n", F.coalesce("root", "doc").alias("component")))
 
