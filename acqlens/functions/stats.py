@@ -30,29 +30,38 @@ def int_div(a: Column, b: Column) -> Column:
     return F.when(b_ != 0, ((a_ - F.pmod(a_, b_)) / b_).cast("long"))
 
 
+def _millionths(c) -> Column:
+    """A number in whole millionths, as an exact decimal without places."""
+    return (_c(c).cast("decimal(24,6)") * F.lit(1_000_000)).cast(_DEC)
+
+
 def ratio_half_up(num, den, places: int = 4) -> Column:
-    """round(num / den, places) half-up for integers num >= 0, den > 0; null if den == 0."""
+    """round(num / den, places) half-up for num >= 0, den > 0 of at most six
+    decimals; null if den == 0."""
     scale = 10 ** places
-    n, d = _c(num).cast("long"), _c(den).cast("long")
-    q = int_div(n * (2 * scale) + d, d * 2)
+    n, d = _millionths(num), _millionths(den)
+    q = int_div(n * F.lit(2 * scale) + d, d * F.lit(2))
     return q.cast("double") / F.lit(float(scale))
 
 
 def exact_median(df: DataFrame, group_cols: list[str], value_col: str,
-                 out_col: str = "median", resolution: float = 1e-6) -> DataFrame:
+                 out_col: str = "median", buckets: int = 10_000) -> DataFrame:
     """Interpolating median of ``value_col`` per group; one row per non-empty group.
 
-    Pass 1 counts rows per (group, bucket of width ``resolution``): at most
-    (max - min) / resolution non-empty buckets per group (<= 2e6 for
-    occupancy ratios in [0, 2] at 1e-6), and map-side partial aggregation
-    collapses a hot value to one row per mapper.  A running sum over that
-    table finds the bucket of each middle rank.  Pass 2 reads only rows of
-    those (at most two) buckets per group and ranks their distinct values.
+    Pass 1 counts rows per (group, bucket): ``buckets`` equal parts of the
+    group's own range, so the table is bounded whatever the column holds, and
+    map-side partial aggregation collapses a hot value to one row per mapper.
+    A running sum over that table finds the bucket of each middle rank.  Pass 2
+    reads only rows of those (at most two) buckets per group and ranks their
+    distinct values.
     """
     g = list(group_cols)
-    vals = (df.select(*g, F.col(value_col).cast("double").alias("_v"))
-              .where(F.col("_v").isNotNull())
-              .withColumn("_b", F.floor(F.col("_v") / F.lit(resolution)).cast("long")))
+    vals = df.select(*g, F.col(value_col).cast("double").alias("_v")).where(F.col("_v").isNotNull())
+    # one row a group: its range
+    span = vals.groupBy(*g).agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
+    part = F.floor((F.col("_v") - F.col("_lo")) / (F.col("_hi") - F.col("_lo")) * buckets)
+    vals = (vals.join(span, g).withColumn("_b", F.when(F.col("_hi") > F.col("_lo"), part).otherwise(0).cast("long"))
+                .drop("_lo", "_hi"))
     counts = vals.groupBy(*g, "_b").agg(F.count(F.lit(1)).alias("_n"))
     run = Window.partitionBy(*g).orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
     whole = Window.partitionBy(*g)
@@ -106,13 +115,13 @@ def sum_money(amount, scale: int = 2, precision: int = 38) -> Column:
     return from_cents(F.sum(to_cents(amount, scale)), scale, precision)
 
 
-def avg_money_half_up(amount, places: int = 2) -> Column:
+def avg_money_half_up(amount, places: int = 2, scale: int = 4) -> Column:
     """round(avg(amount), places) half-up, exact for non-negative amounts of
-    at most two decimals, any group size: integer arithmetic on cents."""
-    cents = F.sum(to_cents(amount))
-    n = F.count(_c(amount))
-    scale = 10 ** (places - 2) if places >= 2 else 1
-    q = int_div(cents * (2 * scale) + n, n * 2)
+    at most ``scale`` decimals, any group size: integer arithmetic on units of
+    the last decimal; only the average is rounded, never an amount."""
+    units = F.sum(to_cents(amount, scale)).cast(_DEC)
+    whole = F.count(_c(amount)).cast(_DEC) * F.lit(10 ** scale)
+    q = int_div(units * F.lit(2 * 10 ** places) + whole, whole * F.lit(2))
     return q.cast("double") / F.lit(float(10 ** places))
 
 

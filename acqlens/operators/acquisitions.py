@@ -23,8 +23,9 @@ def included_centres(acq: DataFrame, key_col: str = "Profit_Center",
     by ``quality.duplicate_keys`` (the reference stops the job on them).
     """
     pc = clean_key(F.col(key_col))
-    # the flag may be stored as boolean, 1/0 or Yes/No
-    out = (acq.where(F.col(include_col).cast("boolean") & F.col(key_col).isNotNull())
+    # the flag may be stored as boolean, 1/0 or Yes/No; quality.unreadable_flags
+    # lists what is none of these
+    out = (acq.where(F.col(include_col).try_cast("boolean") & F.col(key_col).isNotNull())
               .withColumn("profit_center", pc)
               .where(F.col("profit_center").isNotNull() & long_key(F.col("profit_center"), min_len)))
     return out.select("profit_center", "MEntity", "Group")
@@ -54,17 +55,26 @@ def latest_entity_record(master: DataFrame, key: str = "MEntity") -> DataFrame:
 
 def enrich_acquisitions(new: DataFrame, master: DataFrame, index_match: DataFrame,
                         entity_info: DataFrame, real_additions: DataFrame,
-                        unmatched_is_abutting: bool = False) -> DataFrame:
+                        unmatched_is_abutting: bool = False, strict: bool = True) -> DataFrame:
     """Latest entity record, index match, entity info and construction
     type for new acquisitions; remote / abutting / include flags.
 
+    District, MCO, entity and position are the deal sheet's; the entity record
+    only gives the name.  ``strict``: a latest record that is not open and
+    unexpired stops the job (``quality.unexpected_values`` lists them).
+
     Sources are first cut to the new entities (left semi joins, the
     reference's ``IN`` lists).  Clashing columns keep both copies with the
     suffixes ``_newlist`` and ``_graph``.
     """
     keys = new.select("MEntity")          # semi-join keys; repeats are harmless
     latest = latest_entity_record(master.join(keys, "MEntity", "left_semi"))
-    dlr = latest.select("MEntity", "ENTITY_NAME", "MCO_NUM", "LOC_LATITUDE", "LOC_LONGITUDE")
+    name = F.col("ENTITY_NAME")
+    if strict:
+        current = (F.col("STATUS") == "O") & (F.col("DATE_EXPIRATION") == F.lit(_dt.date(9999, 12, 31)))
+        stop = F.raise_error(F.concat(F.lit("latest record of an entity is not open: "), F.col("MEntity")))
+        name = F.when(F.coalesce(current, F.lit(False)), name).otherwise(stop.cast("string"))
+    dlr = latest.select("MEntity", name.alias("ENTITY_NAME"))
     graph = (index_match.join(keys, "MEntity", "left_semi")
                         .withColumn("Remote", F.col("Parent MEntity").isNotNull())
                         .join(entity_info.select("MEntity", "CBSA", "Cost Center"), "MEntity", "left"))
@@ -83,12 +93,15 @@ def enrich_acquisitions(new: DataFrame, master: DataFrame, index_match: DataFram
           .withColumn("Include", ~(F.col("Remote") | F.col("Abutting"))))
     ra = real_additions.select("MEntity", "Construction_Type")
     m = m.join(ra, "MEntity", "left")
-    state = "State_newlist" if "State" in clash else "State"
+    deal = lambda c: F.col(f"{c}_newlist" if c in clash else c)
     return m.select(
-        "Group", "Close_of_Escrow", "ENTITY_NAME", "MCO_NUM",
+        "Group", "Close_of_Escrow", "ENTITY_NAME",
+        deal("District").alias("DISTRICT_NO"), deal("MCO").alias("MCO_NUM"), deal("Entity").alias("Entity"),
         F.col("`Cost Center`").alias("Profit_Center"),
-        F.col(state).alias("State"),
-        "LOC_LATITUDE", "LOC_LONGITUDE", "CBSA", "Purchase_Price",
+        deal("Address").alias("Address"), deal("City").alias("City"), deal("State").alias("State"),
+        deal("Latitude").alias("LOC_LATITUDE"), deal("Longitude").alias("LOC_LONGITUDE"),
+        "CBSA", deal("Purchase_Price").cast("long").alias("Purchase_Price"),
+        deal("Property_Description").alias("Property_Description"),
         F.col("`Simple Owner`").alias("Simple_Owner"),
         "Include", F.col("Construction_Type").alias("Type"), "MEntity",
         F.col("`Parent MEntity`").alias("Parent_MEntity"), "Abutting", "Remote",

@@ -68,12 +68,16 @@ def chart_of_accounts(raw: DataFrame, account_col: str = "account",
     """Reportable accounts -> (account, line_item, line_no, sign).
 
     Names are right-trimmed (a trailing blank in one line name is a known
-    defect of the source file); ``sign`` is -1 for the income set.
+    defect of the source file); ``sign`` is -1 for the income set.  An account
+    listed several times counts once; one that is on two lines stops the job
+    (``quality.account_conflicts`` lists them).
     """
     line = F.rtrim(F.col(line_col))
-    chart = (raw.where(line != NOT_REPORTED)
-                .select(F.col(account_col).cast("string").alias("account"),
-                        line.alias("line_item")))
+    per = (raw.groupBy(F.trim(F.col(account_col).cast("string")).alias("account"))
+              .agg(F.min(line).alias("_lo"), F.max(line).alias("_hi")))
+    stop = F.raise_error(F.concat(F.lit("account on two lines: "), F.col("account"))).cast("string")
+    chart = (per.select("account", F.when(F.col("_lo") == F.col("_hi"), F.col("_lo")).otherwise(stop).alias("line_item"))
+                .where(F.col("line_item") != NOT_REPORTED))
     return chart.select(
         "account", "line_item",
         line_no_of(F.col("line_item")).alias("line_no"),

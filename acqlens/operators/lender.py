@@ -8,7 +8,8 @@ import datetime as _dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.cleaning import amount_or_zero, clean_key, date_columns_after
+from ..functions.cleaning import (amount_or_zero, clean_key, date_columns_after, undated_columns,
+                                  unreadable_amount)
 from ..functions.stats import sum_money
 
 # ---------------------------------------------------------------------------
@@ -24,10 +25,18 @@ def _q(c: str):
     return F.col(f"`{c}`")
 
 
+def _months(sheet: DataFrame, ids: list[str], watermark: _dt.date | None) -> list[str]:
+    """The month columns after the watermark; a column that is neither an id nor
+    a month stops the load rather than being skipped."""
+    if odd := undated_columns(sheet.columns, ids):
+        raise ValueError(f"columns that are no month: {odd}")
+    return date_columns_after(sheet.columns, watermark)
+
+
 def _melt_months(df: DataFrame, ids: list[str], months: list[str]) -> DataFrame:
     """Wide month columns -> (Date, Amount); the month is a literal per
     column, the cell text goes through the sentinel rule ('x' -> 0, blank ->
-    0)."""
+    0, unreadable text -> null)."""
     if not months:   # nothing after the watermark: no rows, same columns
         return df.select(*[_q(i) for i in ids], F.lit(None).cast("date").alias("Date"),
                          F.lit(None).cast(AMOUNT).alias("Amount")).where(F.lit(False))
@@ -40,10 +49,10 @@ def load_trends(sheet: DataFrame, watermark: _dt.date | None = None) -> DataFram
     """X21 trends: 4 id columns + months after the watermark (chosen at plan
     time, before the unpivot); null centre or account dropped; keys cleaned."""
     ids = ["SAP", "Account_Number", "Description", "Line Item"]
-    months = date_columns_after(sheet.columns, watermark)
-    df = (sheet.where(_q("SAP").isNotNull() & _q("Account_Number").isNotNull())
-               .withColumn("SAP", clean_key(_q("SAP")))
-               .withColumn("Account_Number", clean_key(_q("Account_Number"))))
+    months = _months(sheet, ids, watermark)
+    df = (sheet.withColumn("SAP", clean_key(_q("SAP")))
+               .withColumn("Account_Number", clean_key(_q("Account_Number")))
+               .where(_q("SAP").isNotNull() & _q("Account_Number").isNotNull()))
     long = _melt_months(df, ids, months)
     return long.select(F.col("SAP").alias("SAP_Number"), "Account_Number",
                        F.col("Description").alias("Account_Description"),
@@ -52,9 +61,9 @@ def load_trends(sheet: DataFrame, watermark: _dt.date | None = None) -> DataFram
 
 def load_ubox(sheet: DataFrame, watermark: _dt.date | None = None) -> DataFrame:
     """X21 u-box: the two delivery-income accounts, constant account number."""
-    months = date_columns_after(sheet.columns, watermark)
-    df = (sheet.where(F.col("Account").isin(UBOX_ACCOUNTS) & _q("#").isNotNull())
-               .withColumn("#", clean_key(_q("#"))))
+    months = _months(sheet, ["#", "Account"], watermark)
+    df = (sheet.withColumn("#", clean_key(_q("#")))
+               .where(F.col("Account").isin(UBOX_ACCOUNTS) & _q("#").isNotNull()))
     long = _melt_months(df, ["#", "Account"], months)
     return long.select(F.col("`#`").alias("SAP_Number"), F.lit(UBOX_ACCOUNT_NUMBER).alias("Account_Number"),
                        F.col("Account").alias("Account_Description"), "Date", "Amount")
@@ -63,7 +72,7 @@ def load_ubox(sheet: DataFrame, watermark: _dt.date | None = None) -> DataFrame:
 def load_adjustments(sheet: DataFrame, watermark: _dt.date | None = None) -> DataFrame:
     """X21 adjustments: null centre dropped, eight columns renamed, dates
     after the watermark."""
-    df = sheet.where(_q("SAP").isNotNull())
+    df = sheet.where(clean_key(_q("SAP")).isNotNull())
     out = df.select(
         clean_key(_q("SAP")).alias("SAP_Number"),
         clean_key(_q("Account")).alias("Account_Number"),
@@ -78,14 +87,25 @@ def load_adjustments(sheet: DataFrame, watermark: _dt.date | None = None) -> Dat
     return out
 
 
+def unreadable_amounts(sheet: DataFrame, ids: list[str], key: str) -> DataFrame:
+    """Findings: cells of month columns that hold text but no amount."""
+    months = _months(sheet, ids, None)
+    cells = F.array(*[F.struct(F.lit(m).alias("month"), _q(m).cast("string").alias("cell"),
+                               unreadable_amount(_q(m), "x", AMOUNT).alias("bad")) for m in months])
+    bad = sheet.select(_q(key).alias("key"), F.inline(cells)).where("bad")
+    return bad.select(F.lit("unreadable amount").alias("check"), F.col("key").cast("string").alias("key"),
+                      F.concat_ws("=", "month", "cell").alias("detail"))
+
+
 def apply_reload(stored: DataFrame, new_rows: DataFrame, watermark: _dt.date,
                  date_col: str = "Date") -> DataFrame:
     """S8 as a state transition: when ``watermark`` precedes the stored
     maximum, stored rows after it are deleted; then the new rows are
-    appended.  An equal or later watermark deletes nothing."""
+    appended.  An equal or later watermark deletes nothing, and a stored row
+    without a date is never deleted."""
     stored_max = stored.select(F.max(date_col)).scalar()
     keep = stored.where(stored_max.isNull() | (F.lit(watermark) >= stored_max)
-                        | (F.col(date_col) <= F.lit(watermark)))
+                        | F.col(date_col).isNull() | (F.col(date_col) <= F.lit(watermark)))
     return keep.unionByName(new_rows)
 
 

@@ -24,8 +24,12 @@ def first_per_contract(df: DataFrame, key: str = "con_pk", order: list[str] | No
 
 
 def with_person_key(df: DataFrame) -> DataFrame:
-    """Person key from entity and names; the raw names do not leave the job."""
-    pk = F.sha2(F.concat_ws("|", "con_entity", "cus_firstname", "cus_lastname"), 256)
+    """Person key from entity and names; the raw names do not leave the job.
+    Each part goes in with its length, a null as ``n``, so that no two people
+    share a key because a part is missing."""
+    parts = [F.coalesce(F.concat(F.length(c).cast("string"), F.lit(":"), F.col(c)), F.lit("n"))
+             for c in ("con_entity", "cus_firstname", "cus_lastname")]
+    pk = F.sha2(F.concat_ws("|", *parts), 256)
     return df.withColumn("person_key", pk).drop("cus_firstname", "cus_lastname")
 
 

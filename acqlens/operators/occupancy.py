@@ -32,7 +32,7 @@ def actual_occupancy(unit_mix: DataFrame, acq_list: DataFrame, as_of: _dt.date,
     """Units and occupied units by month x entity x product for included
     entities, U-box excluded, up to the first of the month before ``as_of``."""
     last = fiscal.py_prev_month_start(as_of)
-    listed = acq_list.where(F.col("Include").cast("boolean")).select("MEntity")
+    listed = acq_list.where(F.col("Include").try_cast("boolean")).select("MEntity")
     um = (unit_mix.where(storage_product(F.col("unm_product"), keep_null_product)
                          & (F.col("Date") <= F.lit(last)))
                   .join(listed, "MEntity", "left_semi"))
@@ -71,8 +71,9 @@ def occupancy_mix(unit_mix: DataFrame, entities: DataFrame, month: _dt.date,
     um = unit_mix.where((F.col("Date") == F.lit(month)) & storage_product(F.col("unm_product")))
     if min_date is not None:
         um = um.where(F.col("Date") >= F.lit(min_date))
-    # forecast entities repeat once per forecast row: reduce them map-side first
-    um = um.join(entities.select("MEntity").distinct(), "MEntity", "left_semi")
+    # the key list goes in as it is: a distinct here would keep AQE from
+    # splitting a hot entity (see ledger.restrict_ledger)
+    um = um.join(entities.select("MEntity"), "MEntity", "left_semi")
     agg = um.groupBy("Date", "MEntity", F.col("unm_product").alias("product"),
                      F.col("unm_climate").alias("climate")).agg(
         avg_money_half_up(F.col("unm_rentrate"), 2).alias("rent_rate"),
@@ -88,7 +89,11 @@ def forecast_splice(unit_mix: DataFrame, forecast: DataFrame, as_of: _dt.date,
     there is no actual row).  Columns are matched by name; absent ones null."""
     month = fiscal.py_prev_month_start(as_of)
     actual = occupancy_mix(unit_mix, forecast, month, min_date)
-    latest = actual.select(F.max("Date")).scalar()
+    # the actual part is one month: whether it has a row decides the cut
+    latest = (unit_mix.where((F.col("Date") == F.lit(month)) & storage_product(F.col("unm_product")))
+              .join(forecast.select("MEntity"), "MEntity", "left_semi").select(F.max("Date")).scalar())
+    if min_date is not None and min_date > month:
+        latest = F.lit(None).cast("date")
     fc = forecast.where(latest.isNull() | (F.col("FC_Date") > latest))
     return actual.unionByName(fc, allowMissingColumns=True)
 
@@ -122,6 +127,12 @@ def forecast_capacity(latest: DataFrame, actual: DataFrame, acq_list: DataFrame)
                     "Total_Rooms")
 
 
+def forecast_group_entities(latest: DataFrame, acq_list: DataFrame) -> DataFrame:
+    """Distinct entities with a forecast per acquisition group."""
+    listed = latest.select("MEntity").distinct().join(acq_list.select("MEntity", "Group"), "MEntity")
+    return listed.groupBy("Group").agg(F.countDistinct("MEntity").alias("n_entities"))
+
+
 def listed_forecasts(forecast: DataFrame, acq_list: DataFrame, as_of: _dt.date | None = None) -> DataFrame:
     """X19d: forecast rows of entities on the list; with ``as_of`` only
     vintages starting after the first of the month before it."""

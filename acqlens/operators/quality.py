@@ -55,9 +55,36 @@ def data_presence(centres: DataFrame, cash_trend: DataFrame, currency: str = "Gr
 
 
 def raise_on_findings(findings: DataFrame, message: str) -> None:
-    """Strict mode: stop the job when a check found anything."""
-    if not findings.isEmpty():
-        raise ValueError(f"{message}: {findings.limit(20).collect()}")
+    """Strict mode: stop the job when a check found anything.  The message shows
+    up to 20 findings and how many there are."""
+    shown = findings.limit(21).collect()
+    if shown:
+        total = len(shown) if len(shown) < 21 else findings.count()
+        raise ValueError(f"{message}: {total} findings, the first {min(20, total)}: {shown[:20]}")
+
+
+def unique_or_stop(df: DataFrame, key: str, message: str) -> DataFrame:
+    """``df`` with one row per key; the job stops where a key has several.  One
+    aggregate in the plan itself: no extra job, and nothing can read past it."""
+    others = [c for c in df.columns if c != key]
+    one = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"), F.min(F.struct(*others)).alias("_row"))
+    several = F.raise_error(F.concat(F.lit(f"{message}: "), F.coalesce(F.col(key).cast("string"), F.lit("null"))))
+    return (one.select(F.when(F.col("_n") == 1, F.col(key)).otherwise(several.cast(df.schema[key].dataType)).alias(key),
+                       "_row").select(key, "_row.*"))
+
+
+def unreadable_flags(df: DataFrame, key: str, flag: str) -> DataFrame:
+    """Rows whose flag holds something that is neither true nor false."""
+    bad = df.where(F.col(flag).isNotNull() & F.col(flag).try_cast("boolean").isNull())
+    return _finding(bad, "unreadable flag", F.col(key), F.concat(F.lit(f"{flag}="), F.col(flag).cast("string")))
+
+
+def account_conflicts(chart_raw: DataFrame, account_col: str = "account", line_col: str = "line_item") -> DataFrame:
+    """Accounts that the raw chart puts on two lines."""
+    a, line = F.trim(F.col(account_col).cast("string")), F.rtrim(F.col(line_col))
+    two = (chart_raw.groupBy(a.alias("account")).agg(F.min(line).alias("lo"), F.max(line).alias("hi"))
+           .where(F.col("lo") != F.col("hi")))
+    return _finding(two, "account on two lines", F.col("account"), F.concat_ws(" / ", "lo", "hi"))
 
 
 def centres_without_data(centres: DataFrame, facts: DataFrame, fact_key: str = "profit_center",

@@ -4,12 +4,13 @@ months, this year and last year, in one pass over the panel."""
 from __future__ import annotations
 
 import datetime as _dt
+from collections.abc import Collection
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import fiscal
-from ..functions.stats import exact_median, ratio_half_up
+from ..functions.stats import exact_median
 
 # ---------------------------------------------------------------------------
 # Fixed values that must equal the reference's report.
@@ -20,6 +21,9 @@ BUCKET_LOWER = [0.775, 0.80, 0.825, 0.85, 0.875, 0.90, 0.925, 0.95, 0.975]
 LITERAL_UPPER = [0.7749, 0.7999, 0.8249, 0.8499, 0.8749, 0.8999, 0.9249, 0.9499, 0.9749, 1.0]
 # ---------------------------------------------------------------------------
 
+# Periods whose top bucket the reference ends at 1 (fixed value).
+CAPPED_PERIODS = ("month", "month_ly", "ttm_ly")
+
 # Periods relative to the anchor month: (name, first month back, last month back).
 PERIODS = [("month", 0, 0), ("quarter", 0, 2), ("ttm", 0, 11),
            ("month_ly", 12, 12), ("quarter_ly", 12, 14), ("ttm_ly", 12, 23)]
@@ -77,10 +81,10 @@ def samestore_metrics(panel: DataFrame, anchor: _dt.date, threshold: float = SHA
     out = base.join(med, "period", "left")
     return out.select(
         "period", "n_entities",
-        ratio_half_up(F.col("_occ"), F.col("_tot"), 6).alias("weighted_occ"),
-        F.round(F.col("_median"), 7).alias("median_occ"),
+        F.try_divide(F.col("_occ").cast("double"), F.col("_tot").cast("double")).alias("weighted_occ"),
+        F.col("_median").alias("median_occ"),
         "n_at_threshold",
-        ratio_half_up(F.col("n_at_threshold"), den, 6).alias("share_at_threshold"))
+        F.try_divide(F.col("n_at_threshold"), den).alias("share_at_threshold"))
 
 
 def bucket_conditions(x: Column, cap_top: bool = False, literal_edges: bool = False) -> list[Column]:
@@ -97,13 +101,16 @@ def bucket_conditions(x: Column, cap_top: bool = False, literal_edges: bool = Fa
     return conds
 
 
-def samestore_histogram(panel: DataFrame, anchor: _dt.date, cap_top: bool = False,
+def samestore_histogram(panel: DataFrame, anchor: _dt.date, capped: Collection[str] = (),
                         literal_edges: bool = False) -> DataFrame:
     """Ten-bucket histogram of per-entity occupancy per period (one pass,
     ten conditional counts).  Default buckets are contiguous and half-open,
-    the top one uncapped; ``literal_edges``/``cap_top`` reproduce the
-    reference's gaps and its cap at 1."""
+    the top one uncapped; ``literal_edges`` reproduces the reference's gaps,
+    ``capped`` names the periods whose top bucket ends at 1."""
     ent = per_entity(panel, anchor)
-    conds = bucket_conditions(F.col("occupancy"), cap_top, literal_edges)
+    conds = bucket_conditions(F.col("occupancy"), False, literal_edges)
+    if capped:
+        top = bucket_conditions(F.col("occupancy"), True, literal_edges)[-1]
+        conds[-1] = F.when(F.col("period").isin(list(capped)), top).otherwise(conds[-1])
     return ent.groupBy("period").agg(
         *[F.count_if(c).alias(f"bucket_{i}") for i, c in enumerate(conds, start=1)])

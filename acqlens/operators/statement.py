@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ..functions import fiscal
 from ..functions.stats import from_cents, sum_money, to_cents
 from .ledger import BASE_LINES
+from .quality import unique_or_stop
 
 # ---------------------------------------------------------------------------
 # Presentation lines of the statement, in output order.
@@ -110,19 +111,26 @@ def statement_wide(ledger: DataFrame, chart: DataFrame,
     return wide.select(*keys, *[from_cents(_q(c), 2, 18).alias(c) for c in STATEMENT_LINES])
 
 
-def income_statement(ledger: DataFrame, chart: DataFrame, drop_zero_noi: bool = True) -> DataFrame:
-    """Tidy statement (date, profit_center, line_item, value).
+def income_statement(ledger: DataFrame, chart: DataFrame, drop_zero_noi: bool = True,
+                     keys: tuple[str, ...] = ("profit_center", "month")) -> DataFrame:
+    """Tidy statement (date, profit_center, line_item, value, further keys).
 
     ``ledger``: profit_center, account, month, amount (ledger sign).
     ``chart``: output of ``chart_of_accounts``.  Months whose NOI is exactly
     0 are dropped with all their lines.
     """
-    wide = statement_wide(ledger, chart)
+    wide = statement_wide(ledger, chart, keys)
     if drop_zero_noi:
         wide = wide.where(_q("NET OPERATING INCOME") != 0)
-    tidy = wide.unpivot(["profit_center", "month"], [_q(c) for c in STATEMENT_LINES],
-                        "line_item", "value")
-    return tidy.select(F.col("month").alias("date"), "profit_center", "line_item", "value")
+    tidy = wide.unpivot(list(keys), [_q(c) for c in STATEMENT_LINES], "line_item", "value")
+    return tidy.select(F.col("month").alias("date"), "profit_center", "line_item", "value",
+                       *[k for k in keys if k not in ("profit_center", "month")])
+
+
+def collapse_ubox(wide: DataFrame) -> DataFrame:
+    """Q9: the older report's statement, which shows U-box as one line: delivery
+    income is already in U-BOX INCOME, so its memo column goes."""
+    return wide.drop("U-BOX DELIVERY INCOME")
 
 
 def portfolio_statement(ledger: DataFrame, chart: DataFrame, centres: DataFrame,
@@ -131,18 +139,21 @@ def portfolio_statement(ledger: DataFrame, chart: DataFrame, centres: DataFrame,
     and the one before, months up to the first of the ``as_of`` month.
 
     ``centres``: profit_center, MEntity, Group (output of
-    ``acquisitions.included_centres``).
+    ``acquisitions.included_centres``); a centre listed twice stops the job, as
+    its statement would be counted twice.
+
+    The centres are joined once, before the aggregate: the join restricts the
+    ledger and brings the attributes, which then travel as grouping keys.
     """
-    from .ledger import restrict_ledger
 
     fy_last, _ = fiscal.fiscal_years_of(as_of)
     lo = _dt.date(fy_last - 1, 4, 1)             # first month of the earlier fiscal year
     cut = _dt.date(as_of.year, as_of.month, 1)    # first of the as-of month, inclusive
-    led = restrict_ledger(ledger.where(F.col("month").between(F.lit(lo), F.lit(cut))), centres=centres)
-    st = income_statement(led, chart)
-    grp = centres.select("profit_center", "MEntity", F.col("Group").alias("grp_num"))
+    grp = unique_or_stop(centres.select("profit_center", "MEntity", F.col("Group").alias("grp_num")),
+                         "profit_center", "profit centre listed twice")
+    led = ledger.where(F.col("month").between(F.lit(lo), F.lit(cut))).join(grp, "profit_center")
+    out = income_statement(led, chart, keys=("profit_center", "month", "MEntity", "grp_num"))
     d = F.col("date")
-    out = st.join(grp, "profit_center", "left")
     return out.select(
         "date", "profit_center", "MEntity", "line_item", "value",
         fiscal.group_label_of_number(F.col("grp_num"), base_fy, base_q).alias("grp_name"),

@@ -7,15 +7,9 @@ independently of the Spark code.
 
 from __future__ import annotations
 
-import datetime as _dt
-
-from ..functions.fiscal import fiscal_years_of, py_add_months, py_prev_month_start
-from ..operators import samestore as _SS
-from ..operators.ledger import BASE_LINES
-from ..operators.statement import EXPENSE_PARTS, REVENUE_PARTS, STATEMENT_LINES, UBOX_PARTS
-from ..sources import bindings as B
-from . import queries as Qp
+from . import oracle_values as V
 from .oracle_bindings import with_ctes
+from .oracle_values import BASE_LINES, EXPENSE_PARTS, REVENUE_PARTS, STATEMENT_LINES, UBOX_PARTS
 
 SQL: dict[str, str] = {}
 
@@ -28,8 +22,8 @@ def _sum(parts: list[str]) -> str:
     return " + ".join(_q(p) for p in parts)
 
 
-FY_LAST, FY_CUR = fiscal_years_of(B.AS_OF)
-AS_OF = f"DATE '{B.AS_OF.isoformat()}'"
+FY_LAST, FY_CUR = V.FY_LAST, V.FY_CUR
+AS_OF = f"DATE '{V.AS_OF.isoformat()}'"
 
 # ledger rebuilt from the wide form (nulls dropped)
 LEDGER_FROM_WIDE = ("ledger_from_wide", """
@@ -48,10 +42,10 @@ FROM (SELECT *, CAST(replace(period, 'GC_PER_', '') AS INTEGER) AS p
 
 # included centres
 CENTRES = ("centres", """
-SELECT split_part(trim(Profit_Center), '.', 1) AS profit_center, MEntity, "Group"
-FROM acquisitions
-WHERE Include AND Profit_Center IS NOT NULL AND trim(Profit_Center) <> ''
-  AND length(split_part(trim(Profit_Center), '.', 1)) > 3""")
+SELECT pc AS profit_center, MEntity, "Group"
+FROM (SELECT *, CASE WHEN trim(Profit_Center) LIKE '%E9' THEN CAST(CAST(trim(Profit_Center) AS DECIMAL(38,0)) AS VARCHAR)
+                     ELSE split_part(trim(Profit_Center), '.', 1) END AS pc FROM acquisitions)
+WHERE Include = 'Yes' AND Profit_Center IS NOT NULL AND trim(Profit_Center) <> '' AND length(pc) > 3""")
 
 
 def statement_ctes(ledger: str, name: str = "stmt") -> list[tuple[str, str]]:
@@ -106,13 +100,13 @@ GROUP BY ALL""")
 
 
 def grp_label_sql(g: str) -> str:
-    idx = f"({g} - 1 + {B.BASE_Q} - 1)"
-    return (f"CASE WHEN {g} >= 1 THEN 'F' || lpad(CAST(({B.BASE_FY} + {idx} // 4) % 100 AS VARCHAR), 2, '0')"
+    idx = f"({g} - 1 + {V.BASE_Q} - 1)"
+    return (f"CASE WHEN {g} >= 1 THEN 'F' || lpad(CAST(({V.BASE_FY} + {idx} // 4) % 100 AS VARCHAR), 2, '0')"
             f" || '_Q' || CAST({idx} % 4 + 1 AS VARCHAR) END")
 
 
 _FY_LO = f"DATE '{FY_LAST - 1}-04-01'"
-_CUT = f"DATE '{B.AS_OF.year}-{B.AS_OF.month:02d}-01'"
+_CUT = f"DATE '{V.AS_OF.year}-{V.AS_OF.month:02d}-01'"
 PORTFOLIO = [
     CENTRES,
     ("pled", f"""
@@ -146,7 +140,7 @@ SELECT * FROM portfolio WHERE date <= last_day({AS_OF} - INTERVAL 1 MONTH)""", P
 SQL["list_cutoff"] = with_ctes(["acquisitions"], f"""
 SELECT * FROM acquisitions WHERE Close_of_Escrow <= last_day({AS_OF} - INTERVAL 1 MONTH)""")
 
-_MAXM = f"DATE '{py_prev_month_start(B.AS_OF).isoformat()}'"
+_MAXM = f"DATE '{V.LAST_MONTH}'"
 LINE_AMOUNTS = ("lia", """
 SELECT l.profit_center, l.month, c.line_item, CAST(sum(l.amount * c.sign) AS DECIMAL(18,2)) AS amount
 FROM ledger_long l JOIN chart c ON c.account = l.account
@@ -170,7 +164,7 @@ WHERE line_item = 'NET OPERATING INCOME' AND value <> 0 GROUP BY profit_center""
 SQL["fiscal_calendar"] = with_ctes(["ledger_long"], f"""
 SELECT month, CAST(year(month) AS INTEGER) AS year, CAST(month(month) AS INTEGER) AS cal_month, strftime(month, '%b') AS month_abbr,
        fy AS fiscal_year, CAST(month(month - INTERVAL 3 MONTH) AS INTEGER) AS fiscal_month, fq AS fiscal_quarter,
-       (fy - {B.BASE_FY}) * 4 + fq - {B.BASE_Q} + 1 AS grp_num,
+       (fy - {V.BASE_FY}) * 4 + fq - {V.BASE_Q} + 1 AS grp_num,
        'F' || lpad(CAST(fy % 100 AS VARCHAR), 2, '0') || '_Q' || CAST(fq AS VARCHAR) AS grp_name,
        replace(replace('F' || lpad(CAST(fy % 100 AS VARCHAR), 2, '0') || '_Q' || CAST(fq AS VARCHAR), '_', ' '), 'F', 'FY') AS grp_display,
        last_day(month) AS month_end
@@ -188,7 +182,7 @@ SELECT Date, MEntity, unm_product, CAST(sum(unm_numunits) AS BIGINT) AS unm_numu
        {_FISCAL('Date')}
 FROM unit_mix
 WHERE upper(unm_product) <> 'UBOX' AND Date <= {_LAST}
-  AND MEntity IN (SELECT MEntity FROM acquisitions WHERE Include)
+  AND MEntity IN (SELECT MEntity FROM acquisitions WHERE Include = 'Yes')
 GROUP BY Date, MEntity, unm_product""")
 
 SQL["actual_occupancy"] = with_ctes(["unit_mix", "acquisitions"], "SELECT * FROM actual", [ACTUAL])
@@ -204,14 +198,14 @@ JOIN (SELECT q."Group", count(DISTINCT a.MEntity) AS n_entities
 
 MIX = ("mix", f"""
 SELECT Date, MEntity, product, climate,
-       ((2 * c + n) // (2 * n)) / 100.0 AS rent_rate,
+       ((2 * c + 100 * n) // (200 * n)) / 100.0 AS rent_rate,
        total_units, occ_units,
        CASE WHEN total_units <> 0 THEN ((200 * occ_units + total_units) // (2 * total_units)) / 100.0 END AS occ_pct
 FROM (SELECT Date, MEntity, unm_product AS product, unm_climate AS climate,
-             CAST(sum(unm_rentrate) * 100 AS BIGINT) AS c, count(unm_rentrate) AS n,
+             CAST(sum(unm_rentrate) * 10000 AS BIGINT) AS c, count(unm_rentrate) AS n,
              CAST(sum(unm_numunits) AS BIGINT) AS total_units, CAST(sum(unm_occunits) AS BIGINT) AS occ_units
       FROM unit_mix
-      WHERE Date = {_LAST} AND Date >= DATE '{Qp.MIN_ACTUAL}' AND upper(unm_product) <> 'UBOX'
+      WHERE Date = {_LAST} AND Date >= DATE '{V.MIN_ACTUAL}' AND upper(unm_product) <> 'UBOX'
         AND MEntity IN (SELECT MEntity FROM forecast)
       GROUP BY ALL)""")
 
@@ -258,11 +252,8 @@ SELECT * FROM forecast WHERE MEntity IN (SELECT DISTINCT MEntity FROM acquisitio
 
 # ---------------------------------------------------------------- same-store
 
-_ANCHOR = py_prev_month_start(B.AS_OF)
-_EXCL = ", ".join("'" + c + "'" for c in Qp.SAMESTORE_EXCLUDE)
-_PERIODS = ", ".join(
-    f"('{n}', DATE '{py_add_months(_ANCHOR, -hi).isoformat()}', DATE '{py_add_months(_ANCHOR, -lo).isoformat()}')"
-    for n, lo, hi in _SS.PERIODS)
+_EXCL = ", ".join("'" + c + "'" for c in V.SAMESTORE_EXCLUDE)
+_PERIODS = ", ".join(f"('{n}', DATE '{lo}', DATE '{hi}')" for n, lo, hi in V.PERIODS)
 PANEL = ("panel", f"""
 SELECT o.MEntity, o.Date, coalesce(o.occ, 0) AS occ, coalesce(t.total, 0) AS total,
        CASE WHEN coalesce(t.total, 0) <> 0 THEN coalesce(o.occ, 0) / t.total ELSE 0.0 END AS occupancy
@@ -280,14 +271,14 @@ SQL["occupancy_panel"] = with_ctes(["rooms", "samestore_centres", "entity_info"]
 
 SQL["samestore_metrics"] = with_ctes(["rooms", "samestore_centres", "entity_info"], """
 SELECT period, count(*) AS n_entities,
-       ((2000000 * sum(occ) + sum(total)) // (2 * sum(total))) / 1000000.0 AS weighted_occ,
-       round(median(occupancy), 7) AS median_occ,
+       round(sum(occ) / sum(total), 6) AS weighted_occ,
+       round(median(occupancy), 6) AS median_occ,
        count(*) FILTER (WHERE occupancy >= CAST(0.85 AS DOUBLE)) AS n_at_threshold,
-       ((2000000 * count(*) FILTER (WHERE occupancy >= CAST(0.85 AS DOUBLE)) + count(*)) // (2 * count(*))) / 1000000.0
+       round(CAST(count(*) FILTER (WHERE occupancy >= CAST(0.85 AS DOUBLE)) AS DOUBLE) / count(*), 6)
          AS share_at_threshold
 FROM ent GROUP BY period""", [PANEL, ENT])
 
-_B = [f"CAST({e} AS DOUBLE)" for e in _SS.BUCKET_LOWER]
+_B = [f"CAST({e} AS DOUBLE)" for e in V.BUCKET_LOWER]
 _BUCKETS = [f"occupancy < {_B[0]}"] + [f"occupancy >= {a} AND occupancy < {b}" for a, b in zip(_B, _B[1:])] \
     + [f"occupancy >= {_B[-1]}"]
 SQL["samestore_histogram"] = with_ctes(["rooms", "samestore_centres", "entity_info"], "SELECT period, " + ", ".join(
@@ -296,44 +287,34 @@ SQL["samestore_histogram"] = with_ctes(["rooms", "samestore_centres", "entity_in
 
 
 # ---------------------------------------------------------------- lender
-_WM = B.sheet_months()
-_WATERMARK = Qp.LENDER_WATERMARK
-_STORED_UNTIL = f"DATE '{Qp.LENDER_STORED_UNTIL.isoformat()}'"
-
-
-def _amount(v: str) -> str:
-    return (f"coalesce(CASE WHEN lower(trim({v})) = 'x' THEN CAST(0 AS DECIMAL(18,2)) "
-            f"ELSE TRY_CAST(trim({v}) AS DECIMAL(18,2)) END, CAST(0 AS DECIMAL(18,2)))")
+_WATERMARK = V.LENDER_WATERMARK
+_STORED_UNTIL = f"DATE '{V.LENDER_STORED_UNTIL}'"
 
 
 def _key(v: str) -> str:
     return f"CASE WHEN trim(CAST({v} AS VARCHAR)) <> '' THEN split_part(trim(CAST({v} AS VARCHAR)), '.', 1) END"
 
 
-def _months_after(wm) -> str:
-    return ", ".join(f'"{m.isoformat()}"' for m in _WM if wm is None or m > wm)
+def _after(wm) -> str:
+    return f"Date > DATE '{wm}'" if wm else "true"
 
 
 def trends_load_cte(name: str, wm) -> tuple[str, str]:
     return (name, f"""
-SELECT {_key('SAP')} AS SAP_Number, {_key('Account_Number')} AS Account_Number,
-       Description AS Account_Description, "Line Item" AS Line_Item,
-       CAST(mname AS DATE) AS Date, {_amount('cell')} AS Amount
-FROM (SELECT * FROM lender_trends_wide WHERE SAP IS NOT NULL AND Account_Number IS NOT NULL)
-UNPIVOT INCLUDE NULLS (cell FOR mname IN ({_months_after(wm)}))""")
+SELECT {_key('SAP')} AS SAP_Number, Account_Number, Line_Item AS Account_Description, Line_Item, Date,
+       CASE WHEN cell = 'x' THEN CAST(0 AS DECIMAL(18,2)) ELSE TRY_CAST(cell AS DECIMAL(18,2)) END AS Amount
+FROM trend_cells WHERE {_key('SAP')} IS NOT NULL AND {_after(wm)}""")
 
 
 def ubox_load_cte(name: str, wm) -> tuple[str, str]:
     return (name, f"""
-SELECT {_key('"#"')} AS SAP_Number, '52152' AS Account_Number, Account AS Account_Description,
-       CAST(mname AS DATE) AS Date, {_amount('cell')} AS Amount
-FROM (SELECT * FROM lender_ubox_wide
-      WHERE Account IN ('U-BOX ONE-WAY DELIVERY INCOME', 'U-BOX LOCAL DELIVERY INCOME') AND "#" IS NOT NULL)
-UNPIVOT INCLUDE NULLS (cell FOR mname IN ({_months_after(wm)}))""")
+SELECT SAP_Number, '52152' AS Account_Number, Account AS Account_Description, Date,
+       CAST(Amount AS DECIMAL(18,2)) AS Amount
+FROM ubox_cells WHERE {_after(wm)}""")
 
 
 def adj_load_cte(name: str, wm) -> tuple[str, str]:
-    cond = f"AND \"Final Month\" > DATE '{wm.isoformat()}'" if wm else ""
+    cond = f"AND \"Final Month\" > DATE '{wm}'" if wm else ""
     return (name, f"""
 SELECT {_key('SAP')} AS SAP_Number, {_key('Account')} AS Account_Number,
        "Line Item" AS Account_Description, CAST("Final Month" AS DATE) AS Date,
@@ -344,23 +325,23 @@ SELECT {_key('SAP')} AS SAP_Number, {_key('Account')} AS Account_Number,
 FROM lender_adjustments_sheet WHERE SAP IS NOT NULL {cond}""")
 
 
-SQL["lender_trend_load"] = with_ctes(["lender_trends_wide"], "SELECT * FROM tl",
+SQL["lender_trend_load"] = with_ctes(["trend_cells"], "SELECT * FROM tl",
                                      [trends_load_cte("tl", _WATERMARK)])
-SQL["lender_ubox_load"] = with_ctes(["lender_ubox_wide"], "SELECT * FROM ul",
+SQL["lender_ubox_load"] = with_ctes(["ubox_cells"], "SELECT * FROM ul",
                                     [ubox_load_cte("ul", _WATERMARK)])
 SQL["lender_adjustment_load"] = with_ctes(["lender_adjustments_sheet"], "SELECT * FROM al",
                                           [adj_load_cte("al", _WATERMARK)])
 
-SQL["lender_reload"] = with_ctes(["lender_trends_wide"], f"""
+SQL["lender_reload"] = with_ctes(["trend_cells"], f"""
 SELECT * FROM stored
-WHERE (SELECT max(Date) FROM stored) IS NULL OR DATE '{_WATERMARK.isoformat()}' >= (SELECT max(Date) FROM stored)
-   OR Date <= DATE '{_WATERMARK.isoformat()}'
+WHERE (SELECT max(Date) FROM stored) IS NULL OR DATE '{_WATERMARK}' >= (SELECT max(Date) FROM stored)
+   OR Date IS NULL OR Date <= DATE '{_WATERMARK}'
 UNION ALL SELECT * FROM tl""",
-    [trends_load_cte("tall", None), ("stored", f"SELECT * FROM tall WHERE Date <= {_STORED_UNTIL}"),
+    [trends_load_cte("tall", None), ("stored", f"""SELECT * FROM tall WHERE Date <= {_STORED_UNTIL}
+UNION ALL SELECT * REPLACE (CAST(NULL AS DATE) AS Date) FROM tall WHERE Date = {_STORED_UNTIL}"""),
      trends_load_cte("tl", _WATERMARK)])
 
-_OLD_ASOF = Qp.RANGE_REPLACE_OLD_AS_OF
-_OLD_FY_LAST, _ = fiscal_years_of(_OLD_ASOF)
+_OLD_ASOF, _OLD_FY_LAST = V.OLD_AS_OF, V.OLD_FY_LAST
 PORTFOLIO_OLD = [
     ("pled_old", f"""
 SELECT * FROM ledger_long
@@ -375,11 +356,13 @@ SELECT s.date, s.profit_center, c.MEntity, s.line_item, s.value,
 FROM pstmt_old s LEFT JOIN centres c ON c.profit_center = s.profit_center"""),
 ]
 SQL["statement_range_replace"] = with_ctes(["ledger_long", "chart", "acquisitions"], f"""
-SELECT * FROM portfolio_old WHERE NOT (fiscal_year BETWEEN {FY_LAST} AND {FY_CUR})
+SELECT * FROM (SELECT * REPLACE (CASE WHEN NOT (line_item = 'SALES' AND month = 4) THEN fiscal_year END AS fiscal_year)
+               FROM portfolio_old)
+WHERE fiscal_year IS NULL OR NOT (fiscal_year BETWEEN {FY_LAST} AND {FY_CUR})
 UNION ALL SELECT * FROM portfolio""", PORTFOLIO + PORTFOLIO_OLD)
 
-_ACCTS = f"SELECT CAST({B.ACCOUNT_BASE} + p_partkey AS VARCHAR) FROM part WHERE p_size <= 25"
-SQL["lender_trend_rollup"] = with_ctes(["lender_trends_wide", "samestore_centres"], f"""
+_ACCTS = f"SELECT CAST({V.ACCOUNT_BASE} + p_partkey AS VARCHAR) FROM part WHERE p_size <= 25"
+SQL["lender_trend_rollup"] = with_ctes(["trend_cells", "samestore_centres"], f"""
 SELECT Date, Line_Item, sum(Amount) AS value FROM tall
 WHERE Account_Number IN ({_ACCTS}) AND SAP_Number IN (SELECT profit_center FROM samestore_centres)
 GROUP BY Date, Line_Item""", [trends_load_cte("tall", None)])
@@ -389,12 +372,12 @@ SELECT Date, Account_Description, sum(Total_Adjustment) AS total_adjustment FROM
 WHERE SAP_Number IN (SELECT profit_center FROM samestore_centres)
 GROUP BY Date, Account_Description""", [adj_load_cte("aall", None)])
 
-SQL["lender_ubox_rollup"] = with_ctes(["lender_ubox_wide", "samestore_centres"], """
+SQL["lender_ubox_rollup"] = with_ctes(["ubox_cells", "samestore_centres"], """
 SELECT Date, Account_Description, sum(Amount) AS value FROM uall
 WHERE SAP_Number IN (SELECT profit_center FROM samestore_centres)
 GROUP BY Date, Account_Description""", [ubox_load_cte("uall", None)])
 
-SQL["lender_basis_ledger"] = with_ctes(["lender_trends_wide", "account_conversion"], """
+SQL["lender_basis_ledger"] = with_ctes(["trend_cells", "account_conversion"], """
 SELECT t.SAP_Number AS profit_center, c.ledger_account AS account, t.Line_Item AS line_item,
        t.Date AS month, t.Amount AS amount
 FROM tall t LEFT JOIN account_conversion c ON c.old_account = t.Account_Number""",
@@ -415,14 +398,18 @@ FROM (SELECT con_pk, min({{'a': con_entity, 'b': cus_firstname, 'c': cus_lastnam
 
 
 WINDOWS = [
-    _window_cte("cyw", Qp.MOVEIN_CY[0].isoformat(), Qp.MOVEIN_CY[1].isoformat(), False),
-    _window_cte("lyw", Qp.MOVEIN_LY[0].isoformat(), Qp.MOVEIN_LY[1].isoformat(), True),
+    _window_cte("cyw", V.MOVEIN_CY[0], V.MOVEIN_CY[1], False),
+    _window_cte("lyw", V.MOVEIN_LY[0], V.MOVEIN_LY[1], True),
     ("wins", """
 SELECT con_pk, con_entity, det_movein, det_enddate, esc_product, det_movein = det_enddate AS same_day,
-       sha256(concat_ws('|', con_entity, cus_firstname, cus_lastname)) AS person_key, 'cy' AS "window" FROM cyw
+       sha256(concat_ws('|', coalesce(length(con_entity) || ':' || con_entity, 'n'),
+         coalesce(length(cus_firstname) || ':' || cus_firstname, 'n'),
+         coalesce(length(cus_lastname) || ':' || cus_lastname, 'n'))) AS person_key, 'cy' AS "window" FROM cyw
 UNION ALL
 SELECT con_pk, con_entity, det_movein, det_enddate, esc_product, det_movein = det_enddate AS same_day,
-       sha256(concat_ws('|', con_entity, cus_firstname, cus_lastname)) AS person_key, 'ly' AS "window" FROM lyw"""),
+       sha256(concat_ws('|', coalesce(length(con_entity) || ':' || con_entity, 'n'),
+         coalesce(length(cus_firstname) || ':' || cus_firstname, 'n'),
+         coalesce(length(cus_lastname) || ':' || cus_lastname, 'n'))) AS person_key, 'ly' AS "window" FROM lyw"""),
 ]
 SQL["movein_windows"] = with_ctes(["movein"], "SELECT * FROM wins", WINDOWS)
 SQL["movein_by_day"] = with_ctes(["movein"], """
@@ -433,14 +420,43 @@ FROM (SELECT count(*) AS n_rows, count(*) FILTER (WHERE det_movein = det_enddate
 
 
 # ---------------------------------------------------------------- checks
-SQL["data_presence"] = with_ctes(["acquisitions", "cash_trend"], """
+SQL["data_presence"] = with_ctes(["acquisitions", "ledger_long", "chart"], """
 SELECT c.profit_center, h.pc IS NOT NULL AS has_data,
        CASE WHEN h.pc IS NOT NULL THEN c.profit_center END AS na_key,
        CASE WHEN h.pc IS NOT NULL THEN c.profit_center ELSE 'Error: ' || c.profit_center END AS flag
 FROM (SELECT DISTINCT profit_center FROM centres) c
-LEFT JOIN (SELECT DISTINCT "PROFIT CENTER" AS pc FROM cash_trend
-           WHERE CURRENCY = 'Group' AND SPLIT = 'ALL' AND "NET OPERATING INCOME" <> 0) h
-  ON h.pc = c.profit_center""", [CENTRES])
+LEFT JOIN (SELECT DISTINCT profit_center AS pc FROM stmt
+           WHERE line_item = 'NET OPERATING INCOME' AND value <> 0
+             AND CAST(profit_center AS BIGINT) % 3 <> 0 AND month(date) % 2 = 0) h
+  ON h.pc = c.profit_center""", [CENTRES] + statement_ctes("ledger_long"))
+
+SQL["centres_without_data"] = with_ctes(["acquisitions", "ledger_long", "cost_centre_hierarchy"], f"""
+SELECT c.profit_center, h."Hierarchy Area" AS owner_area
+FROM (SELECT DISTINCT profit_center FROM centres) c
+LEFT JOIN cost_centre_hierarchy h ON h.Profit_Center = c.profit_center
+WHERE c.profit_center NOT IN (SELECT profit_center FROM ledger_long WHERE month = {_MAXM})""", [CENTRES])
+
+SQL["check_unreadable_amounts"] = with_ctes(["trend_cells"], """
+SELECT 'unreadable amount' AS "check", Account_Number AS key, strftime(Date, '%Y-%m-%d') || '=' || cell AS detail
+FROM trend_cells WHERE cell <> 'x' AND TRY_CAST(cell AS DECIMAL(18,2)) IS NULL""")
+
+SQL["check_unreadable_flags"] = with_ctes(["acquisitions"], """
+SELECT 'unreadable flag' AS "check", MEntity AS key, 'Include=' || Include AS detail
+FROM acquisitions WHERE Include NOT IN ('Yes', 'No')""")
+
+SQL["check_account_conflicts"] = with_ctes(["chart_raw"], f"""
+SELECT 'account on two lines' AS "check", account AS key, min(line) || ' / ' || max(line) AS detail
+FROM (SELECT trim(account) AS account, rtrim(line_item) AS line FROM chart_raw
+      UNION ALL
+      SELECT CAST({V.ACCOUNT_BASE} + p_partkey AS VARCHAR),
+             coalesce([{", ".join("'" + n + "'" for n in BASE_LINES)}][CAST((p_partkey + 1) % {V.ACCOUNT_SLOTS} AS INTEGER) + 1],
+                      '{V.NOT_REPORTED}')
+      FROM part WHERE p_partkey % 60 = 0)
+GROUP BY account HAVING min(line) <> max(line)""")
+
+SQL["forecast_group_entities"] = with_ctes(["forecast", "acquisitions"], """
+SELECT q."Group", count(DISTINCT l.MEntity) AS n_entities
+FROM latest l JOIN acquisitions q ON q.MEntity = l.MEntity GROUP BY q."Group" """, [LATEST])
 
 SQL["check_duplicates"] = with_ctes(["movein", "acquisitions"], """
 SELECT 'duplicate contract' AS "check", con_pk AS key, 'rows=' || CAST(count(*) AS VARCHAR) AS detail
@@ -463,7 +479,7 @@ UNION ALL
 SELECT 'latest entity record', MEntity, 'STATUS=' || coalesce(STATUS, 'null')
 FROM latest_entity WHERE NOT coalesce(STATUS = 'O', false)""", [LATEST_ENTITY])
 
-SQL["check_unmapped_accounts"] = with_ctes(["lender_trends_wide", "account_conversion"], """
+SQL["check_unmapped_accounts"] = with_ctes(["trend_cells", "account_conversion"], """
 SELECT 'unmapped account' AS "check", Account_Number AS key, 'no conversion' AS detail
 FROM (SELECT DISTINCT Account_Number FROM tall)
 WHERE Account_Number NOT IN (SELECT old_account FROM account_conversion)""", [trends_load_cte("tall", None)])
@@ -471,22 +487,28 @@ WHERE Account_Number NOT IN (SELECT old_account FROM account_conversion)""", [tr
 
 # ---------------------------------------------------------------- acquisition list
 def _clean(v: str) -> str:
-    return f"CASE WHEN trim({v}) <> '' THEN split_part(trim({v}), '.', 1) END"
+    return (f"CASE WHEN trim({v}) LIKE '%E9' THEN CAST(CAST(trim({v}) AS DECIMAL(38,0)) AS VARCHAR) "
+            f"WHEN trim({v}) <> '' THEN split_part(trim({v}), '.', 1) END")
 
 
 NEW = ("new_acq", f"""
-SELECT *, (FY_Closed - {B.BASE_FY}) * 4 + Quarter_Closed - {B.BASE_Q} + 1 AS "Group"
+SELECT *, (FY_Closed - {V.BASE_FY}) * 4 + Quarter_Closed - {V.BASE_Q} + 1 AS "Group"
 FROM (SELECT MEntity, Name, Close_of_Escrow, CAST(year(Close_of_Escrow + INTERVAL 9 MONTH) AS INTEGER) AS FY_Closed,
-             CAST(quarter(Close_of_Escrow - INTERVAL 3 MONTH) AS INTEGER) AS Quarter_Closed, State, Purchase_Price
-      FROM acquisitions) d
-WHERE (SELECT max(Close_of_Escrow) FROM acquisitions WHERE Close_of_Escrow <= DATE '{Qp.LIST_AS_OF}') IS NULL
-   OR Close_of_Escrow > (SELECT max(Close_of_Escrow) FROM acquisitions WHERE Close_of_Escrow <= DATE '{Qp.LIST_AS_OF}')""")
+             CAST(quarter(Close_of_Escrow - INTERVAL 3 MONTH) AS INTEGER) AS Quarter_Closed, State, Purchase_Price,
+             CAST(k % 40 AS VARCHAR) AS District, CAST(k % 31 AS VARCHAR) AS MCO, 'E' || MEntity AS Entity,
+             CAST(k % 999 AS VARCHAR) || ' Main Street' AS Address, 'City of ' || Type AS City,
+             CAST(k % 90 AS DOUBLE) AS Latitude, (k % 180) * CAST(-0.5 AS DOUBLE) AS Longitude,
+             CAST(k % 4 + 1 AS VARCHAR) || ' floors' AS Property_Description
+      FROM (SELECT *, CAST(MEntity AS BIGINT) AS k FROM acquisitions)) d
+WHERE (SELECT max(Close_of_Escrow) FROM acquisitions WHERE Close_of_Escrow <= DATE '{V.LIST_AS_OF}') IS NULL
+   OR Close_of_Escrow > (SELECT max(Close_of_Escrow) FROM acquisitions WHERE Close_of_Escrow <= DATE '{V.LIST_AS_OF}')""")
 SQL["new_acquisitions"] = with_ctes(["acquisitions"], "SELECT * FROM new_acq", [NEW])
 
 SQL["acquisition_enrichment"] = with_ctes(
     ["acquisitions", "entity_master", "index_match", "entity_info", "real_additions"], """
-SELECT n."Group", n.Close_of_Escrow, l.ENTITY_NAME, l.MCO_NUM, ei."Cost Center" AS Profit_Center, n.State,
-       l.LOC_LATITUDE, l.LOC_LONGITUDE, ei.CBSA, n.Purchase_Price, im."Simple Owner" AS Simple_Owner,
+SELECT n."Group", n.Close_of_Escrow, l.ENTITY_NAME, n.District AS DISTRICT_NO, n.MCO AS MCO_NUM, n.Entity,
+       ei."Cost Center" AS Profit_Center, n.Address, n.City, n.State, n.Latitude AS LOC_LATITUDE,
+       n.Longitude AS LOC_LONGITUDE, ei.CBSA, n.Purchase_Price, n.Property_Description, im."Simple Owner" AS Simple_Owner,
        NOT (im."Parent MEntity" IS NOT NULL OR im.Abutting IS NOT NULL) AS Include,
        ra.Construction_Type AS Type, n.MEntity, im."Parent MEntity" AS Parent_MEntity,
        im.Abutting IS NOT NULL AS Abutting, im."Parent MEntity" IS NOT NULL AS Remote
@@ -544,18 +566,20 @@ WHERE NOT (has_entity AND has_occupancy AND has_forecast)""", [COHORTS, CENTRES,
 SQL["check_missing_line_items"] = with_ctes(["chart"], f"""
 SELECT 'missing line item' AS "check", line_item AS key, 'no account' AS detail
 FROM (SELECT unnest([{", ".join("'" + n + "'" for n in BASE_LINES)}]) AS line_item)
-WHERE line_item NOT IN (SELECT line_item FROM chart)""")
+WHERE line_item NOT IN (SELECT line_item FROM chart WHERE account IN
+  (SELECT CAST({V.ACCOUNT_BASE} + p_partkey AS VARCHAR) FROM part WHERE p_size = 1))""")
 
-_LIT = [f"CAST({e} AS DOUBLE)" for e in _SS.LITERAL_UPPER]
+_LIT = [f"CAST({e} AS DOUBLE)" for e in V.LITERAL_UPPER]
 _LIT_BUCKETS = [f"occupancy <= {_LIT[0]}"] + [
-    f"occupancy >= {lo} AND occupancy <= {hi}" for lo, hi in zip(_B, _LIT[1:])]
+    f"occupancy >= {lo} AND occupancy <= {hi}" for lo, hi in zip(_B, _LIT[1:-1])] + [
+    f"occupancy >= {_B[-1]} AND (occupancy <= {_LIT[-1]} OR period NOT IN ({', '.join(repr(p) for p in V.CAPPED)}))"]
 SQL["samestore_histogram_literal"] = with_ctes(
     ["rooms", "samestore_centres", "entity_info"], "SELECT period, " + ", ".join(
         f"count(*) FILTER (WHERE {c}) AS bucket_{i}" for i, c in enumerate(_LIT_BUCKETS, start=1))
     + " FROM ent GROUP BY period", [PANEL, ENT])
 
 SQL["lender_basis_statement"] = with_ctes(
-    ["lender_trends_wide", "account_conversion", "chart"], "SELECT * FROM bstmt",
+    ["trend_cells", "account_conversion", "chart"], "SELECT * FROM bstmt",
     [trends_load_cte("tall", None),
      ("basis", """
 SELECT t.SAP_Number AS profit_center, c.ledger_account AS account, t.Date AS month, t.Amount AS amount

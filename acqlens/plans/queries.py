@@ -59,9 +59,10 @@ def income_statement(spark, d):
 @query
 def ledger_unpivot(spark, d):
     centres = A.included_centres(B.acquisitions(spark, d))
-    led = L.normalize_ledger(B.ledger_wide(spark, d), keep_null=True)
-    return L.restrict_ledger(led, centres=centres, chart=_chart(spark, d),
-                             fiscal_years=list(fiscal.fiscal_years_of(B.AS_OF)))
+    last, current = fiscal.fiscal_years_of(B.AS_OF)
+    wide = B.ledger_wide(spark, d, _dt.date(last - 1, 4, 1), _dt.date(current, 3, 1))
+    return L.restrict_ledger(L.normalize_ledger(wide, keep_null=True), centres=centres, chart=_chart(spark, d),
+                             fiscal_years=[last, current])
 
 
 @query
@@ -74,10 +75,11 @@ def line_item_amounts(spark, d):
     return L.line_item_amounts(B.ledger_long(spark, d), _chart(spark, d))
 
 
-def _portfolio(spark, d):
+def _portfolio(spark, d, as_of=B.AS_OF):
     centres = A.included_centres(B.acquisitions(spark, d))
-    return S.portfolio_statement(B.ledger_long(spark, d), _chart(spark, d), centres, B.AS_OF,
-                                 B.BASE_FY, B.BASE_Q)
+    first = _dt.date(fiscal.fiscal_years_of(as_of)[0] - 1, 4, 1)
+    led = B.ledger_long(spark, d, first, _dt.date(as_of.year, as_of.month, 1))
+    return S.portfolio_statement(led, _chart(spark, d), centres, as_of, B.BASE_FY, B.BASE_Q)
 
 
 @query
@@ -122,7 +124,13 @@ MIN_ACTUAL = _dt.date(1995, 1, 1)    # earliest actual month used by the splice
 
 
 def _actual(spark, d):
-    return O.actual_occupancy(B.unit_mix(spark, d), B.acquisitions(spark, d), B.AS_OF)
+    um = B.unit_mix(spark, d, hi=fiscal.py_prev_month_start(B.AS_OF))
+    return O.actual_occupancy(um, B.acquisitions(spark, d), B.AS_OF)
+
+
+def _last_mix(spark, d):
+    month = fiscal.py_prev_month_start(B.AS_OF)
+    return B.unit_mix(spark, d, month, month)
 
 
 @query
@@ -137,7 +145,7 @@ def group_occupancy(spark, d):
 
 @query
 def occupancy_mix(spark, d):
-    return O.occupancy_mix(B.unit_mix(spark, d), B.forecast(spark, d),
+    return O.occupancy_mix(_last_mix(spark, d), B.forecast(spark, d),
                            fiscal.py_prev_month_start(B.AS_OF), MIN_ACTUAL)
 
 
@@ -149,7 +157,7 @@ def _nullable_counts_as_double(df, cols):
 
 @query
 def forecast_splice(spark, d):
-    out = O.forecast_splice(B.unit_mix(spark, d), B.forecast(spark, d), B.AS_OF, MIN_ACTUAL)
+    out = O.forecast_splice(_last_mix(spark, d), B.forecast(spark, d), B.AS_OF, MIN_ACTUAL)
     return _nullable_counts_as_double(out, ["ID", "total_units", "occ_units"])
 
 
@@ -170,6 +178,11 @@ def forecast_listed(spark, d):
     return O.listed_forecasts(B.forecast(spark, d), B.acquisitions(spark, d))
 
 
+@query
+def forecast_group_entities(spark, d):
+    return O.forecast_group_entities(O.latest_vintage(B.forecast(spark, d)), B.acquisitions(spark, d))
+
+
 @query
 def forecast_future(spark, d):
     return O.listed_forecasts(B.forecast(spark, d), B.acquisitions(spark, d), B.AS_OF)
@@ -179,8 +192,8 @@ def forecast_future(spark, d):
 SAMESTORE_EXCLUDE = ["7000000003", "7000000005", "7000000007"]
 
 
-def _panel(spark, d):
-    rooms = B.rooms(spark, d)
+def _panel(spark, d, lo=None, hi=None):
+    rooms = B.rooms(spark, d, lo, hi)
     occ = rooms.select("MEntity", "Date", F.col("occ").alias("Amount"))
     tot = rooms.select("MEntity", "Date", F.col("total").alias("Amount"))
     return SS.occupancy_panel(occ, tot, B.samestore_centres(spark, d), B.entity_info(spark, d),
@@ -192,14 +205,21 @@ def occupancy_panel(spark, d):
     return _panel(spark, d)
 
 
+def _recent_panel(spark, d):
+    anchor = fiscal.py_prev_month_start(B.AS_OF)
+    return _panel(spark, d, fiscal.py_add_months(anchor, -23), anchor)
+
+
 @query
 def samestore_metrics(spark, d):
-    return SS.samestore_metrics(_panel(spark, d), fiscal.py_prev_month_start(B.AS_OF))
+    out = SS.samestore_metrics(_recent_panel(spark, d), fiscal.py_prev_month_start(B.AS_OF))
+    # rounded for the comparison with another engine, not in the operator
+    return out.withColumns({c: F.round(c, 6) for c in ("weighted_occ", "median_occ", "share_at_threshold")})
 
 
 @query
 def samestore_histogram(spark, d):
-    return SS.samestore_histogram(_panel(spark, d), fiscal.py_prev_month_start(B.AS_OF))
+    return SS.samestore_histogram(_recent_panel(spark, d), fiscal.py_prev_month_start(B.AS_OF))
 
 
 # ---------------------------------------------------------------- lender
@@ -209,7 +229,7 @@ RANGE_REPLACE_OLD_AS_OF = _dt.date(1999, 10, 15)
 
 
 def _trends(spark, d, watermark=None):
-    return LD.load_trends(B.lender_trends_wide(spark, d), watermark)
+    return LD.load_trends(B.lender_trends_wide(spark, d, watermark), watermark)
 
 
 @query
@@ -219,26 +239,32 @@ def lender_trend_load(spark, d):
 
 @query
 def lender_ubox_load(spark, d):
-    return LD.load_ubox(B.lender_ubox_wide(spark, d), LENDER_WATERMARK)
+    return LD.load_ubox(B.lender_ubox_wide(spark, d, LENDER_WATERMARK), LENDER_WATERMARK)
 
 
 @query
 def lender_adjustment_load(spark, d):
-    return LD.load_adjustments(B.lender_adjustments_sheet(spark, d), LENDER_WATERMARK)
+    sheet = B.lender_adjustments_sheet(spark, d, fiscal.py_add_months(LENDER_WATERMARK, 1))
+    return LD.load_adjustments(sheet, LENDER_WATERMARK)
 
 
 @query
 def lender_reload(spark, d):
-    stored = _trends(spark, d).where(F.col("Date") <= F.lit(LENDER_STORED_UNTIL))
+    every = _trends(spark, d)
+    stored = every.where(F.col("Date") <= F.lit(LENDER_STORED_UNTIL))
+    # rows without a date, which a reload must keep
+    undated = every.where(F.col("Date") == F.lit(LENDER_STORED_UNTIL)).withColumn("Date", F.lit(None).cast("date"))
+    stored = stored.unionByName(undated)
     return LD.apply_reload(stored, _trends(spark, d, LENDER_WATERMARK), LENDER_WATERMARK)
 
 
 @query
 def statement_range_replace(spark, d):
-    centres = A.included_centres(B.acquisitions(spark, d))
-    led, chart = B.ledger_long(spark, d), _chart(spark, d)
-    old = S.portfolio_statement(led, chart, centres, RANGE_REPLACE_OLD_AS_OF, B.BASE_FY, B.BASE_Q)
-    new = S.portfolio_statement(led, chart, centres, B.AS_OF, B.BASE_FY, B.BASE_Q)
+    old = _portfolio(spark, d, RANGE_REPLACE_OLD_AS_OF)
+    # stored rows without a fiscal year, which belong to no range
+    old = old.withColumn("fiscal_year", F.when(~((F.col("line_item") == "SALES") & (F.col("month") == 4)),
+                                               F.col("fiscal_year")))
+    new = _portfolio(spark, d)
     fy_last, fy_cur = fiscal.fiscal_years_of(B.AS_OF)
     return T.replace_range(old, new, "fiscal_year", fy_last, fy_cur)
 
@@ -298,7 +324,37 @@ def movein_same_day(spark, d):
 # ---------------------------------------------------------------- checks
 @query
 def data_presence(spark, d):
-    return Q.data_presence(A.included_centres(B.acquisitions(spark, d)), B.cash_trend(spark, d))
+    noi = S.statement_wide(B.ledger_long(spark, d), _chart(spark, d)).select(
+        "profit_center", "month", F.col("`NET OPERATING INCOME`").alias("amount"))
+    return Q.data_presence(A.included_centres(B.acquisitions(spark, d)), B.cash_trend(spark, d, noi))
+
+
+@query
+def centres_without_data(spark, d):
+    """Included centres that the last month's ledger has nothing for."""
+    month = fiscal.py_prev_month_start(B.AS_OF)
+    hierarchy = B.cost_centre_hierarchy(spark, d).select(
+        F.col("Profit_Center").alias("profit_center"), F.col("`Hierarchy Area`").alias("owner_area"))
+    return Q.centres_without_data(A.included_centres(B.acquisitions(spark, d)),
+                                  B.ledger_long(spark, d, month, month), info=hierarchy)
+
+
+@query
+def check_unreadable_amounts(spark, d):
+    sheet = B.lender_trends_wide(spark, d)
+    return LD.unreadable_amounts(sheet, ["SAP", "Account_Number", "Description", "Line Item"], "Account_Number")
+
+
+@query
+def check_unreadable_flags(spark, d):
+    return Q.unreadable_flags(B.acquisitions(spark, d), "MEntity", "Include")
+
+
+@query
+def check_account_conflicts(spark, d):
+    """The ledger's chart beside the lender's, which moves some accounts a line on."""
+    raw = B.chart_raw(spark, d)
+    return Q.account_conflicts(raw.unionByName(B.lender_chart(spark, d)))
 
 
 @query
@@ -335,8 +391,9 @@ def new_acquisitions(spark, d):
 
 @query
 def acquisition_enrichment(spark, d):
+    # check_expected_value lists the records that strict mode would stop on
     return A.enrich_acquisitions(_new(spark, d), B.entity_master(spark, d), B.index_match(spark, d),
-                                 B.entity_info(spark, d), B.real_additions(spark, d))
+                                 B.entity_info(spark, d), B.real_additions(spark, d), strict=False)
 
 
 @query
@@ -372,13 +429,16 @@ def cohort_gaps(spark, d):
 
 @query
 def check_missing_line_items(spark, d):
-    return Q.missing_line_items(_chart(spark, d))
+    # the lines that the smallest parts' accounts cover
+    few = B.table(spark, d, "part").where(F.col("p_size") == 1).select(
+        (F.lit(B.ACCOUNT_BASE) + F.col("p_partkey")).cast("string").alias("account"))
+    return Q.missing_line_items(_chart(spark, d).join(few, "account", "left_semi"))
 
 
 @query
 def samestore_histogram_literal(spark, d):
-    return SS.samestore_histogram(_panel(spark, d), fiscal.py_prev_month_start(B.AS_OF),
-                                  cap_top=True, literal_edges=True)
+    return SS.samestore_histogram(_recent_panel(spark, d), fiscal.py_prev_month_start(B.AS_OF),
+                                  capped=SS.CAPPED_PERIODS, literal_edges=True)
 
 
 @query

@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-
 from pyspark.sql import SparkSession
 
 # Settings every job in this package relies on.  AQE coalesces the small
@@ -37,16 +34,3 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 
-
-def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``.
-
-    On a cluster this is set by the deployment and is read, never replaced.
-    Only when it is unset (local tests) a fresh scratch folder is created.
-    """
-    current = spark.conf.get("spark.checkpoint.dir", None)
-    if not current:
-        current = tempfile.mkdtemp(prefix="acqlens-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-        spark.conf.set("spark.checkpoint.dir", current)
-    spark.sparkContext.setCheckpointDir(current)
-    return current

@@ -30,18 +30,18 @@ INCOME_SLOTS = [BASE_LINES.index(n) for n in INCOME_LINES]
 RAW_CHART_NAMES = [n + " " if n == "THIRD PARTY LEASE" else n for n in BASE_LINES]
 
 
-_READS: dict[str, DataFrame] = {}
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The parquet table, resolved once per session and path (file listing
-    and footer-based schema inference happen on the driver for every fresh
-    ``spark.read``; a query that reads a table several times reuses it)."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    cached = _READS.get(path)
-    if cached is None or cached.sparkSession is not spark:
-        cached = _READS[path] = spark.read.parquet(path)
-    return cached
+def in_months(df: DataFrame, column: str, lo: _dt.date | None, hi: _dt.date | None) -> DataFrame:
+    """Rows from month ``lo`` to month ``hi`` (both included, None: open), as
+    bounds on the raw column, so that they reach the scan."""
+    if lo is not None:
+        df = df.where(F.col(column) >= F.lit(lo))
+    if hi is not None:
+        df = df.where(F.col(column) < F.lit(fiscal.py_add_months(hi, 1)))
+    return df
 
 
 def month_of(c) -> "F.Column":
@@ -55,8 +55,9 @@ def product_of(flag: str = "l_returnflag", status: str = "l_linestatus") -> "F.C
 
 
 # B1: ledger_long(profit_center, account, month, amount), ledger sign.
-def ledger_long(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem")
+def ledger_long(spark: SparkSession, sf_dir: str, lo: _dt.date | None = None,
+                hi: _dt.date | None = None) -> DataFrame:
+    li = in_months(table(spark, sf_dir, "lineitem"), "l_shipdate", lo, hi)
     amt = F.col("l_extendedprice").cast("decimal(18,2)")
     slot = F.col("l_partkey") % ACCOUNT_SLOTS
     return li.select(
@@ -68,8 +69,9 @@ def ledger_long(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # B1w: ledger_wide(FISCAL_YEAR, PROFIT_CENTER, GL_ACCOUNT, GC_PER_1..12, LC_PER_1..12).
-def ledger_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
-    led = (ledger_long(spark, sf_dir).withColumn("_fm", fiscal.fiscal_month(F.col("month")))
+def ledger_wide(spark: SparkSession, sf_dir: str, lo: _dt.date | None = None,
+                hi: _dt.date | None = None) -> DataFrame:
+    led = (ledger_long(spark, sf_dir, lo, hi).withColumn("_fm", fiscal.fiscal_month(F.col("month")))
                                      .withColumn("_c", to_cents(F.col("amount"))))
     gc = [F.sum(F.when(F.col("_fm") == n, F.col("_c"))).alias(f"GC_PER_{n}") for n in range(1, 13)]
     wide = (led.groupBy(fiscal.fiscal_year(F.col("month")).alias("FISCAL_YEAR"),
@@ -83,17 +85,30 @@ def ledger_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
                        *[p.alias(f"LC_PER_{n}") for n, p in enumerate(periods, start=1)])
 
 
-# B2: raw chart of accounts (account, line_item) read off `part`.
+# B2: raw chart of accounts (account, line_item) read off `part`.  Every
+# 40th account is listed twice, once with a trailing blank.
 def chart_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = table(spark, sf_dir, "part")
     slot = F.col("p_partkey") % ACCOUNT_SLOTS
     name = F.element_at(F.array(*[F.lit(n) for n in RAW_CHART_NAMES]), (slot + 1).cast("int"))
+    account = (F.lit(ACCOUNT_BASE) + F.col("p_partkey")).cast("string")
+    listed = F.when(F.col("p_partkey") % 40 == 0, F.array(account, F.concat(account, F.lit(" ")))) \
+              .otherwise(F.array(account))
     return part.select(
-        (F.lit(ACCOUNT_BASE) + F.col("p_partkey")).cast("string").alias("account"),
+        F.explode(listed).alias("account"),
         F.when(slot < len(BASE_LINES), name).otherwise(F.lit(NOT_REPORTED)).alias("line_item"),
     )
 
 
+# The lender's chart: as the ledger's, but every 60th account is one line on.
+def lender_chart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    part = table(spark, sf_dir, "part").where(F.col("p_partkey") % 60 == 0)
+    slot = (F.col("p_partkey") + 1) % ACCOUNT_SLOTS
+    name = F.element_at(F.array(*[F.lit(n) for n in RAW_CHART_NAMES]), (slot + 1).cast("int"))
+    return part.select((F.lit(ACCOUNT_BASE) + F.col("p_partkey")).cast("string").alias("account"),
+                       F.when(slot < len(BASE_LINES), name).otherwise(F.lit(NOT_REPORTED)).alias("line_item"))
+
+
 # Acquisition list.  Close of escrow = ship date of the supplier's first
 # order (smallest order key, then earliest ship date).
 def acquisitions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -115,10 +130,16 @@ def acquisitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return s.select(
         key.cast("string").alias("MEntity"),
         F.when(key % 17 == 0, F.lit(None).cast("string"))
+         # a numeric key as a double prints it, and as a spreadsheet does
+         .when(key % 6 == 0, F.concat(F.substring(pc, 1, 1), F.lit("."), F.substring(pc, 2, 9), F.lit("E9")))
+         # stub keys, which are no centres
+         .when(key % 19 == 0, (key % 100).cast("string"))
          .when(key % 2 == 0, F.concat(pc, F.lit(".0"))).otherwise(pc).alias("Profit_Center"),
         fiscal.group_of_date(F.col("Close_of_Escrow"), BASE_FY, BASE_Q).alias("Group"),
         "Close_of_Escrow",
-        (F.col("s_acctbal") > 0).alias("Include"),
+        # as text; one spelling is no flag at all
+        F.when(key % 23 == 0, F.lit("maybe")).when(F.col("s_acctbal") > 0, F.lit("Yes"))
+         .otherwise(F.lit("No")).alias("Include"),
         F.col("n_name").alias("Type"),
         F.col("s_name").alias("Name"),
         F.col("s_nationkey").cast("string").alias("State"),
@@ -130,15 +151,23 @@ def acquisitions(spark: SparkSession, sf_dir: str) -> DataFrame:
 def closed_deals(spark: SparkSession, sf_dir: str) -> DataFrame:
     acq = acquisitions(spark, sf_dir)
     c = F.col("Close_of_Escrow")
+    k = F.col("MEntity").cast("long")
     return acq.select("MEntity", "Name", "Close_of_Escrow",
                       fiscal.fiscal_year(c).alias("FY_Closed"),
                       fiscal.fiscal_quarter(c).alias("Quarter_Closed"),
-                      "State", "Purchase_Price")
+                      "State", "Purchase_Price",
+                      (k % 40).cast("string").alias("District"), (k % 31).cast("string").alias("MCO"),
+                      F.concat(F.lit("E"), F.col("MEntity")).alias("Entity"),
+                      F.concat((k % 999).cast("string"), F.lit(" Main Street")).alias("Address"),
+                      F.concat(F.lit("City of "), F.col("Type")).alias("City"),
+                      (k % 90).cast("double").alias("Latitude"), (k % 180 * -0.5).alias("Longitude"),
+                      F.concat((k % 4 + 1).cast("string"), F.lit(" floors")).alias("Property_Description"))
 
 
 # Unit mix archive.
-def unit_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem")
+def unit_mix(spark: SparkSession, sf_dir: str, lo: _dt.date | None = None,
+             hi: _dt.date | None = None) -> DataFrame:
+    li = in_months(table(spark, sf_dir, "lineitem"), "l_shipdate", lo, hi)
     units = F.col("l_quantity").cast("long")
     return li.select(
         F.col("l_suppkey").cast("string").alias("MEntity"),
@@ -147,7 +176,9 @@ def unit_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("l_linestatus") == "O", "CLIMATE").otherwise("STANDARD").alias("unm_climate"),
         units.alias("unm_numunits"),
         F.greatest(F.lit(0).cast("long"), units - F.col("l_suppkey") % 11).alias("unm_occunits"),
-        F.col("l_extendedprice").cast("decimal(18,2)").alias("unm_rentrate"),
+        # four places: price less discount
+        (F.col("l_extendedprice").cast("decimal(14,2)") * (1 - F.col("l_discount").cast("decimal(4,2)")))
+        .cast("decimal(18,4)").alias("unm_rentrate"),
     )
 
 
@@ -177,7 +208,8 @@ def entity_master(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("c_name").alias("ENTITY_NAME"),
         F.col("c_nationkey").cast("string").alias("MCO_NUM"),
         F.col("o_orderstatus").alias("STATUS"),
-        F.when(~is_open, d).alias("DATE_CLOSED"),
+        # some closed records lack their date and pass for the latest
+        F.when(~is_open & (F.col("o_orderkey") % 13 != 0), d).alias("DATE_CLOSED"),
         F.when(is_open, F.lit(_dt.date(9999, 12, 31))).otherwise(F.date_add(d, 365)).alias("DATE_EXPIRATION"),
         (F.col("c_acctbal") / 100).alias("LOC_LATITUDE"),
         (F.col("c_nationkey") * -1.5).alias("LOC_LONGITUDE"),
@@ -195,6 +227,8 @@ def index_match(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("Owner "), (k % 4).cast("string")).alias("Simple Owner"),
         (k % 50).cast("string").alias("District"),
         F.col("s_nationkey").cast("string").alias("State"),
+        (k % 7).cast("string").alias("MCO"),
+        F.concat(F.lit("G"), k.cast("string")).alias("Entity"),
     )
 
 
@@ -229,10 +263,18 @@ def cost_centre_hierarchy(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("r_name").alias("Hierarchy Area"))
 
 
-# Lender trend rows (long) = ledger joined to the chart.
-def lender_long(spark: SparkSession, sf_dir: str) -> DataFrame:
-    led = ledger_long(spark, sf_dir)
-    chart = chart_raw(spark, sf_dir).where(F.col("line_item") != NOT_REPORTED)
+# Lender trend rows (long) = ledger joined to the chart.  The lender's own
+# accounts are 50: each stands for the ledger accounts that share its slot.
+LENDER_ACCOUNTS = 50
+
+
+def lender_long(spark: SparkSession, sf_dir: str, lo: _dt.date | None = None,
+                hi: _dt.date | None = None) -> DataFrame:
+    led = ledger_long(spark, sf_dir, lo, hi).withColumn("account", (
+        F.lit(ACCOUNT_BASE + LENDER_ACCOUNTS)
+        + (F.col("account").cast("long") - ACCOUNT_BASE) % LENDER_ACCOUNTS).cast("string"))
+    chart = (chart_raw(spark, sf_dir).where(F.col("line_item") != NOT_REPORTED)
+             .select(F.trim("account").alias("account"), F.rtrim("line_item").alias("line_item")).distinct())
     return (led.join(chart, "account")
                .select(F.col("profit_center").alias("SAP_Number"),
                        F.col("account").alias("Account_Number"),
@@ -241,10 +283,18 @@ def lender_long(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.col("amount").alias("Amount")))
 
 
-# The 12 month columns of the lender sheets: the 12 months before AS_OF.
-def sheet_months() -> list[_dt.date]:
-    last = fiscal.py_prev_month_start(AS_OF)
-    return [fiscal.py_add_months(last, -k) for k in range(11, -1, -1)]
+# The month columns of the lender sheets: every month of the data (column names
+# are needed to plan; the bounds are one aggregate), after ``after`` if given.
+def sheet_months(spark: SparkSession, sf_dir: str, after: _dt.date | None = None) -> list[_dt.date]:
+    li = table(spark, sf_dir, "lineitem")
+    lo, hi = li.agg(F.min("l_shipdate"), F.max("l_shipdate")).select(
+        *[F.to_date(F.col(c)) for c in ("min(l_shipdate)", "max(l_shipdate)")]).first()
+    if lo is None:
+        return []
+    first = _dt.date(lo.year, lo.month, 1)
+    n = (hi.year - lo.year) * 12 + hi.month - lo.month + 1
+    months = [fiscal.py_add_months(first, k) for k in range(n)]
+    return [m for m in months if after is None or m > after]
 
 
 def _cell(v) -> "F.Column":
@@ -252,17 +302,30 @@ def _cell(v) -> "F.Column":
     return F.coalesce(v.cast("string"), F.lit("x"))
 
 
-# B6 wide: the trends sheet, one text column per month named by its date.
-def lender_trends_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _by_month(rows: DataFrame, keys: list[str], amount, months: list[_dt.date]) -> DataFrame:
+    """One row per key with a column a month: summed by month first, so that the
+    many columns are only worked out once a key."""
+    names = [m.isoformat() for m in months]
+    sums = rows.groupBy(*keys, F.col("Date").cast("string").alias("_month")).agg(F.sum(amount).alias("_sum"))
+    return sums.groupBy(*keys).pivot("_month", names).agg(F.max("_sum"))
+
+
+# B6 wide: the trends sheet, one text column per month named by its date.  The
+# rows are those of the whole data, whichever months are asked for: a sheet
+# lists its accounts once.
+def lender_trends_wide(spark: SparkSession, sf_dir: str, after: _dt.date | None = None) -> DataFrame:
     lon = lender_long(spark, sf_dir)
-    months = sheet_months()
-    lon = lon.where(F.col("Date").between(months[0], months[-1]))
-    sums = [_cell(F.sum(F.when(F.col("Date") == m, F.col("Amount")))).alias(m.isoformat()) for m in months]
-    wide = lon.groupBy("SAP_Number", "Account_Number", "Line_Item").agg(*sums)
-    # Float-text centre keys and a missing key, as the sheet extract has them.
+    months = sheet_months(spark, sf_dir, after)
+    # a broken reference, as sheets have them
+    broken = (F.substring("SAP_Number", -1, 1) == "4") & (F.col("Line_Item") == "UTILITIES")
+    wide = _by_month(lon, ["SAP_Number", "Account_Number", "Line_Item"], F.col("Amount"), months)
+    wide = wide.withColumns({m.isoformat(): F.when(broken & F.col(f"`{m.isoformat()}`").isNotNull(), F.lit("#REF!"))
+                             .otherwise(_cell(F.col(f"`{m.isoformat()}`"))) for m in months})
+    # Float-text centre keys, a missing and a blank key, as the sheet extract has them.
     k = F.col("SAP_Number")
     return wide.select(
         F.when(F.substring(k, -1, 1) == "9", F.lit(None).cast("string"))
+         .when(F.substring(k, -1, 1) == "8", F.lit("  "))
          .when(F.substring(k, -1, 1) == "2", F.concat(k, F.lit(".0"))).otherwise(k).alias("SAP"),
         F.col("Account_Number"),
         F.col("Line_Item").alias("Description"),
@@ -271,21 +334,19 @@ def lender_trends_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # The u-box delivery sheet: delivery income by centre, two account rows.
-def lender_ubox_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+def lender_ubox_wide(spark: SparkSession, sf_dir: str, after: _dt.date | None = None) -> DataFrame:
     lon = lender_long(spark, sf_dir).where(F.col("Line_Item").isin("U-BOX DELIVERY INCOME", "U-BOX OTHER INCOME"))
-    months = sheet_months()
-    lon = lon.where(F.col("Date").between(months[0], months[-1]))
+    months = sheet_months(spark, sf_dir, after)
     acct = (F.when(F.col("Line_Item") == "U-BOX DELIVERY INCOME", "U-BOX ONE-WAY DELIVERY INCOME")
              .otherwise("U-BOX LOCAL DELIVERY INCOME"))
-    sums = [_cell(F.sum(F.when(F.col("Date") == m, -F.col("Amount")))).alias(m.isoformat()) for m in months]
-    return lon.groupBy(F.col("SAP_Number").alias("#"), acct.alias("Account")).agg(*sums)
+    wide = _by_month(lon.withColumn("Account", acct).withColumnRenamed("SAP_Number", "#"), ["#", "Account"],
+                     -F.col("Amount"), months)
+    return wide.withColumns({m.isoformat(): _cell(F.col(f"`{m.isoformat()}`")) for m in months})
 
 
 # The adjustments sheet: one row per centre and month with three adjustments.
-def lender_adjustments_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lon = lender_long(spark, sf_dir)
-    months = sheet_months()
-    lon = lon.where(F.col("Date").between(months[0], months[-1]))
+def lender_adjustments_sheet(spark: SparkSession, sf_dir: str, lo: _dt.date | None = None) -> DataFrame:
+    lon = lender_long(spark, sf_dir, lo)
     storage = F.sum(F.when(F.col("Line_Item") == "STORAGE INCOME", F.col("Amount")))
     umove = F.sum(F.when(F.col("Line_Item") == "U-MOVE NET COMMISSION", F.col("Amount")))
     agg = lon.groupBy("SAP_Number", "Date").agg(
@@ -301,12 +362,14 @@ def lender_adjustments_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(0.5).alias("Storage Split"))
 
 
-# Old-to-new account conversion: accounts of parts up to size 40 are mapped.
+# Old-to-new account conversion: accounts of parts up to size 40 are mapped, to
+# the account of the same slot 50 further on.
 def account_conversion(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = table(spark, sf_dir, "part")
     acct = (F.lit(ACCOUNT_BASE) + F.col("p_partkey")).cast("string")
     return (part.where(F.col("p_size") <= 40)
-                .select(acct.alias("old_account"), acct.alias("ledger_account")))
+                .select(acct.alias("old_account"),
+                        (F.lit(ACCOUNT_BASE + 50) + F.col("p_partkey")).cast("string").alias("ledger_account")))
 
 
 # Move-in/out contracts (one row per order line: contract keys repeat).
@@ -326,11 +389,12 @@ def movein(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-# Rooms per entity and month (total and occupied).
-def rooms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    um = unit_mix(spark, sf_dir)
+# Rooms per entity and month (total and occupied), in quarters of a room.
+def rooms(spark: SparkSession, sf_dir: str, lo: _dt.date | None = None, hi: _dt.date | None = None) -> DataFrame:
+    um = unit_mix(spark, sf_dir, lo, hi)
     return (um.groupBy("MEntity", "Date")
-              .agg(F.sum("unm_numunits").alias("total"), F.sum("unm_occunits").alias("occ")))
+              .agg((F.sum("unm_numunits") + F.lit(0.5)).alias("total"),
+                   (F.sum("unm_occunits") + F.lit(0.25)).alias("occ")))
 
 
 # Same-store centre list: centres of suppliers with a positive balance.
@@ -340,10 +404,12 @@ def samestore_centres(spark: SparkSession, sf_dir: str) -> DataFrame:
              .select((F.lit(CENTRE_BASE) + F.col("s_suppkey")).cast("string").alias("profit_center")))
 
 
-# Cash trend: statement NOI per centre and month, in two currencies/splits.
-def cash_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
-    led = ledger_long(spark, sf_dir)
-    return (led.groupBy(F.col("profit_center").alias("PROFIT CENTER"), F.col("month").alias("MONTH"))
-               .agg(F.sum("amount").alias("NET OPERATING INCOME"))
-               .select("PROFIT CENTER", "MONTH", F.lit("Group").alias("CURRENCY"),
-                       F.lit("ALL").alias("SPLIT"), "NET OPERATING INCOME"))
+# Cash trend: the income statement's NOI per centre and month, in two currencies
+# and splits; a third of the centres are only there in the local currency.
+def cash_trend(spark: SparkSession, sf_dir: str, noi: DataFrame) -> DataFrame:
+    """``noi``: profit_center, month, amount."""
+    k = F.col("profit_center").cast("long")
+    return noi.select(F.col("profit_center").alias("PROFIT CENTER"), F.col("month").alias("MONTH"),
+                      F.when(k % 3 == 0, F.lit("Local")).otherwise(F.lit("Group")).alias("CURRENCY"),
+                      F.when(F.month("month") % 2 == 0, F.lit("ALL")).otherwise(F.lit("HALF")).alias("SPLIT"),
+                      F.col("amount").alias("NET OPERATING INCOME"))

@@ -12,6 +12,7 @@ rerun is idempotent.
 
 from __future__ import annotations
 
+import csv
 import datetime as _dt
 import re
 
@@ -21,7 +22,7 @@ from pyspark.sql.types import StructType
 
 from ..operators.lender import apply_reload
 
-_VERSION = re.compile(r"^v(\d{6})$")
+_VERSION = re.compile(r"^v(\d{6,})$")
 
 
 # Whole-table scans.
@@ -33,15 +34,39 @@ def read_table(spark: SparkSession, path: str, fmt: str = "parquet", schema: Str
     return reader.load(path)
 
 
-def read_jdbc(spark: SparkSession, url: str, table: str, **options) -> DataFrame:
-    """Database table; credentials come from the caller's options, the
-    library holds none.  Filters and column choices are pushed to the database."""
-    return spark.read.format("jdbc").option("url", url).option("dbtable", table).options(**options).load()
-
-
-# CSV dimension or spreadsheet extract with renames.  A sheet extract
-# starts at its header row (the banner rows above the header are not part
-# of the extract); month columns keep their date names as text.
+def read_jdbc(spark: SparkSession, url: str, table: str, partition_column: str, lower_bound,
+              upper_bound, num_partitions: int, **options) -> DataFrame:
+    """Database table, read by ``num_partitions`` tasks that each take a range of
+    ``partition_column`` (without these one task would read it all).
+    Credentials come from the caller's options, the library holds none.
+    Filters and column choices are pushed to the database."""
+    return (spark.read.format("jdbc").option("url", url).option("dbtable", table)
+            .option("partitionColumn", partition_column).option("lowerBound", str(lower_bound))
+            .option("upperBound", str(upper_bound)).option("numPartitions", num_partitions)
+            .options(**options).load())
+
+
+# Spreadsheet extract with banner rows above its header.  Month columns keep
+# their date names as text.
+def read_sheet(spark: SparkSession, path: str, header_row: int = 0,
+               renames: dict[str, str] | None = None) -> DataFrame:
+    """CSV extract of a sheet whose header is on row ``header_row`` (from 0); what
+    stands above it is skipped.  A sheet is one cell of text until it is cut into
+    lines (a spreadsheet has at most about a million), each file has its own
+    banner, and the header is taken from the first file.  Blank lines are no rows."""
+    lines = (spark.read.text(path, wholetext=True)
+             .select(F.split("value", "\r?\n").alias("lines")))
+    header = lines.select(F.element_at("lines", header_row + 1).alias("h")).first()
+    if header is None or header["h"] is None:
+        raise ValueError(f"no header on row {header_row} of {path}")
+    names = next(csv.reader([header["h"].lstrip("\ufeff")]))
+    schema = ", ".join(f"`{n.replace('`', '``')}` string" for n in names)
+    body = lines.select(F.explode(F.slice("lines", header_row + 2, F.size("lines"))).alias("line"))
+    rows = body.where(F.trim("line") != "").select(F.from_csv("line", schema).alias("r")).select("r.*")
+    return rows.withColumnsRenamed(renames) if renames else rows
+
+
+# S3: CSV dimension with renames.
 def read_csv(spark: SparkSession, path: str, schema: StructType | None = None,
              renames: dict[str, str] | None = None) -> DataFrame:
     reader = spark.read.option("header", True)
@@ -68,7 +93,7 @@ def _version_names(spark: SparkSession, root: str, complete_only: bool) -> list[
         if st.isDirectory() and _VERSION.match(name):
             if not complete_only or fs.exists(spark._jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
                 names.append(name)
-    return sorted(names)
+    return sorted(names, key=lambda n: int(n[1:]))
 
 
 def current_version(spark: SparkSession, root: str) -> str | None:
@@ -121,7 +146,8 @@ def replace(df: DataFrame, root: str, partition_by: list[str] | None = None) ->
 def replace_range(old: DataFrame, new: DataFrame, col: str, lo, hi) -> DataFrame:
     """Old rows outside [lo, hi] plus all new rows.  Unlike dynamic partition
     overwrite this also removes old years for which no new rows came."""
-    return old.where(~F.col(col).between(lo, hi)).unionByName(new)
+    inside = F.coalesce(F.col(col).between(lo, hi), F.lit(False))  # a null is in no range
+    return old.where(~inside).unionByName(new)
 
 
 def replace_range_table(new: DataFrame, root: str, col: str, lo, hi,
@@ -161,6 +187,8 @@ def update_table(root: str, source: DataFrame, key: str, assignments: dict[str,
     from ..operators.acquisitions import keyed_update
     spark = source.sparkSession
     target = read_current(spark, root)
+    if target is None:
+        raise ValueError(f"no table at {root} to update")
     return _write_version(keyed_update(target, source, key, assignments), root)
 
 

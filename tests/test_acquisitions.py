@@ -65,16 +65,25 @@ def _sources(spark):
 
 def test_enrichment_flags(spark):
     master, im, ei, ra = _sources(spark)
-    new = spark.createDataFrame([("M1", "a", dt.date(2020, 1, 1), 2020, 4, "CA", 10, 20),
-                                 ("M2", "b", dt.date(2020, 1, 1), 2020, 4, "NV", 10, 20),
-                                 ("M9", "c", dt.date(2020, 1, 1), 2020, 4, "AZ", 10, 20)],
-                                DEALS + ", State string, Purchase_Price long, Group int")
-    out = {r.MEntity: r for r in A.enrich_acquisitions(new, master, im, ei, ra).collect()}
+    deal = ("D9", "MCO9", "E9", "1 Main Street", "Town", 4.5, -7.5, "flat")
+    new = spark.createDataFrame([("M1", "a", dt.date(2020, 1, 1), 2020, 4, "CA", 10, 20, *deal),
+                                 ("M2", "b", dt.date(2020, 1, 1), 2020, 4, "NV", 10, 20, *deal),
+                                 ("M9", "c", dt.date(2020, 1, 1), 2020, 4, "AZ", 10, 20, *deal)],
+                                DEALS + ", State string, Purchase_Price long, Group int, District string, MCO string, "
+                                "Entity string, Address string, City string, Latitude double, Longitude double, "
+                                "Property_Description string")
+    with pytest.raises(Exception, match="latest record of an entity is not open: M2"):
+        A.enrich_acquisitions(new, master, im, ei, ra).collect()
+    enriched = A.enrich_acquisitions(new, master, im, ei, ra, strict=False)
+    assert len(enriched.columns) == 22
+    out = {r.MEntity: r for r in enriched.collect()}
+    # the deal sheet's values, not the entity record's or the graph's
+    assert (out["M1"].DISTRICT_NO, out["M1"].MCO_NUM, out["M1"].Entity, out["M1"].LOC_LATITUDE) == ("D9", "MCO9", "E9", 4.5)
     assert out["M1"].ENTITY_NAME == "open" and out["M1"].Include and out["M1"].Type == "NEW BUILD"
     assert out["M1"].State == "CA" and out["M1"].Profit_Center == "7000000001"
     assert out["M2"].Remote and out["M2"].Abutting and not out["M2"].Include
     assert not out["M9"].Abutting and out["M9"].Include                 # unmatched: not abutting
-    lit = {r.MEntity: r for r in A.enrich_acquisitions(new, master, im, ei, ra, unmatched_is_abutting=True).collect()}
+    lit = {r.MEntity: r for r in A.enrich_acquisitions(new, master, im, ei, ra, unmatched_is_abutting=True, strict=False).collect()}
     assert lit["M9"].Abutting and not lit["M9"].Include
 
 

@@ -95,7 +95,7 @@ def test_samestore_metrics_and_buckets(spark):
     h = {r.period: r for r in SS.samestore_histogram(panel, anchor).collect()}["month"]
     counts = [h[f"bucket_{i}"] for i in range(1, 11)]
     assert counts == [3, 0, 0, 0, 1, 0, 0, 0, 0, 3] and sum(counts) == 7   # contiguous: all counted
-    lit = {r.period: r for r in SS.samestore_histogram(panel, anchor, literal_edges=True, cap_top=True).collect()}
+    lit = {r.period: r for r in SS.samestore_histogram(panel, anchor, literal_edges=True, capped=SS.CAPPED_PERIODS).collect()}
     lit_counts = [lit["month"][f"bucket_{i}"] for i in range(1, 11)]
     assert sum(lit_counts) == 5          # .77495 falls in the gap, 1.02 above the cap
     assert set(m) == {"month", "quarter", "ttm"}                         # no rows last year
@@ -119,4 +119,4 @@ def test_share_with_fixed_denominator(spark):
                  .withColumn("occupancy", F.col("occ") / F.col("total"))
     default = {r.period: r.share_at_threshold for r in SS.samestore_metrics(panel, anchor).collect()}
     fixed = {r.period: r.share_at_threshold for r in SS.samestore_metrics(panel, anchor, denominator=537).collect()}
-    assert default["month"] == 0.5 and fixed["month"] == round(1 / 537, 6)
+    assert default["month"] == 0.5 and fixed["month"] == 1 / 537
