@@ -25,6 +25,7 @@ extra columns are passed on by ``without_toxic`` and ignored elsewhere.
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -53,6 +54,7 @@ def distinct_words(text: bytes) -> tuple[set[bytes], list[bytes]]:
                    b"# length %d" % min(10, int(sum(map(len, found)) / max(1, len(found))))]
 
 
+@lru_cache(maxsize=200_000)
 def word_features(word: bytes) -> tuple[bytes, ...]:
     """The word itself and the stems of 3 to 6 characters (marked by ``*``)."""
     try:
@@ -104,23 +106,44 @@ def _sigmoid(z):
     return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def _fit(rows: tuple[np.ndarray, np.ndarray], width: int, extra: np.ndarray, y: np.ndarray,
-         use: np.ndarray, ridge: float, steps: int) -> np.ndarray:
-    """Ridge logistic regression on sparse 0/1 rows (row numbers, features) with
-    dense columns ``extra``, by accelerated gradient steps scaled per feature."""
-    row, feature = rows[0][use[rows[0]]], rows[1][use[rows[0]]]
-    n = len(y)
+class _Rows:
+    """Sparse 0/1 rows, in order by row and by feature."""
+
+    def __init__(self, row: np.ndarray, feature: np.ndarray, n: int, width: int):
+        self.n, self.width, self.feature = n, width, feature
+        self.some_rows, self.row_starts = np.unique(row, return_index=True)
+        order = np.argsort(feature, kind="stable")
+        self.row = row[order]
+        self.some_features, self.feature_starts = np.unique(feature[order], return_index=True)
+
+    def times(self, w: np.ndarray) -> np.ndarray:
+        out = np.zeros(self.n)
+        if len(self.feature):
+            out[self.some_rows] = np.add.reduceat(w[self.feature], self.row_starts)
+        return out
+
+    def summed(self, by_row: np.ndarray) -> np.ndarray:
+        """Per feature the sum of ``by_row`` over the rows that have it."""
+        out = np.zeros(self.width)
+        if len(self.row):
+            out[self.some_features] = np.add.reduceat(by_row[self.row], self.feature_starts)
+        return out
+
+
+def _fit(rows: _Rows, extra: np.ndarray, y: np.ndarray, use: np.ndarray, ridge: float, steps: int) -> np.ndarray:
+    """Ridge logistic regression on the rows in ``use``, with dense columns
+    ``extra``, by accelerated gradient steps scaled per feature."""
+    n = rows.n
     dense = np.column_stack([extra, np.ones(n)])
-    w, v = np.zeros(width), np.zeros(dense.shape[1])
+    w, v = np.zeros(rows.width), np.zeros(dense.shape[1])
     # a diagonal bound of the curvature makes rare and frequent features move alike
-    spread = np.bincount(row, minlength=n) + dense.shape[1]
-    scale = 0.25 * np.bincount(feature, weights=spread[row], minlength=width) + ridge
-    scale_v = 0.25 * (dense[use] ** 2 * spread[use, None]).sum(axis=0) + 1e-6
+    spread = np.where(use, rows.times(np.ones(rows.width)) + dense.shape[1], 0.0)
+    scale = 0.25 * rows.summed(spread) + ridge
+    scale_v = 0.25 * (dense ** 2 * spread[:, None]).sum(axis=0) + 1e-6
     aw, av, t = w, v, 1.0
     for _ in range(steps):
-        z = np.bincount(row, weights=aw[feature], minlength=n) + dense @ av
-        slope = np.where(use, _sigmoid(z) - y, 0.0)
-        new_w = aw - (np.bincount(feature, weights=slope[row], minlength=width) + ridge * aw) / scale
+        slope = np.where(use, _sigmoid(rows.times(aw) + dense @ av) - y, 0.0)
+        new_w = aw - (rows.summed(slope) + ridge * aw) / scale
         new_v = av - (dense.T @ slope) / scale_v
         t_next = (1 + np.sqrt(1 + 4 * t * t)) / 2
         aw, av = new_w + (t - 1) / t_next * (new_w - w), new_v + (t - 1) / t_next * (new_v - v)
@@ -130,7 +153,7 @@ def _fit(rows: tuple[np.ndarray, np.ndarray], width: int, extra: np.ndarray, y:
 
 def train_chain(texts: list[bytes], labels: np.ndarray, fold: np.ndarray, folds: int,
                 max_features: int, z_least: float = 4.5, ridge: float = 1.0,
-                steps: int = 150) -> Chain:
+                steps: int = 120) -> Chain:
     """``labels``: rows x categories of 0/1; ``fold``: each row's fold number."""
     n, k = labels.shape if len(labels) else (0, labels.shape[1])
     place: dict[bytes, int] = {}
@@ -154,8 +177,8 @@ def train_chain(texts: list[bytes], labels: np.ndarray, fold: np.ndarray, folds:
     new = np.full(len(place), -1)
     new[good] = np.arange(len(good))
     keep = new[feature] >= 0
-    rows = row[keep], new[feature[keep]]
     width, everything = len(good), np.ones(n, bool)
+    rows = _Rows(row[keep], new[feature[keep]], n, width)
     weights, earlier, bias = np.zeros((width, k)), np.zeros((k, k)), np.zeros(k)
     out_of_fold = np.zeros((n, 0))
     for c in range(k):
@@ -164,16 +187,15 @@ def train_chain(texts: list[bytes], labels: np.ndarray, fold: np.ndarray, folds:
             bias[c] = 30.0 if y[0] else -30.0
             out_of_fold = np.column_stack([out_of_fold, y])
             continue
-        fit = _fit(rows, width, out_of_fold, y, everything, ridge, steps)
+        fit = _fit(rows, out_of_fold, y, everything, ridge, steps)
         weights[:, c], bias[c] = fit[:width], fit[-1]
         earlier[c, :c] = fit[width:-1]
         if c < k - 1:
             p = np.zeros(n)
             for f in range(folds):
                 held = fold == f
-                part = _fit(rows, width, out_of_fold, y, ~held, ridge, steps)
-                z = np.bincount(rows[0], weights=part[rows[1]], minlength=n) \
-                    + np.column_stack([out_of_fold, np.ones(n)]) @ part[width:]
+                part = _fit(rows, out_of_fold, y, ~held, ridge, steps)
+                z = rows.times(part[:width]) + np.column_stack([out_of_fold, np.ones(n)]) @ part[width:]
                 p[held] = _sigmoid(z[held])
             out_of_fold = np.column_stack([out_of_fold, p])
     return Chain([names[f] for f in good], weights, earlier, bias)
@@ -239,7 +261,7 @@ def labelled_categories(labels: DataFrame) -> DataFrame:
     return labels.select("doc_id", (1 - F.col("quality")).alias("low_quality"), "toxic")
 
 
-def toxicity_report(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
+def toxicity_report(docs: DataFrame, labels: DataFrame, threshold: float = 0.4) -> DataFrame:
     """Per document: the probability of each category and the verdict."""
     chain = fit_chain(docs, labelled_categories(labels))
     p = docs.select(F.col("doc_id").cast("long").alias("doc_id"), score(docs, chain).alias("p"))
@@ -247,7 +269,7 @@ def toxicity_report(docs: DataFrame, labels: DataFrame, threshold: float = 0.5)
                     (F.col("p")[len(CATEGORIES) - 1] >= threshold).alias("rejected"))
 
 
-def without_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
+def without_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.4) -> DataFrame:
     """``docs`` without those that the chain's last category rejects."""
     chain = fit_chain(docs, labelled_categories(labels))
     return docs.where(score(docs, chain)[len(CATEGORIES) - 1] < threshold)
