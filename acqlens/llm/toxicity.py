@@ -29,9 +29,10 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from acqlens.llm.common import slices, stored, stretches, utf8
+from acqlens.llm.common import U64, stored, stretches, utf8
 
 CATEGORIES = ("low_quality", "toxic")
 _BREAKS = bytes(c if c >= 128 or 48 <= c < 58 or 97 <= c < 123 else c + 32 if 65 <= c < 91 else 32
@@ -40,7 +41,10 @@ _PLAIN = bytes(c for c in range(256) if c >= 128 or 48 <= c < 58 or 65 <= c < 91
                or c in b" \t\n\x0b\x0c\r")
 
 
-def distinct_words(text: bytes) -> tuple[set[bytes], list[bytes]]:
+_hash = xxhash.xxh3_64_intdigest  # features are known by their hashes only
+
+
+def distinct_words(text: bytes) -> tuple[set[bytes], list[int]]:
     """The distinct words and the measures of a text: share of other characters,
     share of distinct words, mean length of a word, in coarse steps."""
     found, n = set(), 0
@@ -49,22 +53,22 @@ def distinct_words(text: bytes) -> tuple[set[bytes], list[bytes]]:
         found.update(split)
         n += len(split)
     odd = len(text.translate(None, _PLAIN)) / max(1, len(text))
-    return found, [b"# odd %d" % min(10, int(40 * odd)),
-                   b"# distinct %d" % int(10 * len(found) / max(1, n)),
-                   b"# length %d" % min(10, int(sum(map(len, found)) / max(1, len(found))))]
+    return found, [_hash(b"# odd %d" % min(10, int(40 * odd))),
+                   _hash(b"# distinct %d" % int(10 * len(found) / max(1, n))),
+                   _hash(b"# length %d" % min(10, int(sum(map(len, found)) / max(1, len(found)))))]
 
 
-@lru_cache(maxsize=200_000)
-def word_features(word: bytes) -> tuple[bytes, ...]:
+@lru_cache(maxsize=50_000)
+def word_features(word: bytes) -> tuple[int, ...]:
     """The word itself and the stems of 3 to 6 characters (marked by ``*``)."""
     try:
         text = word.decode()
     except UnicodeDecodeError:
-        return (word,)
-    return (word, *(text[:k].encode() + b"*" for k in range(3, 7) if len(text) >= k))
+        return (_hash(word),)
+    return (_hash(word), *(_hash(text[:k].encode() + b"*") for k in range(3, 7) if len(text) >= k))
 
 
-def features(text: bytes) -> set[bytes]:
+def features(text: bytes) -> set[int]:
     found, out = distinct_words(text)
     out = set(out)
     for w in found:
@@ -75,7 +79,7 @@ def features(text: bytes) -> set[bytes]:
 class Chain:
     """Vocabulary, and per category weights, weights of earlier categories, bias."""
 
-    def __init__(self, vocabulary: list[bytes], weights: np.ndarray, earlier: np.ndarray,
+    def __init__(self, vocabulary: list[int], weights: np.ndarray, earlier: np.ndarray,
                  bias: np.ndarray):
         self.vocabulary, self.weights, self.earlier, self.bias = vocabulary, weights, earlier, bias
         self.place = {f: i for i, f in enumerate(vocabulary)}
@@ -84,7 +88,7 @@ class Chain:
     def _places(self, word: bytes) -> tuple[int, ...]:
         got = self.known.get(word)
         if got is None:
-            if len(self.known) > 500_000:
+            if len(self.known) > 200_000:
                 self.known.clear()
             place = self.place
             got = self.known[word] = tuple(place[f] for f in word_features(word) if f in place)
@@ -156,29 +160,30 @@ def train_chain(texts: list[bytes], labels: np.ndarray, fold: np.ndarray, folds:
                 steps: int = 120) -> Chain:
     """``labels``: rows x categories of 0/1; ``fold``: each row's fold number."""
     n, k = labels.shape if len(labels) else (0, labels.shape[1])
-    place: dict[bytes, int] = {}
-    row, feature = [], []
-    for i, t in enumerate(texts):
-        found = [place.setdefault(f, len(place)) for f in features(t)]
-        row.append(np.full(len(found), i, np.int64))
-        feature.append(np.array(found, np.int64))
-    if not n or not place:
+    found = [np.fromiter(f, U64, len(f)) for f in map(features, texts)]
+    if not n or not any(map(len, found)):
         return Chain([], np.zeros((0, k)), np.zeros((k, k)), np.full(k, -30.0))
-    row, feature = np.concatenate(row), np.concatenate(feature)
-    df = np.bincount(feature, minlength=len(place))
-    strength = np.zeros(len(place))
+    row, value = np.repeat(np.arange(n), [len(f) for f in found]), np.concatenate(found)
+    del found
+    names, df = np.unique(value, return_counts=True)
+    names, df = names[df >= 5], df[df >= 5]
+    feature = np.searchsorted(names, value)
+    feature[feature == len(names)] = 0
+    keep = names[feature] == value if len(names) else np.zeros(len(value), bool)
+    row, feature = row[keep], feature[keep]
+    strength = np.zeros(len(names))
     for c in range(k):
         p = labels[:, c].mean()
-        hits = np.bincount(feature, weights=labels[row, c], minlength=len(place))
+        hits = np.bincount(feature, weights=labels[row, c], minlength=len(names))
         strength = np.maximum(strength, np.abs(hits - df * p) / np.sqrt(df * max(p * (1 - p), 1e-9)))
-    names = sorted(place, key=place.get)
-    good = np.flatnonzero((df >= 5) & (strength >= z_least))
-    good = sorted(good.tolist(), key=lambda f: (-strength[f], names[f]))[:max_features]
-    new = np.full(len(place), -1)
+    good = np.lexsort((names, -strength))[:max_features]
+    good = good[strength[good] >= z_least]
+    new = np.full(len(names), -1)
     new[good] = np.arange(len(good))
-    keep = new[feature] >= 0
+    order = new[feature]
+    row, order = row[order >= 0], order[order >= 0]
     width, everything = len(good), np.ones(n, bool)
-    rows = _Rows(row[keep], new[feature[keep]], n, width)
+    rows = _Rows(row, order, n, width)
     weights, earlier, bias = np.zeros((width, k)), np.zeros((k, k)), np.zeros(k)
     out_of_fold = np.zeros((n, 0))
     for c in range(k):
@@ -198,7 +203,7 @@ def train_chain(texts: list[bytes], labels: np.ndarray, fold: np.ndarray, folds:
                 z = rows.times(part[:width]) + np.column_stack([out_of_fold, np.ones(n)]) @ part[width:]
                 p[held] = _sigmoid(z[held])
             out_of_fold = np.column_stack([out_of_fold, p])
-    return Chain([names[f] for f in good], weights, earlier, bias)
+    return Chain(names[good].tolist(), weights, earlier, bias)
 
 
 def fit_chain(docs: DataFrame, labelled: DataFrame, categories: Sequence[str] = CATEGORIES,
@@ -222,19 +227,19 @@ def fit_chain(docs: DataFrame, labelled: DataFrame, categories: Sequence[str] =
             b.column(0).to_pylist(), utf8(b.column(1)), *(b.column(2 + c).to_pylist() for c in range(k))))
         labels = np.array([g[2] for g in got], float).reshape(len(got), k)
         chain = train_chain([g[1] for g in got], labels, np.arange(len(got)) % folds, folds, max_features)
-        names = chain.vocabulary + [b"# bias"]
+        names = [*np.array(chain.vocabulary, U64).view(np.int64).tolist(), None]  # last: the bias
         yield pa.RecordBatch.from_arrays([
-            pa.array(names, pa.binary()),
+            pa.array(names, pa.int64()),
             pa.array([*chain.weights.tolist(), chain.bias.tolist()], pa.list_(pa.float64())),
             pa.array([chain.earlier.reshape(-1).tolist()] * len(names), pa.list_(pa.float64()))],
             ["name", "weights", "earlier"])
 
-    model = rows.mapInArrow(run, "name binary, weights array<double>, earlier array<double>").collect()
+    model = rows.mapInArrow(run, "name long, weights array<double>, earlier array<double>").collect()
     if not model:  # no partition at all
         return Chain([], np.zeros((0, k)), np.zeros((k, k)), np.full(k, -30.0))
-    body = [r for r in model if r["name"] != b"# bias"]
-    last = next(r for r in model if r["name"] == b"# bias")
-    return Chain([bytes(r["name"]) for r in body],
+    body = [r for r in model if r["name"] is not None]
+    last = next(r for r in model if r["name"] is None)
+    return Chain([r["name"] % (1 << 64) for r in body],
                  np.array([r["weights"] for r in body]).reshape(len(body), k),
                  np.array(last["earlier"]).reshape(k, k), np.array(last["weights"]))
 
