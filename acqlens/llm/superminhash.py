@@ -189,8 +189,15 @@ def _elements(docs: DataFrame, id_col: str, text_col: str, wanted: DataFrame) ->
                     ["doc", "elements"])
 
     texts = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"))
-    return bucketed(texts.join(wanted, "doc", "left_semi").select("doc", "text")
-                    .mapInArrow(run, "doc long, elements binary"), "elements", "doc")
+    return _by_doc(texts.join(wanted, "doc", "left_semi").select("doc", "text")
+                   .mapInArrow(run, "doc long, elements binary"))
+
+
+def _by_doc(elements: DataFrame) -> DataFrame:
+    """Stored with one file a bucket: without dealing by document first every task
+    of a broadcast join would write to every bucket."""
+    buckets = int(elements.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return bucketed(elements.repartition(buckets, "doc"), "elements", "doc")
 
 
 def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -290,7 +297,7 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         if rest.isEmpty():
             break
         # go on with the sets of what is left, and with what these can share at most
-        elements = bucketed(elements.join(rest.select("doc").distinct(), "doc", "left_semi"), "elements", "doc")
+        elements = _by_doc(elements.join(rest.select("doc").distinct(), "doc", "left_semi"))
         profile = _shareable(elements).withColumn("open", _total("profile"))
         alive = stored(rest.join(profile, "doc").where(100 * F.col("open") >= percent * F.col("least")), "open")
     return (sets.select("doc", "n").join(groups, F.col("doc") == F.col("node"), "left")
