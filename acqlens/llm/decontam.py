@@ -4,9 +4,10 @@ A seed mask such as ``1110111`` looks at a window of words and ignores those und
 a 0, so a substituted word there does not spoil the match.  Every window of every
 benchmark item is hashed under every mask and joined with the same hashes of the
 documents; each hit fixes an alignment (a diagonal), along which the overlap is
-verified word by word: the stretch with the most matches over mismatches counts
-if it has at least ``min_words`` equal words (a whole item, if shorter) and
-``min_identity`` of its words are equal.
+verified word by word: a stretch counts if it has at least ``min_words`` equal
+words (a whole item, if shorter) and ``min_identity`` of its words are equal.  Of
+a diagonal the stretch with the most matches over mismatches is reported if it
+counts, else the longest one that does.
 
 The benchmark is cut by hash into blocks of about ``block_bytes`` of text.  One
 block at a time is sent to the tasks, whatever the benchmark's size; the documents
@@ -23,6 +24,7 @@ other columns are not read.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
@@ -95,17 +97,32 @@ class SeedIndex:
 
     def overlap(self, ids: np.ndarray, item: int, first: int, min_words: int,
                 min_identity: float) -> tuple[int, int, int, int] | None:
-        """(document word, item word, length, equal words) of the best stretch."""
+        """(document word, item word, length, equal words) of the best stretch, or
+        else of the longest between two equal words, that meets both limits."""
         other = self.items[item][1]
         a, b = max(0, -first), min(len(other), len(ids) - first)
         equal = ids[first + a:first + b] == other[a:b]
+        least, places = min(min_words, len(other)), np.flatnonzero(equal)
+        if len(places) < least:
+            return None
         total = np.concatenate([[0], np.cumsum(np.where(equal, 1, -1))])
         rise = total - np.minimum.accumulate(total)
         end = int(rise.argmax())
         start = end - int(np.flatnonzero(rise[:end + 1][::-1] == 0)[0])
         n, hits = end - start, int(equal[start:end].sum())
-        if hits < min(min_words, len(other)) or hits < min_identity * n:
-            return None
+        if hits < least or hits < min_identity * n:
+            # equal words over what the identity asks for, before and after each
+            # equal word; for each end the first start from which that did not fall
+            share = Fraction(str(min_identity)).limit_denominator(1_000_000)
+            k = np.arange(len(places))
+            before = share.denominator * k - share.numerator * places
+            after = before + (share.denominator - share.numerator)
+            begin = np.searchsorted(-np.minimum.accumulate(before), -after)
+            length = np.where(k + 1 - begin >= least, places + 1 - places[begin], 0)
+            last = int(length.argmax())
+            if not length[last]:
+                return None
+            start, n, hits = int(places[begin[last]]), int(length[last]), last + 1 - int(begin[last])
         return first + a + start, a + start, n, hits
 
 

@@ -90,3 +90,45 @@ def test_filter_keeps_clean_documents_and_columns(spark):
     kept = decontam.without_overlaps(d, b)
     assert kept.columns == d.columns
     assert sorted(r.llm_hit for r in kept.collect()) == [5, 7, 8]
+
+
+def counting_stretch(equal, min_words, share):
+    """The most matches over mismatches if that counts, else the longest that does."""
+    spans = [(s, e, sum(equal[s:e])) for s in range(len(equal)) for e in range(s + 1, len(equal) + 1)]
+    counts = [x for x in spans if x[2] >= min_words and 10 * x[2] >= share * (x[1] - x[0])]
+    most = max(2 * h - (e - s) for s, e, h in spans)
+    best = [x for x in counts if 2 * x[2] - (x[1] - x[0]) == most]
+    return {e - s for s, e, _ in best or counts if equal[s] and equal[e - 1]}, bool(best), counts
+
+
+def check_stretch(item, doc):
+    index = decontam.SeedIndex([(1, " ".join(item).encode())])
+    ids = decontam.words(" ".join(doc).encode())
+    equal = [a == b for a, b in zip(item, doc)]
+    got = index.overlap(ids, 0, 0, 10, 0.7)
+    lengths, best, counts = counting_stretch(equal, 10, 7)
+    assert (got is None) == (not counts)
+    if got:
+        at, q, n, hits = got
+        assert at == q and hits == sum(equal[q:q + n]) >= 10 and 10 * hits >= 7 * n
+        assert n in lengths if best else n == max(lengths)
+    return got
+
+
+def test_part_of_a_stretch_counts_where_the_whole_does_not(spark):
+    words = vocabulary(6)
+    rng = random.Random(7)
+    docs, items = [], []
+    for n in range(20, 61):  # every third word replaced
+        item = rng.sample(words, n)
+        doc = [w if i % 3 != 2 else "zzz" for i, w in enumerate(item)]
+        assert check_stretch(item, doc)
+        docs.append((n, " ".join(doc)))
+        items.append((n, " ".join(item)))
+    assert {(r[0], r[1]) for r in found(spark, docs, items)} == {(n, n) for n in range(20, 61)}
+    for trial in range(150):
+        copied, rate = ((15, 0.55), (12, 0.6), (0, 0.62))[trial % 3]
+        item = rng.sample(words, 60)
+        doc = [w if i < copied or rng.random() < rate else "zzz" for i, w in enumerate(item)]
+        got = check_stretch(item, doc)
+        assert got or not copied
