@@ -7,9 +7,8 @@ order of their component.  A query reads all lists in parallel from the end that
 its own component favours, scores whatever it meets for the first time, and stops
 when the threshold, the score of a vector made of the components last read,
 cannot beat its k-th result (it must be strictly smaller, as a tie may still win
-by its id).  Lists of many dimensions can meet most of a block without stopping;
-once a quarter of the block is scored the rest is scored outright, so a group
-never costs more than its full product.  The k best of each block are merged.
+by its id) or when every candidate has been met, so a group never scores more
+than its full product.  The k best of each block are merged.
 
 Edge cases: rows whose id or vector is null, or whose vector holds a null or a
 non-finite component, take no part; rows that share an id are one vector, the
@@ -66,21 +65,18 @@ class SortedLists:
         use = np.flatnonzero(query)
         lists = np.where(query[use] > 0, self.down[:, use], self.up[:, use])
         top, scores = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        at, step, met = 0, 4, 0
+        at, step = 0, 4
         while True:
-            if at >= n or 4 * met >= n or not len(use):
-                rows, end = np.flatnonzero(~seen), True
-            else:
-                part = lists[at:at + step]
-                rows = np.unique(part)
-                rows, end = rows[~seen[rows]], False
+            part = lists[at:at + step]
+            met = np.full(n, not len(use))  # a query of zeros has no lists: all tie
+            met[part] = True
+            rows = np.flatnonzero(met & ~seen)
             seen[rows] = True
-            met += len(rows)
             top = np.concatenate([top, rows])
             scores = np.concatenate([scores, self._scores(rows, query)])
             order = np.lexsort((top, -scores))[:k]  # row order is id order
             top, scores = top[order], scores[order]
-            if end:
+            if seen.all():
                 return top, scores
             threshold = int((self.vectors[part[-1], use] * query[use]).sum())
             if len(top) == k and threshold < scores[-1]:

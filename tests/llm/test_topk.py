@@ -60,6 +60,20 @@ def test_threshold_stops_before_reading_all():
     assert sum(scored) < 100
 
 
+def test_threshold_ends_the_search_after_most_are_met():
+    # three lists that meet over a quarter of the block before the bound holds
+    rng = np.random.default_rng(11)
+    vectors, query = rng.integers(0, 1000, (3000, 3)), np.array([5, 7, 6])
+    lists = topk.SortedLists(np.arange(3000), vectors)
+    scored = []
+    inner = lists._scores
+    lists._scores = lambda rows, q: scored.extend(rows.tolist()) or inner(rows, q)
+    rows, scores = lists.best(-1, query, 200)
+    want = sorted(range(3000), key=lambda i: (-int(vectors[i] @ query), i))[:200]
+    assert rows.tolist() == want and scores.tolist() == (vectors[want] @ query).tolist()
+    assert 3000 / 4 < len(scored) < 3000 and len(set(scored)) == len(scored)
+
+
 def test_large_components_stay_exact():
     vectors = np.array([[1 << 29, 1], [1 << 29, 2], [(1 << 29) - 1, 5]], np.int64)
     rows, scores = topk.SortedLists(np.arange(3), vectors).best(-1, np.array([1 << 29, 1]), 3)
