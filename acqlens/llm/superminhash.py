@@ -157,14 +157,12 @@ def _verified(percent: int):
     """Keeps the pairs (a, b, ea, eb) with 100 |a & b| >= percent |a | b|."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, last = None, None
         for batch in batches:
-            a, b = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             hit = []
             for i, (ea, eb) in enumerate(zip(batch.column(2), batch.column(3))):
-                if a[i] != last:
-                    known, last = np.frombuffer(ea.as_buffer(), "<u8"), a[i]
-                other = np.frombuffer(eb.as_buffer(), "<u8")
+                known, other = (np.frombuffer(e.as_buffer(), "<u8") for e in (ea, eb))
+                if not len(known):  # an id that stands on an empty text too
+                    continue
                 at = np.searchsorted(known, other)
                 at[at == len(known)] = 0
                 both = int((known[at] == other).sum())

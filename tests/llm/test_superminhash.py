@@ -76,6 +76,15 @@ def test_repeated_and_missing_ids_and_empty_table(spark):
     assert s.near_report(df.limit(0)).count() == 0
 
 
+def test_near_copies_of_every_text_of_a_repeated_id(spark):
+    one, two = [f"w{k}" for k in range(120)], [f"v{k}" for k in range(120)]
+    # whichever set of id 3 comes first, the other one has a near copy too
+    rows = [(3, " ".join(one)), (3, " ".join(two)), (3, ""), (5, " ".join(two[:-2])), (6, " ".join(one[:-2]))]
+    df = spark.createDataFrame([(*r, "x", "y") for r in rows], SCHEMA)
+    same_rows(s.near_report(df), brute(rows))
+    assert {r.component_id for r in s.near_report(df).collect()} == {3}
+
+
 def test_signature_estimates_similarity_and_stops_early():
     rng = np.random.default_rng(5)
     errors = []
