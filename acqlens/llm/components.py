@@ -49,12 +49,14 @@ def components(edges: DataFrame) -> DataFrame:
     before = None
     while True:
         both = now.union(now.select("b", "a"))
+        # the keys of the minima are expressions, so that these are shuffled again
+        # and lie in a stage of their own: only then a hub's edges can be split
         low = both.groupBy("a").agg(F.min("b").alias("m")).select(
-            F.col("a").alias("n"), F.least("a", "m").alias("m"))
+            F.col("a").bitwiseXOR(F.lit(0)).alias("n"), F.least("a", "m").alias("m"))
         large = both.where("b > a").join(low, F.col("a") == F.col("n")).select(
             F.col("b").alias("a"), F.col("m").alias("b"))
         large = large.distinct()
-        low = large.groupBy("a").agg(F.min("b").alias("m")).withColumnRenamed("a", "n")
+        low = large.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").bitwiseXOR(F.lit(0)).alias("n"), "m")
         small = large.join(low, F.col("a") == F.col("n"))
         small = small.select(F.col("b").alias("a"), F.col("m").alias("b")).union(
             small.select("a", F.col("m").alias("b")))

@@ -9,8 +9,9 @@ record.
 
 An archive is one cell of a table that Spark's Parquet writer commits: files of
 failed or repeated tasks never show, on any store.  ``export`` puts the cells out
-as files.  Equal payloads are found by SHA-1 with one aggregate; the join back
-shuffles the pages once and adaptive execution splits a frequent payload.
+as files.  Equal payloads are found by SHA-1 with one aggregate, which is stored:
+in the join with its rows the pages are shuffled once and adaptive execution
+splits a frequent payload.
 
 Edge cases: a null html is an empty payload; a null url gives no target URI;
 control characters in a url are percent-encoded; a null page id counts as smaller
@@ -106,7 +107,7 @@ def archives(pages: DataFrame, revisit_from: int = 0, archive_bytes: int = 32 <<
     body = F.coalesce(F.encode(F.col(html_col), "UTF-8"), F.lit(b""))
     page = pages.select(F.col(id_col).cast("long").alias("page"), F.col(url_col).alias("url"),
                         body.alias("payload")).withColumn("sha1", F.unhex(F.sha1("payload")))
-    last = page.groupBy("sha1").agg(F.max("page").alias("last"))
+    last = stored(page.groupBy("sha1").agg(F.max("page").alias("last")), "payloads")
     refers = F.when((F.octet_length("payload") >= revisit_from)
                     & ~F.col("page").eqNullSafe(F.col("last")), F.col("last"))
     rows = page.join(last, "sha1").select("page", "url", "payload", "sha1", refers.alias("refers"))

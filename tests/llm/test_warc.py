@@ -79,3 +79,25 @@ def test_any_payload_survives(payloads):
     made = [warc.record(i, "http://x", p, sha("x"), None, "2020-01-01T00:00:00Z") for i, p in enumerate(payloads)]
     back = [b.partition(b"\r\n\r\n")[2] for _, b in warc.records(warc.compress_archive(made, 4096, 3))]
     assert back == payloads
+
+
+def test_frequent_payload_is_split(spark):
+    conf = {"spark.sql.shuffle.partitions": "64",
+            "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1024",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4096"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    rows = [(i, f"http://x/{i}", "parked" if i % 3 == 0 else f"page {i}") for i in range(30_000)]
+    df = pages(spark, rows).repartition(8)
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        out = warc.archives(df)
+        found = out.collect()
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert "SortMergeJoin(skew=true)" in plan
+    assert sum(1 for c in found for _ in warc.records(bytes(c.content))) == 30_000
