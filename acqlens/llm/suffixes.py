@@ -162,14 +162,14 @@ def _segment_rows(data, ends, docs, begins, length):
 def hot_anchors(texts: DataFrame, length: int, hot: int, most: int = 100_000) -> np.ndarray:
     """Hashes of the anchors with over ``hot`` different texts around them.
 
-    Each block of a task reports the anchors it met with a 64th of ``hot`` texts or
-    more.
-    At most the ``most`` most frequent are returned: any other anchor then has
-    less than a ``most``-th of all segments and needs no splitting.
+    Each block of a task reports the anchors it met with two texts or more, and the
+    counts are added up: what is not counted is at most one text a block.  (A text
+    that stands in several blocks counts in each, so an anchor may be taken for hot
+    early, which changes no result.)  At most the ``most`` most frequent are
+    returned: any other anchor then has, besides one text a block, less than a
+    ``most``-th of all segments and needs no splitting.
     """
 
-    least = max(2, hot // 64)
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grams, hashes, size = [], [], 0
 
@@ -180,7 +180,7 @@ def hot_anchors(texts: DataFrame, length: int, hot: int, most: int = 100_000) ->
             new = np.ones(len(g), bool)
             new[1:] = (g[1:] != g[:-1]) | (t[1:] != t[:-1])
             value, count = np.unique(g[new], return_counts=True)
-            often = count >= least
+            often = count > 1
             return pa.RecordBatch.from_arrays(
                 [pa.array(value[often].view("<i8")), pa.array(count[often])], ["gram", "n"])
 

@@ -88,3 +88,15 @@ def test_repeated_and_missing_ids(spark):
     # the null id comes first and keeps a; of the rows of 7 one keeps b
     assert got == [(0, False), (7, False), (7, True), (7, True), (8, True)]
     assert suffixes.suffix_report(df.limit(0)).count() == 0
+
+
+def test_anchor_with_few_texts_in_every_block_is_hot(spark):
+    import random
+    rng = random.Random(8)
+    noise = lambda n: "".join(rng.choices("abcdefghijklmnopqrstuvwxyz ", k=n))
+    phrase = noise(150)
+    # 90 tasks, each with three different texts around the phrase
+    rows = [(i, noise(120) + phrase + noise(120)) for i in range(270)]
+    texts = spark.createDataFrame(spark.sparkContext.parallelize(rows, 90), "doc long, text string")
+    assert len(suffixes.hot_anchors(texts, 100, 256)) > 0
+    assert len(suffixes.hot_anchors(texts, 100, 270)) == 0
