@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import fiscal
-from ..functions.cleaning import drop_matching
+from ..functions.cleaning import _sql_name, drop_matching
 from ..functions.stats import from_cents, to_cents
 
 # ---------------------------------------------------------------------------
@@ -88,19 +88,24 @@ def chart_of_accounts(raw: DataFrame, account_col: str = "account",
 def normalize_ledger(wide: DataFrame, fiscal_year_col: str = "FISCAL_YEAR",
                      centre_col: str = "PROFIT_CENTER", account_col: str = "GL_ACCOUNT",
                      period_prefix: str = "GC_PER_", drop_pattern: str = "LC",
-                     extra_ids: list[str] | None = None, keep_null: bool = True) -> DataFrame:
+                     extra_ids: list[str] | None = None, keep_null: bool = True,
+                     month_columns: list[tuple[str, int]] | None = None) -> DataFrame:
     """Wide fiscal periods 1..12 -> one row per (centre, account, month).
 
     Period n of fiscal year FY is calendar month ((n + 2) % 12) + 1 of
-    FY - 1 for April..December and of FY for January..March.
+    FY - 1 for April..December and of FY for January..March.  A layout that
+    tells its periods by position (the older ledger) is given as
+    ``month_columns``, pairs of a column and its calendar month; prefix and
+    drop pattern then play no part.
     """
-    df = drop_matching(wide, drop_pattern) if drop_pattern else wide
+    by_name = month_columns is None
+    df = drop_matching(wide, drop_pattern) if drop_pattern and by_name else wide
     ids = [fiscal_year_col, centre_col, account_col] + list(extra_ids or [])
-    periods = [c for c in df.columns if c.startswith(period_prefix)]
+    periods = ([(c, int(c[len(period_prefix):])) for c in df.columns if c.startswith(period_prefix)]
+               if by_name else [(_sql_name(c), (m + 8) % 12 + 1) for c, m in month_columns])
     # One (period, amount) struct per wide column, exploded in place: the
     # period number is a literal, so no per-row parsing of column names.
-    cells = F.array(*[F.struct(F.lit(int(p[len(period_prefix):])).alias("period"),
-                               F.col(p).alias("amount")) for p in periods])
+    cells = F.array(*[F.struct(F.lit(n).alias("period"), F.col(c).alias("amount")) for c, n in periods])
     long = df.select(*[F.col(i) for i in ids], F.inline(cells))
     if not keep_null:
         long = long.where(F.col("amount").isNotNull())

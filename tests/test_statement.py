@@ -75,6 +75,25 @@ def test_normalize_ledger(spark):
     assert len(L.normalize_ledger(wide, keep_null=False).collect()) == 11
 
 
+def test_normalize_ledger_by_position(spark):
+    # the older layout: months 4 to 12, then 1 to 3, at positions 11 to 22
+    names = (["ID", "PROFIT CENTER", "SRC", "CO", "CURR", "MEntity", "ACCOUNT", "DESCRIPTION", "X9", "X10"]
+             + [f"LC.P {n}" for n in range(1, 13)] + ["X23", "X24", "Fiscal Year"])
+    schema = ", ".join(f"`{c}` " + ("decimal(18,2)" if c.startswith("LC") else "int" if c == "Fiscal Year" else "string")
+                       for c in names)
+    row = ["-"] * 10 + [D(n) for n in range(1, 13)] + ["-", "-", 2021]
+    row[1], row[5], row[6], row[7], row[14] = "P1", "M1", "A1", None, None
+    wide = spark.createDataFrame([tuple(row)], schema)
+    months = list(zip(wide.columns[10:22], [*range(4, 13), 1, 2, 3]))
+    out = L.normalize_ledger(wide, "Fiscal Year", "PROFIT CENTER", "ACCOUNT", extra_ids=["MEntity", "DESCRIPTION"],
+                             month_columns=months)
+    assert out.columns == ["fiscal_year", "profit_center", "account", "MEntity", "DESCRIPTION", "month", "amount"]
+    got = {r.month: r.amount for r in out.collect()}
+    assert got == {dt.date(2020 + (m < 4), m, 1): None if m == 8 else D(n)
+                   for n, m in enumerate([*range(4, 13), 1, 2, 3], start=1)}
+    assert {(r.fiscal_year, r.profit_center, r.account, r.MEntity) for r in out.collect()} == {(2021, "P1", "A1", "M1")}
+
+
 def test_dense_line_items(spark):
     amounts = spark.createDataFrame([
         ("P1", dt.date(2020, 1, 1), "SALES", D("1.00")),
