@@ -14,15 +14,20 @@ block at a time is sent to the tasks, whatever the benchmark's size; the documen
 are never shuffled and their seeds are joined where they are made.
 
 Words are runs of ASCII letters and digits or of non-ASCII characters, A-Z
-lower-cased.  Edge cases: null or empty texts overlap with nothing; items with
-fewer than ``SHORTEST`` words cannot be told from chance and are not searched;
-equal items are reported each; rows that share an id are searched each and equal
+lower-cased; non-ASCII punctuation and blanks part words, and every character of
+a script that is written without blanks (Chinese characters, kana, Thai, Lao,
+Tibetan, Burmese, Khmer) is a word.  Edge cases: null or empty texts overlap with
+nothing; items with fewer than ``SHORTEST`` words are searched as a whole, every
+word equal, and those without words not at all; equal items are reported each; rows that share an id are searched each and equal
 overlaps reported once; a null id is carried along; an empty table gives no rows;
 other columns are not read.
 """
 
 from __future__ import annotations
 
+import re
+import sys
+import unicodedata
 from collections.abc import Iterator
 from fractions import Fraction
 
@@ -36,21 +41,62 @@ from acqlens.llm.common import U64, WordHashes, free_name, mix, slices, stored,
 # fourth or fifth word, neighbours, or scattered words.
 MASKS = ("111111", "1110111", "11011011", "1111011", "110100111", "1010101011")
 SHORTEST = 6
+# Fixed masks of shorter items: all of one to five words.
+_WHOLE = tuple("1" * n for n in range(1, SHORTEST))
 OVERLAP = ("doc_id long, item_id long, doc_word int, item_word int, n_words int, n_equal int")
 
 _AS_WORDS = bytes(c if c >= 128 or 48 <= c < 58 or 97 <= c < 123 else c + 32 if 65 <= c < 91 else 32
                   for c in range(256))
+# Fixed ranges: letters of scripts without blanks.
+_ALONE = re.compile("[\u0e01-\u0eff\u0f00\u0f18-\u0fbc\u1000-\u109f\u1780-\u17ff\u3005-\u3007\u3021-\u3029"
+                    "\u3031-\u3035\u3041-\u312f\u31a0-\u31bf\u31f0-\u31ff\u3400-\u9fff\uf900-\ufaff"
+                    "\uff66-\uff9f\U00020000-\U0003ffff]")
+_BREAKS = re.compile("[%s]" % "".join(
+    c for c in map(chr, range(128, sys.maxunicode + 1)) if unicodedata.category(c)[0] in "PZ"))
 _WORDS = WordHashes()
 
 
+class _Several(dict):
+    """non-ASCII run -> whether it is to be parted, remembered for short ones."""
+
+    def __missing__(self, run: bytes) -> bool:
+        plain = run.decode("utf-8", "surrogateescape")
+        several = bool(_BREAKS.search(plain) or _ALONE.search(plain))
+        if len(run) <= 64:
+            if len(self) >= 100_000:
+                self.clear()
+            self[run] = several
+        return several
+
+
+_SEVERAL = _Several()
+
+
+def _parted(run: bytes) -> list[bytes]:
+    """The words of a run: parted at punctuation and around single characters."""
+    plain = _BREAKS.sub(" ", run.decode("utf-8", "surrogateescape"))
+    return _ALONE.sub(r" \g<0> ", plain).encode("utf-8", "surrogateescape").split()
+
+
+def _split(text: bytes) -> list[bytes]:
+    runs = text.translate(_AS_WORDS).split()
+    if text.isascii():
+        return runs
+    several = {r for r in set(runs) if not r.isascii() and _SEVERAL[r]}
+    if not several:
+        return runs
+    return [w for r in runs for w in (_parted(r) if r in several else (r,))]
+
+
 def words(text: bytes) -> np.ndarray:
-    return np.concatenate([_WORDS.of(part.translate(_AS_WORDS).split()) for part in stretches(text)])
+    return np.concatenate([_WORDS.of(_split(part)) for part in stretches(text)])
 
 
 def seeds(ids: np.ndarray, mask: int) -> np.ndarray:
     """The hash under mask number ``mask`` of every window of ``ids``."""
-    places = [k for k, c in enumerate(MASKS[mask]) if c == "1"]
-    n = len(ids) - len(MASKS[mask]) + 1
+    shape = (MASKS + _WHOLE)[mask]
+    places = [k for k, c in enumerate(shape) if c == "1"]
+    n = len(ids) - len(shape) + 1
     if n <= 0:
         return np.zeros(0, U64)
     h = np.full(n, mask + 1, U64)
@@ -64,10 +110,12 @@ class SeedIndex:
     """The seeds of one block of items, in hash order."""
 
     def __init__(self, items: list[tuple[int, bytes]], filter_bits: int = 22):
-        self.items = [(i, w) for i, t in items if len(w := words(t)) >= SHORTEST]
-        hashes, item, at = [], [], []
+        self.items = [(i, w) for i, t in items if len(w := words(t))]
+        hashes, item, at, used = [], [], [], set()
         for k, (_, w) in enumerate(self.items):
-            for m in range(len(MASKS)):
+            masks = range(len(MASKS)) if len(w) >= SHORTEST else [len(MASKS) + len(w) - 1]
+            used.update(masks)
+            for m in masks:
                 h = seeds(w, m)
                 hashes.append(h)
                 item.append(np.full(len(h), k, np.int64))
@@ -76,6 +124,7 @@ class SeedIndex:
         h = join(hashes, U64)
         order = np.argsort(h, kind="stable")
         self.hashes, self.item, self.at = h[order], join(item, np.int64)[order], join(at, np.int64)[order]
+        self.masks = sorted(used)
         # most windows hash to nowhere: one look at a bit table tells
         self.low = U64((1 << filter_bits) - 1)
         self.some = np.zeros(1 << filter_bits, bool)
@@ -84,7 +133,7 @@ class SeedIndex:
     def diagonals(self, ids: np.ndarray) -> set[tuple[int, int]]:
         """(item, document place of the item's first word) of all hits."""
         found = set()
-        for m in range(len(MASKS)):
+        for m in self.masks:
             h = seeds(ids, m)
             near = np.flatnonzero(self.some[(h & self.low).astype(np.int64)])
             if not len(near):

@@ -132,3 +132,19 @@ def test_part_of_a_stretch_counts_where_the_whole_does_not(spark):
         doc = [w if i < copied or rng.random() < rate else "zzz" for i, w in enumerate(item)]
         got = check_stretch(item, doc)
         assert got or not copied
+
+
+def test_scripts_without_blanks_and_short_items(spark):
+    chinese = "数据去重是训练语言模型之前的重要步骤，重复的文本会浪费计算并且泄漏评测题目。"
+    thai = "การกำจัดข้อมูลซ้ำเป็นขั้นตอนสำคัญก่อนการฝึกแบบจำลองภาษา"
+    kana = "じゅうふくしたぶんしょうはけいさんをむだにする。"
+    quoted = "«vier fünf sechs» – sieben, acht… neun zehn elf zwölf dreizehn"
+    items = [(1, chinese), (2, thai), (3, kana), (4, quoted), (5, "Blue Whale"), (6, "东京塔"), (7, "!?"), (8, "…")]
+    docs = [(11, "前言。其他内容" + chinese.replace("，", "") + "后面还有别的话"), (12, "ก่อนหน้า" + thai),
+            (13, "「" + kana + "」"), (14, "eins vier fünf sechs sieben acht neun zehn elf zwölf dreizehn"),
+            (15, "a blue, whale and a blue whale"), (16, "我们去看东京塔吧"), (17, "blue wha le 东京 塔楼 … !?"),
+            (18, "blue sky whale")]
+    got = found(spark, docs, items)
+    assert {(r[0], r[1]) for r in got} == {(11, 1), (12, 2), (13, 3), (14, 4), (15, 5), (16, 6), (17, 6)}
+    assert [r[2:] for r in got if r[0] == 15] == [(1, 0, 2, 2), (5, 0, 2, 2)]
+    assert all(r[4] == r[5] for r in got)
