@@ -108,10 +108,139 @@ SELECT s.doc_id, CAST(len(sh) AS BIGINT) AS n_shingles, least(s.doc_id, coalesce
 FROM s LEFT JOIN c ON s.doc_id = c.a
 """
 
+# Turns after damage, numbered per conversation; then the least (cost, audit) of
+# every state (0 nothing, 1 system, 2 user, 3 assistant last) turn by turn.
+OP11 = r"""
+WITH RECURSIVE o AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         list_transform(string_split(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '), ''),
+                        lambda c: CAST(ascii(c) AS BIGINT)) AS bytes
+  FROM conversations
+), k AS (
+  SELECT conv_id, turn, role, text, xor(4294967295, list_reduce(list_prepend(CAST(4294967295 AS BIGINT), bytes),
+           lambda crc, byte: list_reduce([xor(crc, byte), 0, 0, 0, 0, 0, 0, 0, 0],
+                                         lambda x, y: xor(x >> 1, 3988292384 * (x & 1)) + y))) % 20 AS kind
+  FROM o
+), d AS (
+  SELECT conv_id, turn, CASE kind WHEN 4 THEN 'user' ELSE role END AS role,
+         CASE kind WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text
+  FROM (SELECT *, unnest(CASE kind WHEN 0 THEN [] WHEN 3 THEN [1, 2] ELSE [1] END) AS copy FROM k)
+), n AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i,
+         row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST) > 1 AS seen,
+         trim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS core
+  FROM d
+), f AS (
+  SELECT conv_id, turn, role, text, i, left(role, 1) AS letter,
+         CASE WHEN core = '' THEN 'blank' WHEN seen THEN 'duplicate'
+              WHEN right(core, 1) IN ('.', '!', '?') THEN '' ELSE 'truncated' END AS fault,
+         lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) || left(role, 1) AS pair
+  FROM n
+), stats AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+         count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+         count(*) FILTER (fault = 'truncated') AS truncated,
+         count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal, count(*) AS turns
+  FROM f GROUP BY conv_id
+), moves AS (  -- what up to two inserts in a row do
+  SELECT * FROM (VALUES (0, 0, 0, '', []::VARCHAR[]), (1, 1, 0, '', []), (2, 2, 0, '', []), (3, 3, 0, '', []),
+    (0, 2, 5, 'I', ['user:']), (1, 2, 5, 'I', ['user:']), (3, 2, 5, 'I', ['user:']), (2, 3, 5, 'I', ['assistant:']),
+    (0, 3, 10, 'II', ['user:', 'assistant:']), (1, 3, 10, 'II', ['user:', 'assistant:'])) m(s, t, c, a, b)
+), p(conv_id, i, state, cost, audit, body) AS (
+  SELECT conv_id, CAST(0 AS BIGINT), 0, 0, '', []::VARCHAR[] FROM stats
+  UNION ALL
+  SELECT conv_id, i, state, best.cost, best.audit, best.body
+  FROM (
+    SELECT f.conv_id, f.i, e.state, min({'cost': p.cost + m.c + e.cost + CASE WHEN e.edit <> 'D' AND fault = 'truncated' THEN 5 ELSE 0 END,
+               'audit': p.audit || m.a || e.edit,
+               'body': list_concat(p.body, list_concat(m.b,
+                  CASE e.edit WHEN 'D' THEN [] WHEN 'K' THEN [role || ':' || text]
+                              ELSE [CASE e.state WHEN 2 THEN 'user:' ELSE 'assistant:' END || text] END))}) AS best
+    FROM p JOIN moves m ON m.s = p.state
+      JOIN f ON f.conv_id IS NOT DISTINCT FROM p.conv_id AND f.i = p.i + 1
+      JOIN (SELECT unnest([0, 1, 2, 3]) AS s, unnest([0, 1, 2, 3]) AS state, 'D' AS edit, 2 AS cost, '' AS letter
+            UNION ALL SELECT unnest([0, 1, 3, 2, 0]), unnest([2, 2, 2, 3, 1]), 'K', 0, unnest(['u', 'u', 'u', 'a', 's'])
+            UNION ALL SELECT unnest([0, 1, 3, 2]), unnest([2, 2, 2, 3]), 'R', 1, '') e
+        ON e.s = m.t AND (e.edit = 'D' OR fault NOT IN ('blank', 'duplicate')) AND (e.edit <> 'K' OR e.letter = f.letter)
+    GROUP BY f.conv_id, f.i, e.state)
+), ends AS (
+  SELECT p.conv_id, min({'cost': p.cost + m.c, 'audit': p.audit || m.a, 'body': list_concat(p.body, m.b)}) AS best
+  FROM p JOIN stats ON stats.conv_id IS NOT DISTINCT FROM p.conv_id AND p.i = stats.turns
+    JOIN moves m ON m.s = p.state AND m.t IN (0, 3)
+  GROUP BY p.conv_id
+)
+SELECT c.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, CAST(coalesce(best.cost, 0) AS BIGINT) AS cost,
+       coalesce(best.audit, '') AS audit, sha256(coalesce(array_to_string(best.body, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c
+LEFT JOIN stats ON stats.conv_id IS NOT DISTINCT FROM c.conv_id
+LEFT JOIN ends ON ends.conv_id IS NOT DISTINCT FROM c.conv_id
+"""
+
+OP12 = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS row_no, coalesce(lang, 'und') AS lang,
+         string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[.,;:!?\x0A-\x0D]') AS pieces
+  FROM documents
+), p AS (SELECT row_no, lang, unnest(pieces) AS piece FROM d
+), w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM p
+), g AS (
+  SELECT lang, size, array_to_string(ws[i:i + size - 1], ' ') AS phrase
+  FROM (SELECT lang, ws, size, unnest(range(1, len(ws) - size + 2)) AS i
+        FROM w, (SELECT unnest([1, 2, 3]) AS size) WHERE len(ws) >= size)
+), f AS (SELECT lang, size, phrase, CAST(count(*) AS HUGEINT) AS f FROM g GROUP BY ALL
+), totals AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f WHERE size = 1 GROUP BY lang
+), c AS (SELECT *, string_split(phrase, ' ') AS ws FROM f WHERE size > 1 AND f >= 10
+), cuts AS (
+  SELECT lang, phrase, size, f, cut, array_to_string(ws[1:cut], ' ') AS head, array_to_string(ws[cut + 1:], ' ') AS tail
+  FROM (SELECT *, unnest(range(1, size)) AS cut FROM c)
+), scored AS (
+  SELECT cuts.lang, cuts.phrase, cuts.f AS a, h.f AS l, t.f AS r,
+         1000000 * cuts.f * cuts.f // (h.f * t.f) AS score,
+         row_number() OVER (PARTITION BY cuts.lang, cuts.phrase
+                            ORDER BY 1000000 * cuts.f * cuts.f // (h.f * t.f), cut) AS place
+  FROM cuts JOIN f h ON h.lang = cuts.lang AND h.phrase = cuts.head
+            JOIN f t ON t.lang = cuts.lang AND t.phrase = cuts.tail
+), inside AS (
+  SELECT lang, phrase, max(longer) AS longer
+  FROM (SELECT lang, array_to_string(ws[1:2], ' ') AS phrase, f AS longer FROM c WHERE size = 3
+        UNION ALL SELECT lang, array_to_string(ws[2:3], ' '), f FROM c WHERE size = 3) GROUP BY ALL
+), ranked AS (
+  SELECT s.lang, row_number() OVER (PARTITION BY s.lang ORDER BY score DESC, a DESC, s.phrase) AS rank, s.phrase,
+         CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r, n, CAST(score AS BIGINT) AS score
+  FROM scored s JOIN totals USING (lang) LEFT JOIN inside i ON i.lang = s.lang AND i.phrase = s.phrase
+  WHERE place = 1 AND NOT coalesce(100 * longer >= 50 * a, false)
+)
+SELECT * FROM ranked WHERE rank <= 2000
+"""
+
+OP13 = """
+WITH RECURSIVE r AS (SELECT row_number() OVER () AS row_no, vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+), v AS (
+  SELECT *, sqrt(list_dot_product(e, e)) AS norm FROM r
+  WHERE vec_id IS NOT NULL AND e IS NOT NULL AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(e, lambda x: x <> 0)) > 0
+), links AS (
+  SELECT a.row_no, a.vec_id AS a, b.vec_id AS b
+  FROM v a JOIN v b ON a.row_no <> b.row_no AND len(a.e) = len(b.e)
+    AND list_dot_product(a.e, b.e) / (a.norm * b.norm) >= 0.9
+), reach(a, b) AS (
+  SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a
+), c AS (SELECT a, min(b) AS low FROM reach GROUP BY a
+), n AS (SELECT row_no, count(*) AS n_links FROM links GROUP BY row_no)
+SELECT r.vec_id, coalesce(n_links, 0) AS n_links, least(r.vec_id, coalesce(low, r.vec_id)) AS component_id,
+       r.vec_id IS NOT DISTINCT FROM least(r.vec_id, coalesce(low, r.vec_id)) AS kept
+FROM r LEFT JOIN n USING (row_no) LEFT JOIN c ON c.a = r.vec_id
+"""
+
 SQL: dict[str, str] = {
     "op1_threshold_top_k": OP1,
     "op2_dictionary_warc": OP2,
     "op4_chat_template": OP4,
     "op6_line_dedup": OP6,
     "op9_super_minhash": OP9,
+    "op11_conversation_repair": OP11,
+    "op12_setm_collocations": OP12,
+    "op13_grid_order_join": OP13,
 }

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from acqlens.llm import (chat, decontam, idmatrix, linededup, sospack, suffixes, superminhash, topk,
+from acqlens.llm import (chat, collocations, convrepair, decontam, epsgrid, idmatrix, linededup, sospack, suffixes, superminhash, topk,
                          toxicity, warc)
 
 
@@ -52,8 +52,21 @@ def op10_id_matrices(spark: SparkSession, sf_dir: str) -> DataFrame:
     return idmatrix.id_matrices(table(spark, sf_dir, "documents"))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return convrepair.repair_report(table(spark, sf_dir, "conversations"))
+
+
+def op12_setm_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+def op13_grid_order_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return epsgrid.vector_report(table(spark, sf_dir, "embeddings"))
+
+
 REGISTRY = {f.__name__: f for f in (
     op1_threshold_top_k, op2_dictionary_warc, op3_spaced_seed_overlaps, op4_chat_template,
     op5_toxicity_chain, op6_line_dedup, op7_suffix_dedup, op8_sum_of_squares_packing,
-    op9_super_minhash, op10_id_matrices,
+    op9_super_minhash, op10_id_matrices, op11_conversation_repair, op12_setm_collocations,
+    op13_grid_order_join,
 )}
