@@ -69,6 +69,11 @@ def _stretches(text: bytes, size: int = 1 << 20) -> Iterator[bytes]:
     yield text[at:] + _END
 
 
+def _gaps(at: np.ndarray) -> bytes:
+    """Rising places as steps, nearly all of them 1, which compress to nothing."""
+    return np.diff(at, prepend=np.int32(0)).astype(np.int32).tobytes()
+
+
 def _occurrences(chunk_words: int):
     """R1 by chunk, with the chunk's words."""
 
@@ -90,7 +95,7 @@ def _occurrences(chunk_words: int):
             one = pa.array([0, len(words)], pa.int32())
             out = pa.RecordBatch.from_arrays([
                 pa.array([task << _CHUNK | number], pa.int64()),
-                pa.array([at.tobytes()], pa.binary()), pa.array([of.tobytes()], pa.binary()),
+                pa.array([_gaps(at)], pa.binary()), pa.array([of.tobytes()], pa.binary()),
                 pa.ListArray.from_arrays(one, pa.array(langs, pa.string())),
                 pa.ListArray.from_arrays(one, pa.array(words, pa.binary()).cast(pa.string())),
                 pa.array([np.bincount(of, minlength=len(words)).astype(np.int64).tobytes()], pa.binary())],
@@ -118,6 +123,10 @@ def _occurrences(chunk_words: int):
     return run
 
 
+def _names(chunk: int, start: int, size: int) -> pa.Array:
+    return pa.array((chunk << _NUMBER) + np.arange(start, start + size))
+
+
 def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The groups of R1: one row a chunk and word."""
     for batch in batches:
@@ -126,11 +135,10 @@ def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             langs, words = batch.column(1)[row].values, batch.column(2)[row].values
             n = np.frombuffer(batch.column(3)[row].as_buffer(), np.int64)
             for i in range(0, len(n), 1 << 16):
-                size = len(n[i:i + (1 << 16)])
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(np.full(size, chunk)), pa.array(np.arange(i, i + size)),
-                    langs[i:i + size], words[i:i + size], pa.array(n[i:i + size])],
-                    ["chunk", "number", "lang", "word", "n"])
+                part = n[i:i + (1 << 16)]
+                yield pa.RecordBatch.from_arrays(
+                    [_names(chunk, i, len(part)), langs[i:i + len(part)], words[i:i + len(part)], pa.array(part)],
+                    ["own", "lang", "word", "n"])
 
 
 def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -141,10 +149,9 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             head, tail, n = (np.frombuffer(batch.column(c)[row].as_buffer(), np.int64) for c in (1, 2, 3))
             for i in range(0, len(n), 1 << 16):
                 s = slice(i, i + (1 << 16))
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(np.full(len(n[s]), chunk)), pa.array(np.arange(i, i + len(n[s]))),
-                    pa.array(head[s]), pa.array(tail[s]), pa.array(n[s])],
-                    ["chunk", "number", "head", "tail", "n"])
+                yield pa.RecordBatch.from_arrays(
+                    [_names(chunk, i, len(n[s])), pa.array(head[s]), pa.array(tail[s]), pa.array(n[s])],
+                    ["own", "head", "tail", "n"])
 
 
 _LONGER = pa.schema([("chunk", pa.int64()), ("at", pa.binary()), ("of", pa.binary()),
@@ -158,6 +165,7 @@ def _extend(relation: pa.Table, frequent: pa.Table) -> pa.Table:
         return _LONGER.empty_table()
     row = {c: relation.column(c)[0] for c in ("chunk", "at", "of")}
     at, of = (np.frombuffer(row[c].as_buffer(), np.int32) for c in ("at", "of"))
+    at = np.cumsum(at, dtype=np.int32)
     number, name = (frequent.column(c).to_numpy() for c in ("number", "name"))
     dense = np.full(max(int(of.max(initial=-1)), int(number.max())) + 1, -1, np.int32)
     dense[number] = np.arange(len(number), dtype=np.int32)
@@ -167,24 +175,29 @@ def _extend(relation: pa.Table, frequent: pa.Table) -> pa.Table:
     here = np.flatnonzero(at[1:] == at[:-1] + 1)
     pair = of[here].astype(np.int64) << 32 | of[here + 1]
     group, of, n = np.unique(pair, return_inverse=True, return_counts=True)
-    columns = (at[here], of.astype(np.int32), name[group >> 32], name[group & 0xFFFFFFFF], n)
-    return pa.table([pa.array([row["chunk"].as_py()], pa.int64()),
+    columns = (of.astype(np.int32), name[group >> 32], name[group & 0xFFFFFFFF], n)
+    return pa.table([pa.array([row["chunk"].as_py()], pa.int64()), pa.array([_gaps(at[here])], pa.binary()),
                      *[pa.array([np.ascontiguousarray(c).tobytes()], pa.binary()) for c in columns]],
                     schema=_LONGER)
 
 
 def _frequent(groups: DataFrame, key: list[str], least: int) -> DataFrame:
-    """The rows of ``groups`` whose phrase occurs at least ``least`` times in all
-    chunks together, with that count and the phrase's name."""
+    """(own, name) of the groups whose phrase occurs at least ``least`` times in all
+    chunks together: the group's name and that of its phrase, the smallest of its
+    groups' names.  The row of that group also has the phrase's key and count f."""
     phrase = Window.partitionBy(*key)
-    own = F.shiftleft("chunk", _NUMBER).bitwiseOR(F.col("number"))
-    rows = groups.select("chunk", "number", *key, own.alias("own"), F.sum("n").over(phrase).alias("f"),
-                         F.min(own).over(phrase).alias("name"))
-    return stored(rows.where(F.col("f") >= least), "frequent")
+    rows = groups.select("own", *key, F.sum("n").over(phrase).alias("f"), F.min("own").over(phrase).alias("name"))
+    once = lambda c: F.when(F.col("own") == F.col("name"), F.col(c)).alias(c)
+    return stored(rows.where(F.col("f") >= least).select("own", "name", *map(once, [*key, "f"])), "frequent")
+
+
+def _by_chunk(known: DataFrame) -> DataFrame:
+    return known.select(F.shiftright("own", _NUMBER).alias("chunk"),
+                        F.col("own").bitwiseAND((1 << _NUMBER) - 1).alias("number"), "name").groupBy("chunk")
 
 
 def frequent_phrases(docs: DataFrame, max_words: int = 3, min_count: int = 10, text_col: str = "text",
-                     lang_col: str = "lang", chunk_words: int = 1 << 21) -> tuple[DataFrame, DataFrame]:
+                     lang_col: str = "lang", chunk_words: int = 1 << 20) -> tuple[DataFrame, DataFrame]:
     """((lang, phrase, size, f) of the phrases of up to ``max_words`` words that
     occur at least ``min_count`` times, (lang, n) with all words of a language)."""
     relation = stored(
@@ -194,24 +207,24 @@ def frequent_phrases(docs: DataFrame, max_words: int = 3, min_count: int = 10, t
                     "chunk long, at binary, of binary, langs array<string>, words array<string>, n binary"),
         "occurrences")
     words = relation.select("chunk", "langs", "words", "n").mapInArrow(
-        _words, "chunk long, number long, lang string, word string, n long")
+        _words, "own long, lang string, word string, n long")
     totals = stored(words.groupBy("lang").agg(F.sum("n").alias("n")), "totals")
     known = _frequent(words, ["lang", "word"], min_count)
-    level = known.where("own = name").select("name", "lang", F.col("word").alias("phrase"),
+    level = known.where("f IS NOT NULL").select("name", "lang", F.col("word").alias("phrase"),
                                              F.lit(1).alias("size"), "f")
     last = level.select(F.col("name").alias("tail"), F.col("phrase").alias("last"))
     levels = [level]
     for size in range(2, max_words + 1):
         relation = stored(
             relation.select("chunk", "at", "of").groupBy("chunk")
-            .cogroup(known.select("chunk", "number", "name").groupBy("chunk"))
+            .cogroup(_by_chunk(known))
             .applyInArrow(_extend, "chunk long, at binary, of binary, head binary, tail binary, n binary"),
             "occurrences")
         groups = relation.select("chunk", "head", "tail", "n").mapInArrow(
-            _groups, "chunk long, number long, head long, tail long, n long")
+            _groups, "own long, head long, tail long, n long")
         known = _frequent(groups, ["head", "tail"], min_count)
         level = stored(
-            known.where("own = name").select("name", "head", "tail", "f")
+            known.where("f IS NOT NULL").select("name", "head", "tail", "f")
             .join(level.select(F.col("name").alias("head"), "lang", "phrase"), "head").join(last, "tail")
             .select("name", "lang", F.concat_ws(" ", "phrase", "last").alias("phrase"),
                     F.lit(size).alias("size"), "f", "last"), "phrases")

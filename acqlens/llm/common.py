@@ -17,23 +17,34 @@ U64 = np.uint64
 
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A new path below ``spark.checkpoint.dir``, the folder that the driver and
-    all executors share.  The setting is read from the session; only where it is
-    unset (local tests) a scratch folder takes its place.  Whoever set the folder
-    empties it: results are lazy and may still read from it.
+    all executors share.  The setting is read from the session; only a local
+    session that has none (tests) uses a scratch folder, anywhere else that is an
+    error.  Whoever set the folder empties it: results are lazy and may still read
+    from it.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir names no folder that all executors share")
         base = "file://" + tempfile.mkdtemp(prefix="llm-shared-")
-        spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+_CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts the lineage, so a
-    lost executor costs no recomputation before this point."""
+    lost executor costs no recomputation before this point.  The shuffle files of
+    the write go when it is done, as nothing reads them again."""
     spark = df.sparkSession
     path = shared_folder(spark, name)
-    df.write.option("compression", "zstd").parquet(path)
+    before = spark.conf.get(_CLEAN, "false")
+    spark.conf.set(_CLEAN, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(_CLEAN, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -34,7 +34,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from acqlens.llm.common import stored
 from acqlens.llm.components import components
@@ -42,10 +42,8 @@ from acqlens.llm.components import components
 _NEAR = 1e-9
 #: coordinates that principal directions are taken from
 _LEAD = 512
-#: bits of an interval's number within its partition
-_BITS = 24
-#: levels above the lowest: groups of intervals, the partition, then 16 by 16
-_FIRST, _STEP = 3, 4
+#: an interval of a level has 16 of the level below
+_STEP = 4
 
 
 def _doubles(value: pa.Scalar) -> np.ndarray:
@@ -128,25 +126,37 @@ def _gridded(basis: tuple[int, np.ndarray | None], dims: int, epsilon: float):
     return run
 
 
-def _sequence(interval_bytes: int):
-    """Numbers the intervals of a sorted partition; an interval holds one width
-    and at most ``interval_bytes`` of doubles."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        partition, interval, width, held = TaskContext.get().partitionId(), -1, None, 0
-        for batch in batches:
-            numbers, places = [], []
-            for w in batch.column(2).to_pylist():
-                if w != width or held + 8 * w > interval_bytes:
-                    interval, width, held = interval + 1, w, 0
-                held += 8 * w
-                numbers.append(partition << _BITS | interval)
-                places.append(held // (8 * w))
-            yield pa.RecordBatch.from_arrays([pa.array(numbers, pa.int64()), pa.array(places, pa.int64()),
-                                              *batch.columns[:4]],
-                                             ["interval", "place", "id", "copies", "width", "v"])
-
-    return run
+def _numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Numbers the rows of each width in a sorted partition."""
+    partition, width, at = TaskContext.get().partitionId(), None, 0
+    for batch in batches:
+        numbers = []
+        for w in batch.column(2).to_pylist():
+            if w != width:
+                width, at = w, 0
+            numbers.append(at)
+            at += 1
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.full(batch.num_rows, partition), pa.int32()), pa.array(numbers, pa.int64()),
+             *batch.columns[:4]], ["part", "nth", "id", "copies", "width", "v"])
+
+
+def _intervals(rows: DataFrame, interval_bytes: int) -> DataFrame:
+    """The sequence cut into intervals of one width and at most ``interval_bytes`` of
+    doubles, whatever partitions it is sorted in: intervals are numbered through,
+    and a row's place is its number in its interval."""
+    before = Window.partitionBy("width").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    size = F.greatest(F.lit(1).cast("long"), F.lit(interval_bytes).cast("long") / (8 * F.col("width"))).cast("long")
+    parts = (rows.groupBy("part", "width").agg(F.count("*").alias("n"))
+             .withColumn("start", F.coalesce(F.sum("n").over(before), F.lit(0))))
+    widths = (parts.groupBy("width").agg(F.ceil(F.sum("n") / F.first(size)).alias("k"))
+              .withColumn("first", F.coalesce(F.sum("k").over(
+                  Window.orderBy("width").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))))
+    starts = parts.join(widths, "width").select("part", "width", "start", "first")
+    at = F.col("start") + F.col("nth")
+    return rows.join(starts, ["part", "width"]).select(
+        (F.col("first") + F.floor(at / size)).alias("interval"), (at % size).alias("place"),
+        "id", "copies", "width", "v")
 
 
 def _boxes(basis: tuple[int, np.ndarray | None], dims: int):
@@ -281,11 +291,7 @@ def _joined(basis, dims: int, least: float, epsilon: float, leaf: int):
 
 def _above(level: int):
     """The interval of a level that a lowest interval lies in."""
-    if level == 0:
-        return F.col("interval")
-    if level == 1:
-        return F.shiftright("interval", _FIRST)
-    return F.shiftright("interval", _BITS + _STEP * (level - 2))
+    return F.shiftright("interval", _STEP * level)
 
 
 def _candidates(boxes: DataFrame, dims: int, epsilon: float) -> DataFrame:
@@ -296,7 +302,7 @@ def _candidates(boxes: DataFrame, dims: int, epsilon: float) -> DataFrame:
     while True:
         table = stored(boxes.groupBy(_above(level).alias("i"), _above(level + 1).alias("up")).agg(*low, *high), "boxes")
         levels.append(table)
-        if level >= 2 and table.count() <= 1:
+        if table.count() <= 1:
             break
         level += 1
     pairs = levels[-1].select(F.col("i").alias("a"), F.col("i").alias("b"))
@@ -331,9 +337,10 @@ def near_vectors(vectors: DataFrame, least: float = 0.9, dims: int = 8, interval
     schema = "id long, copies long, width int, v binary"
     gridded = stored(classes.mapInArrow(_gridded(basis, dims, epsilon),
                                         schema + "".join(f", {c} int" for c in cells)), "gridded")
-    sequence = stored(gridded.repartitionByRange(max(1, -(-size // partition_bytes)), "width", *cells, "id")
-                      .sortWithinPartitions(*order)
-                      .mapInArrow(_sequence(interval_bytes), "interval long, place long, " + schema), "sequence")
+    sorted_rows = stored(gridded.repartitionByRange(max(1, -(-size // partition_bytes)), "width", *cells, "id")
+                         .sortWithinPartitions(*order)
+                         .mapInArrow(_numbered, "part int, nth long, " + schema), "sorted")
+    sequence = stored(_intervals(sorted_rows, interval_bytes), "sequence")
     boxes = stored(sequence.select("interval", "v").mapInArrow(
         _boxes(basis, dims), "interval long, low array<double>, high array<double>"), "boxes")
     pairs = _candidates(boxes, dims, epsilon)
