@@ -122,7 +122,9 @@ def keyed_update(target: DataFrame, source: DataFrame, key: str,
     src = source.select(F.col(key), *values, *[o.alias(f"_ord{i}") for i, o in enumerate(ordering)])
     src = pick_per_key(src, [key], [F.col(f"_ord{i}") for i in range(len(ordering))],
                        [f"_s_{i}" for i in range(len(src_cols))])
-    src = src.withColumn("_matched", F.lit(True))
+    # the key is an expression, so the join shuffles the source again and AQE can
+    # split a target partition that holds a hot key
+    src = src.withColumn("_matched", F.lit(True)).withColumn(key, F.when(F.col("_matched"), F.col(key)))
     j = target.join(src, key, "left")
     out = []
     for c in target.columns:

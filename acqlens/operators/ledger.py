@@ -70,18 +70,29 @@ def chart_of_accounts(raw: DataFrame, account_col: str = "account",
     Names are right-trimmed (a trailing blank in one line name is a known
     defect of the source file); ``sign`` is -1 for the income set.  An account
     listed several times counts once; one that is on two lines stops the job
-    (``quality.account_conflicts`` lists them).
+    (``quality.account_conflicts`` lists them).  A row without a line, or with
+    one that is no statement line, reports nothing
+    (``quality.accounts_without_line`` lists them).
+
+    The lines are compared by their numbers, so the aggregate is a hash
+    aggregate; the account leaves it as an expression, so that a join on it
+    shuffles the chart again and AQE can split a ledger partition that holds a
+    hot account.
     """
     line = F.rtrim(F.col(line_col))
-    per = (raw.groupBy(F.trim(F.col(account_col).cast("string")).alias("account"))
-              .agg(F.min(line).alias("_lo"), F.max(line).alias("_hi")))
+    code = F.when(line == NOT_REPORTED, F.lit(0)).otherwise(line_no_of(F.col(line_col)))
+    per = (raw.select(F.trim(F.col(account_col).cast("string")).alias("account"), code.alias("_code"))
+              .where(F.col("_code").isNotNull())
+              .groupBy("account").agg(F.min("_code").alias("line_no"), F.max("_code").alias("_hi")))
     stop = F.raise_error(F.concat(F.lit("account on two lines: "), F.col("account"))).cast("string")
-    chart = (per.select("account", F.when(F.col("_lo") == F.col("_hi"), F.col("_lo")).otherwise(stop).alias("line_item"))
-                .where(F.col("line_item") != NOT_REPORTED))
+    chart = per.select(F.when(F.col("line_no") == F.col("_hi"), F.col("account")).otherwise(stop).alias("account"),
+                       "line_no").where(F.col("_hi") > 0)
     return chart.select(
-        "account", "line_item",
-        line_no_of(F.col("line_item")).alias("line_no"),
-        F.when(F.col("line_item").isin(INCOME_LINES), F.lit(-1)).otherwise(F.lit(1)).alias("sign"),
+        "account",
+        F.element_at(F.array(*[F.lit(n) for n in BASE_LINES]), F.col("line_no")).alias("line_item"),
+        "line_no",
+        F.when(F.col("line_no").isin([BASE_LINES.index(n) + 1 for n in INCOME_LINES]), F.lit(-1))
+         .otherwise(F.lit(1)).alias("sign"),
     )
 
 

@@ -8,7 +8,7 @@ import datetime as _dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.cleaning import (amount_or_zero, clean_key, date_columns_after, undated_columns,
+from ..functions.cleaning import (amount_or_zero, clean_key, column_date, date_columns_after, undated_columns,
                                   unreadable_amount)
 from ..functions.stats import sum_money
 
@@ -36,13 +36,20 @@ def _months(sheet: DataFrame, ids: list[str], watermark: _dt.date | None) -> lis
 def _melt_months(df: DataFrame, ids: list[str], months: list[str]) -> DataFrame:
     """Wide month columns -> (Date, Amount); the month is a literal per
     column, the cell text goes through the sentinel rule ('x' -> 0, blank ->
-    0, unreadable text -> null)."""
+    0, unreadable text -> null).  The cells are only cast once they are rows: one
+    expression instead of one a month, which the JIT would not compile."""
     if not months:   # nothing after the watermark: no rows, same columns
         return df.select(*[_q(i) for i in ids], F.lit(None).cast("date").alias("Date"),
                          F.lit(None).cast(AMOUNT).alias("Amount")).where(F.lit(False))
-    cells = F.array(*[F.struct(F.lit(m).cast("date").alias("Date"),
-                               amount_or_zero(_q(m), "x", AMOUNT).alias("Amount")) for m in months])
-    return df.select(*[_q(i) for i in ids], F.inline(cells))
+    cells = F.array(*[F.struct(F.lit(column_date(m)).alias("Date"), _q(m).cast("string").alias("_cell")) for m in months])
+    rows = df.select(*[_q(i) for i in ids], F.inline(cells))
+    return rows.select(*[_q(i) for i in ids], "Date", amount_or_zero(F.col("_cell"), "x", AMOUNT).alias("Amount"))
+
+
+def trend_accounts(sheet: DataFrame) -> DataFrame:
+    """The cleaned account numbers of a trends sheet, off its key columns alone."""
+    keys = sheet.select(clean_key(_q("SAP")).alias("SAP"), clean_key(_q("Account_Number")).alias("Account_Number"))
+    return keys.where(F.col("SAP").isNotNull() & F.col("Account_Number").isNotNull()).select("Account_Number").distinct()
 
 
 def load_trends(sheet: DataFrame, watermark: _dt.date | None = None) -> DataFrame:
@@ -90,9 +97,8 @@ def load_adjustments(sheet: DataFrame, watermark: _dt.date | None = None) -> Dat
 def unreadable_amounts(sheet: DataFrame, ids: list[str], key: str) -> DataFrame:
     """Findings: cells of month columns that hold text but no amount."""
     months = _months(sheet, ids, None)
-    cells = F.array(*[F.struct(F.lit(m).alias("month"), _q(m).cast("string").alias("cell"),
-                               unreadable_amount(_q(m), "x", AMOUNT).alias("bad")) for m in months])
-    bad = sheet.select(_q(key).alias("key"), F.inline(cells)).where("bad")
+    cells = F.array(*[F.struct(F.lit(m).alias("month"), _q(m).cast("string").alias("cell")) for m in months])
+    bad = sheet.select(_q(key).alias("key"), F.inline(cells)).where(unreadable_amount(F.col("cell"), "x", AMOUNT))
     return bad.select(F.lit("unreadable amount").alias("check"), F.col("key").cast("string").alias("key"),
                       F.concat_ws("=", "month", "cell").alias("detail"))
 

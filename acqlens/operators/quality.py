@@ -4,7 +4,7 @@ unmapped accounts.  Every check returns a DataFrame of findings
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 FINDING_COLS = ["check", "key", "detail"]
@@ -38,14 +38,19 @@ def unmapped_accounts(lender: DataFrame, conversion: DataFrame, old_col: str = "
     return _finding(missing, "unmapped account", F.col("Account_Number"), F.lit("no conversion"))
 
 
+def cash_trend_with_noi(cash_trend: DataFrame, currency: str = "Group", split: str = "ALL") -> DataFrame:
+    """The cash trend's rows, over all its months, that count as data: the given
+    currency and split, NOI not 0."""
+    return cash_trend.where((F.col("CURRENCY") == currency) & (F.col("SPLIT") == split)
+                            & (F.col("NET OPERATING INCOME") != 0))
+
+
 def data_presence(centres: DataFrame, cash_trend: DataFrame, currency: str = "Group", split: str = "ALL") -> DataFrame:
     """Per listed centre, whether the cash trend holds a non-zero NOI
     row (currency and split filters); the key-or-null and key-or-error forms
     of the reference, in one pass (semi-join keys + left join)."""
-    has = (cash_trend.where((F.col("CURRENCY") == currency) & (F.col("SPLIT") == split)
-                            & (F.col("NET OPERATING INCOME") != 0))
-                     .select(F.col("PROFIT CENTER").alias("profit_center")).distinct()
-                     .withColumn("has_data", F.lit(True)))
+    has = (cash_trend_with_noi(cash_trend, currency, split)
+           .select(F.col("PROFIT CENTER").alias("profit_center")).distinct().withColumn("has_data", F.lit(True)))
     m = centres.select("profit_center").distinct().join(has, "profit_center", "left")
     flag = F.coalesce(F.col("has_data"), F.lit(False))
     return m.select("profit_center", flag.alias("has_data"),
@@ -56,11 +61,13 @@ def data_presence(centres: DataFrame, cash_trend: DataFrame, currency: str = "Gr
 
 def raise_on_findings(findings: DataFrame, message: str) -> None:
     """Strict mode: stop the job when a check found anything.  The message shows
-    up to 20 findings and how many there are."""
-    shown = findings.limit(21).collect()
+    the first 20 findings and how many there are; the check runs once, as the
+    findings are counted on their way to the sort."""
+    seen = Observation("findings")
+    shown = (findings.observe(seen, F.count(F.lit(1)).alias("n"))
+             .orderBy(*[F.col(f"`{c}`") for c in findings.columns]).limit(20).collect())
     if shown:
-        total = len(shown) if len(shown) < 21 else findings.count()
-        raise ValueError(f"{message}: {total} findings, the first {min(20, total)}: {shown[:20]}")
+        raise ValueError(f"{message}: {seen.get['n']} findings, the first {len(shown)}: {shown}")
 
 
 def unique_or_stop(df: DataFrame, key: str, message: str) -> DataFrame:
@@ -87,6 +94,16 @@ def account_conflicts(chart_raw: DataFrame, account_col: str = "account", line_c
     return _finding(two, "account on two lines", F.col("account"), F.concat_ws(" / ", "lo", "hi"))
 
 
+def accounts_without_line(chart_raw: DataFrame, account_col: str = "account",
+                          line_col: str = "line_item") -> DataFrame:
+    """Accounts of the raw chart whose line is missing, blank or no statement line."""
+    from .ledger import NOT_REPORTED, line_no_of
+    line = F.rtrim(F.col(line_col))
+    bad = chart_raw.where(line.isNull() | (line_no_of(F.col(line_col)).isNull() & (line != NOT_REPORTED)))
+    return _finding(bad, "account without a line", F.trim(F.col(account_col).cast("string")),
+                    F.coalesce(line, F.lit("null"))).distinct()
+
+
 def centres_without_data(centres: DataFrame, facts: DataFrame, fact_key: str = "profit_center",
                          info: DataFrame | None = None) -> DataFrame:
     """Listed centres with no row in ``facts`` (anti join), optionally
@@ -104,3 +121,19 @@ def missing_line_items(chart: DataFrame, required: list[str] | None = None) -> D
     present = chart.select("line_item").distinct()
     missing = req.join(present, "line_item", "left_anti")
     return _finding(missing, "missing line item", F.col("line_item"), F.lit("no account"))
+
+
+def centre_missing_lines(ledger: DataFrame, chart: DataFrame) -> DataFrame:
+    """U3 by centre: per statement line the number of the centre's ledger months
+    without a row for it (its statement shows them as 0).  The lines of a month are
+    one bit each of a long, so the ledger passes one small hash aggregate; a month
+    without a reportable account lacks every line."""
+    from .ledger import BASE_LINES
+    bit = F.expr("shiftleft(1L, line_no)")
+    lined = ledger.join(chart.select("account", "line_no"), "account", "left")
+    have = lined.groupBy("profit_center", "month").agg(F.coalesce(F.bit_or(bit), F.lit(0).cast("long")).alias("_have"))
+    lines = F.posexplode(F.array(*[F.lit(n) for n in BASE_LINES])).alias("_at", "line_item")
+    missing = have.select("profit_center", "_have", lines).where("_have & shiftleft(1L, _at + 1) = 0")
+    months = missing.groupBy("profit_center", "line_item").agg(F.count(F.lit(1)).alias("n"))
+    return _finding(months, "centre without line", F.col("profit_center"),
+                    F.concat("line_item", F.lit(": months="), F.col("n").cast("string")))

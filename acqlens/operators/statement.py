@@ -6,7 +6,7 @@ from __future__ import annotations
 import datetime as _dt
 from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions import fiscal
@@ -146,15 +146,27 @@ def portfolio_statement(ledger: DataFrame, chart: DataFrame, centres: DataFrame,
     ledger and brings the attributes, which then travel as grouping keys.
     """
 
+    out = income_statement(_portfolio_ledger(ledger, centres, as_of), chart,
+                           keys=("profit_center", "month", "MEntity", "grp_num"))
+    return _portfolio_columns(out, base_fy, base_q)
+
+
+def _portfolio_ledger(ledger: DataFrame, centres: DataFrame, as_of: _dt.date) -> DataFrame:
+    grp = unique_or_stop(centres.select("profit_center", "MEntity", F.col("Group").alias("grp_num")),
+                         "profit_center", "profit centre listed twice")
+    return _portfolio_months(ledger, as_of).join(grp, "profit_center")
+
+
+def _portfolio_months(ledger: DataFrame, as_of: _dt.date) -> DataFrame:
     fy_last, _ = fiscal.fiscal_years_of(as_of)
     lo = _dt.date(fy_last - 1, 4, 1)             # first month of the earlier fiscal year
     cut = _dt.date(as_of.year, as_of.month, 1)    # first of the as-of month, inclusive
-    grp = unique_or_stop(centres.select("profit_center", "MEntity", F.col("Group").alias("grp_num")),
-                         "profit_center", "profit centre listed twice")
-    led = ledger.where(F.col("month").between(F.lit(lo), F.lit(cut))).join(grp, "profit_center")
-    out = income_statement(led, chart, keys=("profit_center", "month", "MEntity", "grp_num"))
+    return ledger.where(F.col("month").between(F.lit(lo), F.lit(cut)))
+
+
+def _portfolio_columns(statement: DataFrame, base_fy: int, base_q: int) -> DataFrame:
     d = F.col("date")
-    return out.select(
+    return statement.select(
         "date", "profit_center", "MEntity", "line_item", "value",
         fiscal.group_label_of_number(F.col("grp_num"), base_fy, base_q).alias("grp_name"),
         "grp_num",
@@ -163,10 +175,53 @@ def portfolio_statement(ledger: DataFrame, chart: DataFrame, centres: DataFrame,
     )
 
 
+def checked_statement(ledger: DataFrame, chart: DataFrame, centres: DataFrame, as_of: _dt.date,
+                      base_fy: int = 2015, base_q: int = 4) -> tuple[DataFrame, dict[str, Observation]]:
+    """X5 with the checks of X24 counted on the way (A11, X6): the statement and
+    the observations that hold the counts once it has been written.
+
+    ``centres``: rows of the centre list, and keys listed more than once.
+    ``ledger``: the included centres' rows of the statement's months, rows without
+    an amount, rows on an account that the chart does not report.  A centre
+    listed twice counts once here, as the count tells of it.
+    """
+    listed, read = Observation("centres"), Observation("ledger")
+    others = [F.col("MEntity"), F.col("Group").alias("grp_num")]
+    grp = (centres.groupBy("profit_center").agg(F.count(F.lit(1)).alias("_n"), F.min(F.struct(*others)).alias("_row"))
+           .observe(listed, F.coalesce(F.sum("_n"), F.lit(0)).alias("rows"),
+                    F.count_if(F.col("_n") > 1).alias("duplicates"))
+           .select(F.when(F.col("_n") > 0, F.col("profit_center")).alias("profit_center"), "_row.*"))
+    lines = chart.select("account", F.col("line_no").alias("_line"))
+    marked = (_portfolio_months(ledger, as_of).join(grp, "profit_center").join(lines, "account", "left")
+              .observe(read, F.count(F.lit(1)).alias("rows"), F.count_if(F.col("amount").isNull()).alias("unreadable"),
+                       F.count_if(F.col("_line").isNull()).alias("unmapped")))
+    amounts = marked.where(F.col("_line").isNotNull()).drop("_line")
+    out = income_statement(amounts, chart, keys=("profit_center", "month", "MEntity", "grp_num"))
+    return _portfolio_columns(out, base_fy, base_q), {"centres": listed, "ledger": read}
+
+
 def group_statement(portfolio: DataFrame) -> DataFrame:
     """Portfolio statement summed per month x line x acquisition group."""
     keys = ["date", "line_item", "fiscal_year", "fiscal_month", "month", "grp_name", "grp_num"]
-    agg = portfolio.groupBy(*keys).agg(sum_money("value").alias("value"))
+    return _group_columns(portfolio.groupBy(*keys).agg(sum_money("value").alias("value")))
+
+
+def group_statement_from_ledger(ledger: DataFrame, chart: DataFrame, centres: DataFrame, as_of: _dt.date,
+                                base_fy: int = 2015, base_q: int = 4) -> DataFrame:
+    """X7 straight from the ledger: the 24 lines are summed as columns per month
+    and group, and only these sums become rows."""
+    wide = (statement_wide(_portfolio_ledger(ledger, centres, as_of), chart, ("profit_center", "month", "grp_num"))
+            .where(_q("NET OPERATING INCOME") != 0))
+    sums = wide.groupBy("month", "grp_num").agg(*[sum_money(_q(c)).alias(c) for c in STATEMENT_LINES])
+    tidy = sums.unpivot(["month", "grp_num"], [_q(c) for c in STATEMENT_LINES], "line_item", "value")
+    d = F.col("month")
+    return _group_columns(tidy.select(
+        d.alias("date"), "line_item", "value", fiscal.fiscal_year(d).alias("fiscal_year"),
+        fiscal.fiscal_month(d).alias("fiscal_month"), F.month(d).alias("month"),
+        fiscal.group_label_of_number(F.col("grp_num"), base_fy, base_q).alias("grp_name"), "grp_num"))
+
+
+def _group_columns(agg: DataFrame) -> DataFrame:
     return agg.select(
         "date", "line_item", "value", "fiscal_year", "fiscal_month",
         fiscal.fiscal_quarter(F.col("date")).alias("quarter"),

@@ -361,6 +361,47 @@ SELECT * FROM (SELECT * REPLACE (CASE WHEN NOT (line_item = 'SALES' AND month =
 WHERE fiscal_year IS NULL OR NOT (fiscal_year BETWEEN {FY_LAST} AND {FY_CUR})
 UNION ALL SELECT * FROM portfolio""", PORTFOLIO + PORTFOLIO_OLD)
 
+SQL["statement_partition_replace"] = SQL["statement_range_replace"]
+
+SQL["statement_checks"] = with_ctes(["ledger_long", "chart", "acquisitions"], """
+SELECT 'centres rows' AS "check", count(*) AS n FROM centres
+UNION ALL SELECT 'centres duplicates', count(*) FROM
+  (SELECT profit_center FROM centres GROUP BY profit_center HAVING count(*) > 1)
+UNION ALL SELECT 'ledger rows', count(*) FROM pled
+UNION ALL SELECT 'ledger unreadable', count(*) FROM pled WHERE amount IS NULL
+UNION ALL SELECT 'ledger unmapped', count(*) FROM pled WHERE account NOT IN (SELECT account FROM chart)""", PORTFOLIO[:2])
+
+# the extract's cells; a row is rejected for the first reason that holds
+_DIGIT, _MONTH = "right(SAP, 1)", 'month("Final Month")'
+EXTRACT = ("extract", f"""
+SELECT *, coalesce({_DIGIT} = '5' AND {_MONTH} = 4, false) AS surplus,
+       coalesce({_DIGIT} = '3' AND {_MONTH} = 2, false) AS undated,
+       coalesce({_DIGIT} = '4' AND {_MONTH} = 3, false) AS broken,
+       CASE WHEN {_MONTH} = 6 THEN 'LENDER "ADJUSTMENT",' || chr(10) || 'second line' ELSE "Line Item" END AS item,
+       CASE WHEN "Final Adjustment" = 0 THEN 'x' ELSE CAST("Final Adjustment" AS VARCHAR) END AS total
+FROM lender_adjustments_sheet""")
+SQL["sheet_adjustments"] = with_ctes(["lender_adjustments_sheet"], f"""
+SELECT {_key('SAP')} AS SAP_Number, {_key('Account')} AS Account_Number, item AS Account_Description,
+       CAST("Final Month" AS DATE) AS Date, CAST("Final Adjustment" AS DECIMAL(18,2)) AS Total_Adjustment,
+       CAST("Storage Adjustment" AS DECIMAL(18,2)) AS Storage_Adjustment,
+       CAST("U-Move Adjustment" AS DECIMAL(18,2)) AS UMove_Adjustment, CAST("Storage Split" AS DOUBLE) AS Storage_Split
+FROM extract WHERE SAP IS NOT NULL AND NOT surplus AND NOT undated AND NOT broken""", [EXTRACT])
+SQL["sheet_rejects"] = with_ctes(["lender_adjustments_sheet"], """
+SELECT 'year=' || CAST(year("Final Month") AS VARCHAR) AS file,
+       CASE WHEN surplus THEN 'surplus cells' WHEN undated THEN 'unreadable Final Month'
+            ELSE 'unreadable Final Adjustment' END AS reason,
+       CASE WHEN surplus THEN array_to_string(cells, ',') || ',late,entry'
+            ELSE '"' || array_to_string(cells, '","') || '"' END AS record
+FROM (SELECT *, [SAP, Account, item, CASE WHEN undated THEN 'n/a' ELSE CAST(CAST("Final Month" AS DATE) AS VARCHAR) END,
+                 CASE WHEN broken THEN '#REF!' ELSE total END, CAST("Storage Adjustment" AS VARCHAR),
+                 CAST("U-Move Adjustment" AS VARCHAR), '0.5'] AS cells FROM extract)
+WHERE surplus OR undated OR broken""", [EXTRACT])
+
+SQL["append_batches"] = with_ctes(["lender_adjustments_sheet"], f"""
+SELECT CASE WHEN Date <= DATE '{_WATERMARK}' THEN 'until' ELSE 'after' END AS batch_id, Date, count(*) AS n,
+       sum(Total_Adjustment) AS total
+FROM aall GROUP BY 1, 2""", [adj_load_cte("aall", None)])
+
 _ACCTS = f"SELECT CAST({V.ACCOUNT_BASE} + p_partkey AS VARCHAR) FROM part WHERE p_size <= 25"
 SQL["lender_trend_rollup"] = with_ctes(["trend_cells", "samestore_centres"], f"""
 SELECT Date, Line_Item, sum(Amount) AS value FROM tall
@@ -430,11 +471,13 @@ LEFT JOIN (SELECT DISTINCT profit_center AS pc FROM stmt
              AND CAST(profit_center AS BIGINT) % 3 <> 0 AND month(date) % 2 = 0) h
   ON h.pc = c.profit_center""", [CENTRES] + statement_ctes("ledger_long"))
 
-SQL["centres_without_data"] = with_ctes(["acquisitions", "ledger_long", "cost_centre_hierarchy"], f"""
+SQL["centres_without_data"] = with_ctes(["acquisitions", "ledger_long", "chart", "cost_centre_hierarchy"], """
 SELECT c.profit_center, h."Hierarchy Area" AS owner_area
 FROM (SELECT DISTINCT profit_center FROM centres) c
 LEFT JOIN cost_centre_hierarchy h ON h.Profit_Center = c.profit_center
-WHERE c.profit_center NOT IN (SELECT profit_center FROM ledger_long WHERE month = {_MAXM})""", [CENTRES])
+WHERE c.profit_center NOT IN
+  (SELECT profit_center FROM stmt WHERE line_item = 'NET OPERATING INCOME' AND value <> 0
+     AND CAST(profit_center AS BIGINT) % 3 <> 0 AND month(date) % 2 = 0)""", [CENTRES] + statement_ctes("ledger_long"))
 
 SQL["check_unreadable_amounts"] = with_ctes(["trend_cells"], """
 SELECT 'unreadable amount' AS "check", Account_Number AS key, strftime(Date, '%Y-%m-%d') || '=' || cell AS detail
@@ -449,9 +492,9 @@ SELECT 'account on two lines' AS "check", account AS key, min(line) || ' / ' ||
 FROM (SELECT trim(account) AS account, rtrim(line_item) AS line FROM chart_raw
       UNION ALL
       SELECT CAST({V.ACCOUNT_BASE} + p_partkey AS VARCHAR),
-             coalesce([{", ".join("'" + n + "'" for n in BASE_LINES)}][CAST((p_partkey + 1) % {V.ACCOUNT_SLOTS} AS INTEGER) + 1],
+             coalesce([{", ".join("'" + n + "'" for n in BASE_LINES)}][CAST((p_partkey + CASE WHEN p_size = 50 THEN 1 ELSE 0 END) % {V.ACCOUNT_SLOTS} AS INTEGER) + 1],
                       '{V.NOT_REPORTED}')
-      FROM part WHERE p_partkey % 60 = 0)
+      FROM part)
 GROUP BY account HAVING min(line) <> max(line)""")
 
 SQL["forecast_group_entities"] = with_ctes(["forecast", "acquisitions"], """
@@ -565,9 +608,17 @@ WHERE NOT (has_entity AND has_occupancy AND has_forecast)""", [COHORTS, CENTRES,
 
 SQL["check_missing_line_items"] = with_ctes(["chart"], f"""
 SELECT 'missing line item' AS "check", line_item AS key, 'no account' AS detail
-FROM (SELECT unnest([{", ".join("'" + n + "'" for n in BASE_LINES)}]) AS line_item)
-WHERE line_item NOT IN (SELECT line_item FROM chart WHERE account IN
-  (SELECT CAST({V.ACCOUNT_BASE} + p_partkey AS VARCHAR) FROM part WHERE p_size = 1))""")
+FROM (SELECT unnest([{", ".join("'" + n + "'" for n in [*BASE_LINES, V.EXTRA_LINE])}]) AS line_item)
+WHERE line_item NOT IN (SELECT line_item FROM chart)""")
+
+SQL["check_centre_lines"] = with_ctes(["ledger_long", "chart"], f"""
+SELECT 'centre without line' AS "check", c.profit_center AS key,
+       n.line_item || ': months=' || CAST(count(*) AS VARCHAR) AS detail
+FROM (SELECT DISTINCT profit_center, month FROM ledger_long) c
+CROSS JOIN (SELECT unnest([{", ".join("'" + n + "'" for n in BASE_LINES)}]) AS line_item) n
+LEFT JOIN (SELECT DISTINCT profit_center, month, line_item FROM ledger_long JOIN chart USING (account)) h
+  ON h.profit_center = c.profit_center AND h.month = c.month AND h.line_item = n.line_item
+WHERE h.profit_center IS NULL GROUP BY c.profit_center, n.line_item""")
 
 _LIT = [f"CAST({e} AS DOUBLE)" for e in V.LITERAL_UPPER]
 _LIT_BUCKETS = [f"occupancy <= {_LIT[0]}"] + [
@@ -605,6 +656,9 @@ DECIMAL_OUTPUTS = {
     "line_item_amounts": ["amount"],
     "portfolio_statement": ["value"],
     "statement_cutoff": ["value"],
+    "sheet_adjustments": ["Total_Adjustment", "Storage_Adjustment", "UMove_Adjustment"],
+    "append_batches": ["total"],
+    "statement_partition_replace": ["value"],
     "statement_range_replace": ["value"],
 }
 for _name, _cols in DECIMAL_OUTPUTS.items():
@@ -613,6 +667,8 @@ for _name, _cols in DECIMAL_OUTPUTS.items():
 
 # Integer columns null on part of the rows are reported as double.
 for _name, _cols in {"forecast_splice": ["ID", "total_units", "occ_units"],
-                     "forecast_capacity": ["Group", "Total_Rooms"]}.items():
+                     "forecast_capacity": ["Group", "Total_Rooms"],
+                     "statement_range_replace": ["fiscal_year"],
+                     "statement_partition_replace": ["fiscal_year"]}.items():
     _casts = ", ".join(f'CAST("{c}" AS DOUBLE) AS "{c}"' for c in _cols)
     SQL[_name] = f"SELECT * REPLACE ({_casts}) FROM (\n{SQL[_name]}\n)"

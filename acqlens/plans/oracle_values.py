@@ -59,6 +59,7 @@ BASE_FY, BASE_Q = 1995, 4
 CENTRE_BASE, ACCOUNT_BASE = 7000000000, 40000
 ACCOUNT_SLOTS, LENDER_ACCOUNTS, ENTITY_PER_CUSTOMER = 25, 50, 15
 MIN_ACTUAL = "1995-01-01"
+EXTRA_LINE = "MANAGEMENT FEE"  # required by a check, on no account
 LENDER_WATERMARK = "2000-03-01"
 LENDER_STORED_UNTIL = "2000-06-01"
 LIST_AS_OF = "1999-06-30"

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
 from ..functions import fiscal
+from ..functions.stats import sum_money
 from ..operators import acquisitions as A
 from ..operators import ledger as L
 from ..operators import lender as LD
@@ -19,7 +20,9 @@ from ..operators import occupancy as O
 from ..operators import quality as Q
 from ..operators import samestore as SS
 from ..operators import statement as S
+from ..session import shared_folder
 from ..sources import bindings as B
+from ..sources import quarantine as QU
 from ..sources import tables as T
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -75,11 +78,15 @@ def line_item_amounts(spark, d):
     return L.line_item_amounts(B.ledger_long(spark, d), _chart(spark, d))
 
 
+def _portfolio_ledger(spark, d, as_of):
+    first = _dt.date(fiscal.fiscal_years_of(as_of)[0] - 1, 4, 1)
+    return B.ledger_long(spark, d, first, _dt.date(as_of.year, as_of.month, 1))
+
+
 def _portfolio(spark, d, as_of=B.AS_OF):
     centres = A.included_centres(B.acquisitions(spark, d))
-    first = _dt.date(fiscal.fiscal_years_of(as_of)[0] - 1, 4, 1)
-    led = B.ledger_long(spark, d, first, _dt.date(as_of.year, as_of.month, 1))
-    return S.portfolio_statement(led, _chart(spark, d), centres, as_of, B.BASE_FY, B.BASE_Q)
+    return S.portfolio_statement(_portfolio_ledger(spark, d, as_of), _chart(spark, d), centres, as_of,
+                                 B.BASE_FY, B.BASE_Q)
 
 
 @query
@@ -89,7 +96,9 @@ def portfolio_statement(spark, d):
 
 @query
 def group_statement(spark, d):
-    return S.group_statement(_portfolio(spark, d))
+    centres = A.included_centres(B.acquisitions(spark, d))
+    return S.group_statement_from_ledger(_portfolio_ledger(spark, d, B.AS_OF), _chart(spark, d), centres, B.AS_OF,
+                                         B.BASE_FY, B.BASE_Q)
 
 
 @query
@@ -228,6 +237,12 @@ LENDER_STORED_UNTIL = _dt.date(2000, 6, 1)    # state of the stored table before
 RANGE_REPLACE_OLD_AS_OF = _dt.date(1999, 10, 15)
 
 
+def _as_file(df, name):
+    path = shared_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def _trends(spark, d, watermark=None):
     return LD.load_trends(B.lender_trends_wide(spark, d, watermark), watermark)
 
@@ -250,12 +265,14 @@ def lender_adjustment_load(spark, d):
 
 @query
 def lender_reload(spark, d):
-    every = _trends(spark, d)
+    # the extract is a file: written once, read column by column
+    sheet = _as_file(B.lender_trends_wide(spark, d), "trends")
+    every = LD.load_trends(sheet)
     stored = every.where(F.col("Date") <= F.lit(LENDER_STORED_UNTIL))
     # rows without a date, which a reload must keep
     undated = every.where(F.col("Date") == F.lit(LENDER_STORED_UNTIL)).withColumn("Date", F.lit(None).cast("date"))
     stored = stored.unionByName(undated)
-    return LD.apply_reload(stored, _trends(spark, d, LENDER_WATERMARK), LENDER_WATERMARK)
+    return LD.apply_reload(stored, LD.load_trends(sheet, LENDER_WATERMARK), LENDER_WATERMARK)
 
 
 @query
@@ -266,7 +283,68 @@ def statement_range_replace(spark, d):
                                                F.col("fiscal_year")))
     new = _portfolio(spark, d)
     fy_last, fy_cur = fiscal.fiscal_years_of(B.AS_OF)
-    return T.replace_range(old, new, "fiscal_year", fy_last, fy_cur)
+    return _nullable_counts_as_double(T.replace_range(old, new, "fiscal_year", fy_last, fy_cur), ["fiscal_year"])
+
+
+@query
+def statement_partition_replace(spark, d):
+    """The same replacement in a stored statement, where only the partitions of the
+    two fiscal years are written."""
+    root = shared_folder(spark, "statement")
+    old = _portfolio(spark, d, RANGE_REPLACE_OLD_AS_OF)
+    old = old.withColumn("fiscal_year", F.when(~((F.col("line_item") == "SALES") & (F.col("month") == 4)),
+                                               F.col("fiscal_year")))
+    T.replace(old, root, ["fiscal_year"])
+    path = T.replace_years(_portfolio(spark, d), root, "fiscal_year", *fiscal.fiscal_years_of(B.AS_OF))
+    return _nullable_counts_as_double(spark.read.schema(old.schema).parquet(path), ["fiscal_year"])
+
+
+@query
+def statement_checks(spark, d):
+    """The statement is written once; its checks are counted on the way."""
+    centres = A.included_centres(B.acquisitions(spark, d))
+    statement, seen = S.checked_statement(_portfolio_ledger(spark, d, B.AS_OF), _chart(spark, d), centres, B.AS_OF,
+                                          B.BASE_FY, B.BASE_Q)
+    T.replace(statement, shared_folder(spark, "statement"))
+    rows = [(f"{name} {check}", n) for name, counts in seen.items() for check, n in counts.get.items()]
+    return spark.createDataFrame(rows, "check string, n long")
+
+
+def _extract_checked(spark, d):
+    """The adjustments sheet from its CSV extract: accepted rows and rejects, written
+    in one pass."""
+    path = shared_folder(spark, "extract")
+    B.adjustments_extract(spark, d, path)
+    sheet = T.read_sheet(spark, path, B.EXTRACT_HEADER_ROW, rejects=True, file_col="file")
+    amounts = ["Final Adjustment", "Storage Adjustment", "U-Move Adjustment"]
+    checked = QU.cast_or_reject(sheet, {"Final Month": "date", **{c: LD.AMOUNT for c in amounts}}, amounts, file_col="file")
+    root = shared_folder(spark, "checked")
+    QU.write_checked(checked, root)
+    return root
+
+
+@query
+def sheet_adjustments(spark, d):
+    return LD.load_adjustments(QU.read_accepted(spark, _extract_checked(spark, d)))
+
+
+@query
+def sheet_rejects(spark, d):
+    bad = QU.read_rejects(spark, _extract_checked(spark, d))
+    return bad.select(F.regexp_extract("file", "/(year=[0-9]+)/", 1).alias("file"), "reason", "record")
+
+
+@query
+def append_batches(spark, d):
+    """Two batches of adjustments, each appended twice, as a rerun does."""
+    rows = LD.load_adjustments(B.lender_adjustments_sheet(spark, d))
+    root = shared_folder(spark, "adjustments")
+    until = F.col("Date") <= F.lit(LENDER_WATERMARK)
+    for batch, part in (("until", rows.where(until)), ("until", rows.where(until)),
+                        ("after", rows.where(~until)), ("after", rows.where(~until))):
+        path = T.append_batch(part, root, batch)
+    stored = spark.read.parquet(path)
+    return stored.groupBy("batch_id", "Date").agg(F.count(F.lit(1)).alias("n"), sum_money("Total_Adjustment").alias("total"))
 
 
 def _lender_accounts(spark, d):
@@ -324,19 +402,23 @@ def movein_same_day(spark, d):
 # ---------------------------------------------------------------- checks
 @query
 def data_presence(spark, d):
+    return Q.data_presence(A.included_centres(B.acquisitions(spark, d)), _cash_trend(spark, d))
+
+
+def _cash_trend(spark, d):
     noi = S.statement_wide(B.ledger_long(spark, d), _chart(spark, d)).select(
         "profit_center", "month", F.col("`NET OPERATING INCOME`").alias("amount"))
-    return Q.data_presence(A.included_centres(B.acquisitions(spark, d)), B.cash_trend(spark, d, noi))
+    return B.cash_trend(spark, d, noi)
 
 
 @query
 def centres_without_data(spark, d):
-    """Included centres that the last month's ledger has nothing for."""
-    month = fiscal.py_prev_month_start(B.AS_OF)
+    """Included centres without a month of non-zero NOI in the cash trend."""
     hierarchy = B.cost_centre_hierarchy(spark, d).select(
         F.col("Profit_Center").alias("profit_center"), F.col("`Hierarchy Area`").alias("owner_area"))
-    return Q.centres_without_data(A.included_centres(B.acquisitions(spark, d)),
-                                  B.ledger_long(spark, d, month, month), info=hierarchy)
+    trend = Q.cash_trend_with_noi(_cash_trend(spark, d))
+    return Q.centres_without_data(A.included_centres(B.acquisitions(spark, d)), trend,
+                                  fact_key="PROFIT CENTER", info=hierarchy)
 
 
 @query
@@ -372,7 +454,8 @@ def check_expected_value(spark, d):
 
 @query
 def check_unmapped_accounts(spark, d):
-    return Q.unmapped_accounts(_trends(spark, d), B.account_conversion(spark, d))
+    accounts = LD.trend_accounts(B.lender_trends_wide(spark, d, keys_only=True))
+    return Q.unmapped_accounts(accounts, B.account_conversion(spark, d))
 
 
 # ---------------------------------------------------------------- acquisition list
@@ -429,10 +512,12 @@ def cohort_gaps(spark, d):
 
 @query
 def check_missing_line_items(spark, d):
-    # the lines that the smallest parts' accounts cover
-    few = B.table(spark, d, "part").where(F.col("p_size") == 1).select(
-        (F.lit(B.ACCOUNT_BASE) + F.col("p_partkey")).cast("string").alias("account"))
-    return Q.missing_line_items(_chart(spark, d).join(few, "account", "left_semi"))
+    return Q.missing_line_items(_chart(spark, d), [*L.BASE_LINES, "MANAGEMENT FEE"])
+
+
+@query
+def check_centre_lines(spark, d):
+    return Q.centre_missing_lines(B.ledger_long(spark, d), _chart(spark, d))
 
 
 @query

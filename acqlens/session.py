@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import SparkSession
 
 # Settings every job in this package relies on.  AQE coalesces the small
@@ -34,3 +37,14 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 
+
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A new path below ``spark.checkpoint.dir``, the folder that the driver and all
+    executors share.  Only a local session that has none (tests) uses a scratch
+    folder of its own."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir names no folder that all executors share")
+        base = "file://" + tempfile.mkdtemp(prefix="acqlens-shared-")
+    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"

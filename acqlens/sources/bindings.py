@@ -100,10 +100,11 @@ def chart_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-# The lender's chart: as the ledger's, but every 60th account is one line on.
+# The lender's chart: as the ledger's, but the largest parts' accounts are one
+# line on.
 def lender_chart(spark: SparkSession, sf_dir: str) -> DataFrame:
-    part = table(spark, sf_dir, "part").where(F.col("p_partkey") % 60 == 0)
-    slot = (F.col("p_partkey") + 1) % ACCOUNT_SLOTS
+    part = table(spark, sf_dir, "part")
+    slot = (F.col("p_partkey") + F.when(F.col("p_size") == 50, 1).otherwise(0)) % ACCOUNT_SLOTS
     name = F.element_at(F.array(*[F.lit(n) for n in RAW_CHART_NAMES]), (slot + 1).cast("int"))
     return part.select((F.lit(ACCOUNT_BASE) + F.col("p_partkey")).cast("string").alias("account"),
                        F.when(slot < len(BASE_LINES), name).otherwise(F.lit(NOT_REPORTED)).alias("line_item"))
@@ -297,30 +298,33 @@ def sheet_months(spark: SparkSession, sf_dir: str, after: _dt.date | None = None
     return [m for m in months if after is None or m > after]
 
 
-def _cell(v) -> "F.Column":
-    # Text cell as a spreadsheet extract holds it: "x" where no amount.
-    return F.coalesce(v.cast("string"), F.lit("x"))
-
-
-def _by_month(rows: DataFrame, keys: list[str], amount, months: list[_dt.date]) -> DataFrame:
-    """One row per key with a column a month: summed by month first, so that the
-    many columns are only worked out once a key."""
-    names = [m.isoformat() for m in months]
-    sums = rows.groupBy(*keys, F.col("Date").cast("string").alias("_month")).agg(F.sum(amount).alias("_sum"))
-    return sums.groupBy(*keys).pivot("_month", names).agg(F.max("_sum"))
+def _by_month(rows: DataFrame, keys: list[str], amount, months: list[_dt.date], broken=None) -> DataFrame:
+    """One row per key with a column of text a month, as a spreadsheet extract holds
+    it: "x" where there is no amount, "#REF!" where ``broken`` holds.  Summed by
+    month first, as cents; the text of all months is one expression over an array."""
+    if not months:
+        return rows.select(*keys).distinct()
+    first = months[0]
+    at = (F.year("Date") - first.year) * 12 + F.month("Date") - first.month
+    sums = rows.groupBy(*keys, at.alias("_at")).agg(F.sum(to_cents(amount)).alias("_sum"))
+    wide = sums.groupBy(*keys).pivot("_at", list(range(len(months)))).agg(F.max("_sum"))
+    text = lambda c: F.coalesce(from_cents(c).cast("string"), F.lit("x"))
+    cell = text if broken is None else lambda c: F.when(broken & c.isNotNull(), "#REF!").otherwise(text(c))
+    cells = F.transform(F.array(*[F.col(f"`{i}`") for i in range(len(months))]), cell)
+    return wide.select(*keys, cells.alias("_cells")).select(
+        *keys, *[F.col("_cells")[i].alias(m.isoformat()) for i, m in enumerate(months)])
 
 
 # B6 wide: the trends sheet, one text column per month named by its date.  The
 # rows are those of the whole data, whichever months are asked for: a sheet
 # lists its accounts once.
-def lender_trends_wide(spark: SparkSession, sf_dir: str, after: _dt.date | None = None) -> DataFrame:
+def lender_trends_wide(spark: SparkSession, sf_dir: str, after: _dt.date | None = None,
+                       keys_only: bool = False) -> DataFrame:
     lon = lender_long(spark, sf_dir)
-    months = sheet_months(spark, sf_dir, after)
+    months = [] if keys_only else sheet_months(spark, sf_dir, after)
     # a broken reference, as sheets have them
     broken = (F.substring("SAP_Number", -1, 1) == "4") & (F.col("Line_Item") == "UTILITIES")
-    wide = _by_month(lon, ["SAP_Number", "Account_Number", "Line_Item"], F.col("Amount"), months)
-    wide = wide.withColumns({m.isoformat(): F.when(broken & F.col(f"`{m.isoformat()}`").isNotNull(), F.lit("#REF!"))
-                             .otherwise(_cell(F.col(f"`{m.isoformat()}`"))) for m in months})
+    wide = _by_month(lon, ["SAP_Number", "Account_Number", "Line_Item"], F.col("Amount"), months, broken)
     # Float-text centre keys, a missing and a blank key, as the sheet extract has them.
     k = F.col("SAP_Number")
     return wide.select(
@@ -336,12 +340,10 @@ def lender_trends_wide(spark: SparkSession, sf_dir: str, after: _dt.date | None
 # The u-box delivery sheet: delivery income by centre, two account rows.
 def lender_ubox_wide(spark: SparkSession, sf_dir: str, after: _dt.date | None = None) -> DataFrame:
     lon = lender_long(spark, sf_dir).where(F.col("Line_Item").isin("U-BOX DELIVERY INCOME", "U-BOX OTHER INCOME"))
-    months = sheet_months(spark, sf_dir, after)
     acct = (F.when(F.col("Line_Item") == "U-BOX DELIVERY INCOME", "U-BOX ONE-WAY DELIVERY INCOME")
              .otherwise("U-BOX LOCAL DELIVERY INCOME"))
-    wide = _by_month(lon.withColumn("Account", acct).withColumnRenamed("SAP_Number", "#"), ["#", "Account"],
-                     -F.col("Amount"), months)
-    return wide.withColumns({m.isoformat(): _cell(F.col(f"`{m.isoformat()}`")) for m in months})
+    return _by_month(lon.withColumn("Account", acct).withColumnRenamed("SAP_Number", "#"), ["#", "Account"],
+                     -F.col("Amount"), sheet_months(spark, sf_dir, after))
 
 
 # The adjustments sheet: one row per centre and month with three adjustments.
@@ -362,6 +364,35 @@ def lender_adjustments_sheet(spark: SparkSession, sf_dir: str, lo: _dt.date | No
         F.lit(0.5).alias("Storage Split"))
 
 
+# The adjustments sheet as CSV text, a file a year, as a spreadsheet program saves
+# it: three banner rows, the header, cells with quotes and line breaks; by value
+# also surplus cells, dates and amounts that cannot be read.
+BANNER = ['Lender adjustments,"draft, not final"', "", '"All amounts',  'in dollars"']
+EXTRACT_HEADER = ["SAP", "Account", "Line Item", "Final Month", "Final Adjustment", "Storage Adjustment",
+                  "U-Move Adjustment", "Storage Split"]
+EXTRACT_HEADER_ROW = 3
+
+
+def adjustments_extract(spark: SparkSession, sf_dir: str, path: str) -> None:
+    sheet = lender_adjustments_sheet(spark, sf_dir)
+    digit, month = F.substring("SAP", -1, 1), F.month("Final Month")
+    when = lambda d, m: F.coalesce((digit == d) & (month == m), F.lit(False))
+    text = F.when(month == 6, F.lit('"LENDER ""ADJUSTMENT"",\nsecond line"')).otherwise(F.col("Line Item"))
+    cells = [F.coalesce("SAP", F.lit("")), "Account", text,
+             F.when(when("3", 2), "n/a").otherwise(F.col("Final Month").cast("string")),
+             F.when(when("4", 3), "#REF!").when(F.col("Final Adjustment") == 0, "x")
+              .otherwise(F.col("Final Adjustment").cast("string")),
+             *[F.col(c).cast("string") for c in ("Storage Adjustment", "U-Move Adjustment", "Storage Split")]]
+    line = F.concat(F.concat_ws(",", *cells),
+                    F.when(when("5", 4), ",late,entry").when(F.coalesce(digit == "6", F.lit(False)), ",,").otherwise(""))
+    year = F.year("Final Month").alias("year")
+    rows = sheet.select(year, F.lit(1).alias("at"), line.alias("line"))
+    top = F.lit("\n".join([*BANNER, ",".join(EXTRACT_HEADER)]))
+    heads = sheet.select(year).distinct().select("year", F.lit(0).alias("at"), top.alias("line"))
+    (rows.unionByName(heads).repartition("year").sortWithinPartitions("year", "at")
+     .select("year", "line").write.partitionBy("year").text(path))
+
+
 # Old-to-new account conversion: accounts of parts up to size 40 are mapped, to
 # the account of the same slot 50 further on.
 def account_conversion(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -12,15 +12,15 @@ rerun is idempotent.
 
 from __future__ import annotations
 
-import csv
 import datetime as _dt
 import re
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..operators.lender import apply_reload
+from .sheets import read_sheet  # noqa: F401  (S4)
 
 _VERSION = re.compile(r"^v(\d{6,})$")
 
@@ -46,26 +46,6 @@ def read_jdbc(spark: SparkSession, url: str, table: str, partition_column: str,
             .options(**options).load())
 
 
-# Spreadsheet extract with banner rows above its header.  Month columns keep
-# their date names as text.
-def read_sheet(spark: SparkSession, path: str, header_row: int = 0,
-               renames: dict[str, str] | None = None) -> DataFrame:
-    """CSV extract of a sheet whose header is on row ``header_row`` (from 0); what
-    stands above it is skipped.  A sheet is one cell of text until it is cut into
-    lines (a spreadsheet has at most about a million), each file has its own
-    banner, and the header is taken from the first file.  Blank lines are no rows."""
-    lines = (spark.read.text(path, wholetext=True)
-             .select(F.split("value", "\r?\n").alias("lines")))
-    header = lines.select(F.element_at("lines", header_row + 1).alias("h")).first()
-    if header is None or header["h"] is None:
-        raise ValueError(f"no header on row {header_row} of {path}")
-    names = next(csv.reader([header["h"].lstrip("\ufeff")]))
-    schema = ", ".join(f"`{n.replace('`', '``')}` string" for n in names)
-    body = lines.select(F.explode(F.slice("lines", header_row + 2, F.size("lines"))).alias("line"))
-    rows = body.where(F.trim("line") != "").select(F.from_csv("line", schema).alias("r")).select("r.*")
-    return rows.withColumnsRenamed(renames) if renames else rows
-
-
 # S3: CSV dimension with renames.
 def read_csv(spark: SparkSession, path: str, schema: StructType | None = None,
              renames: dict[str, str] | None = None) -> DataFrame:
@@ -137,6 +117,37 @@ def append(df: DataFrame, root: str, partition_by: list[str] | None = None) -> s
     return cur
 
 
+# Append that may be run again.  The rows of a batch are stored under its id,
+# by overwriting that one partition, and a marker is set once Spark has committed
+# them: a batch that is published already is not written again, one that a lost
+# job left half done is written anew.
+def append_batch(df: DataFrame, root: str, batch: str, batch_col: str = "batch_id") -> str:
+    spark = df.sparkSession
+    cur = current_version(spark, root) or _empty_version(spark, root)
+    marker = f"{cur}/_batches/{batch}"
+    if not _exists(spark, marker):
+        (df.withColumn(batch_col, F.lit(batch)).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy(batch_col).parquet(cur))
+        _touch(spark, marker)
+    return cur
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _fs(spark, path)
+    return fs.exists(p)
+
+
+def _touch(spark: SparkSession, path: str) -> None:
+    fs, p = _fs(spark, path)
+    fs.create(p, True).close()
+
+
+def _empty_version(spark: SparkSession, root: str) -> str:
+    path = _next_version(spark, root)
+    _touch(spark, f"{path}/_SUCCESS")
+    return path
+
+
 # Replace the whole table.
 def replace(df: DataFrame, root: str, partition_by: list[str] | None = None) -> str:
     return _write_version(df, root, partition_by)
@@ -158,6 +169,32 @@ def replace_range_table(new: DataFrame, root: str, col: str, lo, hi,
     return _write_version(out, root, partition_by)
 
 
+# S7 in place: only the partitions of the replaced years are written.
+def replace_years(new: DataFrame, root: str, year_col: str, lo: int, hi: int) -> str:
+    """Replace the years ``lo`` to ``hi`` of the current version, which is
+    partitioned by ``year_col``: dynamic partition overwrite for the years that have
+    new rows, and removal of old ones in the range that have none.  The files of
+    other years, and of rows without a year, are not touched.  A new row outside
+    the range stops the job before anything is published.  A job lost half way is
+    mended by running it again; readers that must not see a half-replaced range
+    use ``replace_range_table``, which writes a new version."""
+    spark = new.sparkSession
+    cur = current_version(spark, root) or _empty_version(spark, root)
+    outside = F.raise_error(F.concat(F.lit(f"row outside {lo} to {hi}: "),
+                                     F.coalesce(F.col(year_col).cast("string"), F.lit("null"))))
+    kept = F.when(F.col(year_col).between(lo, hi), F.col(year_col)).otherwise(outside.cast(new.schema[year_col].dataType))
+    written = Observation("years")
+    (new.withColumn(year_col, kept).observe(written, F.collect_set(year_col).alias("years"))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(year_col).parquet(cur))
+    years = set(written.get["years"])
+    fs, path = _fs(spark, cur)
+    for year in range(lo, hi + 1):
+        old = spark._jvm.org.apache.hadoop.fs.Path(path, f"{year_col}={year}")
+        if year not in years and fs.exists(old):
+            fs.delete(old, True)
+    return cur
+
+
 # Reload from a watermark.  A watermark at or after the stored maximum
 # deletes nothing, so the new rows are appended; an earlier one deletes the
 # stored rows after it, which plain parquet can only do by writing the kept

@@ -82,3 +82,52 @@ def test_salted_join_equals_plain_join(spark):
         a = sorted(map(tuple, salted_join(big, small, ["k"], how).collect()))
         b = sorted(map(tuple, big.join(small, ["k"], how).collect()))
         assert a == b, how
+
+
+def _split_joins(spark, df):
+    """Rows of ``df`` and how many of its joins split a hot partition, with
+    broadcasts off."""
+    old = {k: spark.conf.get(k, None) for k in SKEW_CONF}
+    try:
+        for k, v in SKEW_CONF.items():
+            spark.conf.set(k, v)
+        out = df()
+        rows = out.collect()
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    return rows, plan.split("Initial Plan")[0].count("SortMergeJoin(skew=true)")
+
+
+def _chart(spark, n=2000):
+    return L.chart_of_accounts(spark.range(n + 1).select(
+        F.concat(F.lit("A"), F.col("id").cast("string")).alias("account"),
+        F.element_at(F.array(*[F.lit(x) for x in L.BASE_LINES]), (F.col("id") % 21 + 1).cast("int")).alias("line_item")))
+
+
+def test_hot_account_is_split_in_the_chart_join(spark):
+    led = _hot_ledger(spark).select(F.col("account").alias("profit_center"), "month", "amount",
+                                    F.concat(F.lit("A"), F.substring("profit_center", 2, 9)).alias("account"))
+    rows, split = _split_joins(spark, lambda: L.line_item_amounts(led, _chart(spark)))
+    assert split == 1 and sum(r.amount for r in rows) != 0
+    want = led.join(_chart(spark), "account").agg(F.sum(F.col("amount") * F.col("sign"))).first()[0]
+    assert sum(r.amount for r in rows) == want
+
+
+def test_hot_centre_is_split_in_the_portfolio_join(spark):
+    led = _hot_ledger(spark)
+    centres = spark.range(2001).select(F.concat(F.lit("P"), F.col("id").cast("string")).alias("profit_center"),
+                                       F.col("id").cast("string").alias("MEntity"), F.lit(1).alias("Group"))
+    rows, split = _split_joins(spark, lambda: S.portfolio_statement(led, _chart(spark, 25), centres, dt.date(2021, 3, 15)))
+    assert split >= 1 and len(rows) > 0
+
+
+def test_hot_key_is_split_in_a_keyed_update(spark):
+    from acqlens.operators.acquisitions import keyed_update
+    big = spark.range(60000).select(F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 700).alias("k"),
+                                    F.col("id").alias("v"), F.repeat(F.lit("x"), 20).alias("t"))
+    small = spark.range(0, 700, 2).select(F.col("id").alias("k"), (F.col("id") * 10).alias("w"))
+    rows, split = _split_joins(spark, lambda: keyed_update(big, small, "k", {"v": "w"}))
+    assert split == 1 and len(rows) == 60000
+    assert all(r.v == r.k * 10 for r in rows if r.k % 2 == 0)
