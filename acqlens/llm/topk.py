@@ -1,7 +1,7 @@
 """Exact top-k inner products with Fagin's threshold algorithm.
 
-Vectors are turned into integers, floor(scale * x), and dealt by a hash of their
-id into blocks; queries are dealt likewise, and every pair of a query block and a
+Vectors are turned into integers, floor(scale * x), numbered and dealt by a hash of
+their number into blocks; queries are dealt likewise, and every pair of a query block and a
 candidate block is one group.  In a group each dimension has the candidates in
 order of their component.  A query reads all lists in parallel from the end that
 its own component favours, scores whatever it meets for the first time, and stops
@@ -11,10 +11,12 @@ by its id) or when every candidate has been met, so a group never scores more
 than its full product.  The k best of each block are merged.
 
 Edge cases: rows whose id or vector is null, or whose vector holds a null or a
-non-finite component, take no part; rows that share an id are one vector, the
-smallest of them; vectors meet vectors of the same length only; fewer than k
-candidates give fewer results; ties go to the smaller id; an empty table gives no
-rows; other columns are not read.  Scores are exact while scale * x fits 2**31.
+non-finite component, take no part; rows that share an id are candidates each, a
+query meets no row of its own id, and queries that share an id are answered
+together by the best of all their pairs; vectors meet vectors of the same length
+only; fewer than k candidates give fewer results; ties go to the smaller id; an
+empty table gives no rows; other columns are not read.  Scores are exact; a result
+beyond 64 bits stops the search with an error.
 """
 
 from __future__ import annotations
@@ -34,15 +36,14 @@ def integer_vectors(vectors: DataFrame, scale: int, id_col: str, vector_col: str
     fine = F.forall(x, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf")))
     return (vectors.where(F.col(id_col).isNotNull() & F.coalesce(fine, F.lit(False)))
             .select(F.col(id_col).cast("long").alias("vec_id"),
-                    F.transform(x, lambda c: F.floor(c * scale).cast("long")).alias("v"))
-            .groupBy("vec_id").agg(F.min("v").alias("v")))
+                    F.transform(x, lambda c: F.floor(c * scale).cast("long")).alias("v")))
 
 
 class SortedLists:
     """A block of vectors with one sorted list a dimension."""
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray):
-        order = np.argsort(ids)
+        order = np.argsort(ids, kind="stable")
         self.ids, self.vectors = ids[order], vectors[order]
         self.up = np.argsort(self.vectors, axis=0, kind="stable")      # smallest first
         self.down = np.argsort(-self.vectors, axis=0, kind="stable")   # largest first
@@ -50,21 +51,26 @@ class SortedLists:
         self.floats = self.vectors.astype(float)
 
     def _scores(self, rows, query: np.ndarray) -> np.ndarray:
-        # products of doubles are exact below 2**53
-        if float(self.exact) * float(np.abs(query).max(initial=0)) * max(1, len(query)) < 2.0 ** 53:
+        bound = self.bound(query)
+        if bound < 2 ** 53:  # products of doubles are exact
             return (self.floats[rows] @ query.astype(float)).astype(np.int64)
-        return self.vectors[rows] @ query
+        if bound < 2 ** 63:
+            return self.vectors[rows] @ query
+        return self.vectors[rows].astype(object) @ query.astype(object)
+
+    def bound(self, query: np.ndarray) -> int:
+        """No score or threshold of ``query`` is larger."""
+        return int(self.exact) * int(np.abs(query).max(initial=0)) * max(1, len(query))
 
     def best(self, query_id: int, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """Row numbers and scores of the k best, the query's own id left out."""
         n = len(self.ids)
         seen = np.zeros(n, bool)
-        own = np.searchsorted(self.ids, query_id)
-        if own < n and self.ids[own] == query_id:
-            seen[own] = True
+        seen[np.searchsorted(self.ids, query_id):np.searchsorted(self.ids, query_id, "right")] = True
         use = np.flatnonzero(query)
         lists = np.where(query[use] > 0, self.down[:, use], self.up[:, use])
-        top, scores = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        wide = self.bound(query) >= 2 ** 63
+        top, scores = np.zeros(0, np.int64), np.zeros(0, object if wide else np.int64)
         at, step = 0, 4
         while True:
             part = lists[at:at + step]
@@ -72,13 +78,15 @@ class SortedLists:
             met[part] = True
             rows = np.flatnonzero(met & ~seen)
             seen[rows] = True
-            top = np.concatenate([top, rows])
-            scores = np.concatenate([scores, self._scores(rows, query)])
-            order = np.lexsort((top, -scores))[:k]  # row order is id order
+            both, value = np.concatenate([top, rows]), np.concatenate([scores, self._scores(rows, query)])
+            by_row = np.argsort(both)
+            top, scores = both[by_row], value[by_row]
+            order = np.argsort(-scores, kind="stable")[:k]  # in row order, which is id order
             top, scores = top[order], scores[order]
             if seen.all():
                 return top, scores
-            threshold = int((self.vectors[part[-1], use] * query[use]).sum())
+            last, weight = self.vectors[part[-1], use], query[use]
+            threshold = int((last.astype(object) * weight.astype(object)).sum() if wide else (last * weight).sum())
             if len(top) == k and threshold < scores[-1]:
                 return top, scores
             at, step = at + step, step * 2
@@ -92,11 +100,12 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 10, scale: int = 1024,
           block_rows: int = 16_384, query_rows: int = 2_048, id_col: str = "vec_id",
           vector_col: str = "embedding") -> DataFrame:
     """(query_id, rank, vec_id, score); ``is_query`` is a condition on ``vec_id``."""
-    made = stored(integer_vectors(vectors, scale, id_col, vector_col), "vectors")
+    made = stored(integer_vectors(vectors, scale, id_col, vector_col)
+                  .withColumn("row", F.monotonically_increasing_id()), "vectors")
     queries = made.where(is_query)
     blocks = max(1, -(-made.count() // block_rows))
     q_blocks = max(1, -(-queries.count() // query_rows))
-    dealt = lambda n: F.pmod(F.xxhash64("vec_id"), F.lit(n)).cast("int")
+    dealt = lambda n: F.pmod(F.xxhash64("row"), F.lit(n)).cast("int")
     each = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     left = made.select("vec_id", "v", F.size("v").alias("width"), dealt(blocks).alias("block"),
                        each(q_blocks).alias("q_block"))
@@ -112,6 +121,8 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 10, scale: int = 1024,
         out = []
         for q, v in zip(asked.column("vec_id").to_pylist(), _matrix(asked.column("v"), width)):
             rows, scores = lists.best(q, v, k)
+            if scores.dtype == object and any(abs(x) >= 2 ** 63 for x in scores):
+                raise OverflowError(f"a score of query {q} does not fit 64 bits")
             out.append((np.full(len(rows), q), lists.ids[rows], scores))
         return pa.table([np.concatenate(c).astype(np.int64) for c in zip(*out)], schema=FOUND)
 

@@ -1,6 +1,7 @@
 import math
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from acqlens.llm import topk
@@ -9,16 +10,12 @@ SCHEMA = "vec_id long, embedding array<float>, score string, rank int"
 
 
 def brute(rows, k, scale=1024):
-    best = {}
-    for i, v, *_ in rows:
-        if i is None or v is None or any(x is None or not math.isfinite(x) for x in v):
-            continue
-        q = [math.floor(float(np.float32(x)) * scale) for x in v]
-        best[i] = min(best.get(i, q), q)
+    part = [(i, [math.floor(float(np.float32(x)) * scale) for x in v]) for i, v, *_ in rows
+            if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)]
     out = []
-    for i in (i for i in best if i % 100 == 0):
-        scores = sorted((-sum(a * b for a, b in zip(best[i], v)), j) for j, v in best.items()
-                        if j != i and len(v) == len(best[i]))
+    for i in {i for i, _ in part if i % 100 == 0}:
+        scores = sorted((-sum(a * b for a, b in zip(q, v)), j) for n, q in part if n == i
+                        for j, v in part if j != i and len(v) == len(q))
         out += [(i, r + 1, j, -s) for r, (s, j) in enumerate(scores[:k])]
     return sorted(out)
 
@@ -41,6 +38,21 @@ def test_against_brute_force_with_ties_and_odd_rows(spark):
         assert result(spark, rows, **options) == brute(rows, options.get("k", 10))
 
 
+def test_rows_that_share_an_id(spark):
+    rows = [(1, [1.0, 0.0], "", 0), (1, [5.0, 0.0], "", 0), (1, [5.0, 0.0], "", 0), (100, [1.0, 0.0], "", 0)]
+    assert result(spark, rows) == [(100, 1, 1, 5242880), (100, 2, 1, 5242880), (100, 3, 1, 1048576)]
+    rows += [(100, [-2.0, 1.0], "", 0), (200, [3.0, 1.0], "", 0)] + [(7, [0.5, 0.5], "", 0)] * 40
+    for options in ({}, {"block_rows": 5, "query_rows": 1}):
+        assert result(spark, rows, **options) == brute(rows, 10)
+
+
+def test_scores_beyond_64_bits(spark):
+    rows = [(100, [1e6, 1.0], "", 0), (1, [2e6, 0.0], "", 0), (2, [-2e6, 3.0], "", 0)]
+    assert result(spark, rows) == brute(rows, 10)
+    with pytest.raises(Exception, match="does not fit 64 bits"):
+        result(spark, [(100, [1e7, 1e7], "", 0), (1, [1e7, 1e7], "", 0)])
+
+
 def test_fewer_candidates_than_k_and_no_rows(spark):
     assert result(spark, [(0, [1.0], "", 0), (1, [2.0], "", 0)]) == [(0, 1, 1, 1024 * 2048)]
     assert result(spark, [(0, [1.0], "", 0)]) == []
