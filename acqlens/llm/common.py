@@ -3,6 +3,8 @@ byte access to Arrow columns, word hashes."""
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 import uuid
 
@@ -70,23 +72,64 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U64(31))
 
 
+#: what this worker process remembers, by the work that it is for
+_CACHES: dict[str, list] = {}
+_NOW: list[str] = []
+
+
+def remembered(work: str, cache):
+    """``cache``, a dict (or anything with ``clear``) kept in this process for
+    ``work``; see ``working``."""
+    _CACHES.setdefault(work, []).append(cache)
+    return cache
+
+
+def working(work: str) -> None:
+    """Says what this process works on from now on.  Workers go from stage to stage,
+    and what they remember for other work than this is dropped."""
+    if _NOW == [work]:
+        return
+    for other, caches in _CACHES.items():
+        if other != work:
+            for cache in caches:
+                cache.clear()
+    if _NOW:
+        gc.collect()
+        try:  # hand the freed memory back
+            ctypes.CDLL(None).malloc_trim(0)
+        except (OSError, AttributeError):
+            pass
+    _NOW[:] = [work]
+
+
 class WordHashes(dict):
-    """word bytes -> 64-bit hash, remembered up to ``keep`` words."""
+    """word bytes -> 64-bit hash, remembered up to ``keep`` bytes of words and
+    entries (about 140 a word and its length)."""
 
-    def __init__(self, keep: int = 500_000):
+    def __init__(self, keep: int = 64 << 20):
         super().__init__()
-        self.keep = keep
+        self.keep, self.held = keep, 0
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= self.keep:
+        self.held += 140 + len(word)
+        if self.held > self.keep:
             self.clear()
+            self.held = 140 + len(word)
         h = self[word] = xxhash.xxh3_64_intdigest(word)
         return h
 
+    def clear(self) -> None:
+        super().clear()
+        self.held = 0
+
     def of(self, words: list[bytes]) -> np.ndarray:
         return np.fromiter(map(self.__getitem__, words), U64, len(words))
 
 
+#: one table of word hashes a process, whoever asks
+WORD_HASHES = remembered("word hashes", WordHashes())
+
+
 def slices(batch: pa.RecordBatch, rows: int = 256, text: int | None = None,
            size: int = 4 << 20):
     """Views of a batch of at most ``rows`` rows, which bounds what a task holds;

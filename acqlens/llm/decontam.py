@@ -35,7 +35,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from acqlens.llm.common import U64, WordHashes, free_name, mix, slices, stored, stretches, utf8
+from acqlens.llm.common import (U64, WORD_HASHES, free_name, mix, remembered, slices, stored, stretches,
+                                utf8, working)
 
 # Fixed masks of six words each: whole, and with gaps that skip every third,
 # fourth or fifth word, neighbours, or scattered words.
@@ -53,7 +54,6 @@ _ALONE = re.compile("[\u0e01-\u0eff\u0f00\u0f18-\u0fbc\u1000-\u109f\u1780-\u17ff
                     "\uff66-\uff9f\U00020000-\U0003ffff]")
 _BREAKS = re.compile("[%s]" % "".join(
     c for c in map(chr, range(128, sys.maxunicode + 1)) if unicodedata.category(c)[0] in "PZ"))
-_WORDS = WordHashes()
 
 
 class _Several(dict):
@@ -63,13 +63,13 @@ class _Several(dict):
         plain = run.decode("utf-8", "surrogateescape")
         several = bool(_BREAKS.search(plain) or _ALONE.search(plain))
         if len(run) <= 64:
-            if len(self) >= 100_000:
+            if len(self) >= 50_000:
                 self.clear()
             self[run] = several
         return several
 
 
-_SEVERAL = _Several()
+_SEVERAL = remembered("word hashes", _Several())
 
 
 def _parted(run: bytes) -> list[bytes]:
@@ -89,7 +89,7 @@ def _split(text: bytes) -> list[bytes]:
 
 
 def words(text: bytes) -> np.ndarray:
-    return np.concatenate([_WORDS.of(_split(part)) for part in stretches(text)])
+    return np.concatenate([WORD_HASHES.of(_split(part)) for part in stretches(text)])
 
 
 def seeds(ids: np.ndarray, mask: int) -> np.ndarray:
@@ -193,6 +193,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, min_words: int = 10,
             sorted(((r[0], r[1].encode()) for r in block.collect()), key=lambda r: (r[0] is not None, r)))
 
         def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
+            working("word hashes")
             index = SeedIndex(sent.value)
             for batch in batches:
                 for part in slices(batch, 256, 1):

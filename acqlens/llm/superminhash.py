@@ -38,18 +38,17 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from acqlens.llm.common import U64, WordHashes, bucketed, mix, slices, stored, stretches, utf8
+from acqlens.llm.common import U64, WORD_HASHES, bucketed, mix, slices, stored, stretches, utf8, working
 from acqlens.llm.components import components
 
 SHINGLE = 5
 _FACTORS = [U64(0x9E3779B97F4A7C15), U64(0xC2B2AE3D27D4EB4F), U64(0x165667B19E3779F9),
             U64(0x27D4EB2F165667C5), U64(0xD6E8FEB86659FD93)]
-_WORDS = WordHashes()
 
 
 def shingle_sets(texts: list[bytes]) -> list[np.ndarray]:
     """Sorted distinct shingle hashes of each text."""
-    hashed = [np.concatenate([_WORDS.of(p.lower().split()) for p in stretches(t)]) for t in texts]
+    hashed = [np.concatenate([WORD_HASHES.of(p.lower().split()) for p in stretches(t)]) for t in texts]
     sizes = np.array([len(h) for h in hashed], np.int64)
     flat = np.concatenate(hashed) if hashed else np.zeros(0, U64)
     n, sets, at = len(flat), [], 0
@@ -120,6 +119,7 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, bands: int, rows: in
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
+        working("word hashes")
         for batch in batches:
             for part in slices(batch, 128, 1):
                 sets = shingle_sets(utf8(part.column(1)))
@@ -179,6 +179,7 @@ def _elements(docs: DataFrame, id_col: str, text_col: str, wanted: DataFrame) ->
     """(doc, elements) of the documents in ``wanted``, bucketed by document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        working("word hashes")
         for batch in batches:
             for part in slices(batch, 128, 1):
                 sets = shingle_sets(utf8(part.column(1)))

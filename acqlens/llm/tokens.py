@@ -18,6 +18,8 @@ from array import array
 
 import numpy as np
 
+from acqlens.llm.common import remembered, working
+
 # Letters whose lower case and normal form need no look at their neighbours.
 _UNCERTAIN = re.compile("[^\x00-įı-ɏ‐-‧‰-⁞]")
 _TAIL = ".,;:!?"
@@ -38,25 +40,32 @@ def byte_letters() -> dict[int, int]:
 
 class Remembered(dict):
     """A dict that makes what is missing and forgets what was not asked for while
-    ``keep`` other keys were made."""
+    ``keep`` bytes of other keys and values were made (about 200 for each pair and
+    what both hold)."""
 
     def __init__(self, make, keep: int):
         super().__init__()
-        self.make, self.keep, self.before = make, keep, {}
+        self.make, self.keep, self.before, self.held = make, keep, {}, 0
 
     def __missing__(self, key):
         value = self.before.pop(key, None)
         if value is None:
             value = self.make(key)
-        if len(self) >= self.keep:
+        self.held += 200 + len(key) + len(value)
+        if self.held > self.keep:
             self.before = dict(self)
-            self.clear()
+            super().clear()
+            self.held = 200 + len(key) + len(value)
         self[key] = value
         return value
 
+    def clear(self) -> None:
+        super().clear()
+        self.before, self.held = {}, 0
+
 
 class WordEncoder:
-    def __init__(self, path: str, keep: int = 400_000):
+    def __init__(self, path: str, keep: int = 48 << 20):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
@@ -64,9 +73,9 @@ class WordEncoder:
         # str.split() parts at these signs of ASCII, the tokenizer keeps them
         self.added += ["\x1c", "\x1d", "\x1e", "\x1f"]
         self.letters = byte_letters()
-        self.words = Remembered(self._word, keep)
-        self.lower = Remembered(self._lower_chunk, keep)
-        self.any = Remembered(self.encode_whole, keep)
+        self.words = remembered("tokens", Remembered(self._word, keep))
+        self.lower = remembered("tokens", Remembered(self._lower_chunk, keep))
+        self.any = remembered("tokens", Remembered(self.encode_whole, keep))
 
     @property
     def vocabulary(self) -> int:
@@ -102,7 +111,8 @@ class WordEncoder:
 
 
 def encoder(path: str) -> WordEncoder:
-    """One encoder per worker process and file."""
+    """One encoder per worker process and file, which tokenizes from now on."""
+    working("tokens")
     if path not in _ENCODERS:
         _ENCODERS[path] = WordEncoder(path)
     return _ENCODERS[path]

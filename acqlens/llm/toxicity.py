@@ -25,14 +25,13 @@ extra columns are passed on by ``without_toxic`` and ignored elsewhere.
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from acqlens.llm.common import U64, stored, stretches, utf8
+from acqlens.llm.common import U64, remembered, stored, stretches, utf8, working
 
 CATEGORIES = ("low_quality", "toxic")
 _BREAKS = bytes(c if c >= 128 or 48 <= c < 58 or 97 <= c < 123 else c + 32 if 65 <= c < 91 else 32
@@ -58,7 +57,6 @@ def distinct_words(text: bytes) -> tuple[set[bytes], list[int]]:
                    _hash(b"# length %d" % min(10, int(sum(map(len, found)) / max(1, len(found)))))]
 
 
-@lru_cache(maxsize=50_000)
 def word_features(word: bytes) -> tuple[int, ...]:
     """The word itself and the stems of 3 to 6 characters (marked by ``*``)."""
     try:
@@ -68,11 +66,24 @@ def word_features(word: bytes) -> tuple[int, ...]:
     return (_hash(word), *(_hash(text[:k].encode() + b"*") for k in range(3, 7) if len(text) >= k))
 
 
+class _Features(dict):
+    """word -> its features, remembered for up to 50,000 words."""
+
+    def __missing__(self, word: bytes) -> tuple[int, ...]:
+        if len(self) >= 50_000:
+            self.clear()
+        got = self[word] = word_features(word)
+        return got
+
+
+_FEATURES = remembered("toxicity", _Features())
+
+
 def features(text: bytes) -> set[int]:
     found, out = distinct_words(text)
     out = set(out)
     for w in found:
-        out.update(word_features(w))
+        out.update(_FEATURES[w])
     return out
 
 
@@ -83,7 +94,7 @@ class Chain:
                  bias: np.ndarray):
         self.vocabulary, self.weights, self.earlier, self.bias = vocabulary, weights, earlier, bias
         self.place = {f: i for i, f in enumerate(vocabulary)}
-        self.known: dict[bytes, tuple[int, ...]] = {}
+        self.known: dict[bytes, tuple[int, ...]] = remembered("toxicity", {})
 
     def _places(self, word: bytes) -> tuple[int, ...]:
         got = self.known.get(word)
@@ -223,6 +234,7 @@ def fit_chain(docs: DataFrame, labelled: DataFrame, categories: Sequence[str] =
     k = len(categories)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        working("toxicity")
         got = sorted((o, t, y) for b in batches for o, t, *y in zip(
             b.column(0).to_pylist(), utf8(b.column(1)), *(b.column(2 + c).to_pylist() for c in range(k))))
         labels = np.array([g[2] for g in got], float).reshape(len(got), k)
@@ -253,6 +265,7 @@ def score(docs: DataFrame, chain: Chain, categories: Sequence[str] = CATEGORIES,
 
     @F.arrow_udf("array<double>")
     def probabilities(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        working("toxicity")
         if not made:
             made.append(Chain(*sent.value))
         for column in texts:
