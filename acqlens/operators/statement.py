@@ -85,9 +85,17 @@ def statement_wide(ledger: DataFrame, chart: DataFrame,
     loops: each line is a conditional sum over the joined ledger, so there is
     one shuffle for all centres (``pivot`` would add a second job).
     """
+    return _wide_lines(_signed_cents(ledger, chart), keys)
+
+
+def _signed_cents(ledger: DataFrame, chart: DataFrame) -> DataFrame:
+    """The ledger's rows on reported accounts, with line and signed cents."""
     j = (ledger.where(F.col("amount").isNotNull())
                .join(chart.select("account", "line_no", "sign"), "account"))
-    j = j.withColumn("_cents", to_cents(F.col("amount")) * F.col("sign"))
+    return j.withColumn("_cents", to_cents(F.col("amount")) * F.col("sign"))
+
+
+def _wide_lines(j: DataFrame, keys: tuple[str, ...]) -> DataFrame:
     sums = [F.coalesce(F.sum(F.when(F.col("line_no") == i, F.col("_cents"))), F.lit(0)).alias(name)
             for i, name in enumerate(BASE_LINES, start=1)]
     # NOI as one more aggregate (its line weights expanded from the formulas
@@ -119,7 +127,10 @@ def income_statement(ledger: DataFrame, chart: DataFrame, drop_zero_noi: bool =
     ``chart``: output of ``chart_of_accounts``.  Months whose NOI is exactly
     0 are dropped with all their lines.
     """
-    wide = statement_wide(ledger, chart, keys)
+    return _tidy(statement_wide(ledger, chart, keys), drop_zero_noi, keys)
+
+
+def _tidy(wide: DataFrame, drop_zero_noi: bool, keys: tuple[str, ...]) -> DataFrame:
     if drop_zero_noi:
         wide = wide.where(_q("NET OPERATING INCOME") != 0)
     tidy = wide.unpivot(list(keys), [_q(c) for c in STATEMENT_LINES], "line_item", "value")
@@ -127,6 +138,20 @@ def income_statement(ledger: DataFrame, chart: DataFrame, drop_zero_noi: bool =
                        *[k for k in keys if k not in ("profit_center", "month")])
 
 
+def line_state(ledger: DataFrame, chart: DataFrame) -> DataFrame:
+    """X5 kept between runs: additive cents per (centre, month, line).  Stored by
+    month (``tables.replace_partitions``), only months whose ledger changed are
+    computed again; ``statement_from_state`` gives what the whole ledger would."""
+    return (_signed_cents(ledger, chart).groupBy("profit_center", "month", "line_no")
+            .agg(F.sum("_cents").alias("cents")))
+
+
+def statement_from_state(state: DataFrame, drop_zero_noi: bool = True) -> DataFrame:
+    """X4 from stored line cents: no ledger, no chart."""
+    return _tidy(_wide_lines(state.withColumn("_cents", F.col("cents")), ("profit_center", "month")),
+                 drop_zero_noi, ("profit_center", "month"))
+
+
 def collapse_ubox(wide: DataFrame) -> DataFrame:
     """Q9: the older report's statement, which shows U-box as one line: delivery
     income is already in U-BOX INCOME, so its memo column goes."""

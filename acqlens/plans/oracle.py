@@ -363,6 +363,9 @@ UNION ALL SELECT * FROM portfolio""", PORTFOLIO + PORTFOLIO_OLD)
 
 SQL["statement_partition_replace"] = SQL["statement_range_replace"]
 
+SQL["statement_incremental"] = with_ctes(["ledger_long", "chart"], "SELECT * FROM istmt",
+    [("until", f"SELECT * FROM ledger_long WHERE month <= {_MAXM}"), *statement_ctes("until", "istmt")])
+
 SQL["statement_checks"] = with_ctes(["ledger_long", "chart", "acquisitions"], """
 SELECT 'centres rows' AS "check", count(*) AS n FROM centres
 UNION ALL SELECT 'centres duplicates', count(*) FROM
@@ -659,6 +662,7 @@ DECIMAL_OUTPUTS = {
     "sheet_adjustments": ["Total_Adjustment", "Storage_Adjustment", "UMove_Adjustment"],
     "append_batches": ["total"],
     "statement_partition_replace": ["value"],
+    "statement_incremental": ["value"],
     "statement_range_replace": ["value"],
 }
 for _name, _cols in DECIMAL_OUTPUTS.items():

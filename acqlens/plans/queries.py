@@ -299,6 +299,21 @@ def statement_partition_replace(spark, d):
     return _nullable_counts_as_double(spark.read.schema(old.schema).parquet(path), ["fiscal_year"])
 
 
+@query
+def statement_incremental(spark, d):
+    """A stored statement brought up to date: the state lacks the last month and has
+    another ledger for the month before; only these two months are read again."""
+    root, chart = shared_folder(spark, "state"), _chart(spark, d)
+    last = fiscal.py_prev_month_start(B.AS_OF)
+    before = fiscal.py_add_months(last, -1)
+    old = B.ledger_long(spark, d, None, before)
+    stale = old.withColumn("amount", F.when(F.col("month") == F.lit(before), F.lit(1).cast("decimal(18,2)"))
+                           .otherwise(F.col("amount")))
+    path = T.replace(S.line_state(stale, chart), root, ["month"])
+    T.replace_partitions(S.line_state(B.ledger_long(spark, d, before, last), chart), root, "month", [before, last])
+    return S.statement_from_state(spark.read.parquet(path))
+
+
 @query
 def statement_checks(spark, d):
     """The statement is written once; its checks are counted on the way."""

@@ -169,32 +169,37 @@ def replace_range_table(new: DataFrame, root: str, col: str, lo, hi,
     return _write_version(out, root, partition_by)
 
 
-# S7 in place: only the partitions of the replaced years are written.
-def replace_years(new: DataFrame, root: str, year_col: str, lo: int, hi: int) -> str:
-    """Replace the years ``lo`` to ``hi`` of the current version, which is
-    partitioned by ``year_col``: dynamic partition overwrite for the years that have
-    new rows, and removal of old ones in the range that have none.  The files of
-    other years, and of rows without a year, are not touched.  A new row outside
-    the range stops the job before anything is published.  A job lost half way is
-    mended by running it again; readers that must not see a half-replaced range
-    use ``replace_range_table``, which writes a new version."""
+# S7 in place: only the partitions of the replaced values are written.
+def replace_partitions(new: DataFrame, root: str, col: str, values: list) -> str:
+    """Replace the partitions ``values`` of the current version, which is partitioned
+    by ``col``: dynamic partition overwrite for those that have new rows, and removal
+    of old ones that have none.  The files of other partitions, and of rows without
+    a value, are not touched.  A new row of another partition stops the job before
+    anything is published.  A job lost half way is mended by running it again;
+    readers that must not see a half-replaced range use ``replace_range_table``,
+    which writes a new version."""
     spark = new.sparkSession
     cur = current_version(spark, root) or _empty_version(spark, root)
-    outside = F.raise_error(F.concat(F.lit(f"row outside {lo} to {hi}: "),
-                                     F.coalesce(F.col(year_col).cast("string"), F.lit("null"))))
-    kept = F.when(F.col(year_col).between(lo, hi), F.col(year_col)).otherwise(outside.cast(new.schema[year_col].dataType))
-    written = Observation("years")
-    (new.withColumn(year_col, kept).observe(written, F.collect_set(year_col).alias("years"))
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(year_col).parquet(cur))
-    years = set(written.get["years"])
+    outside = F.raise_error(F.concat(F.lit(f"row outside {values[0]} to {values[-1]}: "),
+                                     F.coalesce(F.col(col).cast("string"), F.lit("null"))))
+    kept = F.when(F.col(col).isin(values), F.col(col)).otherwise(outside.cast(new.schema[col].dataType))
+    written = Observation("partitions")
+    (new.withColumn(col, kept).observe(written, F.collect_set(F.col(col).cast("string")).alias("values"))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(col).parquet(cur))
+    have = set(written.get["values"])
     fs, path = _fs(spark, cur)
-    for year in range(lo, hi + 1):
-        old = spark._jvm.org.apache.hadoop.fs.Path(path, f"{year_col}={year}")
-        if year not in years and fs.exists(old):
+    for value in values:
+        old = spark._jvm.org.apache.hadoop.fs.Path(path, f"{col}={value}")
+        if str(value) not in have and fs.exists(old):
             fs.delete(old, True)
     return cur
 
 
+def replace_years(new: DataFrame, root: str, year_col: str, lo: int, hi: int) -> str:
+    """``replace_partitions`` for the years ``lo`` to ``hi``."""
+    return replace_partitions(new, root, year_col, list(range(lo, hi + 1)))
+
+
 # Reload from a watermark.  A watermark at or after the stored maximum
 # deletes nothing, so the new rows are appended; an earlier one deletes the
 # stored rows after it, which plain parquet can only do by writing the kept

@@ -208,3 +208,22 @@ def test_lines_that_a_centre_lacks(spark):
     got = sorted((r.key, r.detail) for r in Q.centre_missing_lines(led, chart).collect())
     assert got == sorted([("c", f"{L.BASE_LINES[0]}: months=1"), ("c", f"{L.BASE_LINES[20]}: months=1")]
                          + [("d", f"{n}: months=2") for n in L.BASE_LINES])
+
+
+def test_state_of_changed_months_equals_the_whole(spark, tmp_path):
+    chart = L.chart_of_accounts(spark.createDataFrame([("1", "SALES"), ("2", "SUPPLIES")], "account string, line_item string"))
+    months = [dt.date(2020, m, 1) for m in range(1, 6)]
+    schema = "profit_center string, account string, month date, amount decimal(18,2)"
+    rows = [(c, a, m, D(f"{-7 * (i + 1)}.25")) for i, m in enumerate(months) for c in "cd" for a in "12"]
+    led = spark.createDataFrame(rows, schema)
+    root = str(tmp_path / "state")
+    path = T.replace(S.line_state(led, chart), root, ["month"])
+    files = {m: sorted(glob.glob(f"{path}/month={m}/*.parquet")) for m in months}
+    # March changes, April loses all its rows
+    changed = [r if r[2] != months[2] else (*r[:3], r[3] + 1) for r in rows if r[2] != months[3]]
+    now = spark.createDataFrame(changed, schema)
+    T.replace_partitions(S.line_state(now.where(F.col("month").isin(months[2:4])), chart), root, "month", months[2:4])
+    got = S.statement_from_state(spark.read.parquet(path))
+    assert sorted(map(str, got.collect())) == sorted(map(str, S.income_statement(now, chart).collect()))
+    after = {m: sorted(glob.glob(f"{path}/month={m}/*.parquet")) for m in months}
+    assert [after[m] == files[m] for m in months] == [True, True, False, False, True] and after[months[3]] == []
