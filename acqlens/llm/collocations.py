@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
-from acqlens.llm.common import slices, stored, utf8
+from acqlens.llm.common import slices, stored, trim, utf8
 
 _END = b"\xff"  # no byte of UTF-8 text
 _ENDS = bytes.maketrans(b".,;:!?\n\x0b\x0c\r", _END * 10)
@@ -103,6 +103,7 @@ def _occurrences(chunk_words: int):
             number, held = number + 1, 0
             for state in (words, langs, by_lang, parts):
                 state.clear()
+            trim()
             return out
 
         for batch in batches:
@@ -119,6 +120,7 @@ def _occurrences(chunk_words: int):
                             yield flush()
         if words:
             yield flush()
+        trim()
 
     return run
 
@@ -175,6 +177,8 @@ def _extend(relation: pa.Table, frequent: pa.Table) -> pa.Table:
     here = np.flatnonzero(at[1:] == at[:-1] + 1)
     pair = of[here].astype(np.int64) << 32 | of[here + 1]
     group, of, n = np.unique(pair, return_inverse=True, return_counts=True)
+    del pair, dense, keep
+    trim()
     columns = (of.astype(np.int32), name[group >> 32], name[group & 0xFFFFFFFF], n)
     return pa.table([pa.array([row["chunk"].as_py()], pa.int64()), pa.array([_gaps(at[here])], pa.binary()),
                      *[pa.array([np.ascontiguousarray(c).tobytes()], pa.binary()) for c in columns]],

@@ -94,14 +94,20 @@ def working(work: str) -> None:
             for cache in caches:
                 cache.clear()
     if _NOW:
-        gc.collect()
-        try:  # hand the freed memory back
-            ctypes.CDLL(None).malloc_trim(0)
-        except (OSError, AttributeError):
-            pass
+        trim()
     _NOW[:] = [work]
 
 
+def trim() -> None:
+    """Hands the memory that this process has freed back to the system."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):
+        pass
+
+
 class WordHashes(dict):
     """word bytes -> 64-bit hash, remembered up to ``keep`` bytes of words and
     entries (about 140 a word and its length)."""
