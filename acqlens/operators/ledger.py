@@ -134,21 +134,32 @@ def normalize_ledger(wide: DataFrame, fiscal_year_col: str = "FISCAL_YEAR",
 
 
 def restrict_ledger(ledger: DataFrame, centres: DataFrame | None = None,
-                    chart: DataFrame | None = None, fiscal_years: list[int] | None = None) -> DataFrame:
-    """Keep ledger rows of listed centres / reportable accounts / fiscal years.
-
-    Lists are joins (left semi), never SQL text; the fiscal-year list is a
-    literal ``isin`` that reaches the scan as a pushed filter.  The key lists
-    are not deduplicated first: a semi join ignores repeated keys, and a
+                    chart: DataFrame | None = None, fiscal_years: list[int] | DataFrame | None = None,
+                    centre_col: str = "profit_center", account_col: str = "account",
+                    year_col: str = "fiscal_year") -> DataFrame:
+    """Keep ledger rows of listed centres / reportable accounts / fiscal years,
+    of a long ledger or, with its column names, of the wide one: before X1 a join
+    sees one row instead of twelve.
+
+    Lists are joins (left semi), never SQL text; a literal list of fiscal years
+    reaches the scan as a pushed filter, one that is a table (``fiscal_year``)
+    prunes the partitions of a ledger stored by year while the query runs.  The key
+    lists are not deduplicated first: a semi join ignores repeated keys, and a
     shuffle stage directly under the join lets AQE split a ledger partition
     that holds a hot centre (an aggregate there would block that).
     """
-    if fiscal_years is not None:
-        ledger = ledger.where(F.col("fiscal_year").isin(list(fiscal_years)))
+    def listed(rows: DataFrame, col: str, keys: DataFrame, key: str) -> DataFrame:
+        listed_key = keys.select(F.col(key).alias("_listed"))
+        return rows.join(listed_key, F.col(f"`{col}`").cast(keys.schema[key].dataType) == F.col("_listed"), "left_semi")
+
+    if isinstance(fiscal_years, DataFrame):
+        ledger = listed(ledger, year_col, fiscal_years, "fiscal_year")
+    elif fiscal_years is not None:
+        ledger = ledger.where(F.col(year_col).isin(list(fiscal_years)))
     if centres is not None:
-        ledger = ledger.join(centres.select("profit_center"), "profit_center", "left_semi")
+        ledger = listed(ledger, centre_col, centres, "profit_center")
     if chart is not None:
-        ledger = ledger.join(chart.select("account"), "account", "left_semi")
+        ledger = listed(ledger, account_col, chart, "account")
     return ledger
 
 

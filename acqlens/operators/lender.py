@@ -52,20 +52,49 @@ def trend_accounts(sheet: DataFrame) -> DataFrame:
     return keys.where(F.col("SAP").isNotNull() & F.col("Account_Number").isNotNull()).select("Account_Number").distinct()
 
 
-def load_trends(sheet: DataFrame, watermark: _dt.date | None = None) -> DataFrame:
+TREND_IDS = ["SAP", "Account_Number", "Description", "Line Item"]
+
+
+def _keyed_trends(sheet: DataFrame) -> DataFrame:
+    """The sheet's rows that have a centre and an account, both cleaned."""
+    return (sheet.withColumn("SAP", clean_key(_q("SAP")))
+                 .withColumn("Account_Number", clean_key(_q("Account_Number")))
+                 .where(_q("SAP").isNotNull() & _q("Account_Number").isNotNull()))
+
+
+def load_trends(sheet: DataFrame, watermark: _dt.date | None = None, accounts: DataFrame | None = None,
+                centres: DataFrame | None = None) -> DataFrame:
     """X21 trends: 4 id columns + months after the watermark (chosen at plan
-    time, before the unpivot); null centre or account dropped; keys cleaned."""
-    ids = ["SAP", "Account_Number", "Description", "Line Item"]
-    months = _months(sheet, ids, watermark)
-    df = (sheet.withColumn("SAP", clean_key(_q("SAP")))
-               .withColumn("Account_Number", clean_key(_q("Account_Number")))
-               .where(_q("SAP").isNotNull() & _q("Account_Number").isNotNull()))
-    long = _melt_months(df, ids, months)
+    time, before the unpivot); null centre or account dropped; keys cleaned.
+    Lists of ``accounts`` (account) and ``centres`` (profit_center) also cut the
+    sheet before it is unpivoted, a row a join instead of one a month."""
+    months = _months(sheet, TREND_IDS, watermark)
+    df = _keyed_trends(sheet)
+    # key lists go into the semi joins as they are (see ledger.restrict_ledger)
+    if accounts is not None:
+        df = df.join(accounts.select(F.col("account").alias("Account_Number")), "Account_Number", "left_semi")
+    if centres is not None:
+        df = df.join(centres.select(F.col("profit_center").alias("SAP")), "SAP", "left_semi")
+    long = _melt_months(df, TREND_IDS, months)
     return long.select(F.col("SAP").alias("SAP_Number"), "Account_Number",
                        F.col("Description").alias("Account_Description"),
                        F.col("`Line Item`").alias("Line_Item"), "Date", "Amount")
 
 
+def basis_from_sheet(sheet: DataFrame, conversion: DataFrame, watermark: _dt.date | None = None,
+                     old_col: str = "old_account", new_col: str = "ledger_account") -> DataFrame:
+    """X11 straight from the trends sheet: its rows get their ledger account before
+    they are unpivoted.  Equal to ``ledger.lender_basis_ledger`` of ``load_trends``."""
+    months = _months(sheet, TREND_IDS, watermark)
+    conv = conversion.select(F.col(old_col).cast("string").alias("Account_Number"),
+                             F.col(new_col).cast("string").alias("_account"))
+    df = _keyed_trends(sheet).join(conv, "Account_Number", "left")
+    long = _melt_months(df, ["SAP", "_account", "Line Item"], months)
+    return long.select(F.col("SAP").alias("profit_center"), F.col("_account").alias("account"),
+                       F.col("`Line Item`").alias("line_item"), F.col("Date").alias("month"),
+                       F.col("Amount").alias("amount"))
+
+
 def load_ubox(sheet: DataFrame, watermark: _dt.date | None = None) -> DataFrame:
     """X21 u-box: the two delivery-income accounts, constant account number."""
     months = _months(sheet, ["#", "Account"], watermark)
@@ -115,11 +144,14 @@ def apply_reload(stored: DataFrame, new_rows: DataFrame, watermark: _dt.date,
     return keep.unionByName(new_rows)
 
 
-def trend_rollup(trends: DataFrame, accounts: DataFrame, centres: DataFrame) -> DataFrame:
-    """X23 trends: listed accounts and centres, summed by (Date, Line_Item)."""
-    # key lists go into the semi joins as they are (see ledger.restrict_ledger)
-    t = (trends.join(accounts.select(F.col("account").alias("Account_Number")), "Account_Number", "left_semi")
-               .join(centres.select(F.col("profit_center").alias("SAP_Number")), "SAP_Number", "left_semi"))
+def trend_rollup(trends: DataFrame, accounts: DataFrame | None = None, centres: DataFrame | None = None) -> DataFrame:
+    """X23 trends: listed accounts and centres, summed by (Date, Line_Item).  Lists
+    that ``load_trends`` has applied need not be given again."""
+    t = trends
+    if accounts is not None:
+        t = t.join(accounts.select(F.col("account").alias("Account_Number")), "Account_Number", "left_semi")
+    if centres is not None:
+        t = t.join(centres.select(F.col("profit_center").alias("SAP_Number")), "SAP_Number", "left_semi")
     return t.groupBy("Date", "Line_Item").agg(sum_money("Amount").alias("value"))
 
 

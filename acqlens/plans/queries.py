@@ -64,8 +64,9 @@ def ledger_unpivot(spark, d):
     centres = A.included_centres(B.acquisitions(spark, d))
     last, current = fiscal.fiscal_years_of(B.AS_OF)
     wide = B.ledger_wide(spark, d, _dt.date(last - 1, 4, 1), _dt.date(current, 3, 1))
-    return L.restrict_ledger(L.normalize_ledger(wide, keep_null=True), centres=centres, chart=_chart(spark, d),
-                             fiscal_years=[last, current])
+    wide = L.restrict_ledger(wide, centres, _chart(spark, d), [last, current],
+                             "PROFIT_CENTER", "GL_ACCOUNT", "FISCAL_YEAR")
+    return L.normalize_ledger(wide, keep_null=True)
 
 
 @query
@@ -370,7 +371,8 @@ def _lender_accounts(spark, d):
 
 @query
 def lender_trend_rollup(spark, d):
-    return LD.trend_rollup(_trends(spark, d), _lender_accounts(spark, d), B.samestore_centres(spark, d))
+    return LD.trend_rollup(LD.load_trends(B.lender_trends_wide(spark, d), None, _lender_accounts(spark, d),
+                                          B.samestore_centres(spark, d)))
 
 
 @query
@@ -387,7 +389,7 @@ def lender_ubox_rollup(spark, d):
 
 @query
 def lender_basis_ledger(spark, d):
-    return L.lender_basis_ledger(_trends(spark, d), B.account_conversion(spark, d))
+    return LD.basis_from_sheet(B.lender_trends_wide(spark, d), B.account_conversion(spark, d))
 
 
 # ---------------------------------------------------------------- move-in
@@ -543,5 +545,5 @@ def samestore_histogram_literal(spark, d):
 
 @query
 def lender_basis_statement(spark, d):
-    basis = L.lender_basis_ledger(_trends(spark, d), B.account_conversion(spark, d))
+    basis = LD.basis_from_sheet(B.lender_trends_wide(spark, d), B.account_conversion(spark, d))
     return S.income_statement(basis.where(F.col("account").isNotNull()), _chart(spark, d))

@@ -227,3 +227,41 @@ def test_state_of_changed_months_equals_the_whole(spark, tmp_path):
     assert sorted(map(str, got.collect())) == sorted(map(str, S.income_statement(now, chart).collect()))
     after = {m: sorted(glob.glob(f"{path}/month={m}/*.parquet")) for m in months}
     assert [after[m] == files[m] for m in months] == [True, True, False, False, True] and after[months[3]] == []
+
+
+def test_years_prune_the_ledger_while_it_is_read(spark, tmp_path):
+    wide = spark.createDataFrame([(y, f"c{i}", str(i), D("1.00")) for y in range(2015, 2022) for i in range(5)],
+                                 "FISCAL_YEAR int, PROFIT_CENTER string, GL_ACCOUNT string, GC_PER_1 decimal(18,2)")
+    wide.write.partitionBy("FISCAL_YEAR").parquet(str(tmp_path / "w"))
+    spark.range(2000, 2030).select(F.col("id").cast("int").alias("fiscal_year")).write.parquet(str(tmp_path / "y"))
+    years = spark.read.parquet(str(tmp_path / "y")).where("fiscal_year >= 2019 AND fiscal_year <= 2020")
+    centres = spark.createDataFrame([("c1",), ("c1",), ("c3",)], "profit_center string")
+    chart = spark.createDataFrame([("1",), ("2",)], "account string")
+    cut = L.restrict_ledger(spark.read.parquet(str(tmp_path / "w")), centres, chart, years,
+                            "PROFIT_CENTER", "GL_ACCOUNT", "FISCAL_YEAR")
+    out = L.normalize_ledger(cut)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in plan
+    # the lists cut the wide rows, before they are unpivoted
+    assert plan.index("Generate inline") < plan.index("LeftSemi")
+    long = L.restrict_ledger(L.normalize_ledger(wide), centres, chart, [2019, 2020])
+    got = sorted(map(tuple, out.collect()))
+    assert got == sorted(map(tuple, long.collect())) and len(got) == 2
+
+
+def test_sheet_is_cut_and_converted_before_it_is_unpivoted(spark):
+    from acqlens.operators import lender as LD
+    sheet = spark.createDataFrame([("7000000001.0", "5.0", "a", "SALES", "1.5", "x"), ("7000000002", "6", "b", "SUPPLIES", "2", None),
+                                   (None, "5", "c", "SALES", "9", "9"), ("7000000003", "7", "d", "SALES", "#REF!", "4")],
+                                  "SAP string, Account_Number string, Description string, `Line Item` string, "
+                                  "`2020-01-01` string, `2020-02-01` string")
+    accounts = spark.createDataFrame([("5",), ("7",)], "account string")
+    centres = spark.createDataFrame([("7000000001",), ("7000000002",), ("7000000001",)], "profit_center string")
+    both = LD.trend_rollup(LD.load_trends(sheet, None, accounts, centres))
+    after = LD.trend_rollup(LD.load_trends(sheet), accounts, centres)
+    assert sorted(map(tuple, both.collect())) == sorted(map(tuple, after.collect())) != []
+    conv = spark.createDataFrame([(5, 50), (6, 60)], "old_account int, ledger_account int")
+    key = lambda r: tuple(map(str, r))
+    assert sorted(map(tuple, LD.basis_from_sheet(sheet, conv).collect()), key=key) == \
+        sorted(map(tuple, L.lender_basis_ledger(LD.load_trends(sheet), conv).collect()), key=key)
+    assert sorted(r[0] for r in LD.trend_accounts(sheet).collect()) == ["5", "6", "7"]
