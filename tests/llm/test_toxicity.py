@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import xxhash
 from pyspark.sql import functions as F
 
 from acqlens.llm import toxicity as t
@@ -87,3 +88,74 @@ def test_sample_is_bounded_and_repeatable(spark):
     one = t.fit_chain(docs, cat, max_labelled=100)
     two = t.fit_chain(docs.repartition(7), cat, max_labelled=100)
     assert one.vocabulary == two.vocabulary and np.allclose(one.weights, two.weights)
+
+
+def _plain_features(text):
+    """The features by name, without hashes or caches."""
+    words = [w for w in "".join(c if c.isascii() and c.isalnum() or not c.isascii() else " " for c in text).split()]
+    words = ["".join(c.lower() if c.isascii() else c for c in w) for w in words]
+    some = set(words)
+    out = {w.encode() for w in some} | {w[:k].encode() + b"*" for w in some for k in range(3, 7) if len(w) >= k}
+    raw = text.encode()
+    odd = sum(not (b >= 128 or chr(b).isalnum() or chr(b) in " \t\n\x0b\x0c\r") for b in raw) / max(1, len(raw))
+    mean = sum(len(w.encode()) for w in some) / max(1, len(some))
+    return out | {b"# odd %d" % min(10, int(40 * odd)), b"# distinct %d" % int(10 * len(some) / max(1, len(words))),
+                  b"# length %d" % min(10, int(mean))}
+
+
+def _newton(x, extra, y, use, ridge):
+    """The optimum of the same loss by dense Newton steps: ridge on the features, the
+    smallest of penalties on the other columns."""
+    z = np.column_stack([x, extra, np.ones(len(x))])
+    penalty = np.r_[np.full(x.shape[1], ridge), np.full(extra.shape[1] + 1, 1e-9)]
+    w = np.zeros(z.shape[1])
+    for _ in range(200):
+        p = 1 / (1 + np.exp(-(z @ w)))
+        slope = z.T @ ((p - y) * use) + penalty * w
+        step = np.linalg.solve((z * (p * (1 - p) * use)[:, None]).T @ z + np.diag(penalty), slope)
+        w = w - step
+        if np.abs(step).max() < 1e-12:
+            break
+    return w
+
+
+def test_chain_equals_a_dense_one():
+    """Features, selection, folds, out-of-fold chaining and weights against a dense
+    recomputation that shares nothing with the code but the hash of a name."""
+    rng = random.Random(9)
+    bad, low, other = ["idiot", "stupids"], ["spam", "click"], [f"wort{k}" for k in range(25)] + ["café", "x1!"]
+    texts, labels = [], []
+    for i in range(240):
+        q, x = rng.random() < 0.4, rng.random() < 0.3
+        texts.append(" ".join(rng.choice(other + bad * (4 * x) + low * (4 * q)) for _ in range(rng.randint(3, 25)))
+                     + rng.choice(["", ".", "!!! $$"]))
+        labels.append([q, x])
+    y, folds = np.array(labels, float), 4
+    fold = np.arange(len(texts)) % folds
+    chain = t.train_chain([d.encode() for d in texts], y, fold, folds, 1000, z_least=2.0, steps=30_000)
+    found = [_plain_features(d) for d in texts]
+    names = sorted({n for f in found for n in f})
+    x = np.array([[n in f for n in names] for f in found], float)
+    df = x.sum(axis=0)
+    strength = np.max([np.abs(x.T @ y[:, c] - df * y[:, c].mean()) / np.sqrt(df * y[:, c].mean() * (1 - y[:, c].mean()))
+                       for c in range(2)], axis=0)
+    keep = (df >= 5) & (strength >= 2.0)
+    x, names = x[:, keep], [n for n, k in zip(names, keep) if k]
+    assert sorted(chain.vocabulary) == sorted(xxhash.xxh3_64_intdigest(n) for n in names) and len(names) > 5
+    everything, nothing = np.ones(len(texts)), np.zeros((len(texts), 0))
+    first = _newton(x, nothing, y[:, 0], everything, 1.0)
+    held_out = np.zeros(len(texts))
+    for f in range(folds):
+        w = _newton(x, nothing, y[:, 0], (fold != f).astype(float), 1.0)
+        z = np.column_stack([x, np.ones(len(texts))]) @ w
+        held_out[fold == f] = (1 / (1 + np.exp(-z)))[fold == f]
+    second = _newton(x, held_out[:, None], y[:, 1], everything, 1.0)
+    at = [chain.vocabulary.index(xxhash.xxh3_64_intdigest(n)) for n in names]
+    assert np.allclose(chain.weights[at, 0], first[:-1], atol=1e-5)
+    assert np.allclose(chain.weights[at, 1], second[:-2], atol=1e-5)
+    assert np.allclose([chain.bias[0], chain.bias[1], chain.earlier[1, 0]], [first[-1], second[-1], second[-2]], atol=1e-4)
+    # scoring feeds the first probability to the second model
+    for i in (0, 7, 100):
+        p = 1 / (1 + np.exp(-(x[i] @ first[:-1] + first[-1])))
+        q = 1 / (1 + np.exp(-(x[i] @ second[:-2] + second[-2] * p + second[-1])))
+        assert np.allclose(chain.probabilities(texts[i].encode()), [p, q], atol=1e-4)
