@@ -1,4 +1,4 @@
-"""Write PLANS.md: per registered query, the physical-plan facts that matter
+"""Write PLANS.md: per registered query of the portfolio library, the physical-plan facts that matter
 at scale (shuffles, join strategies, aggregates, windows, and for each scan
 the columns read and the filters pushed into it).  Initial plans, before AQE
 re-optimises with measured sizes.
@@ -44,7 +44,7 @@ def summarise(text: str):
 
 def main(sf_dir: str) -> None:
     from acqlens.session import build_session
-    import __spark_entry__ as E
+    from acqlens.plans.queries import REGISTRY
     spark = build_session("local[4]")
     print("# PLANS — physical-plan facts per query\n")
     print(f"Generated by `tools/plans.py` on `{sf_dir}` (initial plans; AQE may turn a sort-merge")
@@ -53,8 +53,8 @@ def main(sf_dir: str) -> None:
     print("for every parquet scan the columns it reads and the filters pushed into it.\n")
     print("| Query | Shuffles | Broadcasts | BHJ / SMJ | Agg hash / sort | Windows | Scans (table: columns read; pushed filters) |")
     print("|---|---|---|---|---|---|---|")
-    for name in sorted(E.queries()):
-        nodes, scans = summarise(plan_text(E.queries()[name](spark, sf_dir)))
+    for name in sorted(REGISTRY):  # queries that store tables on their way show their last plan
+        nodes, scans = summarise(plan_text(REGISTRY[name](spark, sf_dir)))
         scan_txt = "<br>".join(
             f"{t.replace('.parquet', '')}: {', '.join(c)}" + (f"; {p}" if p else "") for t, c, p in scans)
         print(f"| `{name}` | {nodes['Exchange']} | {nodes['BroadcastExchange']} | "
