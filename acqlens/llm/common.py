@@ -171,10 +171,13 @@ def stretches(text: bytes, size: int = 1 << 20):
 def bucketed(df: DataFrame, name: str, column: str) -> DataFrame:
     """Store ``df`` bucketed and sorted by ``column`` in the shared folder: joins
     and groupings on it move only the other side.  As many buckets as shuffle
-    partitions, so rows that a shuffle on the column has dealt stay together."""
+    partitions, so rows that a shuffle on the column has dealt stay together.
+    The catalog only lends the buckets: its entry goes at once, the files stay."""
     spark = df.sparkSession
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     table = f"{name}_{uuid.uuid4().hex}"
     (df.write.format("parquet").bucketBy(buckets, column).sortBy(column)
      .option("compression", "zstd").option("path", shared_folder(spark, name)).saveAsTable(table))
-    return spark.table(table)
+    rows = spark.table(table)
+    spark.sql(f"DROP TABLE {table}")
+    return rows

@@ -78,9 +78,9 @@ WITH d AS (
   GROUP BY key HAVING count(DISTINCT row_no) >= 3
 )
 SELECT k.doc_id, count(*) AS n_lines,
-       count(*) FILTER (keeper IS NOT NULL AND keeper <> k.doc_id) AS n_dropped,
+       count(*) FILTER (keeper IS NOT NULL AND keeper IS DISTINCT FROM k.doc_id) AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY pos)
-                       FILTER (keeper IS NULL OR keeper = k.doc_id), '')) AS kept_sha256
+                       FILTER (keeper IS NULL OR keeper IS NOT DISTINCT FROM k.doc_id), '')) AS kept_sha256
 FROM k LEFT JOIN f USING (key) GROUP BY row_no, k.doc_id
 """
 
