@@ -1,4 +1,5 @@
 import random
+from fractions import Fraction
 
 from acqlens.llm import decontam
 
@@ -18,7 +19,8 @@ def found(spark, docs, items, **options):
 
 
 def brute(docs, items, min_words=10, identity=0.7, anchor=6):
-    """All diagonals; those with a window that some mask matches; best stretch."""
+    """All diagonals; those with a window that some mask matches; the stretch with the
+    most matches over mismatches if it counts, else the longest one that does."""
     split = lambda t: (t or "").encode().translate(decontam._AS_WORDS).split()
     out = set()
     for doc, text in docs:
@@ -44,11 +46,36 @@ def brute(docs, items, min_words=10, identity=0.7, anchor=6):
                             best = (score, s, e + 1)
                 _, s, e = best
                 hits = sum(equal[s:e])
-                if hits >= min(min_words, len(o)) and hits >= identity * (e - s):
-                    out.add((doc, item, first + s, s, e - s, hits))
+                least, share = min(min_words, len(o)), Fraction(str(identity))
+                if hits < least or hits < share * (e - s):
+                    longest = [(s - e, e, s, n) for s in range(a, b) for e in range(s + 1, b + 1)
+                               if equal[s] and equal[e - 1] and (n := sum(equal[s:e])) >= least and n >= share * (e - s)]
+                    if not longest:
+                        continue
+                    _, e, s, hits = min(longest)
+                out.add((doc, item, first + s, s, e - s, hits))
     return out
 
 
+def test_stretches_of_diagonals_that_fail_as_a_whole(spark):
+    """Every third word replaced, or a copied start and a rewritten rest: the best
+    stretch misses the identity, a shorter one meets it."""
+    words = vocabulary(5)
+    rng = random.Random(6)
+    items = [(k, " ".join(rng.choices(words, k=rng.randint(23, 60)))) for k in range(12)]
+    docs = []
+    for d in range(48):
+        passage = items[d % 12][1].split()
+        if d < 24:
+            passage = [w if i % 3 != 2 else "zzz" for i, w in enumerate(passage)]
+        else:
+            keep = rng.randint(10, 16)
+            passage = [w if i < keep or rng.random() < 0.58 else "zzz" for i, w in enumerate(passage)]
+        docs.append((d, " ".join(rng.choices(words, k=5) + passage + rng.choices(words, k=5))))
+    got = found(spark, docs, items)
+    assert set(got) == brute(docs, items) and {r[0] for r in got} >= set(range(24))
+
+
 def test_planted_passages_exact_and_with_substitutions(spark):
     words = vocabulary(1)
     rng = random.Random(2)
