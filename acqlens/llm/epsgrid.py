@@ -46,10 +46,6 @@ _LEAD = 512
 _STEP = 4
 
 
-def _doubles(value: pa.Scalar) -> np.ndarray:
-    return np.frombuffer(value.as_buffer(), np.float64)
-
-
 def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(id, width, v): the vector as bytes of doubles, null if it takes no part."""
     for batch in batches:
