@@ -271,12 +271,15 @@ LENDER_ACCOUNTS = 50
 
 def lender_long(spark: SparkSession, sf_dir: str, lo: _dt.date | None = None,
                 hi: _dt.date | None = None) -> DataFrame:
+    """The chart is cut to the lender's accounts, at most 99 by the remainder below,
+    and broadcast: a shuffle by 50 accounts would put each account whole into a task."""
     led = ledger_long(spark, sf_dir, lo, hi).withColumn("account", (
         F.lit(ACCOUNT_BASE + LENDER_ACCOUNTS)
         + (F.col("account").cast("long") - ACCOUNT_BASE) % LENDER_ACCOUNTS).cast("string"))
     chart = (chart_raw(spark, sf_dir).where(F.col("line_item") != NOT_REPORTED)
-             .select(F.trim("account").alias("account"), F.rtrim("line_item").alias("line_item")).distinct())
-    return (led.join(chart, "account")
+             .select(F.trim("account").alias("account"), F.rtrim("line_item").alias("line_item"))
+             .where(F.col("account").isin([str(ACCOUNT_BASE + n) for n in range(1, 2 * LENDER_ACCOUNTS)])).distinct())
+    return (led.join(F.broadcast(chart), "account")
                .select(F.col("profit_center").alias("SAP_Number"),
                        F.col("account").alias("Account_Number"),
                        F.rtrim("line_item").alias("Line_Item"),
@@ -298,15 +301,27 @@ def sheet_months(spark: SparkSession, sf_dir: str, after: _dt.date | None = None
     return [m for m in months if after is None or m > after]
 
 
-def _by_month(rows: DataFrame, keys: list[str], amount, months: list[_dt.date], broken=None) -> DataFrame:
+# Ledger rows that one task makes sheet rows of: the tasks grow in number with
+# the data, not in memory.
+SHEET_TASK_ROWS = 250_000
+
+
+def sheet_tasks(spark: SparkSession, sf_dir: str) -> int:
+    return max(1, -(-table(spark, sf_dir, "lineitem").count() // SHEET_TASK_ROWS))
+
+
+def _by_month(rows: DataFrame, keys: list[str], amount, months: list[_dt.date], tasks: int, broken=None) -> DataFrame:
     """One row per key with a column of text a month, as a spreadsheet extract holds
     it: "x" where there is no amount, "#REF!" where ``broken`` holds.  Summed by
-    month first, as cents; the text of all months is one expression over an array."""
+    month first, as cents; the text of all months is one expression over an array.
+    The rows are dealt by their keys into ``tasks`` before both aggregates, whose
+    tables (the second has a sum a month in each row) hold a task's keys only."""
     if not months:
-        return rows.select(*keys).distinct()
+        return rows.select(*keys).repartition(tasks, *keys).distinct()
     first = months[0]
     at = (F.year("Date") - first.year) * 12 + F.month("Date") - first.month
-    sums = rows.groupBy(*keys, at.alias("_at")).agg(F.sum(to_cents(amount)).alias("_sum"))
+    dealt = rows.select(*keys, at.alias("_at"), to_cents(amount).alias("_cents")).repartition(tasks, *keys)
+    sums = dealt.groupBy(*keys, "_at").agg(F.sum("_cents").alias("_sum"))
     wide = sums.groupBy(*keys).pivot("_at", list(range(len(months)))).agg(F.max("_sum"))
     text = lambda c: F.coalesce(from_cents(c).cast("string"), F.lit("x"))
     cell = text if broken is None else lambda c: F.when(broken & c.isNotNull(), "#REF!").otherwise(text(c))
@@ -324,7 +339,8 @@ def lender_trends_wide(spark: SparkSession, sf_dir: str, after: _dt.date | None
     months = [] if keys_only else sheet_months(spark, sf_dir, after)
     # a broken reference, as sheets have them
     broken = (F.substring("SAP_Number", -1, 1) == "4") & (F.col("Line_Item") == "UTILITIES")
-    wide = _by_month(lon, ["SAP_Number", "Account_Number", "Line_Item"], F.col("Amount"), months, broken)
+    wide = _by_month(lon, ["SAP_Number", "Account_Number", "Line_Item"], F.col("Amount"), months,
+                     sheet_tasks(spark, sf_dir), broken)
     # Float-text centre keys, a missing and a blank key, as the sheet extract has them.
     k = F.col("SAP_Number")
     return wide.select(
@@ -343,7 +359,7 @@ def lender_ubox_wide(spark: SparkSession, sf_dir: str, after: _dt.date | None =
     acct = (F.when(F.col("Line_Item") == "U-BOX DELIVERY INCOME", "U-BOX ONE-WAY DELIVERY INCOME")
              .otherwise("U-BOX LOCAL DELIVERY INCOME"))
     return _by_month(lon.withColumn("Account", acct).withColumnRenamed("SAP_Number", "#"), ["#", "Account"],
-                     -F.col("Amount"), sheet_months(spark, sf_dir, after))
+                     -F.col("Amount"), sheet_months(spark, sf_dir, after), sheet_tasks(spark, sf_dir))
 
 
 # The adjustments sheet: one row per centre and month with three adjustments.
