@@ -72,7 +72,8 @@ def load_trends(sheet: DataFrame, watermark: _dt.date | None = None, accounts: D
     df = _keyed_trends(sheet)
     # key lists go into the semi joins as they are (see ledger.restrict_ledger)
     if accounts is not None:
-        df = df.join(accounts.select(F.col("account").alias("Account_Number")), "Account_Number", "left_semi")
+        listed = accounts.select(F.col("account").alias("Account_Number"))
+        df = df.join(listed.hint("shuffle_hash"), "Account_Number", "left_semi")
     if centres is not None:
         df = df.join(centres.select(F.col("profit_center").alias("SAP")), "SAP", "left_semi")
     long = _melt_months(df, TREND_IDS, months)
