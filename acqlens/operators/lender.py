@@ -85,11 +85,12 @@ def load_trends(sheet: DataFrame, watermark: _dt.date | None = None, accounts: D
 def basis_from_sheet(sheet: DataFrame, conversion: DataFrame, watermark: _dt.date | None = None,
                      old_col: str = "old_account", new_col: str = "ledger_account") -> DataFrame:
     """X11 straight from the trends sheet: its rows get their ledger account before
-    they are unpivoted.  Equal to ``ledger.lender_basis_ledger`` of ``load_trends``."""
+    they are unpivoted.  Equal to ``ledger.lender_basis_ledger`` of ``load_trends``.
+    The conversion is hashed: a sort would hold the wide rows of a few accounts whole."""
     months = _months(sheet, TREND_IDS, watermark)
     conv = conversion.select(F.col(old_col).cast("string").alias("Account_Number"),
                              F.col(new_col).cast("string").alias("_account"))
-    df = _keyed_trends(sheet).join(conv, "Account_Number", "left")
+    df = _keyed_trends(sheet).join(conv.hint("shuffle_hash"), "Account_Number", "left")
     long = _melt_months(df, ["SAP", "_account", "Line Item"], months)
     return long.select(F.col("SAP").alias("profit_center"), F.col("_account").alias("account"),
                        F.col("`Line Item`").alias("line_item"), F.col("Date").alias("month"),

@@ -5,7 +5,9 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from acqlens.operators import lender as LD
 from acqlens.sources import bindings as B
+from conftest import rows
 
 
 def _tables(spark, root):
@@ -18,6 +20,10 @@ def _tables(spark, root):
      .write.parquet(f"{root}/part.parquet"))
 
 
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
 def test_an_account_of_the_sheet_is_spread_over_tasks(spark, tmpdir_path, monkeypatch):
     monkeypatch.setattr(B, "SHEET_TASK_ROWS", 100, raising=False)
     _tables(spark, tmpdir_path)
@@ -36,3 +42,18 @@ def test_the_sheet_does_not_depend_on_the_number_of_tasks(spark, tmpdir_path, mo
     many = [tuple(r) for r in B.lender_trends_wide(spark, tmpdir_path).collect()]
     assert len(one) == 40 and sorted(map(str, one)) == sorted(map(str, many))
     assert keys == B.lender_trends_wide(spark, tmpdir_path, keys_only=True).count() == 40
+
+
+def test_wide_rows_are_not_sorted_for_a_key_list(spark, tmpdir_path):
+    _tables(spark, tmpdir_path)
+    sheet = B.lender_trends_wide(spark, tmpdir_path)
+    accounts = spark.createDataFrame([("40051",), ("40051",)], "account string")
+    conversion = spark.createDataFrame([("40051", "7"), ("40051", "8")], "old_account string, ledger_account string")
+    listed = LD.load_trends(sheet, None, accounts)
+    basis = LD.basis_from_sheet(sheet, conversion)
+    for df in (listed, basis):
+        assert "ShuffledHashJoin" in _plan(df) and "Sort [" not in _plan(df)
+    every = LD.load_trends(sheet)
+    assert rows(listed) == rows(every.where(F.col("Account_Number") == "40051"))
+    unmapped = every.where(F.col("Account_Number") != "40051").count()
+    assert basis.count() == 2 * listed.count() + unmapped
