@@ -78,13 +78,20 @@ def noi_weights() -> dict[str, int]:
 
 
 def statement_wide(ledger: DataFrame, chart: DataFrame,
-                   keys: tuple[str, ...] = ("profit_center", "month")) -> DataFrame:
+                   keys: tuple[str, ...] = ("profit_center", "month"), few_accounts: bool = False) -> DataFrame:
     """One row per (centre, month) with all 24 presentation lines as columns.
 
     A single hash aggregate does the work of the reference's centre x line
     loops: each line is a conditional sum over the joined ledger, so there is
     one shuffle for all centres (``pivot`` would add a second job).
+
+    ``few_accounts``: a ledger of a few accounts with many rows each.  The join
+    leaves all centres of an account in one task, so the chart is hashed, no ledger
+    row sorted, and the rows go to their centre's task before they are summed:
+    sums made before that shuffle would hold every centre and month in each task.
     """
+    if few_accounts:
+        return _wide_lines(_signed_cents(ledger, chart.hint("shuffle_hash")).repartition("profit_center"), keys)
     return _wide_lines(_signed_cents(ledger, chart), keys)
 
 
@@ -120,14 +127,14 @@ def _wide_lines(j: DataFrame, keys: tuple[str, ...]) -> DataFrame:
 
 
 def income_statement(ledger: DataFrame, chart: DataFrame, drop_zero_noi: bool = True,
-                     keys: tuple[str, ...] = ("profit_center", "month")) -> DataFrame:
+                     keys: tuple[str, ...] = ("profit_center", "month"), few_accounts: bool = False) -> DataFrame:
     """Tidy statement (date, profit_center, line_item, value, further keys).
 
     ``ledger``: profit_center, account, month, amount (ledger sign).
     ``chart``: output of ``chart_of_accounts``.  Months whose NOI is exactly
-    0 are dropped with all their lines.
+    0 are dropped with all their lines.  ``few_accounts``: see ``statement_wide``.
     """
-    return _tidy(statement_wide(ledger, chart, keys), drop_zero_noi, keys)
+    return _tidy(statement_wide(ledger, chart, keys, few_accounts), drop_zero_noi, keys)
 
 
 def _tidy(wide: DataFrame, drop_zero_noi: bool, keys: tuple[str, ...]) -> DataFrame:

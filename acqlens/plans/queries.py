@@ -546,4 +546,4 @@ def samestore_histogram_literal(spark, d):
 @query
 def lender_basis_statement(spark, d):
     basis = LD.basis_from_sheet(B.lender_trends_wide(spark, d), B.account_conversion(spark, d))
-    return S.income_statement(basis.where(F.col("account").isNotNull()), _chart(spark, d))
+    return S.income_statement(basis.where(F.col("account").isNotNull()), _chart(spark, d), few_accounts=True)

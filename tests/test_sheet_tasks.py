@@ -6,6 +6,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from acqlens.operators import lender as LD
+from acqlens.operators import statement as S
 from acqlens.sources import bindings as B
 from conftest import rows
 
@@ -57,3 +58,18 @@ def test_wide_rows_are_not_sorted_for_a_key_list(spark, tmpdir_path):
     assert rows(listed) == rows(every.where(F.col("Account_Number") == "40051"))
     unmapped = every.where(F.col("Account_Number") != "40051").count()
     assert basis.count() == 2 * listed.count() + unmapped
+
+
+def test_statement_of_few_accounts(spark):
+    ledger = spark.range(600).select(
+        F.concat(F.lit("P"), F.col("id") % 7).alias("profit_center"), F.concat(F.lit("A"), F.col("id") % 3).alias("account"),
+        F.add_months(F.lit(dt.date(2020, 4, 1)), (F.col("id") % 5).cast("int")).alias("month"),
+        F.when(F.col("id") % 11 != 0, (F.col("id") % 97 - 40).cast("decimal(18,2)")).alias("amount"))
+    chart = spark.createDataFrame([("A0", "SALES", 2, -1), ("A1", "PERSONNEL", 11, 1)],
+                                  "account string, line_item string, line_no int, sign int")
+    few = S.income_statement(ledger, chart, few_accounts=True)
+    plan = _plan(few)
+    assert "ShuffledHashJoin" in plan and "Sort [" not in plan
+    # the one shuffle by centre lies below both aggregates
+    assert plan.index("Exchange hashpartitioning(profit_center") > plan.rindex("HashAggregate")
+    assert rows(few) == rows(S.income_statement(ledger, chart)) != []
