@@ -5,14 +5,16 @@ add_special_tokens=False)`` for tokenizers like ``word_bpe_49k.json``: lower cas
 white space dropped, words of letters split from other signs, byte-level BPE
 within each.  Such a text can be cut at blanks, and what lies between repeats a
 lot, so its ids are remembered.  A new piece that is letters with at most a tail
-of common signs goes straight to the tokenizer's model; any other goes through
-the whole tokenizer, as do texts outside the range where this is certain.
+of ASCII signs, which the tokenizer splits there and nowhere else, goes straight to
+its model; any other goes through the whole tokenizer, as do texts outside the
+range where this is certain.
 """
 
 from __future__ import annotations
 
 import os
 import re
+import string
 import sys
 from array import array
 
@@ -22,7 +24,7 @@ from acqlens.llm.common import remembered, working
 
 # Letters whose lower case and normal form need no look at their neighbours.
 _UNCERTAIN = re.compile("[^\x00-įı-ɏ‐-‧‰-⁞]")
-_TAIL = ".,;:!?"
+_TAIL = string.punctuation
 _ENCODERS: dict[str, "WordEncoder"] = {}
 
 
@@ -73,8 +75,8 @@ class WordEncoder:
         # str.split() parts at these signs of ASCII, the tokenizer keeps them
         self.added += ["\x1c", "\x1d", "\x1e", "\x1f"]
         self.letters = byte_letters()
-        self.words = remembered("tokens", Remembered(self._word, keep))
-        self.lower = remembered("tokens", Remembered(self._lower_chunk, keep))
+        self.tokenize = self.tokenizer.model.tokenize
+        self.lower = remembered("tokens", Remembered(self._lower_chunk, 2 * keep))
         self.any = remembered("tokens", Remembered(self.encode_whole, keep))
 
     @property
@@ -86,16 +88,19 @@ class WordEncoder:
         return np.asarray(ids, "<u4").tobytes()
 
     def _word(self, word: str) -> bytes:
-        found = self.tokenizer.model.tokenize(word.encode().decode("latin-1").translate(self.letters))
-        ids = array("I", [t.id for t in found])
+        if not word.isascii():  # visible ASCII stands for itself
+            word = word.encode().decode("latin-1").translate(self.letters)
+        ids = array("I", [t.id for t in self.tokenize(word)])
         return ids.tobytes() if ids.itemsize == 4 and sys.byteorder == "little" else np.asarray(ids, "<u4").tobytes()
 
     def _lower_chunk(self, chunk: str) -> bytes:
         if chunk.isalpha():
-            return self.words[chunk]
+            return self._word(chunk)
         body = chunk.rstrip(_TAIL)
+        if not body:
+            return self._word(chunk)
         if body.isalpha():
-            return self.words[body] + self.words[chunk[len(body):]]
+            return self.lower[body] + self.lower[chunk[len(body):]]
         return self.encode_whole(chunk)
 
     def encode(self, text: str) -> bytes:

@@ -26,6 +26,17 @@ def test_ids_equal_the_tokenizers(parts):
     assert enc.encode(text) == enc.encode_whole(text)
 
 
+def test_words_with_a_tail_of_signs_need_no_whole_tokenizer():
+    enc = WordEncoder(default_tokenizer())
+    signs = "".join(map(chr, [*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)]))
+    texts = [f"Word{a}{b} élan{a}{b}{a} {a}{b}{a}\nword{a}" for a in signs for b in signs]
+    texts += ["schenach,*** thonea.%%% ###", "rock' rock'' don't rock'n' 'tis' ' \" o'", f"end{signs}", signs]
+    whole, asked = enc.encode_whole, []
+    enc.encode_whole = lambda chunk: asked.append(chunk) or whole(chunk)
+    assert enc.encode_many(texts) == list(map(whole, texts))
+    assert set(asked) == {"don't", "rock'n'", "'tis'"}
+
+
 _made = []
 
 
