@@ -40,20 +40,24 @@ def integer_vectors(vectors: DataFrame, scale: int, id_col: str, vector_col: str
 
 
 class SortedLists:
-    """A block of vectors with one sorted list a dimension."""
+    """A block of vectors with two sorted lists a dimension."""
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray):
         order = np.argsort(ids, kind="stable")
         self.ids, self.vectors = ids[order], vectors[order]
-        self.up = np.argsort(self.vectors, axis=0, kind="stable")      # smallest first
-        self.down = np.argsort(-self.vectors, axis=0, kind="stable")   # largest first
+        across = np.ascontiguousarray(self.vectors.T)
+        self.lists = np.stack([np.argsort(-across, axis=1, kind="stable"),   # largest first
+                               np.argsort(across, axis=1, kind="stable")])   # smallest first
         self.exact = np.abs(self.vectors).max(initial=0)
         self.floats = self.vectors.astype(float)
+        self.singles = self.vectors.astype(np.float32)
 
     def _scores(self, rows, query: np.ndarray) -> np.ndarray:
         bound = self.bound(query)
-        if bound < 2 ** 53:  # products of doubles are exact
-            return (self.floats[rows] @ query.astype(float)).astype(np.int64)
+        if bound < 2 ** 24:  # products and sums of singles are exact
+            return (self.singles.take(rows, axis=0) @ query.astype(np.float32)).astype(np.int64)
+        if bound < 2 ** 53:  # of doubles
+            return (self.floats.take(rows, axis=0) @ query.astype(float)).astype(np.int64)
         if bound < 2 ** 63:
             return self.vectors[rows] @ query
         return self.vectors[rows].astype(object) @ query.astype(object)
@@ -68,24 +72,30 @@ class SortedLists:
         seen = np.zeros(n, bool)
         seen[np.searchsorted(self.ids, query_id):np.searchsorted(self.ids, query_id, "right")] = True
         use = np.flatnonzero(query)
-        lists = np.where(query[use] > 0, self.down[:, use], self.up[:, use])
+        weight = query[use]
+        end = (weight < 0).astype(np.intp)
         wide = self.bound(query) >= 2 ** 63
         top, scores = np.zeros(0, np.int64), np.zeros(0, object if wide else np.int64)
         at, step = 0, 4
         while True:
-            part = lists[at:at + step]
-            met = np.full(n, not len(use))  # a query of zeros has no lists: all tie
-            met[part] = True
-            rows = np.flatnonzero(met & ~seen)
-            seen[rows] = True
-            both, value = np.concatenate([top, rows]), np.concatenate([scores, self._scores(rows, query)])
+            part = self.lists[end, use, at:at + step]
+            before = seen.copy()
+            seen[part] = True
+            if not len(use):  # a query of zeros has no lists: all tie
+                seen[:] = True
+            rows = np.flatnonzero(seen != before)
+            value = self._scores(rows, query)
+            if len(top) == k:  # a tie may still win by its id
+                hope = np.flatnonzero(value >= scores[-1])
+                rows, value = rows[hope], value[hope]
+            both, value = np.concatenate([top, rows]), np.concatenate([scores, value])
             by_row = np.argsort(both)
             top, scores = both[by_row], value[by_row]
             order = np.argsort(-scores, kind="stable")[:k]  # in row order, which is id order
             top, scores = top[order], scores[order]
             if seen.all():
                 return top, scores
-            last, weight = self.vectors[part[-1], use], query[use]
+            last = self.vectors[part[:, -1], use]
             threshold = int((last.astype(object) * weight.astype(object)).sum() if wide else (last * weight).sum())
             if len(top) == k and threshold < scores[-1]:
                 return top, scores

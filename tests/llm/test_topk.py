@@ -1,4 +1,5 @@
 import math
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -90,3 +91,28 @@ def test_large_components_stay_exact():
     vectors = np.array([[1 << 29, 1], [1 << 29, 2], [(1 << 29) - 1, 5]], np.int64)
     rows, scores = topk.SortedLists(np.arange(3), vectors).best(-1, np.array([1 << 29, 1]), 3)
     assert rows.tolist() == [1, 0, 2] and scores.tolist() == [(1 << 58) + 2, (1 << 58) + 1, (1 << 58) - (1 << 29) + 5]
+
+
+def test_a_search_that_stops_early_copies_no_list():
+    rng = np.random.default_rng(5)
+    vectors = rng.integers(0, 3, (60_000, 16))
+    vectors[:, 0] = 1000 * np.arange(60_000)
+    lists, query = topk.SortedLists(np.arange(60_000), vectors), np.array([1] * 16)
+    tracemalloc.start()
+    rows, _ = lists.best(-1, query, 10)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert rows.tolist() == list(range(59_999, 59_989, -1))
+    assert peak < 8 * len(vectors)  # less than one of the sixteen lists
+
+
+@pytest.mark.parametrize("most", [2895, 2897, 67_108_863, 67_108_865, 2_147_483_647])
+def test_scores_stay_exact_in_every_range(most):
+    rng = np.random.default_rng(most)
+    vectors = most - rng.integers(0, 4, (300, 2)) * rng.choice([1, most // 2], (300, 2))
+    lists = topk.SortedLists(np.arange(300), vectors)
+    for query in (np.array([most, most - 1]), np.array([-most, most - 2]), np.array([0, 1 - most])):
+        exact = [sum(int(a) * int(b) for a, b in zip(v, query)) for v in vectors]
+        want = sorted(range(300), key=lambda i: (-exact[i], i))[:40]
+        rows, scores = lists.best(-1, query, 40)
+        assert rows.tolist() == want and scores.tolist() == [exact[i] for i in want]
