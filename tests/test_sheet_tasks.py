@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from acqlens.operators import lender as LD
 from acqlens.operators import statement as S
 from acqlens.sources import bindings as B
-from conftest import rows
+from tests.conftest import rows
 
 
 def _tables(spark, root):
